@@ -1,0 +1,87 @@
+"""Joins and ordered look-backs that keep working when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+HOT_ROWS = 2_000_000   # a key with more rows than this is split
+ID_BLOCK = 65_536      # ids per block when a hot key is split by id
+
+
+def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``limit`` rows: at most rows / limit of them, so always small."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+
+
+def _any_hot(hot: DataFrame) -> DataFrame | None:
+    """The hot keys as a small literal frame, or None when there are none."""
+    rows = hot.collect()
+    return hot.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Equi-join that spreads the rows of hot keys of ``big`` over several tasks.
+
+    ``small`` has few rows per key; its rows for a hot key are repeated once per salt.
+    The salt is a hash of the row, so a task that runs again sends it to the same
+    place. Without hot keys this is the plain join.
+    """
+    hot = _any_hot(hot_keys(big.select(*on), on, hot_rows))
+    if hot is None:
+        return big.join(small, on, how)
+    salts = hot.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    left = (big.join(F.broadcast(salts), on, "left")
+            .withColumn("_salt", F.when(F.col("_salts").isNull(), 0)
+                        .otherwise(F.pmod(F.xxhash64(*big.columns), F.col("_salts")).cast("int")))
+            .drop("_salts"))
+    right = (small.join(F.broadcast(salts), on, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+             .drop("_salts"))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def _prefix(df: DataFrame, keys, levels, order, weight, value, hot) -> DataFrame:
+    """Add ``_before`` (sum of weights) and ``_last`` (last value) over all earlier rows of the key."""
+    part = [*keys, *[c for level in levels for c in level]]
+    earlier = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = (df.withColumn("_before", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+           .withColumn("_last", F.last(value, ignorenulls=True).over(earlier)))
+    if not levels:
+        return out
+    pieces = (df.filter(hot).groupBy(*part)
+              .agg(F.sum(weight).alias("_w"),
+                   F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_v")))
+    carried = (_prefix(pieces, keys, levels[:-1], levels[-1], "_w", "_v", F.lit(True))
+               .select(*part, F.col("_before").alias("_cw"), F.col("_last").alias("_cv")))
+    return (out.join(carried, part, "left")
+            .withColumn("_before", F.col("_before") + F.coalesce("_cw", F.lit(0)))
+            .withColumn("_last", F.coalesce("_last", "_cv"))
+            .drop("_cw", "_cv"))
+
+
+def look_back(df: DataFrame, keys: list[str], order: list[str], value: str, *,
+              levels: dict[str, Column] | None = None, weight: str | None = None,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """For each row: ``rows_before`` it within its key, and ``found``, the last non-NULL ``value`` before it.
+
+    ``levels`` names columns, coarse to fine, that follow the ordering (a time
+    bucket, then the stamp and an id block). Rows of hot keys are windowed per
+    bucket and the buckets' own totals carry the state across, so no task sees a
+    whole hot key. Keys without many rows take one plain window.
+    """
+    base = df.withColumn("_w1", F.lit(1) if weight is None else F.col(weight).cast("int"))
+    hot = _any_hot(hot_keys(df.select(*keys), keys, hot_rows)) if levels else None
+    if hot is None:
+        out = _prefix(base, keys, [], order, "_w1", value, None)
+        names: list[str] = []
+    else:
+        names = list(levels)
+        base = base.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+        for name, expr in levels.items():
+            base = base.withColumn(name, F.when(F.col("_hot"), expr))
+        base = base.repartition(*keys, *names)
+        groups = [[names[0]], names[1:]] if len(names) > 1 else [names]
+        out = _prefix(base, keys, groups, order, "_w1", value, F.col("_hot"))
+    return (out.withColumnRenamed("_before", "rows_before").withColumnRenamed("_last", "found")
+            .drop("_w1", "_hot", *names))
