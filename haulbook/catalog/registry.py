@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -14,19 +14,18 @@ STAMP = "yyyy-MM-dd HH:mm:ss"
 
 def plain(df: DataFrame) -> DataFrame:
     """Dates and stamps as ISO text, decimals as doubles, whole numbers as long."""
-    def one(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+    def one(f: T.StructField) -> str:
         if isinstance(f.dataType, T.DateType):
-            return F.date_format(c, "yyyy-MM-dd").alias(f.name)
+            return f"date_format(`{f.name}`, 'yyyy-MM-dd') as `{f.name}`"
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(c, STAMP).alias(f.name)
+            return f"date_format(`{f.name}`, '{STAMP}') as `{f.name}`"
         if isinstance(f.dataType, T.DecimalType):
-            return c.cast("double").alias(f.name)
+            return f"cast(`{f.name}` as double) as `{f.name}`"
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            return c.cast("long").alias(f.name)
-        return c
+            return f"cast(`{f.name}` as bigint) as `{f.name}`"
+        return f"`{f.name}`"
 
-    return df.select(*[one(f) for f in df.schema.fields])
+    return df.selectExpr(*[one(f) for f in df.schema.fields])
 
 
 def query(name: str, sql: str | None = None):

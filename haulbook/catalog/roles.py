@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulbook.functions.dates import yyyymm
 from haulbook.sources.tables import STATES, config_table, load_tables, state_regions
 
 # Role mapping: event types as log actions.
 ACTIONS = {"signup": "NOd", "click": "Sch", "view": "LVB", "purchase": "Cmp", "error": "Rcd"}
+# Role mapping: the day of a conversation.
+NOTE_DAY = "timestampadd(DAY, conv_id, timestamp_ntz'1996-01-01 00:00:00')"
 # Role mapping: sub-item brands and the brands they go out with.
 ROLE_PAIRS = {1: [6, 7], 2: [8], 3: [9, 10], 4: [11], 5: [12, 13]}
 
@@ -37,214 +38,169 @@ class Roles:
         self.t = _Tables(spark, path)
 
     def orders(self) -> DataFrame:
-        prio = F.substring("o_orderpriority", 1, 1)
-        status = F.when(F.col("o_orderstatus") == "F", "D").when(F.col("o_orderstatus") == "O", "R").otherwise("P")
-        return self.t["orders"].select(
-            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("patient_id"), status.alias("status"),
-            F.when(F.col("o_orderstatus") == "P", "P").otherwise("D").alias("type"), prio.alias("reason"),
-            (F.col("o_orderpriority") == "1-URGENT").alias("priority"),
-            (F.col("o_custkey") % 10).cast("int").alias("driver_id"), prio.cast("int").alias("route_number"),
-            F.col("o_custkey").alias("ordered_by"), F.col("o_custkey").alias("address_id"),
-            (F.lit(2) + (F.col("o_custkey") % 3)).cast("int").alias("dme_id"),
-            F.col("o_orderdate").alias("stamp"), F.col("o_orderdate").alias("scheduled"),
-            F.col("o_orderdate").alias("completed"), F.col("o_totalprice").alias("price"))
+        return self.t["orders"].selectExpr(
+            "o_orderkey as order_id", "o_custkey as patient_id",
+            "case o_orderstatus when 'F' then 'D' when 'O' then 'R' else 'P' end as status",
+            "if(o_orderstatus = 'P', 'P', 'D') as type", "left(o_orderpriority, 1) as reason",
+            "o_orderpriority = '1-URGENT' as priority", "cast(o_custkey % 10 as int) as driver_id",
+            "cast(left(o_orderpriority, 1) as int) as route_number", "o_custkey as ordered_by", "o_custkey as address_id",
+            "cast(2 + o_custkey % 3 as int) as dme_id", "o_orderdate as stamp", "o_orderdate as scheduled",
+            "o_orderdate as completed", "o_totalprice as price")
 
     def shipped_orders(self) -> DataFrame:
         """Orders that are due at the order date and completed with their last shipment."""
-        done = self.t["lineitem"].groupBy(F.col("l_orderkey").alias("order_id")).agg(
-            F.max("l_shipdate").alias("completed"), F.min("l_shipdate").alias("last_viewed"))
-        return (self.orders().drop("completed").withColumn("schedule_end", F.col("stamp")).join(done, "order_id", "left")
-                .withColumn("scheduled", F.when(F.col("reason") != "5", F.col("stamp")))
-                .withColumn("reconciled", F.when(F.col("status") == "D", F.col("completed")))
-                .withColumn("completion_action", F.col("route_number"))
-                .withColumn("last_viewed_by", F.concat(F.lit("u"), F.col("driver_id").cast("string")))
-                .withColumn("add_on_stop", F.col("route_number") == 3))
+        done = self.t["lineitem"].groupBy("l_orderkey").agg(F.expr("max(l_shipdate) as done"), F.expr("min(l_shipdate) as last_viewed"))
+        return (self.orders().drop("completed").join(done, F.expr("order_id = l_orderkey"), "left").drop("scheduled")
+                .selectExpr("* except (l_orderkey, done)", "done as completed", "stamp as schedule_end",
+                            "if(reason <> '5', stamp, null) as scheduled", "if(status = 'D', done, null) as reconciled",
+                            "route_number as completion_action", "concat('u', driver_id) as last_viewed_by",
+                            "route_number = 3 as add_on_stop"))
 
     def details(self) -> DataFrame:
-        back = F.col("l_returnflag") == "R"
-        return self.t["lineitem"].select(
-            F.when(~back, F.col("l_orderkey")).alias("order_id"),
-            F.when(back, F.col("l_orderkey")).alias("reference_order_id"), F.col("l_partkey").alias("product_id"),
-            F.col("l_linestatus").alias("status"), F.col("l_shipdate").alias("check_out"),
-            F.when(F.col("l_returnflag") == "A", F.col("l_shipdate") + F.make_dt_interval(F.col("l_quantity").cast("int")))
-            .alias("check_in"),
-            F.lit(None).cast("timestamp_ntz").alias("other_status"),
-            F.when(F.col("l_discount") > 0, F.col("l_discount").cast("string")).alias("serial_number"),
-            F.when(F.col("l_tax") > 0, F.col("l_tax").cast("string")).alias("o2_lot"))
+        return self.t["lineitem"].selectExpr(
+            "if(l_returnflag <> 'R', l_orderkey, null) as order_id", "if(l_returnflag = 'R', l_orderkey, null) as reference_order_id",
+            "l_partkey as product_id", "l_linestatus as status", "l_shipdate as check_out",
+            "if(l_returnflag = 'A', l_shipdate + make_dt_interval(cast(l_quantity as int)), null) as check_in",
+            "cast(null as timestamp_ntz) as other_status",
+            "if(l_discount > 0, cast(l_discount as string), null) as serial_number", "if(l_tax > 0, cast(l_tax as string), null) as o2_lot")
 
     def equipment(self) -> DataFrame:
-        small = F.col("p_type") == "SMALL"
-        brand = F.substring("p_brand", 7, 3).cast("int")
-        return self.t["part"].select(
-            F.col("p_partkey").alias("product_id"), F.col("p_partkey").alias("equipment_id"),
-            F.when(small & (F.col("p_size") <= 10), 227).when(small & (F.col("p_size") <= 20), 147).otherwise(brand)
-            .alias("item_id"),
-            (F.col("p_type") == "ECONOMY").alias("oxygen"), small.alias("disposable"),
-            F.col("p_name").alias("equipment_name"), F.col("p_size").alias("category"), F.col("p_type").alias("item_name"))
+        return self.t["part"].selectExpr(
+            "p_partkey as product_id", "p_partkey as equipment_id",
+            "case when p_type = 'SMALL' and p_size <= 10 then 227 when p_type = 'SMALL' and p_size <= 20 then 147 "
+            "else cast(substr(p_brand, 7) as int) end as item_id",
+            "p_type = 'ECONOMY' as oxygen", "p_type = 'SMALL' as disposable", "p_name as equipment_name", "p_size as category",
+            "p_type as item_name")
 
     def client_equip(self) -> DataFrame:
-        return self.t["part"].filter(F.col("p_size") == 50).select(
-            (F.col("p_partkey") % 25).cast("int").alias("client_id"), F.lit(1072).alias("site_id"),
-            F.col("p_partkey").alias("equipment_id"), F.lit(None).cast("int").alias("item_id"),
-            F.lit(None).cast("boolean").alias("oxygen"), F.lit(True).alias("disposable"))
+        return self.t["part"].filter("p_size = 50").selectExpr(
+            "cast(p_partkey % 25 as int) as client_id", "1072 as site_id", "p_partkey as equipment_id", "cast(null as int) as item_id",
+            "cast(null as boolean) as oxygen", "true as disposable")
 
     def pairs(self) -> DataFrame:
         return config_table(self.spark, [(m, s) for s, ms in ROLE_PAIRS.items() for m in ms], "main_item int, sub_item int")
 
     def item_lines(self) -> DataFrame:
-        lines = self.details().filter(F.col("order_id").isNotNull())
-        return lines.join(self.equipment().drop("equipment_id"), "product_id")
+        return self.details().filter("order_id is not null").join(self.equipment().drop("equipment_id"), "product_id")
 
     def patients(self) -> DataFrame:
-        return self.t["customer"].select(
-            F.col("c_custkey").alias("patient_id"), F.col("c_nationkey").alias("client_id"),
-            (F.lit(1000) + F.ascii("c_mktsegment")).alias("site_id"), F.col("c_custkey").alias("address_id"),
-            F.substring("c_name", 1, 8).alias("last_name"), F.substring("c_name", 10, 9).alias("first_name"),
-            F.lit(None).cast("string").alias("middle"),
-            F.when(F.col("c_acctbal") < -900, "M").otherwise("P").alias("type"),
-            F.lit(None).cast("timestamp_ntz").alias("disabled"), F.lit(None).cast("timestamp_ntz").alias("torpid"),
-            F.lit(0).alias("dup"))
-
-    def state_of(self) -> DataFrame:
-        """Nation to state: the first 24 nations take the first 24 states, the last an unknown one."""
-        st = state_regions(self.spark).select((-F.col("region_id") - 1).alias("n_nationkey"), "state")
-        return (self.t["nation"].join(st, "n_nationkey", "left")
-                .withColumn("state", F.when(F.col("n_nationkey") < 24, F.col("state")).otherwise("ZZ")))
+        return self.t["customer"].selectExpr(
+            "c_custkey as patient_id", "c_nationkey as client_id", "1000 + ascii(c_mktsegment) as site_id", "c_custkey as address_id",
+            "substr(c_name, 1, 8) as last_name", "substr(c_name, 10, 9) as first_name", "cast(null as string) as middle",
+            "if(c_acctbal < -900, 'M', 'P') as type", "cast(null as timestamp_ntz) as disabled", "cast(null as timestamp_ntz) as torpid",
+            "0 as dup")
 
     def locations(self) -> DataFrame:
-        clients = self.state_of().select(
-            F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("name"),
-            (F.lit(100) + F.col("n_regionkey")).alias("company_id"),
-            F.when(F.col("n_regionkey") != 4, F.col("n_regionkey")).alias("region_id"), "state",
-            F.lit("C").alias("type"), F.when(F.col("n_nationkey") == 7, "H").otherwise("C").alias("billing_mode"))
-        code = F.ascii("c_mktsegment")
-        sites = self.t["customer"].select("c_mktsegment").distinct().select(
-            (F.lit(1000) + code).alias("location_id"), F.col("c_mktsegment").alias("name"),
-            F.when(code < 71, 2).otherwise(3).alias("company_id"), F.lit(None).cast("int").alias("region_id"),
-            F.lit(None).cast("string").alias("state"), F.lit("S").alias("type"), F.lit("S").alias("billing_mode"))
+        """Nations as clients, with the states in order and an unknown one for the last; segments as sites."""
+        st = state_regions(self.spark).selectExpr("-region_id - 1 as n_nationkey", "state")
+        clients = self.t["nation"].join(st, "n_nationkey", "left").selectExpr(
+            "n_nationkey as location_id", "n_name as name", "100 + n_regionkey as company_id",
+            "if(n_regionkey <> 4, n_regionkey, null) as region_id", "if(n_nationkey < 24, state, 'ZZ') as state", "'C' as type",
+            "if(n_nationkey = 7, 'H', 'C') as billing_mode")
+        sites = self.t["customer"].select("c_mktsegment").distinct().selectExpr(
+            "1000 + ascii(c_mktsegment) as location_id", "c_mktsegment as name", "if(ascii(c_mktsegment) < 71, 2, 3) as company_id",
+            "cast(null as int) as region_id", "cast(null as string) as state", "'S' as type", "'S' as billing_mode")
         return clients.unionByName(sites)
 
     def companies(self) -> DataFrame:
-        firms = self.t["region"].select((F.lit(100) + F.col("r_regionkey")).alias("id"), F.col("r_name").alias("name"),
-                                        F.substring("r_name", 1, 2).alias("abbr"))
-        own = config_table(self.spark, [(2, "Own", "OW"), (3, "Network", "NE")], "id int, name string, abbr string")
-        return firms.unionByName(own)
+        firms = self.t["region"].selectExpr("100 + r_regionkey as id", "r_name as name", "left(r_name, 2) as abbr")
+        return firms.unionByName(config_table(self.spark, [(2, "Own", "OW"), (3, "Network", "NE")], "id int, name string, abbr string"))
 
     def regions(self) -> DataFrame:
-        return self.t["region"].select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+        return self.t["region"].selectExpr("r_regionkey as id", "r_name as name")
 
     def states(self) -> DataFrame:
         return state_regions(self.spark)
 
     def budgets(self) -> DataFrame:
         """Client-site pairs with the first and last month of their orders."""
-        span = (self.t["orders"].groupBy("o_custkey").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")))
-        return (span.join(self.patients(), F.col("o_custkey") == F.col("patient_id")).groupBy("client_id", "site_id")
-                .agg(yyyymm(F.min("lo")).alias("begin_yyyymm"), yyyymm(F.max("hi")).alias("end_yyyymm"))
-                .withColumn("sub_unit", F.lit(0)).withColumn("budget_id", F.col("client_id") * 10000 + F.col("site_id"))
-                .withColumn("contract_id", F.col("client_id")).withColumn("network_type", F.lit("N")))
+        span = self.t["orders"].groupBy("o_custkey").agg(F.expr("min(o_orderdate) as lo"), F.expr("max(o_orderdate) as hi"))
+        return (span.join(self.patients(), F.expr("o_custkey = patient_id")).groupBy("client_id", "site_id")
+                .agg(F.expr("min(lo) as lo"), F.expr("max(hi) as hi"))
+                .selectExpr("client_id", "site_id", "year(lo) * 100 + month(lo) as begin_yyyymm", "year(hi) * 100 + month(hi) as end_yyyymm",
+                            "0 as sub_unit", "client_id * 10000 + site_id as budget_id", "client_id as contract_id", "'N' as network_type"))
 
     def contracts(self) -> DataFrame:
-        return self.t["nation"].select(F.col("n_nationkey").alias("contract_id"),
-                                       F.when(F.col("n_regionkey") < 2, 2).otherwise(3).alias("owner_company"))
+        return self.t["nation"].selectExpr("n_nationkey as contract_id", "if(n_regionkey < 2, 2, 3) as owner_company")
 
     def users(self) -> DataFrame:
-        """Customers as users; the market segment's first letter is the user type."""
-        return self.t["customer"].select(
-            F.col("c_custkey").alias("user_id"), F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user"),
-            F.col("c_name").alias("full"), F.substring("c_name", 1, 8).alias("first"),
-            F.substring("c_name", 10, 9).alias("last"), F.lit("X").alias("middle"),
-            F.when(F.col("c_mktsegment") == "BUILDING", "D").otherwise("C").alias("type"))
+        """Customers as users; those of the BUILDING segment are of a phone type."""
+        return self.t["customer"].selectExpr(
+            "c_custkey as user_id", "concat('u', c_custkey) as user", "c_name as full", "substr(c_name, 1, 8) as first",
+            "substr(c_name, 10, 9) as last", "'X' as middle", "if(c_mktsegment = 'BUILDING', 'D', 'C') as type")
 
     def user_locations(self) -> DataFrame:
-        """Every user belongs to its client company; users of the HOUSEHOLD segment to company 2 as well."""
-        base = self.patients().select(F.col("patient_id").alias("user_id"), "client_id", "site_id")
-        firm = self.locations().select(F.col("location_id").alias("client_id"), "company_id")
-        odd = (F.col("user_id") % 2) == 1
-        a = (base.filter(odd).join(firm, "client_id")
-             .select("user_id", "company_id", F.col("client_id").alias("location_id"), F.lit("H").alias("type"), F.lit(1).alias("priority")))
-        b = (base.filter(~odd & (F.col("site_id") != 1072))
-             .select("user_id", F.lit(2).alias("company_id"), F.col("site_id").alias("location_id"), F.lit("D").alias("type"), F.lit(1).alias("priority")))
+        """Odd users belong to their client company, even ones to company 2, but for the HOUSEHOLD segment."""
+        base = self.patients().selectExpr("patient_id as user_id", "client_id", "site_id")
+        firm = self.locations().selectExpr("location_id as client_id", "company_id")
+        a = base.filter("user_id % 2 = 1").join(firm, "client_id").selectExpr(
+            "user_id", "company_id", "client_id as location_id", "'H' as type", "1 as priority")
+        b = base.filter("user_id % 2 = 0 and site_id <> 1072").selectExpr(
+            "user_id", "2 as company_id", "site_id as location_id", "'D' as type", "1 as priority")
         return a.unionByName(b)
 
     def history(self) -> DataFrame:
-        kind = F.create_map(*[x for k, v in ACTIONS.items() for x in (F.lit(k), F.lit(v))])
-        return self.t["events"].select(
-            F.col("event_id").alias("history_id"), F.col("user_id").alias("order_id"),
-            kind[F.col("event_type")].alias("action"), F.col("ts").alias("at"),
-            F.floor(F.col("value")).cast("long").alias("user_id"))
+        kind = " ".join(f"when '{k}' then '{v}'" for k, v in ACTIONS.items())
+        return self.t["events"].selectExpr("event_id as history_id", "user_id as order_id", f"case event_type {kind} end as action",
+                                           "ts as at", "cast(floor(value) as bigint) as user_id")
 
     def logged_orders(self) -> DataFrame:
         """One order per logged user: placed at its first action, scheduled with its first click."""
-        return (self.t["events"].groupBy(F.col("user_id").alias("order_id"))
-                .agg(F.min("ts").alias("stamp"), F.min(F.when(F.col("event_type") == "click", F.col("ts"))).alias("scheduled"),
-                     F.max("ts").alias("enroute"), F.count("*").alias("enroute_count"))
-                .withColumn("received", F.when(F.col("order_id") % 3 != 0, F.col("stamp")))
-                .withColumn("schedule_end", F.col("scheduled")).withColumn("completed", F.col("enroute"))
-                .withColumn("patient_id", F.col("order_id")).withColumn("ordered_by", F.col("order_id"))
-                .withColumn("status", F.when(F.col("order_id") % 2 == 0, "D").otherwise("R"))
-                .withColumn("type", F.when(F.col("order_id") % 2 == 0, "D").otherwise("P"))
-                .withColumn("reason", ((F.col("order_id") % 5) + 1).cast("string"))
-                .withColumn("priority", F.col("order_id") % 4 == 0).withColumn("add_on_stop", F.col("order_id") % 7 == 0))
+        log = self.t["events"].groupBy(F.col("user_id").alias("order_id")).agg(
+            F.expr("min(ts) as stamp"), F.expr("min(if(event_type = 'click', ts, null)) as scheduled"), F.expr("max(ts) as enroute"),
+            F.expr("count(*) as enroute_count"))
+        return log.selectExpr(
+            "*", "if(order_id % 3 <> 0, stamp, null) as received", "scheduled as schedule_end", "enroute as completed",
+            "order_id as patient_id", "order_id as ordered_by", "if(order_id % 2 = 0, 'D', 'R') as status",
+            "if(order_id % 2 = 0, 'D', 'P') as type", "cast(order_id % 5 + 1 as string) as reason", "order_id % 4 = 0 as priority",
+            "order_id % 7 = 0 as add_on_stop")
 
     def lookup(self) -> DataFrame:
         """Order reasons are the order priorities; note types are the chat roles."""
-        orc = self.t["orders"].select("o_orderpriority").distinct().select(
-            F.lit("ORC").alias("group"), F.substring("o_orderpriority", 1, 1).alias("code"), F.col("o_orderpriority").alias("name"))
-        qaft = self.t["conversations"].select("role").distinct().select(
-            F.lit("QAFT").alias("group"), F.col("role").alias("code"),
-            F.when(F.col("role") == "system", "Escalation").otherwise(F.col("role")).alias("name"))
+        orc = self.t["orders"].select("o_orderpriority").distinct().selectExpr(
+            "'ORC' as group", "left(o_orderpriority, 1) as code", "o_orderpriority as name")
+        qaft = self.t["conversations"].select("role").distinct().selectExpr(
+            "'QAFT' as group", "role as code", "if(role = 'system', 'Escalation', role) as name")
         return orc.unionByName(qaft)
 
-    # survey: each line is a survey; its return flag answers the graded questions, its line status the yes/no ones
     def survey_lines(self) -> DataFrame:
-        o, l = self.t["orders"], self.t["lineitem"]
-        return (l.select("l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber").join(
-                    o.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(self.patients().select("patient_id", "client_id", "site_id"), F.col("o_custkey") == F.col("patient_id"))
-                .withColumn("month", F.date_format("o_orderdate", "yyyy")))
+        """Each order line is a survey answer; its line number is the question."""
+        return (self.t["lineitem"].select("l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber")
+                .join(self.t["orders"].select("o_orderkey", "o_custkey", "o_orderdate"), F.expr("l_orderkey = o_orderkey"))
+                .join(self.patients().select("patient_id", "client_id", "site_id"), F.expr("o_custkey = patient_id"))
+                .withColumn("month", F.expr("date_format(o_orderdate, 'yyyy')")))
 
     def survey_results(self) -> DataFrame:
-        n = F.col("l_linenumber")
-        code = F.when(n == 7, "U").when(n == 6, "O").when(n == 5, "E").when(n == 4, "A").otherwise("C")
-        return self.survey_lines().select("client_id", "site_id", "month", F.col("l_orderkey").alias("result_id"),
-                                          code.alias("status"), F.col("o_orderdate").alias("finished"))
+        return self.survey_lines().selectExpr(
+            "client_id", "site_id", "month", "l_orderkey as result_id",
+            "case l_linenumber when 7 then 'U' when 6 then 'O' when 5 then 'E' when 4 then 'A' else 'C' end as status",
+            "o_orderdate as finished")
 
     def survey_answers(self) -> DataFrame:
-        n = F.col("l_linenumber")
-        graded = F.when(F.col("l_returnflag") == "A", "m").when(F.col("l_returnflag") == "N", "x").otherwise("f")
-        yes = F.when(F.col("l_linestatus") == "O", "y").otherwise("n")
-        quest = F.when(n <= 3, F.concat(F.lit("Q"), n.cast("string"))).otherwise(F.concat(F.lit("Q"), n.cast("string")))
-        return self.survey_lines().select("client_id", "site_id", "month", F.col("l_orderkey").alias("result_id"),
-                                          quest.alias("question"), F.when(n <= 3, yes).otherwise(graded).alias("answer"))
+        return self.survey_lines().selectExpr(
+            "client_id", "site_id", "month", "l_orderkey as result_id", "concat('Q', l_linenumber) as question",
+            "case when l_linenumber <= 3 then if(l_linestatus = 'O', 'y', 'n') "
+            "else case l_returnflag when 'A' then 'm' when 'N' then 'x' else 'f' end end as answer")
 
     def notes(self) -> DataFrame:
         """Chat turns as survey notes: conversation = survey and order, role = type, day by conversation number."""
-        return self.t["conversations"].select(
-            F.col("conv_id").alias("result_id"), F.col("role").alias("type"), F.col("text").alias("note"),
-            F.timestamp_add("DAY", F.col("conv_id"), F.lit("1996-01-01").cast("timestamp_ntz")).alias("created"))
+        return self.t["conversations"].selectExpr("conv_id as result_id", "role as type", "text as note", f"{NOTE_DAY} as created")
 
     def note_results(self) -> DataFrame:
-        return self.t["conversations"].select("conv_id").distinct().select(
-            F.col("conv_id").alias("result_id"), F.col("conv_id").alias("order_id"),
-            F.when(F.col("conv_id") % 2 == 0, "C").otherwise("X").alias("status"),
-            F.timestamp_add("DAY", F.col("conv_id"), F.lit("1996-01-01").cast("timestamp_ntz")).alias("finished"))
+        return self.t["conversations"].select("conv_id").distinct().selectExpr(
+            "conv_id as result_id", "conv_id as order_id", "if(conv_id % 2 = 0, 'C', 'X') as status", f"{NOTE_DAY} as finished")
 
     def billed(self) -> DataFrame:
-        o = self.t["orders"].select("o_orderkey", "o_custkey", yyyymm("o_orderdate").alias("yyyymm"))
-        l = self.t["lineitem"].select("l_orderkey", "l_partkey", "l_extendedprice")
-        return (l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(self.patients().select("patient_id", "client_id", "site_id"), F.col("o_custkey") == F.col("patient_id"))
-                .select("yyyymm", "client_id", "site_id", F.col("l_partkey").alias("equipment_id"),
-                        F.col("l_extendedprice").cast("decimal(19,4)").alias("total")))
+        o = self.t["orders"].selectExpr("o_orderkey", "o_custkey", "year(o_orderdate) * 100 + month(o_orderdate) as yyyymm")
+        return (self.t["lineitem"].select("l_orderkey", "l_partkey", "l_extendedprice").join(o, F.expr("l_orderkey = o_orderkey"))
+                .join(self.patients().select("patient_id", "client_id", "site_id"), F.expr("o_custkey = patient_id"))
+                .selectExpr("yyyymm", "client_id", "site_id", "l_partkey as equipment_id", "cast(l_extendedprice as decimal(19,4)) as total"))
 
     def brands(self) -> DataFrame:
-        brand = F.substring("p_brand", 7, 3).cast("int")
-        return self.t["part"].select(F.col("p_partkey").alias("equipment_id"), brand.alias("item_id"))
+        return self.t["part"].selectExpr("p_partkey as equipment_id", "cast(substr(p_brand, 7) as int) as item_id")
 
     def brand_names(self) -> DataFrame:
-        brand = F.substring("p_brand", 7, 3).cast("int")
-        return self.t["part"].select(brand.alias("item_id"), F.col("p_brand").alias("name")).distinct()
+        return self.t["part"].selectExpr("cast(substr(p_brand, 7) as int) as item_id", "p_brand as name").distinct()
 
 
 STATE_SQL = ", ".join(f"({-i}, '{s}')" for i, s in enumerate(STATES, 1))

@@ -32,7 +32,7 @@ select event_id, ts, lag(ts) over (partition by user_id order by ts, event_id) a
 def _(spark, path):
     e = previous_order(Roles(spark, path).t["events"], ["user_id"], "ts", "event_id", ["ts"]).withColumn("before", F.col("prev.ts"))
     return e.select(
-        "event_id", d.minutes_between(F.date_trunc("hour", "ts"), "ts").alias("in_hour"),
+        "event_id", d.minutes_between("date_trunc('hour', ts)", "ts").alias("in_hour"),
         d.minutes_between("before", "ts").alias("since_prev"), d.hours_between("before", "ts").alias("hours_since"))
 
 

@@ -64,7 +64,7 @@ def _(spark, path):
     t = Roles(spark, path).t
     j = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
     m = j.select(F.col("o_custkey").alias("patient_id"), (F.abs(minutes_between("o_orderdate", "l_shipdate")) % 12000).alias("m"))
-    return m.groupBy("patient_id").agg(*a.elapsed_buckets("m", F.lit(1)))
+    return m.groupBy("patient_id").agg(*a.elapsed_buckets("m"))
 
 
 @query("mean_over_months", f"""select o_custkey as id, count(*) as months, {ratio('sum(n)::bigint', 'count(*)', 6)} as mean from
@@ -169,7 +169,7 @@ def _(spark, path):
 (select event_id, case when event_type <> 'error' then date_diff('minute', date_trunc('hour', ts), ts) end as m from events)""")
 def _(spark, path):
     e = Roles(spark, path).t["events"]
-    m = F.when(F.col("event_type") != "error", minutes_between(F.date_trunc("hour", "ts"), "ts"))
+    m = F.when(F.col("event_type") != "error", minutes_between("date_trunc('hour', ts)", "ts"))
     return e.select("event_id", dispatch_band(m).alias("band"))
 
 

@@ -2,7 +2,8 @@
 
 A difference is the number of minute, hour, day or month boundaries crossed
 between two stamps: 00:00:59 to 00:01:01 is one minute. Everything works on the
-stamp's own fields, so zone-less and zoned stamps behave alike.
+stamp's own fields, so zone-less and zoned stamps behave alike. The longer ones
+take column names or SQL text and are parsed as one expression.
 """
 
 from __future__ import annotations
@@ -32,57 +33,55 @@ def as_date(c) -> Column:
     return F.to_date(as_col(c))
 
 
-def day_index(ts) -> Column:
-    """Days since 1970-01-01."""
-    return F.datediff(F.to_date(as_col(ts)), F.lit(EPOCH))
+def day_index(ts: str) -> Column:
+    """Days since 1970-01-01. Here and below ``ts``, ``a`` and ``b`` are column names or SQL text."""
+    return F.expr(_days(ts))
 
 
-def hour_index(ts) -> Column:
-    ts = as_col(ts)
-    return day_index(ts).cast("long") * 24 + F.hour(ts)
+def _days(ts: str) -> str:
+    return f"datediff(to_date({ts}), date'1970-01-01')"
 
 
-def minute_index(ts) -> Column:
-    ts = as_col(ts)
-    return hour_index(ts) * 60 + F.minute(ts)
+def _hours(ts: str) -> str:
+    return f"(cast({_days(ts)} as bigint) * 24 + hour({ts}))"
 
 
-def second_index(ts) -> Column:
-    ts = as_col(ts)
-    return minute_index(ts) * 60 + F.second(ts)
+def _minutes(ts: str) -> str:
+    return f"({_hours(ts)} * 60 + minute({ts}))"
 
 
-def month_index(ts) -> Column:
-    ts = as_col(ts)
-    return F.year(ts) * 12 + F.month(ts) - 1
+def _seconds(ts: str) -> str:
+    return f"({_minutes(ts)} * 60 + second({ts}))"
+
+
+def month_index(ts: str) -> str:
+    """SQL text: months since year 0."""
+    return f"(year({ts}) * 12 + month({ts}) - 1)"
 
 
-def days_between(a, b) -> Column:
-    return F.datediff(F.to_date(as_col(b)), F.to_date(as_col(a)))
+def days_between(a: str, b: str) -> Column:
+    return F.expr(f"datediff(to_date({b}), to_date({a}))")
 
 
-def hours_between(a, b) -> Column:
-    return hour_index(b) - hour_index(a)
+def hours_between(a: str, b: str) -> Column:
+    return F.expr(f"{_hours(b)} - {_hours(a)}")
 
 
-def minutes_between(a, b) -> Column:
-    return minute_index(b) - minute_index(a)
+def minutes_between(a: str, b: str) -> Column:
+    return F.expr(f"{_minutes(b)} - {_minutes(a)}")
 
 
-def months_between_boundaries(a, b) -> Column:
-    return month_index(b) - month_index(a)
+def months_between_boundaries(a: str, b: str) -> Column:
+    return F.expr(f"{month_index(b)} - {month_index(a)}")
 
 
-def time_span(a, b) -> Column:
+def time_span(a: str, b: str) -> Column:
     """``D HH:MM:SS`` from a to b; a leading minus when b is earlier; NULL if either is NULL."""
-    secs = second_index(b) - second_index(a)
-    size = F.abs(secs)
-    part = lambda unit, base: F.lpad((F.floor(size / unit) % base).cast("string"), 2, "0")
-    return F.concat(
-        F.when(secs < 0, "-").otherwise(""),
-        F.floor(size / 86400).cast("string"), F.lit(" "),
-        part(3600, 24), F.lit(":"), part(60, 60), F.lit(":"), part(1, 60),
-    )
+    secs = f"({_seconds(b)} - {_seconds(a)})"
+    size = f"abs({secs})"
+    two = lambda unit, base: f"lpad(cast({size} div {unit} % {base} as string), 2, '0')"
+    return F.expr(f"concat(if({secs} < 0, '-', ''), cast({size} div 86400 as string), ' ', "
+                  f"{two(3600, 24)}, ':', {two(60, 60)}, ':', {two(1, 60)})")
 
 
 def local_time(ts, zone) -> Column:

@@ -9,25 +9,24 @@ from .dates import as_col
 MONEY = "decimal(19,4)"
 
 
-def pct_of(num, den, cast: str = "decimal(9,2)", as_text: bool = False) -> Column:
-    """100 * num / den, 0 when den is 0, rounded half up to ``cast``."""
-    num, den = as_col(num).cast("decimal(20,0)"), as_col(den).cast("decimal(20,0)")
-    out = F.when(den == 0, F.lit(0).cast(cast)).otherwise((num * 100 / F.nullif(den, F.lit(0))).cast(cast))
-    return F.concat(out.cast("string"), F.lit("%")) if as_text else out
+def pct_of(num: str, den: str, cast: str = "decimal(9,2)", as_text: bool = False) -> Column:
+    """100 * num / den, 0 when den is 0, rounded half up to ``cast``. Both are column names or SQL text."""
+    n, d = (f"cast({x} as decimal(20,0))" for x in (num, den))
+    out = f"if({d} = 0, cast(0 as {cast}), cast({n} * 100 / nullif({d}, 0) as {cast}))"
+    return F.expr(f"concat(cast({out} as string), '%')" if as_text else out)
 
 
-def share_of(num, den, cast: str = "decimal(9,6)", empty=0) -> Column:
-    """num / den, ``empty`` when den is 0 (pass None for NULL)."""
-    num, den = as_col(num).cast("decimal(20,0)"), as_col(den).cast("decimal(20,0)")
-    return F.when(den == 0, F.lit(empty).cast(cast)).otherwise((num / F.nullif(den, F.lit(0))).cast(cast))
+def share_of(num: str, den: str, cast: str = "decimal(9,6)", empty: str = "0") -> Column:
+    """num / den, ``empty`` (SQL text) when den is 0."""
+    n, d = (f"cast({x} as decimal(20,0))" for x in (num, den))
+    return F.expr(f"if({d} = 0, cast({empty} as {cast}), cast({n} / nullif({d}, 0) as {cast}))")
 
 
-def money_share(num, den, digits: int = 3) -> Column:
+def money_share(num: str, den: str, digits: int = 3) -> Column:
     """num / den of two amounts rounded to ``digits``, 0 when den is 0 or missing."""
     kind = f"decimal(18,{digits})"
-    num = F.coalesce(as_col(num).cast(MONEY), F.lit(0).cast(MONEY))
-    den = F.coalesce(as_col(den).cast(MONEY), F.lit(0).cast(MONEY))
-    return F.when(den == 0, F.lit(0).cast(kind)).otherwise(F.round(num / F.nullif(den, F.lit(0)), digits).cast(kind))
+    n, d = (f"coalesce(cast({x} as decimal(19,4)), 0)" for x in (num, den))
+    return F.expr(f"if({d} = 0, cast(0 as {kind}), cast(round({n} / nullif({d}, 0), {digits}) as {kind}))")
 
 
 def positive(c) -> Column:
@@ -42,8 +41,3 @@ def yes_no(cond: Column, yes: str = "Y", no: str = "N") -> Column:
 
 def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
-
-
-def sum_if(cond: Column, value=1) -> Column:
-    value = as_col(value) if isinstance(value, (str, Column)) else F.lit(value)
-    return F.coalesce(F.sum(F.when(cond, value)), F.lit(0))

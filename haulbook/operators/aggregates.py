@@ -36,20 +36,19 @@ def flag_counts_per_key(lines: DataFrame, key: str = "order_id", groups: dict[st
                                       **{n: F.col("category").isin(v) for n, v in groups.items()}}, [key])
 
 
-def elapsed_buckets(minutes: str, weight: Column, bands: int = 7, total: Column | None = None,
+def elapsed_buckets(minutes: str, weight: str = "1", bands: int = 7, total: str = "count(*)",
                     percents: bool = True) -> list[Column]:
-    """Weighted counts per 24-hour band (first band from 0 inclusive), and their share of ``total``."""
+    """Aggregates: weighted counts per 24-hour band (the first from 0 inclusive) and their share of ``total``.
+
+    Arguments are column names or SQL text.
+    """
     out = []
-    total = F.count("*") if total is None else total
-    for k in range(bands):
-        inside = F.col(minutes) <= (k + 1) * 1440
-        if k:
-            inside = inside & (F.col(minutes) > k * 1440)
-        n = F.coalesce(F.sum(F.when(inside, weight)), F.lit(0)).cast("long")
-        hours = (k + 1) * 24
-        out.append(n.alias(f"n_{hours}h"))
+    for k in range(1, bands + 1):
+        lower = f"{minutes} > {(k - 1) * 1440} and " if k > 1 else ""
+        n = f"coalesce(sum(case when {lower}{minutes} <= {k * 1440} then {weight} end), 0)"
+        out.append(F.expr(n).cast("long").alias(f"n_{k * 24}h"))
         if percents:
-            out.append(pct_of(n, total, "decimal(9,4)").alias(f"pct_{hours}h"))
+            out.append(pct_of(n, total, "decimal(9,4)").alias(f"pct_{k * 24}h"))
     return out
 
 

@@ -38,19 +38,19 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
 
 def combine_types(df: DataFrame, type_col: str = "contract_type", scope: list[str] = (),
                   combos: dict[str, list[str]] = COMBINED_TYPES) -> DataFrame:
-    """Add copies of the rows under each combined type whose member types are all present in the scope."""
+    """Add copies of the rows under each combined type whose member types are all present in the scope.
+
+    The frame is read twice: for the types present, and for the rows.
+    """
     spark = df.sparkSession
     members = F.broadcast(spark.createDataFrame(
         [(m, c, len(ms)) for c, ms in combos.items() for m in ms], "_member string, _combo string, _need int"))
-    present = (df.groupBy(*scope, type_col).agg(F.count("*").alias("_rows"))
-               .join(members, F.col(type_col) == F.col("_member"))
-               .groupBy(*scope, "_combo").agg((F.count("*") == F.first("_need")).alias("_ok"))
-               .filter("_ok").drop("_ok"))
-    copies = df.join(members.drop("_need"), F.col(type_col) == F.col("_member"))
-    on = [*scope, "_combo"]
-    copies = (copies.join(present, on, "left_semi")
-              .withColumn(type_col, F.col("_combo")).select(*df.columns))
-    return df.unionByName(copies)
+    found = df.filter(F.col(type_col).isNotNull()).select(*scope, type_col).distinct()
+    complete = (found.join(members, F.col(type_col) == F.col("_member"))
+                .groupBy(*scope, "_combo", "_need").agg(F.count("*").alias("_n")).filter("_n = _need"))
+    copies = (complete.select(*scope, "_combo").join(members.select("_member", "_combo"), "_combo")
+              .withColumnRenamed("_member", type_col))
+    return df.unionByName(df.join(copies, [*scope, type_col]).withColumn(type_col, F.col("_combo")).select(*df.columns))
 
 
 def type_label(c: str) -> Column:
@@ -73,22 +73,20 @@ def pad_to_n(df: DataFrame, keys: list[str], n: int, label: str, fill: dict[str,
 def months_to_columns(df: DataFrame, keys: list[str], month: str, start, n: int,
                       total: str = "total", group_total: str = "group_total") -> DataFrame:
     """Months side by side: mK_label, mK_total, mK_group, mK_share for the n months from ``start``."""
-    k = month_index(month) - month_index(F.lit(start))
-    aggs = []
-    for i in range(n):
-        at = k == i
-        t = F.coalesce(F.sum(F.when(at, F.col(total))), F.lit(0).cast("decimal(38,4)"))
-        g = F.coalesce(F.sum(F.when(at, F.col(group_total))), F.lit(0).cast("decimal(38,4)"))
-        aggs += [F.date_format(F.add_months(F.lit(start).cast("date"), i), "yyyy-MM").alias(f"m{i+1}_label"),
-                 t.alias(f"m{i+1}_total"), g.alias(f"m{i+1}_group")]
-    wide = df.groupBy(*keys).agg(*aggs)
+    first = f"date'{start}'"
+    k = f"{month_index(month)} - {month_index(first)}"
+    aggs, shares = [], []
     for i in range(n):
-        wide = wide.withColumn(f"m{i+1}_share", money_share(f"m{i+1}_total", f"m{i+1}_group"))
-    return wide
+        m = f"m{i + 1}"
+        aggs.append(F.expr(f"date_format(add_months({first}, {i}), 'yyyy-MM') as {m}_label"))
+        for src, name in ((total, "total"), (group_total, "group")):
+            aggs.append(F.expr(f"cast(coalesce(sum(case when {k} = {i} then {src} end), 0) as decimal(38,4)) as {m}_{name}"))
+        shares.append(money_share(f"{m}_total", f"{m}_group").alias(f"{m}_share"))
+    return df.groupBy(*keys).agg(*aggs).select("*", *shares)
 
 
 def total_across_months(df: DataFrame, n: int, name: str = "months_total") -> DataFrame:
-    return df.withColumn(name, reduce(lambda a, b: a + b, [F.col(f"m{i+1}_total") for i in range(n)]))
+    return df.withColumn(name, F.expr(" + ".join(f"m{i + 1}_total" for i in range(n))))
 
 
 def densify(rows: DataFrame, left: DataFrame, right: DataFrame, on: list[str], keys: list[str],
@@ -108,7 +106,7 @@ def hierarchy_rollup(leaf: DataFrame, counts: list[str], keys: list[str], region
     Counts add up. Shares are recomputed at levels 20 and 10; the leaf keeps the
     shares it came with. ``keys`` (client, month, …) stay apart at every level.
     """
-    sums = [F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in counts]
+    sums = [F.expr(f"sum(coalesce({c}, 0)) as {c}") for c in counts]
     names = [c for c in leaf.columns if c not in (*counts, *keys, *region, *shares)]
     regional = leaf.groupBy(*keys, *region).agg(*sums)
     whole = regional.groupBy(*keys).agg(*sums)
@@ -134,7 +132,7 @@ def subregion_rollup(rolled: DataFrame, counts: list[str], keys: list[str], shar
     sub = (F.col("level") == 20) & head.isin(prefixes)
     lowered = rolled.withColumn("level", F.when(sub, 30).otherwise(F.col("level")))
     parents = (rolled.filter(sub).groupBy(*keys, head.alias("_head"))
-               .agg((F.min(region_id) * -100000).alias(region_id), *[F.sum(c).alias(c) for c in counts])
+               .agg((F.min(region_id) * -100000).alias(region_id), *[F.expr(f"sum({c}) as {c}") for c in counts])
                .withColumn(region_name, F.col("_head")))
     fill = [c for c in rolled.columns if c not in ("level", *keys, region_id, region_name, *counts, *shares)]
     parents = parents.select(
@@ -157,15 +155,13 @@ def questions_to_rows(df: DataFrame, keep: list[str], null_when_empty: bool = Fa
     Yes/no questions have no exceed share and fail = 1 - meet, also with no answers
     at all unless ``null_when_empty``.
     """
-    num = lambda c: c.cast("decimal(9,6)")
     rows = []
     for q, label in YES_NO_QUESTIONS.items():
-        share = F.col(f"p{q}")
-        if null_when_empty:
-            share = F.when(F.col(f"x{q}") > 0, share)
-        rows.append((label, share, 1 - share, F.lit(None)))
+        share = f"if(x{q} > 0, p{q}, null)" if null_when_empty else f"p{q}"
+        rows.append((label, share, f"1 - {share}", "null"))
     for q, label in GRADED_QUESTIONS.items():
-        rows.append((label, F.col(f"p{q}m"), F.col(f"p{q}f"), F.col(f"p{q}x")))
-    structs = [F.struct(F.lit(l).alias("question"), num(m).alias("meet"), num(f).alias("fail"), num(x).alias("exceed"))
-               for l, m, f, x in rows]
-    return df.select(*keep, F.explode(F.array(*structs)).alias("_q")).select(*keep, "_q.*")
+        rows.append((label, f"p{q}m", f"p{q}f", f"p{q}x"))
+    num = lambda text: f"cast({text} as decimal(9,6))"
+    structs = ", ".join(f"struct('{label}' as question, {num(m)} as meet, {num(f)} as fail, {num(x)} as exceed)"
+                        for label, m, f, x in rows)
+    return df.select(*keep, F.expr(f"explode(array({structs})) as _q")).select(*keep, "_q.*")

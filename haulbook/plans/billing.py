@@ -8,11 +8,11 @@ from haulbook.functions.dates import yyyymm_to_date
 from haulbook.functions.numbers import MONEY
 from haulbook.functions.text import label_with_id
 from haulbook.functions.windows import OPEN_END
-from haulbook.operators.aggregates import net_nonzero_totals
 from haulbook.operators.ranking import share_of_group, top_n_per_group
 from haulbook.operators.reshape import (
     combine_types, densify, months_to_columns, pad_to_n, total_across_months, type_label,
 )
+from haulbook.sources.sinks import staged
 
 OWN_COMPANY = 2
 NATIONAL = "National: All Regions"
@@ -78,24 +78,28 @@ def billable_items(billed: DataFrame, equipment: DataFrame, pairs: DataFrame) ->
     net = (items.groupBy(*key, "item_id").agg(F.sum("total").cast(MONEY).alias("total"), F.sum("_n").alias("records"))
            .filter(F.col("total") != 0))
     typed = net.join(pairs.select(*key, "contract_type", "region_id", "region_name"), key, "left")
-    return combine_types(typed)
+    return combine_types(staged(typed))
 
 
-def monthly_shares(items: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """Per month the chosen items' totals and their group's total over all items."""
-    per_item = items.groupBy(*keys, "yyyymm", "item_id").agg(F.sum("total").alias("total"))
-    group = per_item.groupBy(*keys, "yyyymm").agg(F.sum("total").alias("group_total"))
-    picked = per_item.join(chosen.select(*[k for k in [*keys, "item_id"] if k in chosen.columns]).distinct(),
-                           [k for k in [*keys, "item_id"] if k in chosen.columns], "left_semi")
-    return picked.join(group, [*keys, "yyyymm"])
+CELL = ["contract_type", "region_id", "region_name", "yyyymm", "item_id"]
 
 
-def top_lists(items: DataFrame, n: int = 5, region: bool = False) -> DataFrame:
-    """Top items per contract type, or per region and type, with their share of the group's total."""
-    keys = ["region_id", "region_name", "contract_type"] if region else ["contract_type"]
-    known = items.filter(F.col("contract_type").isNotNull())
-    totals = known.groupBy(*keys, "item_id").agg(F.sum("total").alias("total"))
-    return top_n_per_group(share_of_group(totals, keys, "total"), keys, n, "total", ["item_id"])
+def monthly_cells(items: DataFrame) -> DataFrame:
+    """Totals per type, region, month and item: all that the top lists need, computed once."""
+    known = items.filter(F.col("contract_type").isNotNull() & F.col("region_id").isNotNull())
+    return staged(known.groupBy(*CELL).agg(F.sum("total").cast("decimal(28,4)").alias("total")))
+
+
+def top_lists(cells: DataFrame, n: int = 5, keys: list[str] = ("contract_type",)) -> DataFrame:
+    """Top items per contract type (or per region and type) with their share of the group's total."""
+    totals = cells.groupBy(*keys, "item_id").agg(F.sum("total").alias("total"))
+    return top_n_per_group(share_of_group(totals, list(keys), "total"), list(keys), n, "total", ["item_id"])
+
+
+def monthly_shares(cells: DataFrame, chosen: DataFrame, on: list[str]) -> DataFrame:
+    """Cells of the chosen items with the month's total over all items of the region and type."""
+    group = cells.groupBy(*CELL[:-1]).agg(F.sum("total").alias("group_total"))
+    return cells.join(chosen.select(*on), on, "left_semi").join(group, CELL[:-1])
 
 
 def _wide(shares: DataFrame, keys: list[str], start, n_months: int) -> DataFrame:
@@ -111,29 +115,29 @@ def top_items(items: DataFrame, names: DataFrame, start, *, n: int = 5, n_months
     billed the item. ``by_region``: the national list in every region, 0 where a region
     billed none. ``regional``: each region's own list, padded to n rows.
     """
-    known = items.filter(F.col("contract_type").isNotNull() & F.col("region_id").isNotNull())
+    cells = monthly_cells(items)
     label = names.select("item_id", F.trim("name").alias("item_name"))
-    months = [f"m{i+1}_{x}" for i in range(n_months) for x in ("total", "share")]
-    region_keys = ["contract_type", "region_id", "region_name"]
+    months = [f"m{i + 1}_{x}" for i in range(n_months) for x in ("total", "share")]
+    region_keys = CELL[:3]
+    contract = type_label("contract_type").alias("contract")
     if scope == "regional":
-        chosen = top_lists(known, n, region=True)
-        wide = _wide(monthly_shares(known, chosen, region_keys), [*region_keys, "item_id"], start, n_months)
-        named = wide.join(label, "item_id").select(*region_keys, "item_id", "item_name", "months_total", *months)
+        chosen = top_lists(cells, n, region_keys)
+        on = [*region_keys, "item_id"]
+        wide = _wide(monthly_shares(cells, chosen, on), on, start, n_months)
+        named = wide.join(label, "item_id").select(*on, "item_name", "months_total", *months)
         zero = {c: F.lit(0).cast(named.schema[c].dataType) for c in ("item_id", "months_total", *months)}
-        out = pad_to_n(named, region_keys, n, "item_name", zero)
-        return out.withColumn("contract", type_label("contract_type"))
-    national = top_lists(known, n)
-    regional = monthly_shares(known, national.select("contract_type", "item_id"), region_keys)
+        return pad_to_n(named, region_keys, n, "item_name", zero).select("*", contract)
+    national = top_lists(cells, n)
+    regional = monthly_shares(cells, national, ["contract_type", "item_id"])
     if scope == "by_region":
         wide = _wide(regional, [*region_keys, "item_id"], start, n_months)
-        grid_items = national.join(label, "item_id").select("contract_type", "item_id", "item_name")
-        grid_regions = known.select(*region_keys).distinct()
         shown = [c for c in months if c.endswith("share")]
-        out = densify(wide, grid_items, grid_regions, ["contract_type"], [*region_keys, "item_id"], shown)
-        return out.withColumn("contract", type_label("contract_type"))
+        out = densify(wide, national.join(label, "item_id").select("contract_type", "item_id", "item_name"),
+                      cells.select(*region_keys).distinct(), ["contract_type"], [*region_keys, "item_id"], shown)
+        return out.select("*", contract)
     if scope != "national":
         raise ValueError("scope is 'national', 'by_region' or 'regional'")
     wide = _wide(regional, ["contract_type", "item_id"], start, n_months)
     return (wide.join(label, "item_id").withColumn("region_name", F.lit(NATIONAL))
-            .select("contract_type", type_label("contract_type").alias("contract"), "region_name", "item_id", "item_name",
+            .select("contract_type", contract, "region_name", "item_id", "item_name",
                     label_with_id("item_name", "item_id").alias("item"), "months_total", *months))

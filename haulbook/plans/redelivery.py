@@ -176,7 +176,7 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
         raise ValueError("ties is 'strict' or 'lowest_id'")
     for c in ("order_id", "driver_id", "route_number", "completed"):
         linked = linked.withColumn(f"pre_{c}", F.col(f"pre.{c}"))
-    minutes = minutes_between(F.coalesce("pre_completed", "completed"), "completed")
+    minutes = minutes_between("coalesce(pre_completed, completed)", "completed")
     same_run = (F.col("driver_id") == F.col("pre_driver_id")) & (F.col("route_number") == F.col("pre_route_number"))
     linked = linked.withColumn("minutes", minutes).drop("pre")
     linked = linked.withColumn("note", F.coalesce(
@@ -247,7 +247,7 @@ def _out_and_back(df: DataFrame, out_day: Column, back_day: Column, *cols) -> Da
     return both.select(*cols, step.alias("_s")).select(*cols, "_s.day", "_s.weight").filter(F.col("day") < FAR_DAY)
 
 
-def _first_midnight(ts: Column) -> Column:
+def _first_midnight(ts: str) -> Column:
     """The first day whose midnight is not before the stamp."""
     return day_index(ts) + F.when(F.date_trunc("day", ts) == ts, 0).otherwise(1)
 
@@ -255,19 +255,16 @@ def _first_midnight(ts: Column) -> Column:
 DAY_BITS = 17  # day numbers up to the year 2328
 
 
-def _day_cover(day: Column) -> Column:
+def _day_cover(day: str) -> Column:
     """The spans of power-of-two length, as (bits, number), that a day belongs to and that a prefix can use."""
-    spans = F.transform(F.sequence(F.lit(0), F.lit(DAY_BITS)),
-                        lambda b: F.struct(b.alias("bits"), F.call_function("shiftright", day, b).alias("number")))
-    return F.filter(spans, lambda s: s["number"] % 2 == 0)
+    return F.expr(f"filter(transform(sequence(0, {DAY_BITS}), b -> struct(b as bits, shiftright({day}, b) as number)), "
+                  "s -> s.number % 2 = 0)")
 
 
-def _prefix_cover(day: Column) -> Column:
+def _prefix_cover(day: str) -> Column:
     """The few spans that together are all days up to and including ``day``."""
-    spans = F.transform(F.sequence(F.lit(0), F.lit(DAY_BITS)),
-                        lambda b: F.struct(b.alias("bits"), F.call_function("shiftright", day + 1, b).alias("number")))
-    odd = F.filter(spans, lambda s: s["number"] % 2 == 1)
-    return F.transform(odd, lambda s: F.struct(s["bits"].alias("bits"), (s["number"] - 1).alias("number")))
+    return F.expr(f"transform(filter(sequence(0, {DAY_BITS}), b -> shiftright({day} + 1, b) % 2 = 1), "
+                  f"b -> struct(b as bits, shiftright({day} + 1, b) - 1 as number))")
 
 
 def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -291,15 +288,14 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
                      F.col("item_id").alias("sub_item"), day_index("check_out").alias("day"))
             .agg(F.count("*").alias("lines")).filter(F.col("day").isNotNull()))
 
-    returned = F.coalesce("check_in", "other_status")
-    back_day = F.coalesce(day_index(returned) + 1, F.lit(FAR_DAY))
+    back_day = F.coalesce(day_index("coalesce(check_in, other_status)") + 1, F.lit(FAR_DAY))
     mains = (item_lines.join(F.broadcast(pairs.select("sub_item", F.col("main_item").alias("item_id")).distinct()), "item_id")
              .filter(F.col("check_out").isNotNull()))
     people = subs.select("patient_id").distinct()
     placed = (orders.filter(F.col("completed").isNotNull()).join(people, "patient_id", "left_semi")
               .select("order_id", "patient_id", day_index("completed").alias("stop_day"), "driver_id", "route_number"))
     mains = (mains.groupBy("order_id", "sub_item", day_index("check_out").alias("out_day"),
-                           _first_midnight(F.col("check_out")).alias("out_from"), back_day.alias("back"))
+                           _first_midnight("check_out").alias("out_from"), back_day.alias("back"))
              .agg(F.count("*").alias("n")).join(placed, "order_id"))
 
     stop = ["patient_id", "stop_day", "driver_id", "route_number", "sub_item"]
@@ -310,10 +306,10 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
     stop_prior = _counts_at(_out_and_back(on_stop, F.col("out_from"), F.col("back"), *stop), subs, stop, "stop_prior")
 
     span = ["patient_id", "sub_item", "bits", "number"]
-    spread = (mains.withColumn("_s", F.explode(_day_cover(F.col("stop_day"))))
+    spread = (mains.withColumn("_s", F.explode(_day_cover("stop_day")))
               .select("patient_id", "sub_item", "_s.bits", "_s.number", "out_from", "back", "n"))
     asked = (subs.select("patient_id", "sub_item", "stop_day", "day").distinct()
-             .withColumn("_s", F.explode(_prefix_cover(F.col("stop_day"))))
+             .withColumn("_s", F.explode(_prefix_cover("stop_day")))
              .select("patient_id", "sub_item", "stop_day", "day", "_s.bits", "_s.number"))
     part = _counts_at(_out_and_back(spread, F.col("out_from"), F.col("back"), *span), asked, span, "_part")
     so_far = (asked.join(part, [*span, "day"]).groupBy("patient_id", "sub_item", "stop_day", "day")
@@ -350,7 +346,7 @@ def redelivery_summary(labelled: DataFrame, pairs_marked: DataFrame | None, pati
     per_pair = labelled.filter("in_period").groupBy("window_start", "client_id", "site_id").agg(
         F.count("*").alias("orders"), F.sum("redelivery").alias("redeliveries"),
         F.sum(F.coalesce("missed_pair", F.lit(0))).alias("missed_pairs"),
-        *elapsed_buckets("minutes", F.col("redelivery"), bands, percents=False))
+        *elapsed_buckets("minutes", "redelivery", bands, percents=False))
     site = (locations.select(F.col("location_id").alias("site_id"), F.col("name").alias("_site"), F.col("company_id"))
             .join(companies.select(F.col("id").alias("company_id"), F.col("name").alias("_firm")), "company_id"))
     client = (locations.join(F.broadcast(states.select("state").distinct()), "state", "left_semi")

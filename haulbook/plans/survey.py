@@ -60,15 +60,17 @@ def survey_counts(results: DataFrame, answers: DataFrame, keys: list[str]) -> Da
     ``results`` has the keys, result_id and status; ``answers`` has the keys,
     result_id, question and answer (y/n, or m/x/f).
     """
+    codes = ", ".join(f"'{c}'" for c in RESULT_CODES.values())
+    count = lambda cond, name: F.expr(f"count(case when {cond} then 1 end) as {name}")
     by_status = results.groupBy(*keys).agg(
-        count_if(F.col("status").isin(list(RESULT_CODES.values()))).alias("total"),
-        *[count_if(F.col("status") == code).alias(name) for name, code in RESULT_CODES.items()],
-        count_if(F.col("status") == RESULT_CODES["done"]).alias("usable"))
+        count(f"status in ({codes})", "total"),
+        *[count(f"status = '{code}'", name) for name, code in RESULT_CODES.items()],
+        count(f"status = '{RESULT_CODES['done']}'", "usable"))
 
     def answered(q: str, letters: str) -> list[Column]:
-        mine = F.col("question") == q
-        return [count_if(mine & F.col("answer").isin(list(letters))).alias(f"x{q}"),
-                *[count_if(mine & (F.col("answer") == a)).alias(f"n{q}{a}") for a in letters]]
+        anything = ", ".join(f"'{a}'" for a in letters)
+        return [count(f"question = '{q}' and answer in ({anything})", f"x{q}"),
+                *[count(f"question = '{q}' and answer = '{a}'", f"n{q}{a}") for a in letters]]
 
     by_answer = answers.groupBy(*keys).agg(*[c for q in YES_NO for c in answered(q, "yn")],
                                            *[c for q in GRADED for c in answered(q, "mxf")])

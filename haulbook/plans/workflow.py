@@ -57,10 +57,10 @@ def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, l
     log = history.join(base.select("order_id"), "order_id", "left_semi")
     marks = view_milestones(log, hot_rows).select("order_id", "scheduled_by", "first_view", "views_before", "last_view")
     people = first_per_key(log, {"viewed": same_code("action", VIEWED), "completed_log": same_code("action", COMPLETED)})
-    received = F.coalesce("received", "stamp")
+    received = "coalesce(received, stamp)"
     view_from, sched_from, span_from = {
-        "received": (F.col("received"), F.col("received"), F.col("received")),
-        "stamp": (F.col("stamp"), received, received),
+        "received": ("received", "received", "received"),
+        "stamp": ("stamp", received, received),
     }[clock]
     view_minutes = minutes_between(view_from, "first_view")
     sched_minutes = minutes_between(sched_from, "scheduled")

@@ -16,6 +16,15 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/haulbook-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For an aggregate that several branches of a plan need: it is computed once, its
+    size is known to the planner, and a lost executor costs no recomputation.
+    """
+    return df.sparkSession.read.parquet(write_report(df, shared_dir(df.sparkSession)))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of the report schema in order and type."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
