@@ -20,27 +20,32 @@ def _last(cond: Column) -> Column:
     return F.max(F.when(cond, F.col("history_id")))
 
 
-def milestone_ids(history: DataFrame) -> DataFrame:
-    """Per order the last id of new, of new-or-received, of scheduled and of en-route, with the acting users."""
+def milestone_columns() -> list[Column]:
+    """Aggregates: the last id of new, of new-or-received, of scheduled and of en-route, with the acting users."""
     def user_of(cond: Column) -> Column:
         return F.max_by("user_id", F.when(cond, F.col("history_id")))
 
     sch, enr = same_code("action", SCHEDULED), same_code("action", ENROUTE)
-    return history.groupBy("order_id").agg(
+    return [
         _last(same_code("action", NEW)).alias("new_id"),
         _last(code_in("action", [NEW, RECEIVED])).alias("received_id"),
         _last(sch).alias("scheduled_id"), user_of(sch).alias("scheduled_by"),
         _last(enr).alias("enroute_id"), user_of(enr).alias("enroute_by"),
-    )
+    ]
 
 
-def view_milestones(history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def milestone_ids(history: DataFrame) -> DataFrame:
+    return history.groupBy("order_id").agg(*milestone_columns())
+
+
+def view_milestones(history: DataFrame, hot_rows: int = HOT_ROWS, extra: list[Column] = ()) -> DataFrame:
     """Milestones plus the view counts and times that depend on them.
 
     views_before: views up to the scheduling; first_view*: first view from the
-    receipt on; last_view*: last view up to the scheduling.
+    receipt on; last_view*: last view up to the scheduling. ``extra`` aggregates join
+    the same pass over the log.
     """
-    marks = milestone_ids(history)
+    marks = history.groupBy("order_id").agg(*milestone_columns(), *extra)
     views = (history.filter(same_code("action", VIEWED))
              .select("order_id", "history_id", "at"))
     joined = salted_join(views, marks.select("order_id", "received_id", "scheduled_id"), ["order_id"],
@@ -75,12 +80,14 @@ def first_by(cond: Column, value: str) -> Column:
     return F.min_by(value, F.when(cond & F.col("at").isNotNull(), F.struct("at", "history_id")))
 
 
+def first_columns(actions: dict[str, Column], value: str = "user_id") -> list[Column]:
+    """Aggregates: ``<name>_at`` and ``<name>_by`` of the earliest action that meets each named condition."""
+    return [first_by(cond, src).alias(f"{name}_{end}") for name, cond in actions.items()
+            for end, src in (("at", "at"), ("by", value))]
+
+
 def first_per_key(history: DataFrame, actions: dict[str, Column], value: str = "user_id") -> DataFrame:
-    """Per order and named condition: ``<name>_at`` and ``<name>_by`` of the earliest matching action."""
-    aggs = []
-    for name, cond in actions.items():
-        aggs += [first_by(cond, "at").alias(f"{name}_at"), first_by(cond, value).alias(f"{name}_by")]
-    return history.groupBy("order_id").agg(*aggs)
+    return history.groupBy("order_id").agg(*first_columns(actions, value))
 
 
 def min_created(annotations: DataFrame, inventory_orders: DataFrame,

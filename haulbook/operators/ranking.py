@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulbook.functions.numbers import money_share
 
-from .skew import HOT_ROWS, ID_BLOCK, look_back
+from .skew import HOT_ROWS, ID_BLOCK, find_hot, look_back
 
 
 def sequence_rows(df: DataFrame, keys: list[str], order: list, name: str = "seqno") -> DataFrame:
@@ -30,11 +30,12 @@ def previous_valid_order(df: DataFrame, keys: list[str], ts: str, id_col: str, v
     """The last valid order before each one, and how many invalid ones lie between (``skipped``)."""
     levels = time_levels(ts, id_col)
     order = [ts, id_col]
+    hot = find_hot(df, keys, hot_rows)
     base = df.withColumn("_bad", F.when(valid, 0).otherwise(1)).withColumn("_none", F.lit(None).cast("int"))
-    counted = look_back(base, keys, order, "_none", levels=levels, weight="_bad", hot_rows=hot_rows)
+    counted = look_back(base, keys, order, "_none", levels=levels, weight="_bad", hot=hot)
     counted = (counted.withColumnRenamed("rows_before", "_bad_before").drop("found", "_none")
                .withColumn("_v", F.when(valid, F.struct(*payload, F.col("_bad_before").alias("_bb")))))
-    found = look_back(counted, keys, order, "_v", levels=levels, hot_rows=hot_rows)
+    found = look_back(counted, keys, order, "_v", levels=levels, hot=hot)
     return (found.withColumn("skipped", F.col("_bad_before") - F.coalesce(F.col("found._bb"), F.lit(0)))
             .withColumn(out, F.when(F.col("found").isNotNull(), F.struct(*[F.col(f"found.{p}").alias(p) for p in payload])))
             .drop("_bad", "_bad_before", "_v", "found", "rows_before"))

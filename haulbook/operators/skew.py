@@ -13,10 +13,15 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
 
 
-def _any_hot(hot: DataFrame) -> DataFrame | None:
-    """The hot keys as a small literal frame, or None when there are none."""
+def find_hot(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame | None:
+    """The hot keys as a small literal frame, or None when there are none.
+
+    This runs a count over the key columns alone. It only steers where rows go;
+    results do not depend on it.
+    """
+    hot = hot_keys(df.select(*keys), keys, limit)
     rows = hot.collect()
-    return hot.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -27,7 +32,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     The salt is a hash of the row, so a task that runs again sends it to the same
     place. Without hot keys this is the plain join.
     """
-    hot = _any_hot(hot_keys(big.select(*on), on, hot_rows))
+    hot = find_hot(big, on, hot_rows)
     if hot is None:
         return big.join(small, on, how)
     salts = hot.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
@@ -62,17 +67,16 @@ def _prefix(df: DataFrame, keys, levels, order, weight, value, hot) -> DataFrame
 
 def look_back(df: DataFrame, keys: list[str], order: list[str], value: str, *,
               levels: dict[str, Column] | None = None, weight: str | None = None,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+              hot: DataFrame | None = None) -> DataFrame:
     """For each row: ``rows_before`` it within its key, and ``found``, the last non-NULL ``value`` before it.
 
-    ``levels`` names columns, coarse to fine, that follow the ordering (a time
-    bucket, then the stamp and an id block). Rows of hot keys are windowed per
-    bucket and the buckets' own totals carry the state across, so no task sees a
+    ``hot`` lists the keys with very many rows (``find_hot``). ``levels`` names columns,
+    coarse to fine, that follow the ordering (a time bucket, then the stamp and an id
+    block). Rows of hot keys are windowed per bucket and the buckets' own totals carry the state across, so no task sees a
     whole hot key. Keys without many rows take one plain window.
     """
     base = df.withColumn("_w1", F.lit(1) if weight is None else F.col(weight).cast("int"))
-    hot = _any_hot(hot_keys(df.select(*keys), keys, hot_rows)) if levels else None
-    if hot is None:
+    if hot is None or not levels:
         out = _prefix(base, keys, [], order, "_w1", value, None)
         names: list[str] = []
     else:

@@ -12,7 +12,8 @@ from haulbook.operators.aggregates import elapsed_buckets, item_list, keep_first
 from haulbook.operators.lookups import override_flags
 from haulbook.operators.ranking import previous_valid_order, time_levels
 from haulbook.operators.reshape import union_distinct
-from haulbook.operators.skew import HOT_ROWS, look_back
+from haulbook.operators.skew import HOT_ROWS, find_hot, look_back
+from haulbook.sources.sinks import staged
 
 # Items and equipment that are counted apart, and the fee product.
 OXYGEN_ITEMS = [147, 794]
@@ -139,7 +140,7 @@ def _lowest_id_predecessors(df: DataFrame, keys: list[str], hot_rows: int) -> Da
     stop = F.struct(pick.alias("pick"), F.lit(True).alias("stop"))
     groups = lows.withColumn("_value", F.when(g2.isNotNull() | g1["ok"], stop)).withColumn("_gid", F.col("_g1.order_id"))
     levels = {k: v for k, v in time_levels("completed", "_gid").items() if k == "_hour"}
-    groups = (look_back(groups, keys, ["completed"], "_value", levels=levels, hot_rows=hot_rows)
+    groups = (look_back(groups, keys, ["completed"], "_value", levels=levels, hot=find_hot(df, keys, hot_rows))
               .select(*at, "_g1", "_g2", F.col("found").alias("_earlier")))
     own = F.col("order_id")
     tied = g2.isNotNull()
@@ -161,13 +162,14 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
 
     The predecessor is the last valid order of the patient before it. ``ties`` says how
     orders completed at the same instant are ordered: ``strict`` by id, or ``lowest_id``,
-    where each points at the lowest other id of its instant. One row per window and
+    where each points at the lowest other id of its instant and several orders may share
+    a predecessor, of which all but the lowest id become ``2xPost``. One row per window and
     order, the look-back days before the window included (``in_period`` tells).
     """
     raw = raw_orders(orders, patients, budgets, kind=kind, days=days, first=first, last=last)
     contents = order_contents(raw, details, equipment_lines, client_equip, sub_items)
     keys = ["window_start", "patient_id"]
-    base = raw.join(contents, "order_id").withColumn("note", exclusion_note())
+    base = staged(raw.join(contents, "order_id").withColumn("note", exclusion_note()))
     if ties == "strict":
         linked = _strict_predecessors(base, keys, hot_rows).withColumn("no_valid", F.lit(False))
     elif ties == "lowest_id":
@@ -186,8 +188,11 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
         .when(F.col("minutes") > days * 1440, "GT>Days")
         .when((F.col("minutes") == 0) & same_run, "SameStop")
         .when((F.col("minutes") < 1440) & same_run & (days_between("pre_completed", "completed") == 0), "SameRoute")))
-    group = F.when(F.col("note").isNull(), F.col("pre_order_id"))
-    linked = keep_first_of_group(linked.withColumn("_pre", group), ["window_start", "_pre"], "order_id", "_keep")
+    if ties == "strict":  # two candidates never share a predecessor: the later one follows the earlier
+        linked = linked.withColumn("_keep", F.lit(1)).withColumn("_pre", F.lit(None))
+    else:
+        group = F.when(F.col("note").isNull(), F.col("pre_order_id"))
+        linked = keep_first_of_group(linked.withColumn("_pre", group), ["window_start", "_pre"], "order_id", "_keep")
     note = F.coalesce("note", F.when(F.col("_keep") == 0, "2xPost").otherwise(REDELIVERED))
     in_period = period_start(kind, F.col("completed")) == F.col("window_start")
     return (linked.withColumn("note", note)
@@ -195,7 +200,7 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
             .withColumn("in_period", in_period).drop("_pre", "_keep", "no_valid"))
 
 
-def skipped_orders(labelled: DataFrame, width: int = 255, block: int = 4096) -> DataFrame:
+def skipped_orders(labelled: DataFrame, width: int = 255, block: int = 4096, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The ids and notes an order skipped on the way to its predecessor, nearest first, each cut at ``width``.
 
     An id with its comma takes 3 characters or more, so a frame of width / 3 + 1 rows
@@ -205,7 +210,7 @@ def skipped_orders(labelled: DataFrame, width: int = 255, block: int = 4096) ->
     frame = width // 3 + 1
     keys = ["window_start", "patient_id"]
     num = look_back(labelled.withColumn("_none", F.lit(None).cast("int")), keys, ["completed", "order_id"], "_none",
-                    levels=time_levels("completed", "order_id")).drop("found", "_none")
+                    levels=time_levels("completed", "order_id"), hot=find_hot(labelled, keys, hot_rows)).drop("found", "_none")
     home = F.expr(f"rows_before div {block}")
     spill = F.when(F.col("rows_before") % block >= block - frame, F.array(home, home + 1)).otherwise(F.array(home))
     spread = (num.withColumn("_home", home).withColumn("_block", F.explode(spill))
@@ -249,7 +254,7 @@ def _out_and_back(df: DataFrame, out_day: Column, back_day: Column, *cols) -> Da
 
 def _first_midnight(ts: str) -> Column:
     """The first day whose midnight is not before the stamp."""
-    return day_index(ts) + F.when(F.date_trunc("day", ts) == ts, 0).otherwise(1)
+    return day_index(ts) + F.expr(f"if(cast(to_date({ts}) as timestamp_ntz) = {ts}, 0, 1)")
 
 
 DAY_BITS = 17  # day numbers up to the year 2328

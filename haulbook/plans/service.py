@@ -8,7 +8,9 @@ from haulbook.functions.dates import as_col, local_time, minutes_between, us_dat
 from haulbook.functions.numbers import yes_no
 from haulbook.functions.text import driver_label, person_name, strip_breaks, strip_quotes
 from haulbook.functions.windows import in_window
-from haulbook.operators.aggregates import CATEGORY_GROUPS, concat_notes, flag_counts_per_key, latest_per_key
+from haulbook.operators.aggregates import (
+    CATEGORY_GROUPS, company_summary, concat_notes, flag_counts_per_key, latest_per_key, site_summary,
+)
 from haulbook.operators.filters import optional_filter, search_orders, status_group
 from haulbook.operators.lookups import dedupe_lookup, join_code
 from haulbook.operators.ranking import dynamic_sort, padded_id

@@ -10,10 +10,12 @@ from haulbook.functions.text import person_name, same_code
 from haulbook.functions.windows import in_window
 from haulbook.operators.filters import exclude_user, status_group
 from haulbook.operators.history import (
-    COMPLETED, ENROUTE, NEW, RECONCILED, SCHEDULED, VIEWED, first_per_key, milestone_ids, min_created, view_milestones,
+    COMPLETED, ENROUTE, NEW, RECONCILED, SCHEDULED, VIEWED, first_columns, first_per_key, milestone_columns,
+    min_created, view_milestones,
 )
 from haulbook.operators.lookups import join_code, star_join
 from haulbook.operators.skew import HOT_ROWS
+from haulbook.sources.sinks import staged
 
 # Minutes allowed to the first view and to scheduling.
 VIEW_LIMIT, SCHEDULE_LIMIT = 15, 30
@@ -54,9 +56,11 @@ def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, l
     as met unless ``unknown``. Orders never scheduled drop out.
     """
     base = _orders_of(orders.filter(in_window("stamp", start, end, upper)), patients, locations, companies, company)
-    log = history.join(base.select("order_id"), "order_id", "left_semi")
-    marks = view_milestones(log, hot_rows).select("order_id", "scheduled_by", "first_view", "views_before", "last_view")
-    people = first_per_key(log, {"viewed": same_code("action", VIEWED), "completed_log": same_code("action", COMPLETED)})
+    base = staged(base)
+    log = staged(history.join(base.select("order_id"), "order_id", "left_semi"))
+    people = first_columns({"viewed": same_code("action", VIEWED), "completed_log": same_code("action", COMPLETED)})
+    marks = view_milestones(log, hot_rows, people).select(
+        "order_id", "scheduled_by", "first_view", "views_before", "last_view", "viewed_by", "completed_log_by")
     received = "coalesce(received, stamp)"
     view_from, sched_from, span_from = {
         "received": ("received", "received", "received"),
@@ -64,7 +68,7 @@ def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, l
     }[clock]
     view_minutes = minutes_between(view_from, "first_view")
     sched_minutes = minutes_between(sched_from, "scheduled")
-    out = (base.join(marks, "order_id").join(people, "order_id", "left")
+    out = (base.join(marks, "order_id")
            .join(_user(users, "scheduled_by", "full", "scheduled_by_name"), "scheduled_by")
            .join(_user(users, "ordered_by", "full", "ordered_by_name"), "ordered_by")
            .join(_user(users, "viewed_by", "full", "viewed_by_name"), "viewed_by", "left"))
@@ -90,8 +94,7 @@ def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, l
 
 def time_to_dispatch(orders: DataFrame, history: DataFrame, patients: DataFrame, locations: DataFrame,
                      companies: DataFrame, users: DataFrame, day, *, annotations: DataFrame | None = None,
-                     inventory_orders: DataFrame | None = None, company: int = OWN_COMPANY,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     inventory_orders: DataFrame | None = None, company: int = OWN_COMPANY) -> DataFrame:
     """Minutes from scheduling to dispatch.
 
     With annotations: orders scheduled and due on the day whose first sync fell on
@@ -103,9 +106,10 @@ def time_to_dispatch(orders: DataFrame, history: DataFrame, patients: DataFrame,
     due = in_window("schedule_end", day, day, "whole_day")
     if synced_mode:
         due = due & in_window("scheduled", day, day, "whole_day")
-    base = _orders_of(orders.filter(due), patients, locations, companies, company)
+    base = staged(_orders_of(orders.filter(due), patients, locations, companies, company))
     log = history.join(base.select("order_id"), "order_id", "left_semi")
-    marks = milestone_ids(log).select("order_id", "scheduled_by", "enroute_by")
+    done = first_columns({"done": same_code("action", COMPLETED)})
+    marks = log.groupBy("order_id").agg(*milestone_columns(), *done).select("order_id", "scheduled_by", "enroute_by", "done_by")
     out = (base.join(marks, "order_id")
            .join(users.select(F.col("user_id").alias("scheduled_by")), "scheduled_by", "left_semi")
            .join(users.select(F.col("user_id").alias("ordered_by")), "ordered_by", "left_semi")
@@ -117,8 +121,7 @@ def time_to_dispatch(orders: DataFrame, history: DataFrame, patients: DataFrame,
         F.coalesce("enroute_count", F.lit(0)).alias("times_enroute"), F.col("dispatched_by"),
     ]
     if not synced_mode:
-        done = first_per_key(log, {"done": same_code("action", COMPLETED)}).select("order_id", F.col("done_by"))
-        out = (out.filter(F.col("enroute_count") != 0).join(done, "order_id", "left")
+        out = (out.filter(F.col("enroute_count") != 0)
                .join(_user(users, "done_by", "user", "completed_by"), "done_by", "left"))
         return out.select(*cols, F.col("enroute"), time_span("scheduled", "enroute").alias("time_to_dispatch"),
                           F.col("completed"), F.col("completed_by"))
