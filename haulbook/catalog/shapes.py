@@ -240,14 +240,12 @@ def _(spark, path):
 
 # ---- sorts, limits, padding, reshaping
 
-@query("sort_report", """select row_number() over (order by n_regionkey, n desc, n_name) as place, n_name, n from
-(select n_regionkey, n_name, count(*) as n from customer join nation on n_nationkey = c_nationkey group by 1, 2)""")
+@query("sort_report", "select n_regionkey, n_name, count(*) as n from customer join nation on n_nationkey = c_nationkey group by 1, 2 order by n_regionkey, n desc, n_name")
 def _(spark, path):
-    """The sorted report read back with its places, which the sorted partitions and rows give."""
     t = Roles(spark, path).t
-    n = (t["customer"].groupBy("c_nationkey").agg(F.count("*").alias("n"))
-         .join(t["nation"], F.col("n_nationkey") == F.col("c_nationkey")))
-    return rk.sequence_rows(n.withColumn("all", F.lit(1)), ["all"], ["n_regionkey", F.col("n").desc(), "n_name"], "place").select("place", "n_name", "n")
+    n = t["customer"].groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    named = t["nation"].join(n, F.col("n_nationkey") == F.col("c_nationkey")).select("n_regionkey", "n_name", "n")
+    return rk.sort_report(named, "n_regionkey", F.col("n").desc(), "n_name")
 
 
 @query("dynamic_sort", "select o_orderkey as order_id, o_orderstatus as status from orders order by o_orderstatus, lpad(cast(o_orderkey as varchar), 25, '0')")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from haulbook.functions.text import code_in, same_code
+from haulbook.sources.sinks import staged
 
 from .skew import HOT_ROWS, salted_join
 
@@ -45,7 +46,7 @@ def view_milestones(history: DataFrame, hot_rows: int = HOT_ROWS, extra: list[Co
     receipt on; last_view*: last view up to the scheduling. ``extra`` aggregates join
     the same pass over the log.
     """
-    marks = history.groupBy("order_id").agg(*milestone_columns(), *extra)
+    marks = staged(history.groupBy("order_id").agg(*milestone_columns(), *extra))
     views = (history.filter(same_code("action", VIEWED))
              .select("order_id", "history_id", "at"))
     joined = salted_join(views, marks.select("order_id", "received_id", "scheduled_id"), ["order_id"],

@@ -90,7 +90,7 @@ def override_flags(lines: DataFrame, client_equip: DataFrame) -> DataFrame:
 def region_fill(df: DataFrame, states: DataFrame, region_id: str = "region_id",
                 region_name: str = "region_name") -> DataFrame:
     """Rows without a region get the negative id of the state their region name starts with."""
-    st = F.broadcast(states.select(F.col("region_id").alias("_rid"), F.col("state").alias("_st")))
+    st = states.select(F.col("region_id").alias("_rid"), F.col("state").alias("_st"))
     return (df.join(st, F.substring(region_name, 1, 2) == F.col("_st"), "left")
             .withColumn(region_id, F.coalesce(region_id, "_rid")).drop("_rid", "_st"))
 

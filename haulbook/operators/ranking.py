@@ -53,6 +53,11 @@ def share_of_group(df: DataFrame, keys: list[str], value: str, digits: int = 3)
     return df.join(totals, keys).withColumn("share", money_share(value, "group_total", digits))
 
 
+def sort_report(df: DataFrame, *order) -> DataFrame:
+    """Rows in report order; end ``order`` with a unique column."""
+    return df.orderBy(*order)
+
+
 def limit_n(df: DataFrame, n: int, *order) -> DataFrame:
     """Overall top n."""
     return df.orderBy(*order).limit(n)

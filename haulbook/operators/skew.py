@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from haulbook.sources.sinks import staged
+
 HOT_ROWS = 2_000_000   # a key with more rows than this is split
 ID_BLOCK = 65_536      # ids per block when a hot key is split by id
 
@@ -14,14 +16,13 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame
 
 
 def find_hot(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """The hot keys as a small literal frame, or None when there are none.
+    """The hot keys as a small stored table, or None when there are none.
 
     This runs a count over the key columns alone. It only steers where rows go;
-    results do not depend on it.
+    results do not depend on it. The table's known size decides whether it is broadcast.
     """
-    hot = hot_keys(df.select(*keys), keys, limit)
-    rows = hot.collect()
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    hot = staged(hot_keys(df.select(*keys), keys, limit))
+    return None if hot.isEmpty() else hot
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -36,11 +37,11 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     if hot is None:
         return big.join(small, on, how)
     salts = hot.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
-    left = (big.join(F.broadcast(salts), on, "left")
+    left = (big.join(salts, on, "left")
             .withColumn("_salt", F.when(F.col("_salts").isNull(), 0)
                         .otherwise(F.pmod(F.xxhash64(*big.columns), F.col("_salts")).cast("int")))
             .drop("_salts"))
-    right = (small.join(F.broadcast(salts), on, "left")
+    right = (small.join(salts, on, "left")
              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
              .drop("_salts"))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
@@ -81,7 +82,7 @@ def look_back(df: DataFrame, keys: list[str], order: list[str], value: str, *,
         names: list[str] = []
     else:
         names = list(levels)
-        base = base.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+        base = base.join(hot.select(*keys, F.lit(True).alias("_hot")), keys, "left")
         for name, expr in levels.items():
             base = base.withColumn(name, F.when(F.col("_hot"), expr))
         base = base.repartition(*keys, *names)

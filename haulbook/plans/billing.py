@@ -21,16 +21,18 @@ NATIONAL = "National: All Regions"
 def budget_months(budgets: DataFrame, months: DataFrame) -> DataFrame:
     """Budgets repeated for each wanted month they cover.
 
-    ``months`` is the short list of wanted months (yyyymm), so the range is opened
-    with ``sequence`` clipped to it.
+    ``months`` is the list of wanted months (yyyymm); ranges are opened with
+    ``sequence``, clipped to the first and last of them.
     """
-    bounds = months.agg(F.min("yyyymm").alias("_lo"), F.max("yyyymm").alias("_hi"))
-    lo = yyyymm_to_date(F.greatest("begin_yyyymm", "_lo"))
-    hi = yyyymm_to_date(F.least(F.coalesce("end_yyyymm", F.lit(OPEN_END)), F.col("_hi")))
-    spread = (budgets.join(F.broadcast(bounds))
-              .filter((F.col("begin_yyyymm") <= F.col("_hi")) & (F.coalesce("end_yyyymm", F.lit(OPEN_END)) >= F.col("_lo")))
-              .withColumn("_m", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH")))))
-    return (spread.withColumn("yyyymm", F.year("_m") * 100 + F.month("_m")).drop("_lo", "_hi", "_m")
+    lo, hi = months.agg(F.min("yyyymm"), F.max("yyyymm")).first()
+    if lo is None:
+        lo, hi = OPEN_END, 0
+    ends = f"coalesce(end_yyyymm, {OPEN_END})"
+    day = lambda m: f"make_date({m} div 100, {m} % 100, 1)"
+    covered = budgets.filter((F.col("begin_yyyymm") <= hi) & F.expr(f"{ends} >= {lo} and {ends} >= begin_yyyymm"))
+    spread = covered.withColumn("_m", F.explode(F.expr(
+        f"sequence({day(f'greatest(begin_yyyymm, {lo})')}, {day(f'least({ends}, {hi})')}, interval 1 month)")))
+    return (spread.withColumn("yyyymm", F.expr("year(_m) * 100 + month(_m)")).drop("_m")
             .withColumn("sub_unit", F.coalesce("sub_unit", F.lit(0))))
 
 

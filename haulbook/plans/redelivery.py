@@ -66,46 +66,48 @@ def raw_orders(orders: DataFrame, patients: DataFrame, budgets: DataFrame, *, ki
         & valid_in_month(yyyymm("window_start")), "left_semi")
 
 
+COUNTS = ["dme_count", "o2_count", "disposable_count", "service_count", "paired_count", "pickup_count", "fee_count"]
+
+
 def order_contents(order_keys: DataFrame, details: DataFrame, equipment_lines: DataFrame,
                    client_equip: DataFrame | None, sub_items: DataFrame | None) -> DataFrame:
-    """Per order the number of rental, oxygen, disposable, service, paired and pickup lines and of fee lines.
+    """Per order with lines the number of rental, oxygen, disposable, service, paired, pickup and fee lines.
 
-    ``order_keys`` has order_id, client_id, site_id. Lines are counted per order and
-    product before any join, so an order with very many lines stays small.
+    ``order_keys`` has order_id, client_id, site_id. The details are read once: a line
+    counts for the order it was delivered by and for the one that picked it up. Lines are
+    counted per order and product before any join, so an order with very many lines stays
+    small.
     """
-    keys = order_keys.select("order_id", "client_id", "site_id").distinct()
-    per_product = (details.filter(F.col("order_id").isNotNull()).groupBy("order_id", "product_id")
-                   .agg(F.count("*").alias("_n")).join(keys, "order_id"))
-    lines = per_product.join(equipment_lines, "product_id")
-    lines = lines.withColumn("own_item", F.col("item_id"))
+    keys = order_keys.select("order_id", "client_id", "site_id").dropDuplicates(["order_id"])
+    sides = details.select(F.expr("""explode(array(struct(order_id as order_id, product_id as product_id, 0 as back),
+        struct(reference_order_id as order_id, null as product_id, 1 as back))) as _s""")).select("_s.*")
+    counted = (sides.filter(F.col("order_id").isNotNull()).groupBy("order_id", "product_id", "back")
+               .agg(F.count("*").alias("_n")))
+    lines = counted.join(keys, "order_id").join(equipment_lines, "product_id", "left").withColumn("own_item", F.col("item_id"))
     if client_equip is not None:
         lines = override_flags(lines, client_equip)
-    disposable, oxygen = F.col("disposable"), F.col("oxygen")
-
-    def total(cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("long")
-
-    item = F.col("item_id")
-    odd = F.col("equipment_id") == OXYGEN_EQUIPMENT
-    aggs = [
-        total(~oxygen & ~disposable & ~odd).alias("dme_count"),
-        (total(oxygen) + total(disposable & item.isin(OXYGEN_ITEMS)) + total(odd)).alias("o2_count"),
-        total(disposable & ~item.isin(NOT_DISPOSABLE_ITEMS)).alias("disposable_count"),
-        total(disposable & (item == SERVICE_ITEM)).alias("service_count"),
-    ]
     if sub_items is not None:
-        marks = F.broadcast(sub_items.select(F.col("sub_item").alias("own_item"), F.lit(True).alias("_paired")).distinct())
+        marks = sub_items.select(F.col("sub_item").alias("own_item"), F.lit(True).alias("_paired")).distinct()
         lines = lines.join(marks, "own_item", "left")
-        aggs.append(total(F.col("_paired")).alias("paired_count"))
     else:
-        aggs.append(F.lit(0).cast("long").alias("paired_count"))
-    counted = lines.groupBy("order_id").agg(*aggs)
-    fees = (per_product.filter(F.col("product_id") == FEE_PRODUCT).groupBy("order_id")
-            .agg(F.sum("_n").alias("fee_count")))
-    pickups = (details.filter(F.col("reference_order_id").isNotNull())
-               .groupBy(F.col("reference_order_id").alias("order_id")).agg(F.count("*").alias("pickup_count")))
-    return (keys.join(counted, "order_id", "left").join(fees, "order_id", "left").join(pickups, "order_id", "left")
-            .na.fill(0).drop("client_id", "site_id"))
+        lines = lines.withColumn("_paired", F.lit(False))
+
+    def total(cond: str) -> str:
+        return f"coalesce(sum(case when {cond} then _n end), 0)"
+
+    listed = lambda items: ", ".join(map(str, items))
+    odd = f"equipment_id = {OXYGEN_EQUIPMENT}"
+    oxygen_items = f"disposable and item_id in ({listed(OXYGEN_ITEMS)})"
+    values = [
+        total(f"not oxygen and not disposable and not ({odd})"),
+        f"{total('oxygen')} + {total(oxygen_items)} + {total(odd)}",
+        total(f"disposable and item_id not in ({listed(NOT_DISPOSABLE_ITEMS)})"),
+        total(f"disposable and item_id = {SERVICE_ITEM}"),
+        total("_paired"),
+        total("back = 1"),
+        f"coalesce(max(case when product_id = {FEE_PRODUCT} then _n end), 0)",
+    ]
+    return lines.groupBy("order_id").agg(*[F.expr(f"{v} as {n}") for v, n in zip(values, COUNTS)])
 
 
 def exclusion_note() -> Column:
@@ -166,10 +168,10 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
     a predecessor, of which all but the lowest id become ``2xPost``. One row per window and
     order, the look-back days before the window included (``in_period`` tells).
     """
-    raw = raw_orders(orders, patients, budgets, kind=kind, days=days, first=first, last=last)
+    raw = staged(raw_orders(orders, patients, budgets, kind=kind, days=days, first=first, last=last))
     contents = order_contents(raw, details, equipment_lines, client_equip, sub_items)
     keys = ["window_start", "patient_id"]
-    base = staged(raw.join(contents, "order_id").withColumn("note", exclusion_note()))
+    base = staged(raw.join(contents, "order_id", "left").na.fill(0, COUNTS).withColumn("note", exclusion_note()))
     if ties == "strict":
         linked = _strict_predecessors(base, keys, hot_rows).withColumn("no_valid", F.lit(False))
     elif ties == "lowest_id":
@@ -294,7 +296,7 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
             .agg(F.count("*").alias("lines")).filter(F.col("day").isNotNull()))
 
     back_day = F.coalesce(day_index("coalesce(check_in, other_status)") + 1, F.lit(FAR_DAY))
-    mains = (item_lines.join(F.broadcast(pairs.select("sub_item", F.col("main_item").alias("item_id")).distinct()), "item_id")
+    mains = (item_lines.join(pairs.select("sub_item", F.col("main_item").alias("item_id")).distinct(), "item_id")
              .filter(F.col("check_out").isNotNull()))
     people = subs.select("patient_id").distinct()
     placed = (orders.filter(F.col("completed").isNotNull()).join(people, "patient_id", "left_semi")
@@ -354,7 +356,7 @@ def redelivery_summary(labelled: DataFrame, pairs_marked: DataFrame | None, pati
         *elapsed_buckets("minutes", "redelivery", bands, percents=False))
     site = (locations.select(F.col("location_id").alias("site_id"), F.col("name").alias("_site"), F.col("company_id"))
             .join(companies.select(F.col("id").alias("company_id"), F.col("name").alias("_firm")), "company_id"))
-    client = (locations.join(F.broadcast(states.select("state").distinct()), "state", "left_semi")
+    client = (locations.join(states.select("state"), "state", "left_semi")
               .select(F.col("location_id").alias("client_id"), F.col("name").alias("_client"), "region_id", "state")
               .join(regions.select(F.col("id").alias("region_id"), F.col("name").alias("_region")), "region_id", "left"))
     names = [F.rtrim(F.concat("_firm", F.lit(", "), "_site")).alias("provider"), F.rtrim("_client").alias("client"),

@@ -147,7 +147,7 @@ def feedback_extract(notes: DataFrame, results: DataFrame, lookup: DataFrame, st
     people = patients.select("patient_id", "client_id", "site_id")
     site = locations.select(F.col("location_id").alias("site_id"), F.col("name").alias("_site"),
                             F.col("company_id").alias("site_company"))
-    client = (locations.join(F.broadcast(states.select(F.col("region_id").alias("state_id"), "state")), "state")
+    client = (locations.join(states.select(F.col("region_id").alias("state_id"), "state"), "state")
               .select(F.col("location_id").alias("client_id"), F.col("name").alias("_client"), "region_id", "state",
                       "state_id", F.col("company_id").alias("client_company")))
     if client_company is not None:
