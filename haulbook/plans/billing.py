@@ -8,6 +8,7 @@ from haulbook.functions.dates import yyyymm_to_date
 from haulbook.functions.numbers import MONEY
 from haulbook.functions.text import label_with_id
 from haulbook.functions.windows import OPEN_END
+from haulbook.operators.aggregates import net_nonzero_totals
 from haulbook.operators.ranking import share_of_group, top_n_per_group
 from haulbook.operators.reshape import (
     combine_types, densify, months_to_columns, pad_to_n, total_across_months, type_label,
@@ -73,12 +74,10 @@ def billable_items(billed: DataFrame, equipment: DataFrame, pairs: DataFrame) ->
     ``billed`` has yyyymm, client_id, site_id, equipment_id, total; ``pairs`` has
     yyyymm, client_id, site_id, contract_type, region_id, region_name, one row each.
     """
-    per_equipment = (billed.filter(F.col("total") != 0).groupBy("yyyymm", "client_id", "site_id", "equipment_id")
-                     .agg(F.sum(F.col("total").cast(MONEY)).alias("total"), F.count("*").alias("_n")))
-    items = per_equipment.join(equipment.select("equipment_id", "item_id"), "equipment_id")
     key = ["yyyymm", "client_id", "site_id"]
-    net = (items.groupBy(*key, "item_id").agg(F.sum("total").cast(MONEY).alias("total"), F.sum("_n").alias("records"))
-           .filter(F.col("total") != 0))
+    net = net_nonzero_totals(billed.join(equipment.select("equipment_id", "item_id"), "equipment_id")
+                             .withColumn("total", F.col("total").cast(MONEY)), [*key, "item_id"], "total")
+    net = net.withColumn("total", F.col("total").cast(MONEY))
     typed = net.join(pairs.select(*key, "contract_type", "region_id", "region_name"), key, "left")
     return combine_types(staged(typed))
 

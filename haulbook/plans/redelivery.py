@@ -284,7 +284,8 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
     when the stop lacks main items but earlier orders still have them.
 
     Counts come from day-by-day running totals per patient and item; earlier orders
-    use spans of days of power-of-two length, so no line is ever matched to another.
+    use spans of days of power-of-two length, so no line is ever matched to another. The
+    grouped sub and main lines are stored, since several totals read them.
     """
     lines = item_lines.join(pairs.select(F.col("sub_item").alias("item_id")).distinct(), "item_id", "left_semi")
     chosen = labelled.filter((F.col("redelivery") == 1) & (F.col("paired_count") > 0)).select("order_id").distinct()
@@ -294,6 +295,7 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
             .groupBy("order_id", "patient_id", "stop_day", "driver_id", "route_number",
                      F.col("item_id").alias("sub_item"), day_index("check_out").alias("day"))
             .agg(F.count("*").alias("lines")).filter(F.col("day").isNotNull()))
+    subs = staged(subs)
 
     back_day = F.coalesce(day_index("coalesce(check_in, other_status)") + 1, F.lit(FAR_DAY))
     mains = (item_lines.join(pairs.select("sub_item", F.col("main_item").alias("item_id")).distinct(), "item_id")
@@ -304,6 +306,7 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
     mains = (mains.groupBy("order_id", "sub_item", day_index("check_out").alias("out_day"),
                            _first_midnight("check_out").alias("out_from"), back_day.alias("back"))
              .agg(F.count("*").alias("n")).join(placed, "order_id"))
+    mains = staged(mains)
 
     stop = ["patient_id", "stop_day", "driver_id", "route_number", "sub_item"]
     on_stop = mains.filter(F.col("driver_id").isNotNull() & F.col("route_number").isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from haulbook.functions.dates import as_col
 from haulbook.functions.numbers import yes_no
@@ -11,9 +12,17 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def load_tables(spark: SparkSession, path: str, names: list[str] = TABLES) -> dict[str, DataFrame]:
-    """Parquet tables by name."""
-    return {n: spark.read.parquet(f"{path}/{n}.parquet") for n in names}
+    """Parquet tables by name. A file's schema is looked up once and then given to the reader."""
+    out = {}
+    for n in names:
+        file = f"{path}/{n}.parquet"
+        out[n] = spark.read.schema(_schemas[file]).parquet(file) if file in _schemas else spark.read.parquet(file)
+        _schemas[file] = out[n].schema
+    return out
 
 
 def config_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
