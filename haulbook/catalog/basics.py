@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from haulbook.functions import windows as w
 from haulbook.functions.dates import same_day_of_month, yyyymm
-from haulbook.functions.numbers import positive
+from haulbook.functions.numbers import not_null_and_positive
 from haulbook.functions.text import code_in_string, prefix_like
 from haulbook.operators import filters as f
 from haulbook.sources import sinks, tables
@@ -116,7 +116,7 @@ _window_query("previous_month", "date_trunc('month', d) - interval 1 month", "da
 _window_query("yesterday", "d - 1", "d - 1", w.yesterday)
 _window_query("trailing_months", "date_trunc('month', d) - interval 3 month", "date_trunc('month', d) - interval 1 day", w.trailing_months)
 _window_query("months_to_now", "date_trunc('month', d) - interval 2 month", "d", w.months_to_now)
-_window_query("fixed_start_to_day_end", "date '1995-01-01'", "d + 1", lambda d: w.day_start_to_day_end("1995-01-01", d))
+_window_query("fixed_start_to_day_end", "date '1995-01-01'", "d + 1", lambda d: w.fixed_start_to_day_end("1995-01-01", d))
 _window_query("month_span", "make_date(cast(year(d) as int), cast(month(d) as int), 1) - interval 3 month",
               "make_date(cast(year(d) as int), cast(month(d) as int), 1) - interval 1 day",
               lambda d: w.month_span(F.year(d), F.month(d) - 1, 3))
@@ -323,7 +323,7 @@ def _(spark, path):
 
 @query("not_null_and_positive", "select c_custkey as id, case when coalesce(c_acctbal, 0) > 0 then 1 else 0 end as flag from customer")
 def _(spark, path):
-    return Roles(spark, path).t["customer"].select(F.col("c_custkey").alias("id"), positive("c_acctbal").alias("flag"))
+    return Roles(spark, path).t["customer"].select(F.col("c_custkey").alias("id"), not_null_and_positive("c_acctbal").alias("flag"))
 
 
 @query("same_day_of_month", """select l_orderkey as id, count(*) as n, sum(case when day(o_orderdate) = day(l_shipdate) then 1 else 0 end)::bigint as same_day,
@@ -342,4 +342,4 @@ def _(spark, path):
 
 @query("distinct_rows", "select distinct l_orderkey as order_id, l_linenumber as line from lineitem")
 def _(spark, path):
-    return Roles(spark, path).t["lineitem"].select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line")).dropDuplicates()
+    return Roles(spark, path).t["lineitem"].select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line")).transform(f.distinct_rows)

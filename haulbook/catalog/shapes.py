@@ -287,12 +287,22 @@ select site_id, item_id, {', '.join(_month_cols(k, m) for k, m in enumerate(MONT
 cast(coalesce(sum(case when yyyymm between 199801 and 199806 then total end), 0) as double) as months_total
 from (select *, sum(total) over (partition by site_id, yyyymm) as g from i) group by 1, 2""")
 def _(spark, path):
+    return _months(spark, path)
+
+
+def _months(spark, path):
     i = _seg_sales(spark, path).groupBy("site_id", "item_id", "yyyymm").agg(F.sum("total").alias("total"))
     g = i.groupBy("site_id", "yyyymm").agg(F.sum("total").alias("group_total"))
     both = i.join(g, ["site_id", "yyyymm"]).withColumn("month", yyyymm_to_date("yyyymm"))
     return rs.total_across_months(rs.months_to_columns(both, ["site_id", "item_id"], "month", "1998-01-01", 6), 6)
 
 
+@query("total_across_months", f"""{SALES} select site_id, item_id, cast(coalesce(sum(case when yyyymm between 199801 and 199806 then total end), 0) as double) as months_total
+from sales group by 1, 2""")
+def _(spark, path):
+    return _months(spark, path).select("site_id", "item_id", "months_total")
+
+
 @query("densify", f"""{SALES}, r as (select site_id, region_id, item_id, sum(total) total from sales where yyyymm = 199701 group by all),
 top as (select site_id, item_id from (select site_id, item_id, row_number() over (partition by site_id order by sum(total) desc, item_id) rn from sales group by 1, 2) where rn <= 5)
 select site_id, item_id, region_id, cast(coalesce(total, 0) as double) as total from top join (select distinct site_id, region_id from sales) using (site_id)

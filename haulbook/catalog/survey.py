@@ -121,6 +121,16 @@ def _(spark, path):
     return _review(spark, path, levels=(10,))
 
 
+@query("questions_to_rows", _questions_sql((20,)))
+def _(spark, path):
+    return _review(spark, path, levels=(20,))
+
+
+@query("region_fill", f"{ROLES}, {PAIRS} select region_id, region_name, count(*) as pairs from pairs group by 1, 2")
+def _(spark, path):
+    return _pairs(Roles(spark, path)).groupBy("region_id", "region_name").agg(F.count("*").alias("pairs"))
+
+
 @query("survey_quality_check", """select strftime(o_orderdate, '%Y') as month, count(*) as surveys_ever,
 count(case when o_orderdate >= '1997-01-01' and o_orderdate <= '1997-12-31' then 1 end) as surveys_in_window from lineitem join orders on l_orderkey = o_orderkey group by 1""")
 def _(spark, path):

@@ -29,7 +29,7 @@ def money_share(num: str, den: str, digits: int = 3) -> Column:
     return F.expr(f"if({d} = 0, cast(0 as {kind}), cast(round({n} / nullif({d}, 0), {digits}) as {kind}))")
 
 
-def positive(c) -> Column:
+def not_null_and_positive(c) -> Column:
     """1 when the value is present and above zero, else 0."""
     return F.when(F.coalesce(as_col(c), F.lit(0)) > 0, 1).otherwise(0)
 

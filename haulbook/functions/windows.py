@@ -44,7 +44,7 @@ def months_to_now(now, k: int = 2) -> tuple[Column, Column]:
     return F.to_date(F.trunc(F.add_months(F.to_date(now), -k), "MM")), now
 
 
-def day_start_to_day_end(start, end) -> tuple[Column, Column]:
+def fixed_start_to_day_end(start, end) -> tuple[Column, Column]:
     """Start of the first day and the start of the day after the last one: use ``>= start`` and ``< end``."""
     return as_date(start), F.date_add(as_date(end), 1)
 

@@ -37,6 +37,10 @@ def not_in_list(df: DataFrame, col: str, values) -> DataFrame:
     return df.filter(~F.trim(F.col(col)).isin(list(values)))
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    return df.dropDuplicates()
+
+
 def exclude_user(df: DataFrame, user_id: int, col: str = "ordered_by") -> DataFrame:
     return df.filter(F.col(col) != user_id)
 
