@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
@@ -38,45 +39,84 @@ class PrefixCoder:
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Plain BPE of a few bytes: the lowest-ranked neighbours join first."""
-        parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
-            if parts[best] + parts[best + 1] not in self.ranks:
-                break
-            parts[best:best + 2] = [parts[best] + parts[best + 1]]
-        return [self.ranks[p] for p in parts]
+        self.pairs: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.ends = ahocorasick.Automaton()
+        for t, r in ranks.items():
+            if self.stands(r):
+                self.ends.add_word(t.decode("latin-1"), (r, len(t)))
+        self.ends.make_automaton()
 
     def stands(self, token: int) -> bool:
-        if token not in self.whole:
-            self.whole[token] = self.merged(self.bytes_of[token]) == [token]
-        return self.whole[token]
+        """Whether the token's bytes are encoded as the token; keeps the two parts that its last merge joins."""
+        data = self.bytes_of[token]
+        parts, rank = [data[i:i + 1] for i in range(len(data))], self.ranks.get
+        while len(parts) > 2:
+            near = [rank(x + y, 1 << 60) for x, y in zip(parts, parts[1:])]
+            best = min(near)
+            if best == 1 << 60:
+                return False
+            at = near.index(best)
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        self.halves[token] = (rank(parts[0]), rank(parts[1])) if len(parts) == 2 else None
+        return True
+
+    def edge(self, token: int, side: int) -> list[int]:
+        """The tokens that stood at one edge of the token, from its byte there to the token itself."""
+        out = [token]
+        while self.halves[out[-1]]:
+            out.append(self.halves[out[-1]][side])
+        return out[::-1]
 
     def follows(self, before: int, token: int) -> bool:
-        key = (before, token)
-        if key not in self.pairs:
+        """Whether the two stay apart: no merge across them comes before the merges that build them.
+
+        Of equal ranks the left merge comes first.
+        """
+        key = before << 32 | token
+        found = self.pairs.get(key)
+        if found is None:
+            left, right, i, j, never = self.edge(before, 1), self.edge(token, 0), 0, 0, 1 << 60
+            found = True
+            while found:
+                left_ends = left[i + 1] if i + 1 < len(left) else never
+                right_ends = right[j + 1] if j + 1 < len(right) else never
+                across = self.ranks.get(self.bytes_of[left[i]] + self.bytes_of[right[j]], never)
+                if across < left_ends and across <= right_ends and across != never:
+                    found = False
+                elif left_ends == right_ends == never:
+                    break
+                elif left_ends <= right_ends:
+                    i += 1
+                else:
+                    j += 1
             if len(self.pairs) >= KEPT:
                 self.pairs.clear()
-            self.pairs[key] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
-        return self.pairs[key]
-
-    def ending(self, data: bytes, end: int, last: list[int]) -> int:
-        """The last token of the prefix up to ``end``, given the entries before it."""
-        for start in range(max(0, end - self.longest), end):
-            token = self.ranks.get(data[start:end])
-            if token is not None and (self.follows(last[start - 1], token) if start else self.stands(token)):
-                return token
-        raise ValueError("the ranks do not cover every byte")
+            self.pairs[key] = found
+        return found
+
+    def extend(self, data: bytes, last: list[int], upto: int) -> None:
+        """Add the entries up to byte ``upto``. The automaton names the tokens that end at each byte, longest first."""
+        pair = self.pairs.get
+        base = max(0, len(last) + 1 - self.longest)
+        for end, (token, length) in self.ends.iter(data[base:upto].decode("latin-1")):
+            end += base
+            if end == len(last):
+                start = end + 1 - length
+                if not start:
+                    last.append(token)
+                elif start > 0:
+                    before = last[start - 1]
+                    apart = pair(before << 32 | token)
+                    if apart or apart is None and self.follows(before, token):
+                        last.append(token)
+        if len(last) != upto:
+            raise ValueError("the ranks do not cover every byte")
 
     def table(self, data: bytes, known: list[int] | None = None) -> list[int]:
         """Last token of each prefix of ``data``; ``known`` is the table of a text that ``data`` continues."""
         last = list(known or [])
-        for end in range(len(last) + 1, len(data) + 1):
-            last.append(self.ending(data, end, last))
+        self.extend(data, last, len(data))
         return last
 
     def edited(self, old: bytes, last: list[int], at: int, gone: int, new: bytes) -> tuple[bytes, list[int]]:
@@ -89,11 +129,12 @@ class PrefixCoder:
         data = old[:at] + new + old[at + gone:]
         out, shift, same = last[:at], len(new) - gone, 0
         while len(out) < len(data):
-            out.append(self.ending(data, len(out) + 1, out))
-            place = len(out) - 1 - shift
-            same = same + 1 if place >= at + gone and out[-1] == last[place] else 0
-            if same >= self.longest:
-                return data, out + last[place + 1:]
+            done = len(out)
+            self.extend(data, out, min(len(data), done + self.longest))
+            for place in range(done, len(out)):
+                same = same + 1 if place - shift >= at + gone and out[place] == last[place - shift] else 0
+                if same >= self.longest:
+                    return data, out[:place + 1] + last[place + 1 - shift:]
         return data, out
 
     def tokens(self, last: list[int]) -> list[int]:
