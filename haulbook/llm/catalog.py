@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulbook.llm import exact_dedup, mixing, tokens
+from haulbook.llm import exact_dedup, mixing, page_text, tokens, toxicity
 
 
 def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -25,7 +25,15 @@ def op6_pareto_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix_report(_table(spark, path, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing)}
+def op8_toxicity(spark: SparkSession, path: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, path, "documents"), _table(spark, path, "labels"))
+
+
+def op10_page_text(spark: SparkSession, path: str) -> DataFrame:
+    return page_text.extract_pages(_table(spark, path, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing, op8_toxicity, op10_page_text)}
 
 ORACLES = {
     "op3_exact_dedup": """
