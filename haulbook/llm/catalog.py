@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulbook.llm import exact_dedup, mixing, page_text, tokens, toxicity
+from haulbook.llm import exact_dedup, licenses, mixing, page_text, tokens, toxicity, warc
 
 
 def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, path: str) -> DataFrame:
+    return licenses.license_scan(_table(spark, path, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, path, "documents"))
 
@@ -29,11 +33,16 @@ def op8_toxicity(spark: SparkSession, path: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, path, "documents"), _table(spark, path, "labels"))
 
 
+def op9_warc_records(spark: SparkSession, path: str) -> DataFrame:
+    return warc.record_report(_table(spark, path, "pages"))
+
+
 def op10_page_text(spark: SparkSession, path: str) -> DataFrame:
     return page_text.extract_pages(_table(spark, path, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing, op8_toxicity, op10_page_text)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing, op8_toxicity,
+                                 op9_warc_records, op10_page_text)}
 
 ORACLES = {
     "op3_exact_dedup": """
