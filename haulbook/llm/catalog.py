@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulbook.llm import exact_dedup, licenses, mixing, page_text, tokens, toxicity, warc
+from haulbook.llm import exact_dedup, licenses, mixing, page_text, tokens, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_license_scan(spark: SparkSession, path: str) -> DataFrame:
     return licenses.license_scan(_table(spark, path, "documents"))
 
 
+def op2_top_k(spark: SparkSession, path: str) -> DataFrame:
+    return topk.top_k(_table(spark, path, "embeddings"))
+
+
 def op3_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, path, "documents"))
 
@@ -41,10 +45,18 @@ def op10_page_text(spark: SparkSession, path: str) -> DataFrame:
     return page_text.extract_pages(_table(spark, path, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_top_k, op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing, op8_toxicity,
                                  op9_warc_records, op10_page_text)}
 
 ORACLES = {
+    "op2_top_k": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)) as v from embeddings
+                   where vec_id is not null and embedding is not null
+                         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        p as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+              from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
+        select query_id, rank, vec_id, score from (
+            select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p) where rank <= 5""",
     "op3_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
