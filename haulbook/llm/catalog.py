@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulbook.llm import exact_dedup, licenses, mixing, page_text, tokens, topk, toxicity, warc
+from haulbook.llm import exact_dedup, language_model, licenses, mixing, page_text, tokens, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, path, "documents"))
 
 
+def op4_class_model(spark: SparkSession, path: str) -> DataFrame:
+    return language_model.class_model_scores(_table(spark, path, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, path: str) -> DataFrame:
     return tokens.bpe_round_trip(_table(spark, path, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                  public_tokenizers.PATTERN)
@@ -45,7 +49,7 @@ def op10_page_text(spark: SparkSession, path: str) -> DataFrame:
     return page_text.extract_pages(_table(spark, path, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_top_k, op3_exact_dedup, op5_byte_bpe, op6_pareto_mixing, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_top_k, op3_exact_dedup, op4_class_model, op5_byte_bpe, op6_pareto_mixing, op8_toxicity,
                                  op9_warc_records, op10_page_text)}
 
 ORACLES = {
