@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulbook.llm import exact_dedup, language_model, licenses, mixing, page_text, tokens, topk, toxicity, warc
+from haulbook.llm import exact_dedup, language_model, licenses, mixing, near_dedup, page_text, tokens, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_pareto_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix_report(_table(spark, path, "documents"))
 
 
+def op7_bag_minhash(spark: SparkSession, path: str) -> DataFrame:
+    return near_dedup.near_classes(_table(spark, path, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, path: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, path, "documents"), _table(spark, path, "labels"))
 
@@ -49,8 +53,8 @@ def op10_page_text(spark: SparkSession, path: str) -> DataFrame:
     return page_text.extract_pages(_table(spark, path, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_top_k, op3_exact_dedup, op4_class_model, op5_byte_bpe, op6_pareto_mixing, op8_toxicity,
-                                 op9_warc_records, op10_page_text)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_top_k, op3_exact_dedup, op4_class_model, op5_byte_bpe, op6_pareto_mixing, op7_bag_minhash,
+                                 op8_toxicity, op9_warc_records, op10_page_text)}
 
 ORACLES = {
     "op2_top_k": """
