@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-import __spark_entry__ as entry  # noqa: E402
 from check_queries import rows  # noqa: E402
+from haulbook.catalog import ORACLES, QUERIES  # noqa: E402
 from haulbook.sources.tables import TABLES  # noqa: E402
 
 SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -24,13 +24,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL)
-    cur = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SMALL)
+    cur = duck.execute(ORACLES[name])
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(d[0] for d in cur.description)
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows([d[0] for d in cur.description], want)
