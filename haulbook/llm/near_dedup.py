@@ -13,8 +13,9 @@ from haulbook.llm.common import ascii_words, batched, discard, mixed, shingle_ha
 
 SHINGLE = 5
 SIMILAR = 0.8
-BANDS, ROWS = 20, 4      # at J = 0.8 the chance that no band meets is (1 - 0.8 ** 4) ** 20 = 2e-8
-STARS = 8                # rounds of links to one member a bucket, at most, before all remaining pairs are tried
+BANDS, ROWS = 30, 6      # at J = 0.8 the chance that no band meets is (1 - 0.8 ** 6) ** 30 = 1e-4
+HUB_BANDS = 8            # bands whose buckets link members to one hub in the first round
+AGREE = 140              # least equal bits of two 180-bit sketches; at J = 0.8 fewer come by a chance of 1e-7
 
 
 def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -78,12 +79,21 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return mixed(key ^ np.arange(BANDS, dtype=np.uint64)[None, :], 99).view(np.int64)
 
 
+def sketches(least: np.ndarray) -> np.ndarray:
+    """One bit a place, in 64-bit words: two bags agree in a bit with chance (1 + J) / 2."""
+    bits = (mixed(least.view(np.uint64), 55) >> np.uint64(63)).astype(np.uint8)
+    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 64)))
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in batched(frames, "text", 3_000_000):
         owner, shingles, counts, keys = bags(part["text"].tolist())
         least = signatures(owner, shingles, counts, len(part))
         sizes = np.bincount(owner, counts, len(part)).astype(np.int64)
-        yield pd.DataFrame({"_id": part["_id"], "_node": keys, "_size": sizes, "_bands": list(band_keys(least))})
+        sketch = sketches(least)
+        yield pd.DataFrame({"_id": part["_id"], "_key": keys, "_size": sizes, "_s0": sketch[:, 0], "_s1": sketch[:, 1], "_s2": sketch[:, 2],
+                            "_bands": list(band_keys(least))})
 
 
 def _bagged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,11 +104,11 @@ def _bagged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             items = mixed(np.repeat(shingles, counts) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 7).view(np.int64)
         cuts = np.cumsum(np.bincount(owner, counts, len(part)).astype(np.int64))[:-1]
-        yield pd.DataFrame({"_node": keys, "_bag": np.split(items, cuts)})
+        yield pd.DataFrame({"_key": keys, "_bag": np.split(items, cuts)})
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose bags overlap to at least ``SIMILAR``."""
+    """Of pairs of nodes ``a``, ``b`` in classes ``ca``, ``cb``, the class links whose bags overlap to at least ``SIMILAR``."""
     @F.pandas_udf("boolean")
     def alike(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
@@ -108,7 +118,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pd.Series(out, dtype=bool)
 
     one, two = sets.select(F.col("_node").alias("a"), F.col("_bag").alias("_x")), sets.select(F.col("_node").alias("b"), F.col("_bag").alias("_y"))
-    return pairs.join(one, "a").join(two, "b").filter(alike("_x", "_y")).select("a", "b").distinct()
+    return (pairs.distinct().join(one, "a").join(two, "b").filter(alike("_x", "_y"))
+            .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+
+
+def may_link(left: str, right: str) -> Column:
+    """Whether sizes and sketches of two members allow an overlap of ``SIMILAR``. Inside a join, so that other pairs never leave it."""
+    def c(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    equal = F.lit(192) - sum(F.bit_count(c(left, s).bitwiseXOR(c(right, s))) for s in ("_s0", "_s1", "_s2"))
+    sizes = F.least(c(left, "_size"), c(right, "_size")) >= SIMILAR * F.greatest(c(left, "_size"), c(right, "_size"))
+    return sizes & (equal >= AGREE + 12)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -144,11 +165,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one shingle). Classes are what links connect. Texts with the same words stand as one
     from the start, so copies are never compared. Texts without words form one class.
 
-    Signatures in bands find candidates. Members of a bucket are first linked to one
-    member, then those still apart to another, while many pairs are left; whatever pairs of
-    one bucket are then still in different classes are all tried. Pairs inside a class need
-    no trial, so no link between classes is lost, and copies of a kind cost one trial
-    each. Every candidate is verified on the full bags.
+    Signatures in bands find candidates. In some bands every member of a bucket is first
+    tried with one hub; then, twice, one member of each class of a bucket with those of
+    its other classes; last, all pairs of a bucket's members that are still in different
+    classes. Pairs inside a class need no trial, so nothing that would change a class is
+    left out, and a group of near copies costs about one trial a member. Sizes and
+    sketches rule out pairs in the join itself; every other pair is verified on the bags.
 
     Null text counts as empty. Rows that share an id follow their texts; rows without an
     id count in their class but give it no id unless all lack one. An empty table gives
@@ -157,45 +179,51 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     source = docs.select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("text"))
     low = F.lit(-(1 << 63)).cast("long")
     marked = stored(source.select(F.coalesce("_id", low).alias("_id"), "text")
-                    .mapInPandas(_signed, "_id long, _node binary, _size long, _bands array<long>"))
-    kinds = marked.filter("_size > 0").groupBy("_node").agg(F.min("_id").alias("_id"), F.first("_size").alias("_size"), F.first("_bands").alias("_bands"))
-    rows = kinds.select("_node", "_id", "_size", F.explode("_bands").alias("_bucket"))
+                    .mapInPandas(_signed, "_id long, _key binary, _size long, _s0 long, _s1 long, _s2 long, _bands array<long>")
+                    .withColumn("_row", F.monotonically_increasing_id()))
+    # The first row of a text stands for it; its number is the node.
+    kinds = stored(marked.groupBy("_key").agg(F.min("_row").alias("_node")))
+    nodes = (marked.filter("_size > 0").join(kinds.select(F.col("_node").alias("_row")), "_row")
+             .select(F.col("_row").alias("_node"), "_id", "_size", "_s0", "_s1", "_s2", "_bands"))
+    rows = nodes.select("_node", F.posexplode("_bands").alias("_band", "_bucket"))
     full = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("_bucket")
-    members = stored(rows.join(full, "_bucket"))
-    chosen = members.select("_id").distinct()
-    sets = stored(source.select(F.coalesce("_id", low).alias("_id"), "text").join(chosen, "_id", "left_semi")
-                  .mapInPandas(_bagged, "_node binary, _bag array<long>").groupBy("_node").agg(F.first("_bag").alias("_bag")))
-    near = F.least("_size", "_other") >= SIMILAR * F.greatest("_size", "_other")
-    links, classes, tried = None, None, 0
-    active = members.withColumn("_class", F.col("_node"))
-    while True:
-        # A bucket's hub for this round: each time another member, spread by hash.
-        hub = active.groupBy("_bucket").agg(F.min(F.struct(F.xxhash64("_node", F.lit(tried)).alias("h"), "_node", "_size", "_class")).alias("_hub"))
-        stars = (active.join(hub, "_bucket").filter(F.col("_hub._class") != F.col("_class"))
-                 .select(F.col("_hub._node").alias("a"), F.col("_node").alias("b"), F.col("_hub._size").alias("_other"), "_size")
-                 .filter(near).select("a", "b").distinct())
-        found = verified(stars, sets)
-        links = stored(found if links is None else links.unionByName(found))
-        classes = components(links)
-        apart = (members.join(classes, "_node", "left").withColumn("_class", F.coalesce("_class", "_node")))
-        parts = apart.groupBy("_bucket", "_class").agg(F.count("*").cast("double").alias("_n"))
-        pairs = (parts.groupBy("_bucket").agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_same"))
-                 .filter("_all * _all > _same").select("_bucket", ((F.col("_all") * F.col("_all") - F.col("_same")) / 2).alias("_pairs")))
-        active = stored(apart.join(pairs, "_bucket"))
-        tried += 1
-        # Go on while the pairs still apart are many more than the rows; either way they all get tried in the end.
-        load = (active.groupBy("_bucket").agg(F.count("*").alias("n"), F.max("_pairs").alias("pairs"))
-                .agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs")).first())
-        if not load.n or tried == STARS or load.pairs <= 4 * load.n:
-            break
-    if load.n:
-        other = active.select("_bucket", F.col("_node").alias("a"), F.col("_class").alias("_c"), F.col("_size").alias("_other"))
-        rest = (active.join(other, "_bucket").filter((F.col("_c") < F.col("_class")) & near)
-                .select("a", F.col("_node").alias("b")).distinct())
-        classes = components(stored(links.unionByName(verified(rest, sets))))
-    labelled = (marked.select("_id", "_node").join(classes, "_node", "left")
+    near = stored(rows.join(full, "_bucket"))
+    members = stored(near.join(nodes.drop("_bands"), "_node").withColumn("_class", F.col("_node")))
+    sets = stored(source.select(F.coalesce("_id", low).alias("_id"), "text").join(members.select("_id").distinct(), "_id", "left_semi")
+                  .mapInPandas(_bagged, "_key binary, _bag array<long>").join(kinds, "_key").select("_node", "_bag"))
+    attrs = F.struct("_node", "_class", "_size", "_s0", "_s1", "_s2")
+
+    def pairs(left: DataFrame, right: DataFrame, wanted: Column) -> DataFrame:
+        return (left.alias("a").join(right.alias("b"), (F.col("a._bucket") == F.col("b._bucket")) & wanted & may_link("a", "b"))
+                .select(F.col("a._node").alias("a"), F.col("b._node").alias("b"), F.col("a._class").alias("ca"), F.col("b._class").alias("cb")))
+
+    def one_each(by: list[str], salt: int, of: DataFrame) -> DataFrame:
+        pick = F.min_by(attrs, F.xxhash64("_node", "_bucket", F.lit(salt))).alias("_pick")
+        return of.groupBy(*by).agg(pick).select("_bucket", "_pick.*")
+
+    def merged(links: DataFrame) -> DataFrame:
+        """The members of buckets that still hold several classes, with the classes after these links."""
+        nonlocal moves
+        step = components(links)
+        moved = (members if moves is None else members.drop("_class").join(moves, "_node")).select("_node", "_class").distinct()
+        new = stored(moved.join(step.select(F.col("_node").alias("_class"), F.col("_class").alias("_new")), "_class", "left")
+                     .select("_node", F.coalesce("_new", "_class").alias("_class")))
+        moves = new
+        now = members.drop("_class").join(new, "_node")
+        mixed_up = now.groupBy("_bucket").agg(F.min("_class").alias("_lo"), F.max("_class").alias("_hi")).filter("_lo <> _hi").select("_bucket")
+        return stored(now.join(mixed_up, "_bucket"))
+
+    moves: DataFrame | None = None
+    few = members.filter(F.col("_band") < HUB_BANDS)
+    active = merged(verified(pairs(one_each(["_bucket"], 0, few), few, F.col("a._node") != F.col("b._node")), sets))
+    for salt in (1, 2):
+        reps = stored(one_each(["_bucket", "_class"], salt, active))
+        active = merged(verified(pairs(reps, reps, F.col("a._class") < F.col("b._class")), sets))
+    merged(verified(pairs(active, active, F.col("a._class") < F.col("b._class")), sets))
+    labelled = (marked.select("_id", "_key").join(kinds, "_key").join(moves, "_node", "left")
                 .select("_id", F.coalesce("_class", "_node").alias("_class")))
     known = F.when(F.col("_id") != low, F.col("_id"))
+    labelled = stored(labelled)
     sums = stored(labelled.groupBy("_class").agg(F.min(known).alias("class_id"), F.count("*").alias("class_size")))
     return (labelled.join(sums, "_class")
             .select(known.alias(id_col), "class_id", "class_size", known.eqNullSafe(F.col("class_id")).alias("kept")))
