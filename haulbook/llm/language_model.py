@@ -277,10 +277,18 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 pair, n = np.unique(a * (words + 1) + b, return_counts=True)
                 yield pd.DataFrame({"pair": pair, "n": n})
 
-    pairs = (chunks.select("kinds", "tokens", "lengths", "held").mapInPandas(head_pairs, "pair long, n long")
-             .groupBy("pair").agg(F.sum("n").alias("n"))).toPandas().sort_values("pair")
-    pairs = pd.DataFrame({"a": pairs["pair"] // (words + 1), "b": pairs["pair"] % (words + 1), "n": pairs["n"]})
-    of = exchange(pairs, words, CLASSES)[:words]
+    def clustered(pairs: pd.DataFrame) -> pd.DataFrame:
+        pairs = pairs.sort_values("pair")
+        split = pd.DataFrame({"a": pairs["pair"] // (words + 1), "b": pairs["pair"] % (words + 1), "n": pairs["n"]})
+        return pd.DataFrame({"place": np.arange(words), "class": exchange(split, words, CLASSES)[:words]})
+
+    # One task gets at most (HEAD + 2) ** 2 counts, however large the corpus is.
+    found = (chunks.select("kinds", "tokens", "lengths", "held").mapInPandas(head_pairs, "pair long, n long")
+             .groupBy("pair").agg(F.sum("n").alias("n")).withColumn("_all", F.lit(0))
+             .groupBy("_all").applyInPandas(clustered, "place int, class int").collect())
+    of = np.full(words, END)
+    for row in found:
+        of[row.place] = row["class"]
 
     tail = _class_contexts(chunks.select("kinds", "tokens", "lengths", "held"), head, of, CLASSES)
     fixed = spark.createDataFrame([(int(w), int(c)) for w, c in zip(head.view(np.int64), of)], "word long, class int")
@@ -331,8 +339,8 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 total += _ints(cells)
         yield _cells(total)
 
-    found = _summed(sums.filter("n_tokens = -1").select("steps").mapInPandas(chunk_tables, CELLS), wide * wide + wide)
-    table, once = found[:wide * wide].reshape(wide, wide), found[wide * wide:]
+    cells = _summed(sums.filter("n_tokens = -1").select("steps").mapInPandas(chunk_tables, CELLS), wide * wide + wide)
+    table, once = cells[:wide * wide].reshape(wide, wide), cells[wide * wide:]
     seen = table.sum(1)
     unseen = (once + SMOOTH) / (seen + once + 2 * SMOOTH)            # share left to the unknown word after each class
     present = np.array([by_class.get(c, (0, 0))[0] > 0 for c in range(wide)])
