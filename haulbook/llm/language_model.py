@@ -90,7 +90,8 @@ def exchange(pairs: pd.DataFrame, words: int, classes: int, sweeps: int = SWEEPS
             table[old] -= right
             table[:, old] -= left
             table[old, old] -= own[w]
-            rows_of, columns_of = table.sum(1), table.sum(0)
+            # The word's neighbours count in their own classes' totals wherever it goes.
+            rows_of, columns_of = table.sum(1) + left, table.sum(0) + right
             whole = f(table)
             gain = ((f(table + left[:, None]) - whole).sum(0) + (f(table + right[None, :]) - whole).sum(1))[:classes]
             k = np.arange(classes)
