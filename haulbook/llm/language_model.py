@@ -296,16 +296,18 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classed = stored(vocabulary.join(fixed.unionByName(tail), "word", "left").select("word", "n", F.coalesce("class", F.lit(0)).alias("class")))
     by_class = {r["class"]: (r.n, r.v) for r in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
 
+    wide = CLASSES + 2
+
     # Every chunk gets the counts and classes of its own words back: the vocabulary never has to fit one task.
     slices = (places.select("chunk", "place", "word").join(classed.filter(F.col("word").isNotNull()), "word", "left")
-              .select("chunk", "place", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(NEW)).cast("int").alias("class")))
-    wide = CLASSES + 2
+              .select("chunk", F.coalesce("n", F.lit(0)).alias("n"), (F.col("place").cast("long") * wide + F.coalesce("class", F.lit(NEW))).alias("slot")))
 
     def document_sums(key, chunk: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in chunk.itertuples():
             n, cls = np.zeros(len(own), dtype=np.int64), np.zeros(len(own), dtype=np.int64)
-            n[own["place"]], cls[own["place"]] = own["n"], own["class"]
+            place = own["slot"] // wide
+            n[place], cls[place] = own["n"], own["slot"] % wide
             sizes = np.array([by_class.get(c, (0, 0)) for c in range(wide)], dtype=float)
             emit = np.where(n > 0, np.log10((n + SMOOTH) / np.maximum(sizes[cls, 0] + SMOOTH * sizes[cls, 1], SMOOTH)), 0.0)
             base = np.log10((n + SMOOTH) / (train_tokens + SMOOTH * (kinds + 1)))
