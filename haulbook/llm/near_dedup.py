@@ -133,28 +133,27 @@ def may_link(left: str, right: str) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``_node`` and ``_class``, the smallest node that links lead to, by contraction.
+    """``_node`` and ``_class``, the smallest node that links lead to, by contraction of stored ``edges``, which are removed.
 
     Each round every node joins its smallest neighbour and the edges move to what their
     ends have become, until none is left. Rounds shrink the graph at least by half.
     """
-    edges = stored(edges)
-    moves = None
+    steps = []
     while not edges.isEmpty():
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = stored(both.groupBy("a").agg(F.min("b").alias("_low")).select("a", F.least("a", "_low").alias("_to")))
         to_a, to_b = step.select("a", F.col("_to").alias("_a")), step.select(F.col("a").alias("b"), F.col("_to").alias("_b"))
         left = stored(edges.join(to_a, "a").join(to_b, "b").filter("_a <> _b")
                       .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
-        if moves is None:
-            now = step.select(F.col("a").alias("_node"), F.col("_to").alias("_class"))
-        else:
-            now = (moves.join(step, moves["_class"] == step["a"], "left")
-                   .select("_node", F.coalesce("_to", "_class").alias("_class")))
-        old, moves = moves, stored(now)
-        discard(edges, step, *([old] if old is not None else []))
+        discard(edges)
         edges = left
-    return moves if moves is not None else edges.select(F.col("a").alias("_node"), F.col("b").alias("_class"))
+        steps.append(step)
+    if not steps:
+        return edges.select(F.col("a").alias("_node"), F.col("b").alias("_class"))
+    moves = steps[0].select(F.col("a").alias("_node"), F.col("_to").alias("_class"))
+    for step in steps[1:]:
+        moves = moves.join(step, moves["_class"] == step["a"], "left").select("_node", F.coalesce("_to", "_class").alias("_class"))
+    return moves
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,9 +165,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     from the start, so copies are never compared. Texts without words form one class.
 
     Signatures in bands find candidates. In some bands every member of a bucket is first
-    tried with one hub; then, twice, one member of each class of a bucket with those of
-    its other classes; last, all pairs of a bucket's members that are still in different
-    classes. Pairs inside a class need no trial, so nothing that would change a class is
+    tried with one hub; then one member of each class of a bucket with those of its other
+    classes; last, all pairs of a bucket's members that are still in different classes. Pairs inside a class need no trial, so nothing that would change a class is
     left out, and a group of near copies costs about one trial a member. Sizes and
     sketches rule out pairs in the join itself; every other pair is verified on the bags.
 
@@ -201,25 +199,31 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pick = F.min_by(attrs, F.xxhash64("_node", "_bucket", F.lit(salt))).alias("_pick")
         return of.groupBy(*by).agg(pick).select("_bucket", "_pick.*")
 
-    def merged(links: DataFrame) -> DataFrame:
-        """The members of buckets that still hold several classes, with the classes after these links."""
-        nonlocal moves
-        step = components(links)
-        moved = (members if moves is None else members.drop("_class").join(moves, "_node")).select("_node", "_class").distinct()
-        new = stored(moved.join(step.select(F.col("_node").alias("_class"), F.col("_class").alias("_new")), "_class", "left")
-                     .select("_node", F.coalesce("_new", "_class").alias("_class")))
-        moves = new
-        now = members.drop("_class").join(new, "_node")
-        mixed_up = now.groupBy("_bucket").agg(F.min("_class").alias("_lo"), F.max("_class").alias("_hi")).filter("_lo <> _hi").select("_bucket")
-        return stored(now.join(mixed_up, "_bucket"))
-
-    moves: DataFrame | None = None
+    def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+        """The classes of all nodes after these links."""
+        links = stored(links)
+        if links.isEmpty():
+            return classes
+        step = components(links).select(F.col("_node").alias("_class"), F.col("_class").alias("_new"))
+        return stored(classes.join(step, "_class", "left").select("_node", F.coalesce("_new", "_class").alias("_class")))
+
+    def unsettled(classes: DataFrame) -> DataFrame:
+        """Members of the buckets that still hold several classes, and whether theirs is the bucket's largest."""
+        now = members.drop("_class").join(classes, "_node")
+        sizes = now.groupBy("_bucket", "_class").agg(F.count("*").alias("_n"))
+        tops = (sizes.groupBy("_bucket").agg(F.max_by("_class", F.struct("_n", "_class")).alias("_top"), F.count("*").alias("_classes"))
+                .filter("_classes > 1").select("_bucket", "_top"))
+        return stored(now.join(tops, "_bucket").withColumn("_main", F.col("_class") == F.col("_top")).drop("_top"))
+
+    moves = members.select("_node", "_class").distinct()
     few = members.filter(F.col("_band") < HUB_BANDS)
-    active = merged(verified(pairs(one_each(["_bucket"], 0, few), few, F.col("a._node") != F.col("b._node")), sets))
-    for salt in (1, 2):
-        reps = stored(one_each(["_bucket", "_class"], salt, active))
-        active = merged(verified(pairs(reps, reps, F.col("a._class") < F.col("b._class")), sets))
-    merged(verified(pairs(active, active, F.col("a._class") < F.col("b._class")), sets))
+    moves = merged(moves, verified(pairs(one_each(["_bucket"], 0, few), few, F.col("a._node") != F.col("b._node")), sets))
+    reps = stored(one_each(["_bucket", "_class"], 1, unsettled(moves)))
+    moves = merged(moves, verified(pairs(reps, reps, F.col("a._class") < F.col("b._class")), sets))
+    # Members of a bucket's largest class are never held against each other, so a large class costs as many trials as it has outsiders.
+    active = unsettled(moves)
+    across = (F.col("a._class") != F.col("b._class")) & (F.col("b._main") | (F.col("a._class") < F.col("b._class")))
+    moves = merged(moves, verified(pairs(active.filter("not _main"), active, across), sets))
     labelled = (marked.select("_id", "_key").join(kinds, "_key").join(moves, "_node", "left")
                 .select("_id", F.coalesce("_class", "_node").alias("_class")))
     known = F.when(F.col("_id") != low, F.col("_id"))
