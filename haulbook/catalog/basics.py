@@ -92,7 +92,7 @@ def _(spark, path):
 @query("freshness_check", f"""select {stamp('max(o_orderdate)')} as newest,
 case when timestamp '2001-08-01' > max(o_orderdate) then 'WARNING UPDATE DATABASE' else 'DB OKAY' end as info from orders""")
 def _(spark, path):
-    return tables.freshness_check(Roles(spark, path).orders(), F.lit("2001-08-01"))
+    return tables.freshness_check(Roles(spark, path).orders(), "2001-08-01")
 
 
 # ---- report windows, worked out for every order date
@@ -270,7 +270,7 @@ DATE_TESTS_ALL = {**DATE_TESTS, None: " or ".join(DATE_TESTS[k] for k in (0, 1,
     for k, v in DATE_TESTS_ALL.items()))
 def _(spark, path):
     s = Roles(spark, path).shipped_orders()
-    one = lambda k: f.date_mode_filter(s, k, F.lit("1997-02-01"), F.lit("1997-03-31")).agg(
+    one = lambda k: f.date_mode_filter(s, k, "1997-02-01", "1997-03-31").agg(
         F.lit(-1 if k is None else k).alias("mode"), F.count("*").alias("n"), F.min("order_id").alias("lo"), F.max("order_id").alias("hi"))
     return reduce(lambda a, b: a.unionByName(b), [one(k) for k in DATE_TESTS_ALL])
 

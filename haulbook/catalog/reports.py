@@ -399,22 +399,22 @@ def _(spark, path):
 @query("service_level_detail", f"""{LEVEL}, spec as (select l_orderkey, count(*) n from lineitem join part on p_partkey = l_partkey where l_returnflag <> 'R' and p_brand in ('Brand#24', 'Brand#25') group by 1),
 stop as (select l_orderkey, max(l_linenumber) sq from lineitem group by 1),
 pad as (select conv_id, count(*) n, timestamp '1996-01-01' + to_days(cast(conv_id as int)) lu from conversations group by 1)
-select order_id, client_name, {stamp("timezone(zone, timezone('UTC', stamp))")} as stamp, strftime(timezone(zone, timezone('UTC', scheduled)), '%m/%d/%Y') as scheduled_on,
-{stamp("timezone(zone, timezone('UTC', completed))")} as completed, case lvl.type when 'P' then 'PU' else 'DEL' end as type, pad.n as note_count, sq as sequence_number, coalesce(spec.n, 0) as specialty_count,
+select order_id, client_name, {stamp("coalesce(timezone(zone, timezone('UTC', stamp)), stamp)")} as stamp, strftime(coalesce(timezone(zone, timezone('UTC', scheduled)), scheduled), '%m/%d/%Y') as scheduled_on,
+{stamp("coalesce(timezone(zone, timezone('UTC', completed)), completed)")} as completed, case lvl.type when 'P' then 'PU' else 'DEL' end as type, pad.n as note_count, sq as sequence_number, coalesce(spec.n, 0) as specialty_count,
 case when lu > coalesce(last_viewed, timestamp '1900-01-01') + interval 1 second then 1 else 0 end as new_note, reason, rn.name as reason_name, zone_abbr, missed, variance, su."full" as submitter,
 case when add_on_stop = false then 'No' else 'Yes' end as add_on_stop, last_viewed_by, vu.last_name as viewer_last
 from lvl left join spec on spec.l_orderkey = order_id left join stop on stop.l_orderkey = order_id left join pad on conv_id = order_id
 left join (select distinct left(o_orderpriority, 1) code, o_orderpriority as name from orders) rn on rn.code = reason left join r_users su on su.user_id = ordered_by
 left join r_users vu on vu."user" = last_viewed_by
-where status in ('R','S','T','U','Q','D','P','QU') and timezone(zone, timezone('UTC', scheduled)) between timestamp '1997-01-01' and timestamp '1997-12-31'""")
+where status in ('R','S','T','U','Q','D','P','QU') and coalesce(timezone(zone, timezone('UTC', scheduled)), scheduled) between timestamp '1997-01-01' and timestamp '1997-12-31'""")
 def _(spark, path):
     r = Roles(spark, path)
-    level = _level(spark, path, date_mode=0, start=F.lit("1997-01-01"), end=F.lit("1997-12-31"))
+    level = _level(spark, path, date_mode=0, start="1997-01-01", end="1997-12-31")
     pads = r.t["conversations"].groupBy("conv_id").agg(F.count("*").alias("note_count")).selectExpr(
         "conv_id as order_id", "note_count", "timestampadd(DAY, conv_id, timestamp_ntz'1996-01-01 00:00:00') as last_update")
     stops = r.t["lineitem"].selectExpr("l_orderkey as order_id", "l_linenumber as sequence_number")
     brand = r.t["part"].selectExpr("p_partkey as product_id", "case p_brand when 'Brand#24' then 243 when 'Brand#25' then 244 else 0 end as item_id")
     special = r.details().filter("order_id is not null").select("order_id", "product_id").join(brand, "product_id")
-    out = sc.service_level_detail(level, pads, stops, special, r.lookup(), r.users(), date_mode=0, start=F.lit("1997-01-01"), end=F.lit("1997-12-31"), sort="client_name")
+    out = sc.service_level_detail(level, pads, stops, special, r.lookup(), r.users(), date_mode=0, start="1997-01-01", end="1997-12-31", sort="client_name")
     return out.select("order_id", "client_name", "stamp", "scheduled_on", "completed", "type", "note_count", "sequence_number", "specialty_count", "new_note", "reason",
                       "reason_name", "zone_abbr", "missed", "variance", "submitter", "add_on_stop", "last_viewed_by", "viewer_last")

@@ -141,7 +141,7 @@ def _site_sql(total):
     return f"""with per_site as (select s_suppkey as site_id, s_name as site_name, orders, service_calls, small, promo, other from supplier left join (
 select l_suppkey, count(*) as orders, count(case when sc then 1 end) as service_calls, count(case when sc and sm then 1 end) as small,
 count(case when sc and pr then 1 end) as promo, count(case when sc and not sm and not pr then 1 end) as other from
-(select l_suppkey, l_linenumber > 5 as sc, l_quantity < 10 as sm, l_discount = 0.1 as pr from lineitem where l_shipdate < '1995-02-01') group by 1) on l_suppkey = s_suppkey)
+(select l_suppkey, l_linenumber > 5 as sc, l_quantity < 10 as sm, l_discount = 0.1 as pr from lineitem) group by 1) on l_suppkey = s_suppkey)
 select site_id, site_name, orders, service_calls, small, promo, other, {text('small', 'service_calls')} as pct_small, {text('promo', 'service_calls')} as pct_promo,
 {text('other', 'service_calls')} as pct_other, {text('service_calls', 'orders')} as pct_service_calls from {src}"""
 
@@ -149,7 +149,7 @@ select site_id, site_name, orders, service_calls, small, promo, other, {text('sm
 def _sites(spark, path):
     t = Roles(spark, path).t
     flag = lambda c, n: F.when(c, 1).otherwise(0).alias(n)
-    lines = t["lineitem"].filter(F.col("l_shipdate") < F.lit("1995-02-01").cast("timestamp_ntz")).select(
+    lines = t["lineitem"].select(
         F.col("l_suppkey").alias("site_id"), flag(F.col("l_linenumber") > 5, "service_call"), flag(F.col("l_quantity") < 10, "small"),
         flag(F.col("l_discount") == 0.1, "promo"))
     return a.site_summary(lines, t["supplier"].select(F.col("s_suppkey").alias("site_id"), F.col("s_name").alias("site_name")), SITE_GROUPS)

@@ -84,9 +84,10 @@ def time_span(a: str, b: str) -> Column:
                   f"{two(3600, 24)}, ':', {two(60, 60)}, ':', {two(1, 60)})")
 
 
-def local_time(ts, zone) -> Column:
-    """A zone-less UTC stamp shown in the given zone; NULL zone gives NULL."""
-    return F.convert_timezone(F.lit("UTC"), as_col(zone), as_col(ts))
+def local_time(ts, zone, keep: bool = False) -> Column:
+    """A zone-less UTC stamp shown in the given zone; NULL zone gives NULL, or with ``keep`` the stamp as it is."""
+    shown = F.convert_timezone(F.lit("UTC"), as_col(zone), as_col(ts))
+    return F.coalesce(shown, as_col(ts)) if keep else shown
 
 
 def us_date(ts) -> Column:

@@ -25,7 +25,7 @@ def share_of(num: str, den: str, cast: str = "decimal(9,6)", empty: str = "0") -
 def money_share(num: str, den: str, digits: int = 3) -> Column:
     """num / den of two amounts rounded to ``digits``, 0 when den is 0 or missing."""
     kind = f"decimal(18,{digits})"
-    n, d = (f"coalesce(cast({x} as decimal(19,4)), 0)" for x in (num, den))
+    n, d = (f"coalesce(cast({x} as decimal(28,4)), 0)" for x in (num, den))
     return F.expr(f"if({d} = 0, cast(0 as {kind}), cast(round({n} / nullif({d}, 0), {digits}) as {kind}))")
 
 

@@ -18,7 +18,7 @@ AUTO_COMPLETED = 2
 
 def optional_filter(df: DataFrame, col: str, value) -> DataFrame:
     """``col = value``, or every row with a value when none is asked for."""
-    return df if value is None else df.filter(F.col(col) == F.lit(value))
+    return df.filter(F.col(col).isNotNull() if value is None else F.col(col) == F.lit(value))
 
 
 def list_filter(df: DataFrame, col: str, csv: str | None, keep_null: bool = True) -> DataFrame:
@@ -50,8 +50,10 @@ def search_orders(orders: DataFrame, order_id=None, route=None, patient_id=None,
     """Search by the strongest criterion given: order, then route, then patient, then last-name prefix.
 
     A hit drops every weaker criterion. ``others`` (date_mode, start, end, statuses,
-    clients) is dropped by an order or patient search; a route search keeps only the
-    dates, on the scheduled time.
+    priority, clients, drivers) is dropped by an order or patient search; a route search
+    keeps only the dates, on the scheduled time. A search for scheduled, open or priority
+    orders without a date mode goes by the scheduled time. Orders without a driver are
+    found only without a list of drivers.
     """
     if order_id:
         return status_mode_filter(orders.filter(F.col("order_id") == order_id))
@@ -62,16 +64,23 @@ def search_orders(orders: DataFrame, order_id=None, route=None, patient_id=None,
         df = orders.filter(F.col("route_number") == route)
         return status_mode_filter(date_mode_filter(df, 0, **dates))
     df = orders if last_name is None else orders.filter(prefix_like("last_name", last_name))
-    df = date_mode_filter(df, others.get("date_mode"), **dates)
+    mode, codes = others.get("date_mode"), (others.get("statuses") or "").split(",")
+    if mode is None and (others.get("priority") or "S" in codes or "!" in codes):
+        mode = 0
+    df = date_mode_filter(df, mode, **dates)
+    df = list_filter(df, "driver_id", others.get("drivers"))
     df = list_filter(df, "client_id", others.get("clients"))
     return status_mode_filter(df, others.get("statuses"), others.get("priority", False))
 
 
 def date_mode_filter(df: DataFrame, mode: int | None, start=None, end=None, hours: int = 6) -> DataFrame:
-    """0 scheduled (window widened by ``hours``), 1 ordered, 2 completed, 3 completed automatically, None any of them."""
+    """0 scheduled (window widened by ``hours``), 1 ordered, 2 completed, 3 completed automatically, None any of them.
+
+    Bounds are columns, dates or ISO text; one that is missing is the other.
+    """
     if start is None and end is None:
         return df
-    start, end = as_col(start).cast("timestamp_ntz"), as_col(end).cast("timestamp_ntz")
+    start, end = (F.lit(b).cast("timestamp_ntz") for b in (end if start is None else start, start if end is None else end))
     wide = shift_window(start, end, hours)
     tests = {
         0: F.col("scheduled").between(*wide),

@@ -22,8 +22,8 @@ NATIONAL = "National: All Regions"
 def budget_months(budgets: DataFrame, months: DataFrame) -> DataFrame:
     """Budgets repeated for each wanted month they cover.
 
-    ``months`` is the list of wanted months (yyyymm); ranges are opened with
-    ``sequence``, clipped to the first and last of them.
+    ``months`` is the list of wanted months (yyyymm), with or without gaps; ranges are
+    opened with ``sequence``, clipped to the first and last of them.
     """
     lo, hi = months.agg(F.min("yyyymm"), F.max("yyyymm")).first()
     if lo is None:
@@ -34,6 +34,7 @@ def budget_months(budgets: DataFrame, months: DataFrame) -> DataFrame:
     spread = covered.withColumn("_m", F.explode(F.expr(
         f"sequence({day(f'greatest(begin_yyyymm, {lo})')}, {day(f'least({ends}, {hi})')}, interval 1 month)")))
     return (spread.withColumn("yyyymm", F.expr("year(_m) * 100 + month(_m)")).drop("_m")
+            .join(months.select("yyyymm").distinct(), "yyyymm", "left_semi")
             .withColumn("sub_unit", F.coalesce("sub_unit", F.lit(0))))
 
 
@@ -47,7 +48,7 @@ def contract_pairs(activity: DataFrame, budgets: DataFrame, contracts: DataFrame
     """
     key = ["yyyymm", "client_id", "sub_unit", "site_id"]
     active = (activity.withColumn("sub_unit", F.coalesce("sub_unit", F.lit(0))).filter(F.col("site_id") > 0)
-              .join(F.broadcast(months.select("yyyymm").distinct()), "yyyymm", "left_semi").select(*key).distinct())
+              .join(months.select("yyyymm").distinct(), "yyyymm", "left_semi").select(*key).distinct())
     planned = budget_months(budgets, months)
     one = planned.groupBy(*key).agg(F.min(F.struct("budget_id", "contract_id", "network_type")).alias("_b"))
     idle = one.select(*key).join(active, key, "left_anti")
@@ -62,8 +63,8 @@ def contract_pairs(activity: DataFrame, budgets: DataFrame, contracts: DataFrame
     own = (locations.filter(F.col("company_id") == own_company)
            .select(F.col("location_id").alias("site_id"), F.lit(True).alias("_own")).distinct())
     out = (out.join(contracts.select("contract_id", F.col("owner_company").alias("_owner")), "contract_id", "left")
-           .join(own, "site_id", "left").withColumn("owner", F.coalesce("_owner", F.lit(OWN_COMPANY))))
-    kind = F.when(F.col("_own"), "B&M").when(F.col("owner") == OWN_COMPANY, "NET").otherwise("SWC")
+           .join(own, "site_id", "left").withColumn("owner", F.coalesce("_owner", F.lit(own_company))))
+    kind = F.when(F.col("_own"), "B&M").when(F.col("owner") == own_company, "NET").otherwise("SWC")
     return out.withColumn("contract_type", kind).select(
         *key, "activity", "budget_id", "contract_id", "network_type", "owner", "contract_type")
 

@@ -20,7 +20,7 @@ OWN_COMPANY = 2
 def order_channel(orders: DataFrame, patients: DataFrame, locations: DataFrame, companies: DataFrame,
                   regions: DataFrame, states: DataFrame, users: DataFrame, user_locations: DataFrame, start, end, *,
                   house_name: str, client_company: int | None = None, site_company: int | None = None,
-                  upper: str = "midnight") -> DataFrame:
+                  own_company: int = OWN_COMPANY, upper: str = "midnight") -> DataFrame:
     """Each delivered or picked-up order as phone or system, phone split into network and own company.
 
     An order is phone when its user is of a phone type or carries the house's own
@@ -50,7 +50,7 @@ def order_channel(orders: DataFrame, patients: DataFrame, locations: DataFrame,
     out = region_fill(out, states, "region_id", "region").withColumn("region_id", F.coalesce("region_id", F.lit(0)))
     out = fallback_lookup(out, user_locations, "ordered_by", "client_company", "site_company")
     phone = F.when(F.trim("_type").isin(PHONE_USER_TYPES) | (F.lower("first") == house_name.lower()), 1).otherwise(0)
-    own = F.coalesce((F.col("user_company") == OWN_COMPANY) & (F.trim("user_level") == "D"), F.lit(False))
+    own = F.coalesce((F.col("user_company") == own_company) & (F.trim("user_level") == "D"), F.lit(False))
     out = out.withColumn("phone", F.coalesce(phone, F.lit(0)))
     return out.select("hospice", "region_id", "region", "client", "provider", "site", "phone",
                       (1 - F.col("phone")).alias("system"),

@@ -121,7 +121,7 @@ def service_level(orders: DataFrame, patients: DataFrame, locations: DataFrame,
     """Orders found by the search, of patients of the provider's sites, with lateness, labels and local times.
 
     ``search`` takes order_id, route, patient_id, last_name, date_mode, start, end,
-    statuses, clients, priority. ``zones`` has site_id, zone and zone_abbr.
+    statuses, clients, drivers, priority. ``zones`` has site_id, zone and zone_abbr.
     """
     site = (locations.filter((F.col("company_id") == company) & (F.trim("type") == "S"))
             .select(F.col("location_id").alias("site_id"), F.col("name").alias("site_name")))
@@ -151,14 +151,16 @@ def service_level_detail(level: DataFrame, notepads: DataFrame, route_stops: Dat
                          sort: str | None = None) -> DataFrame:
     """The wide dashboard rows of a ``service_level`` result, with local times, note and patient flags, in the asked order.
 
-    The exact window is applied to local times, after the coarse search.
+    The exact window is applied to local times, after the coarse search. A site without
+    a zone shows its stamps unshifted.
     """
     shown = level
     if start is not None and date_mode in (0, None):
-        inside = local_time("scheduled", "zone").between(as_col(start).cast("timestamp_ntz"), as_col(end).cast("timestamp_ntz"))
+        low, high = F.lit(start).cast("timestamp_ntz"), F.lit(start if end is None else end).cast("timestamp_ntz")
+        inside = local_time("scheduled", "zone", keep=True).between(low, high)
         if date_mode is None:
             for c in ("stamp", "completed"):
-                inside = inside | F.col(c).between(as_col(start).cast("timestamp_ntz"), as_col(end).cast("timestamp_ntz"))
+                inside = inside | F.col(c).between(low, high)
         shown = shown.filter(inside)
     stops = latest_per_key(route_stops, "order_id", "sequence_number")
     specialty = (item_lines.filter(F.col("item_id").isin(SPECIALTY_ITEMS)).groupBy("order_id")
@@ -171,7 +173,7 @@ def service_level_detail(level: DataFrame, notepads: DataFrame, route_stops: Dat
            .join(viewer, "last_viewed_by", "left").join(submitter, "ordered_by", "left"))
     out = join_code(out, lookup, "ORC", "reason", "reason_name", default="O")
     seen = F.timestamp_add("SECOND", F.lit(1), F.coalesce("last_viewed", F.lit("1900-01-01").cast("timestamp_ntz")))
-    here = lambda c: local_time(c, "zone")
+    here = lambda c: local_time(c, "zone", keep=True)
     flag = lambda cond: F.when(cond, 1).otherwise(0)
     out = out.select(
         "client_name", "order_id", "status", "status_group", label_of("type", TYPE_CODES).alias("type"),

@@ -183,9 +183,12 @@ def workflow_activity(orders: DataFrame, history: DataFrame, patients: DataFrame
 
 def reconcile_log(orders: DataFrame, history: DataFrame, patients: DataFrame, budgets: DataFrame,
                   locations: DataFrame, companies: DataFrame, users: DataFrame, lookup: DataFrame, start, end, *,
-                  providers: list[int] | None = None, skip_user: int | None = 1286,
+                  providers: list[int] | None = None, skip_user: int | None = None,
                   upper: str = "midnight") -> DataFrame:
-    """Reconcile actions on orders placed in the window, with reason and warehouse, for the given providers."""
+    """Reconcile actions on orders placed in the window, with reason and warehouse, for the given providers.
+
+    An order counts if its client and site share a budget, once however many they share.
+    """
     base = orders.filter(in_window("stamp", start, end, upper))
     if skip_user is not None:
         base = exclude_user(base, skip_user)
@@ -200,7 +203,7 @@ def reconcile_log(orders: DataFrame, history: DataFrame, patients: DataFrame, bu
     done = history.filter(same_code("action", RECONCILED)).select("order_id", "user_id", F.col("at").alias("reconciled_at"))
     out = (done.join(base, "order_id")
            .join(patients.select("patient_id", "client_id", "site_id"), "patient_id")
-           .join(budgets.select("client_id", "site_id"), ["client_id", "site_id"])
+           .join(budgets.select("client_id", "site_id"), ["client_id", "site_id"], "left_semi")
            .join(site, "site_id").join(client, "client_id")
            .join(users.select("user_id", "user", "full"), "user_id"))
     out = join_code(out, lookup, "ORC", "reason", "reason_name")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
 
@@ -10,9 +11,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from haulbook.functions.windows import in_window
 
 
+FILES_PER_KEY = 8
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new path in the shared folder the session names; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="haulbook-")
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names. A temporary folder serves a local session alone."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="haulbook-")
     return f"{root.rstrip('/')}/haulbook-{uuid.uuid4().hex}"
 
 
@@ -48,8 +56,9 @@ def export_delimited(df: DataFrame, path: str, sep: str = "\t") -> str:
 
 
 def export_by_key(df: DataFrame, path: str, key: str, sep: str = "\t", rows_per_file: int = 5_000_000) -> str:
-    """One folder of files per key; a key with many rows gets several files."""
-    (_trimmed(df).write.mode("overwrite").option("sep", sep).option("header", True)
+    """One folder per key with about ``FILES_PER_KEY`` files, more for a key with very many rows."""
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_KEY))
+    (_trimmed(df.repartition(F.col(key), spread)).write.mode("overwrite").option("sep", sep).option("header", True)
      .option("maxRecordsPerFile", rows_per_file).partitionBy(key).csv(path))
     return path
 
@@ -64,6 +73,20 @@ def replace_window(target: DataFrame, new: DataFrame, date_col: str, start, end,
     return old.unionByName(new.select(*target.columns))
 
 
-def replace_partitions(new: DataFrame, path: str, day_col: str) -> None:
-    """In place: overwrite only the day folders present in the new rows."""
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path))
+def replace_partitions(new: DataFrame, path: str, day_col: str, start: str | None = None, end: str | None = None) -> None:
+    """In place: overwrite the day folders present in the new rows.
+
+    With a window, given as ISO dates of its first and last day, folders of its days
+    that got no new row are removed; all other days stay.
+    """
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
+    if start is None or end is None:
+        return
+    spark, first, last = new.sparkSession, dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    wanted = F.col(day_col).cast("date").between(first, last)
+    filled = {str(r[0]) for r in new.filter(wanted).select(F.col(day_col).cast("date")).distinct().collect()}   # one row a day at most
+    for k in range((last - first).days + 1):
+        day = str(first + dt.timedelta(k))
+        if day not in filled:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day_col}={day}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

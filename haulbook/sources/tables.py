@@ -3,26 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
-from haulbook.functions.dates import as_col
 from haulbook.functions.numbers import yes_no
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def load_tables(spark: SparkSession, path: str, names: list[str] = TABLES) -> dict[str, DataFrame]:
-    """Parquet tables by name. A file's schema is looked up once and then given to the reader."""
-    out = {}
-    for n in names:
-        file = f"{path}/{n}.parquet"
-        out[n] = spark.read.schema(_schemas[file]).parquet(file) if file in _schemas else spark.read.parquet(file)
-        _schemas[file] = out[n].schema
-    return out
+    """Parquet tables by name, with the columns that their files have now."""
+    return {n: spark.read.parquet(f"{path}/{n}.parquet") for n in names}
 
 
 def config_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -83,7 +73,7 @@ def describe_pairs(pairs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def freshness_check(orders: DataFrame, end, stamp: str = "stamp") -> DataFrame:
-    """Newest order stamp against the window's end."""
-    end = as_col(end).cast("timestamp_ntz")
+    """Newest order stamp against the window's end, a column, date or ISO text."""
+    end = F.lit(end).cast("timestamp_ntz")
     note: Column = yes_no(end > F.col("newest"), "WARNING UPDATE DATABASE", "DB OKAY")
     return orders.agg(F.max(stamp).alias("newest")).select("newest", note.alias("info"))
