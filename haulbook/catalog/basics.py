@@ -12,6 +12,7 @@ from haulbook.functions.numbers import not_null_and_positive
 from haulbook.functions.text import code_in_string, prefix_like
 from haulbook.operators import filters as f
 from haulbook.sources import sinks, tables
+from haulbook.sources.daytable import replace_days
 
 from .registry import day, query, stamp
 from .roles import Roles, with_roles
@@ -89,6 +90,24 @@ def _(spark, path):
     return sinks.replace_window(once, fresh, "placed", "1997-03-01", "1997-03-31")
 
 
+DAYS = f"""select o_orderkey as order_key, o_orderpriority as priority, o_orderdate as placed from orders"""
+
+
+@query("replace_partitions", f"""select order_key, priority, {stamp('placed')} as placed from (
+select * from ({DAYS}) where not (placed >= '1997-03-01' and placed < '1997-04-01')
+union all select order_key, 'again ' || priority, placed from ({DAYS})
+where placed >= '1997-03-01' and placed < '1997-04-01' and day(placed) % 3 <> 0)""")
+def _(spark, path):
+    """A month replaced in place; every third of its days gets no row and is gone."""
+    orders = Roles(spark, path).t["orders"].select(F.col("o_orderkey").alias("order_key"), F.col("o_orderpriority").alias("priority"),
+                                                   F.col("o_orderdate").alias("placed"))
+    folder = sinks.shared_dir(spark)
+    replace_days(orders, folder, "placed")
+    month = (orders.filter(w.in_window("placed", "1997-03-01", "1997-03-31", "whole_day") & (F.dayofmonth("placed") % 3 != 0))
+             .withColumn("priority", F.concat(F.lit("again "), "priority")))
+    return replace_days(month, folder, "placed", "1997-03-01", "1997-03-31")
+
+
 @query("freshness_check", f"""select {stamp('max(o_orderdate)')} as newest,
 case when timestamp '2001-08-01' > max(o_orderdate) then 'WARNING UPDATE DATABASE' else 'DB OKAY' end as info from orders""")
 def _(spark, path):
@@ -243,7 +262,11 @@ select 'order' as asked, order_id from st where order_id = 77
 union all select 'route', order_id from st where route_number = 2 and scheduled between timestamp '1997-01-01' - interval 6 hour and timestamp '1997-06-30' + interval 6 hour
 union all select 'patient', order_id from st where patient_id = 5
 union all select 'name', order_id from st where lower(last_name) like 'cust%' and client_id in (3, 4)
-  and completed between '1998-01-01' and '1998-12-31'""")
+  and completed between '1998-01-01' and '1998-12-31'
+union all select 'today', order_id from st where scheduled between timestamp '1997-03-05' - interval 6 hour and timestamp '1997-03-05' + interval 6 hour
+  or stamp = '1997-03-05' or completed = '1997-03-05'
+union all select 'open', order_id from st where scheduled between timestamp '1997-01-01' - interval 6 hour and timestamp '1997-02-01' + interval 6 hour
+  and reconciled is null and completed is not null""")
 def _(spark, path):
     r = Roles(spark, path)
     j = r.shipped_orders().join(r.patients().select("patient_id", "client_id", "last_name"), "patient_id")
@@ -252,6 +275,8 @@ def _(spark, path):
         "route": f.search_orders(j, route=2, patient_id=5, start=F.lit("1997-01-01"), end=F.lit("1997-06-30")),
         "patient": f.search_orders(j, patient_id=5, last_name="x", statuses="Q"),
         "name": f.search_orders(j, last_name="Cust", clients="3,4", date_mode=2, start=F.lit("1998-01-01"), end=F.lit("1998-12-31")),
+        "today": f.search_orders(j, today="1997-03-05"),
+        "open": f.search_orders(j, statuses="!", start="1997-01-01", today="1997-02-01"),
     }
     return reduce(lambda a, b: a.unionByName(b), [d.select(F.lit(k).alias("asked"), "order_id") for k, d in found.items()])
 

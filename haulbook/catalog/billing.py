@@ -70,13 +70,14 @@ items as (select * from base union all select yyyymm, client_id, site_id, item_i
   from base join member on m = contract_type where combo in (select combo from ok))"""
 
 
-def _items(r):
-    return b.billable_items(r.billed(), r.brands(), _typed_pairs(r))
+def _typed(r):
+    return b.typed_items(r.billed(), r.brands(), _typed_pairs(r))
 
 
 @query("billable_items", f"{ITEM_SQL} select yyyymm, client_id, site_id, item_id, cast(total as double) as total, records, contract_type, region_id, region_name from items")
 def _(spark, path):
-    return _items(Roles(spark, path))
+    r = Roles(spark, path)
+    return b.billable_items(r.billed(), r.brands(), _typed_pairs(r))
 
 
 START, N_MONTHS = dt.date(1998, 1, 1), 3
@@ -105,7 +106,7 @@ ALL_MONTHS = "cast(coalesce(sum(case when yyyymm in (199801, 199802, 199803) the
 
 def _top(spark, path, **opts):
     r = Roles(spark, path)
-    return b.top_items(_items(r), r.brand_names(), START, n_months=N_MONTHS, **opts)
+    return b.top_items(_typed(r), r.brand_names(), START, n_months=N_MONTHS, **opts)
 
 
 @query("top_items", f"""{TOP_SQL} select contract_type, {LABEL} as contract, 'National: All Regions' as region_name, item_id, item_name,
@@ -134,7 +135,7 @@ def _(spark, path):
 @query("top_lists", f"""{TOP_SQL} select contract_type, item_id, cast(total as double) as total, cast(g as double) as group_total, {money_ratio('total', 'g')} as share,
 row_number() over (partition by contract_type order by total desc, item_id) as rank from nat""")
 def _(spark, path):
-    return b.top_lists(b.monthly_cells(_items(Roles(spark, path))))
+    return b.top_lists(b.monthly_cells(_typed(Roles(spark, path))))
 
 
 # ---- order channel and census

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from haulbook.functions.dates import yyyymm
 from haulbook.operators import lookups as k
 from haulbook.operators.ranking import previous_order
-from haulbook.operators.skew import salted_join
+from haulbook.operators.history import up_to_last
 from haulbook.plans.billing import budget_months
 
 from .registry import query, stamp
@@ -98,11 +98,9 @@ def _(spark, path):
 @query("theta_join_on_id", """select user_id as order_id, count(*) as n, min(event_id) as first_id from events
 join (select user_id u, max(event_id) m from events where event_type = 'click' group by 1) on u = user_id and event_id <= m group by 1""")
 def _(spark, path):
-    """History rows up to the order's last scheduling: an equi-join on the order and a filter."""
-    e = Roles(spark, path).t["events"].select("event_id", "user_id", "event_type")
-    mark = e.filter(F.col("event_type") == "click").groupBy("user_id").agg(F.max("event_id").alias("m"))
-    return (salted_join(e, mark, ["user_id"]).filter(F.col("event_id") <= F.col("m")).groupBy(F.col("user_id").alias("order_id"))
-            .agg(F.count("*").alias("n"), F.min("event_id").alias("first_id")))
+    """History rows up to the order's last scheduling."""
+    log = Roles(spark, path).history()
+    return up_to_last(log, F.col("action") == "Sch").groupBy("order_id").agg(F.count("*").alias("n"), F.min("history_id").alias("first_id"))
 
 
 PREV = f"""select o_orderkey as order_id, lag(o_orderkey) over w as prev_id, {stamp('lag(o_orderdate) over w')} as prev_at
@@ -122,8 +120,8 @@ def _(spark, path):
 
 @query("previous_order_split", PREV)
 def _(spark, path):
-    """The same with every patient treated as hot."""
-    return _previous(spark, path, hot_rows=3)
+    """The same with two ids to a block."""
+    return _previous(spark, path, block=2)
 
 
 @query("fallback_lookup", f"""{with_roles('r_orders', 'r_patients', 'r_locations', 'r_user_locations')}

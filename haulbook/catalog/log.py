@@ -56,8 +56,8 @@ def _(spark, path):
 
 @query("views_before_salted", VIEW_SQL.format("order_id, scheduled_id, views_before"))
 def _(spark, path):
-    """The same with every order treated as hot."""
-    return h.views_before(_h(spark, path), hot_rows=5)
+    """The same over a log that comes in many small parts."""
+    return h.views_before(_h(spark, path).repartition(64, F.xxhash64("history_id")))
 
 
 @query("first_per_key", f"""{H} select order_id, {stamp("min(case when action <> 'NOd' then at end)")} as viewed_at,
@@ -85,7 +85,7 @@ STAR = """star as (select o.*, s.name site_name, p.site_id, p.client_id, c.name
   from r_logged o join r_patients p using (patient_id) join r_locations s on s.location_id = p.site_id
   join r_locations c on c.location_id = p.client_id join r_companies h on h.id = c.company_id where s.company_id = 2)"""
 
-WORKFLOW = with_roles("r_logged", "r_patients", "r_locations", "r_companies", "r_users", "r_history") + f", {MARKS}, {VIEWS}, {PEOPLE}, {STAR}"
+WORKFLOW = with_roles("r_statuses", "r_logged", "r_patients", "r_locations", "r_companies", "r_users", "r_history") + f", {MARKS}, {VIEWS}, {PEOPLE}, {STAR}"
 
 
 def _workflow_sql(clock):
@@ -96,7 +96,7 @@ def _workflow_sql(clock):
     reason = ("join (select distinct left(o_orderpriority, 1) code, o_orderpriority o_name from orders) r on r.code = star.reason"
               if clock == "received" else "left join r_users ud on ud.user_id = people.done_by")
     return f"""{WORKFLOW}
-select {day('stamp')} as placed, order_id, status,
+select {day('stamp')} as placed, order_id, status, status_name,
  case status when 'D' then 'DONE' when 'R' then 'RECV' end as status_group, case when priority then 'Yes' else 'No' end as priority,
  site_name || ' [ ' || site_id || ' ]' as site, abbr || ': ' || client_name as client, uo."full" as ordered_by_name,
  {stamp('received')} as received, {stamp('first_view')} as first_view, uv."full" as viewed_by_name,
@@ -105,7 +105,7 @@ select {day('stamp')} as placed, order_id, status,
  {stamp('scheduled')} as scheduled, us."full" as scheduled_by_name, {span(sched, 'scheduled')} as time_to_schedule,
  case when date_diff('minute', {sched}, scheduled) > 30 then 'N' else 'Y' end as scheduling_metric_met,
  date_diff('minute', {sched}, scheduled) as scheduling_variance, views_before, {stamp('last_view')} as last_view, {extra}
-from star join marks using (order_id) left join views using (order_id) left join people using (order_id)
+from star join r_statuses using (status) join marks using (order_id) left join views using (order_id) left join people using (order_id)
 join r_users us on us.user_id = scheduled_by join r_users uo on uo.user_id = ordered_by left join r_users uv on uv.user_id = viewed_by
 {reason} where stamp >= '2024-01-01' and stamp < '2024-02-01'"""
 
@@ -113,7 +113,7 @@ join r_users us on us.user_id = scheduled_by join r_users uo on uo.user_id = ord
 def _workflow(spark, path, clock):
     r = Roles(spark, path)
     return wf.order_workflow(r.logged_orders(), r.history(), r.patients(), r.locations(), r.companies(), r.users(), r.lookup(),
-                             "2024-01-01", "2024-01-31", clock=clock)
+                             "2024-01-01", "2024-01-31", clock=clock, statuses=r.statuses())
 
 
 @query("order_workflow", _workflow_sql("received"))
@@ -126,16 +126,16 @@ def _(spark, path):
     return _workflow(spark, path, "stamp")
 
 
-DISPATCH_COLS = f"""{day('schedule_end')} as due, order_id, status, case when priority then 'Yes' else 'No' end as priority,
- abbr || ': ' || client_name as client, site_name || ' [ ' || site_id || ' ]' as site, enroute_count as times_enroute, cast(null as varchar) as dispatched_by"""
+DISPATCH_COLS = f"""{day('schedule_end')} as due, order_id, status, status_name, case when priority then 'Yes' else 'No' end as priority,
+ abbr || ': ' || client_name as client, site_name || ' [ ' || site_id || ' ]' as site, enroute_count as times_enroute, ue."full" as dispatched_by"""
 
 
 @query("time_to_dispatch", f"""{WORKFLOW}, sync as (select user_id order_id, min(ts) synced from events where event_type = 'error' group by 1)
 select {DISPATCH_COLS}, date_diff('minute', scheduled, synced) as minutes_to_dispatch, {stamp('scheduled')} as scheduled, {stamp('synced')} as synced,
  case when date_diff('minute', scheduled, synced) < 15 then '<15' when date_diff('minute', scheduled, synced) >= 30 then '>30' else 'NA' end as variance,
  cast(add_on_stop as int) as add_on_stop
-from star join marks using (order_id) join sync using (order_id) join r_users us on us.user_id = scheduled_by
-where scheduled::date = '2024-01-01' and synced::date = '2024-01-01'""")
+from star join r_statuses using (status) join marks using (order_id) join sync using (order_id) join r_users us on us.user_id = scheduled_by
+left join r_users ue on ue.user_id = enroute_by where scheduled::date = '2024-01-01' and synced::date = '2024-01-01'""")
 def _(spark, path):
     r = Roles(spark, path)
     e = r.t["events"]
@@ -143,18 +143,18 @@ def _(spark, path):
                                                             F.lit(4).alias("annotation_type"), F.col("ts").alias("created"))
     links = e.select(F.col("event_id").alias("inventory_order_id"), F.col("user_id").alias("order_id"))
     out = wf.time_to_dispatch(r.logged_orders(), r.history(), r.patients(), r.locations(), r.companies(), r.users(), "2024-01-01",
-                              annotations=notes, inventory_orders=links)
+                              annotations=notes, inventory_orders=links, statuses=r.statuses())
     return out.withColumn("add_on_stop", F.col("add_on_stop").cast("int"))
 
 
 @query("time_to_dispatch_v1", f"""{WORKFLOW}
 select {DISPATCH_COLS}, {stamp('enroute')} as enroute, {span('scheduled', 'enroute')} as time_to_dispatch, {stamp('completed')} as completed,
  ud."user" as completed_by
-from star join marks using (order_id) left join people using (order_id) join r_users us on us.user_id = scheduled_by
-left join r_users ud on ud.user_id = done_by where schedule_end::date = '2024-01-01'""")
+from star join r_statuses using (status) join marks using (order_id) left join people using (order_id) join r_users us on us.user_id = scheduled_by
+left join r_users ue on ue.user_id = enroute_by left join r_users ud on ud.user_id = done_by where schedule_end::date = '2024-01-01'""")
 def _(spark, path):
     r = Roles(spark, path)
-    return wf.time_to_dispatch(r.logged_orders(), r.history(), r.patients(), r.locations(), r.companies(), r.users(), "2024-01-01")
+    return wf.time_to_dispatch(r.logged_orders(), r.history(), r.patients(), r.locations(), r.companies(), r.users(), "2024-01-01", statuses=r.statuses())
 
 
 def _activity_sql(level, cut):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from haulbook.operators.aggregates import concat_notes
 from haulbook.plans import client_orders as co, quality as q, redelivery as rd, service as sc
-from haulbook.sources.sinks import staged
+from haulbook.sources.sinks import shared_dir, staged
 
 from .registry import day, pct, query, stamp
 from .roles import Roles, with_roles
@@ -138,8 +139,8 @@ def _(spark, path):
 
 @query("redelivery_split", f"{STRICT} {LABEL_SQL}")
 def _(spark, path):
-    """The same with every patient treated as hot."""
-    return _label_rows(_labelled(spark, path, hot_rows=1))
+    """The same with two ids to a block."""
+    return _label_rows(_labelled(spark, path, block=2))
 
 
 @query("redelivery_lowest_id", f"{LOWEST} {LABEL_SQL}")
@@ -147,16 +148,43 @@ def _(spark, path):
     return _label_rows(_labelled(spark, path, ties="lowest_id"))
 
 
-@query("skipped_orders", f"""{STRICT} select {day('a.window_start')} as window_start, a.patient_id, a.order_id, a.skipped,
-left(string_agg(b.order_id, ', ' order by b.completed desc, b.order_id desc), 255) as skipped_ids,
-left(string_agg(b.note, ', ' order by b.completed desc, b.order_id desc), 255) as skipped_notes
+def _skipped_sql(text):
+    return f"""{STRICT} select {day('a.window_start')} as window_start, a.patient_id, a.order_id, a.skipped,
+{text("string_agg(b.order_id, ', ' order by b.completed desc, b.order_id desc)")} as skipped_ids,
+{text("string_agg(b.note, ', ' order by b.completed desc, b.order_id desc)")} as skipped_notes
 from lab a join lab b on a.window_start = b.window_start and a.patient_id = b.patient_id and (b.completed, b.order_id) < (a.completed, a.order_id)
 left join lab p on p.window_start = a.window_start and p.order_id = a.pre_order_id
-where a.skipped > 0 and (p.order_id is null or (b.completed, b.order_id) > (p.completed, p.order_id)) group by 1, 2, 3, 4""")
+where a.skipped > 0 and (p.order_id is null or (b.completed, b.order_id) > (p.completed, p.order_id)) group by 1, 2, 3, 4"""
+
+
+@query("skipped_orders", _skipped_sql(lambda text: text))
 def _(spark, path):
     return rd.skipped_orders(staged(_labelled(spark, path)))
 
 
+@query("skipped_orders_short", _skipped_sql(lambda text: f"left({text}, 255)"))
+def _(spark, path):
+    """The same cut for a report column."""
+    return rd.skipped_orders(staged(_labelled(spark, path)), width=255)
+
+
+@query("skipped_runs", f"""{STRICT} select {day('window_start')} as window_start, patient_id, run_after, order_id, note,
+row_number() over (partition by window_start, patient_id, run_after order by completed, order_id) as place
+from (select lab.*, pre_order_id as run_after, x from lab join (select window_start, order_id, x from excl) e using (window_start, order_id)) where x is not null""")
+def _(spark, path):
+    return rd.skipped_runs(_labelled(spark, path))
+
+
+DAILY = (STRICT.replace("unnest([date_trunc('month', completed), date_trunc('month', completed + interval 5 day)])::date as window_start",
+                        "unnest(generate_series(completed::date, completed::date + 5, interval 1 day))::date as window_start"))
+
+
+@query("redelivery_daily", f"{DAILY} {LABEL_SQL.replace(chr(39) + 'month' + chr(39), chr(39) + 'day' + chr(39))}")
+def _(spark, path):
+    """Day by day, with a look-back over five earlier days: an order lies in six windows."""
+    return _label_rows(_labelled(spark, path, kind="D", days=5))
+
+
 PAIRED = STRICT + """,
 chosen as (select distinct order_id from lab where note = '[Re-Del]' and paired > 0),
 placed as (select order_id, patient_id, completed::date stop_day, driver_id, route_number from r_orders),
@@ -289,14 +317,14 @@ calls as (select p.site_id, d.abbr || ': ' || s.name as site, h.abbr || ': ' ||
   join r_locations k on k.location_id = p.client_id join r_companies h on h.id = k.company_id left join r_users ud on ud.user_id = o.driver_id
   left join r_users uo on uo.user_id = o.ordered_by left join home on home.user_id = o.ordered_by
   left join (select distinct left(o_orderpriority, 1) code, o_orderpriority as name from orders) rn on rn.code = o.reason
-  left join (select conv_id, text from conversations where turn = 1) cv on cv.conv_id = o.order_id
+  left join (select conv_id, string_agg(text, ', ' order by turn) as text from conversations group by 1) cv on cv.conv_id = o.order_id
   where s.company_id = 2 and completed >= '1997-01-01' and completed <= '1997-12-31' and o.type in ('D', 'P') and o.status in ('D', 'P'))"""
 
 
 def _calls(spark, path):
     r = Roles(spark, path)
     levels = config_levels(r)
-    pads = r.t["conversations"].filter("turn = 1").selectExpr("conv_id as order_id", "text as note")
+    pads = concat_notes(r.t["conversations"], "conv_id", "text", "turn").selectExpr("conv_id as order_id", "notes as note")
     places = r.t["customer"].selectExpr("c_custkey as address_id", "if(c_custkey % 3 = 0, 'RES', null) as place")
     return sc.service_call_details(r.orders(), r.item_lines(), r.patients(), r.locations(), r.companies(), r.users(), r.user_locations(), levels,
                                    r.lookup(), pads, places, "1997-01-01", "1997-12-31", groups=GROUPS, service=F.col("item_name") == "PROMO")
@@ -340,22 +368,24 @@ def _(spark, path):
 
 
 @query("service_call_orders", f"""{with_roles('r_orders', 'r_patients', 'r_locations')},
-d as (select l_orderkey order_id, l_partkey product_id, l_orderkey * 10 + l_linenumber detail_id, count(*) n from lineitem where l_linenumber = 7 group by 1, 2, 3),
+d as (select l_orderkey order_id, l_partkey product_id, l_orderkey * 10 + l_linenumber detail_id, count(*) n from lineitem
+  where l_orderkey * 10 + l_linenumber in (select l_orderkey * 10 + l_linenumber from lineitem where l_quantity > 45) group by 1, 2, 3),
 n as (select conv_id order_id, string_agg(text, ', ' order by turn) notes from conversations group by 1)
 select k.name as client_name, p.client_id, order_id, p.last_name || ', ' || p.first_name as patient, 'street ' || o.address_id as street, k.state as city, rn.name as reason_name,
-{day('stamp')} as ordered_on, {day('completed')} as delivered_on, case when notes is not null then 0 end as part, notes, p_name as product_name, detail_id
+{day('stamp')} as ordered_on, {day('completed')} as delivered_on, notes, case when notes is not null then 1 end as note_parts, p_name as product_name, detail_id
 from r_orders o join d using (order_id) join r_patients p using (patient_id) join r_locations s on s.location_id = p.site_id join r_locations k on k.location_id = p.client_id
 join (select distinct left(o_orderpriority, 1) code, o_orderpriority as name from orders) rn on rn.code = o.reason join part on p_partkey = d.product_id
 left join n using (order_id) where s.company_id = 2 and stamp >= '1997-01-01' and stamp <= '1999-12-31'""")
 def _(spark, path):
     r = Roles(spark, path)
-    details = r.t["lineitem"].filter("l_linenumber = 7").selectExpr("l_orderkey as order_id", "l_partkey as product_id", "l_orderkey * 10 + l_linenumber as detail_id").distinct()
+    details = r.t["lineitem"].selectExpr("l_orderkey as order_id", "l_partkey as product_id", "l_orderkey * 10 + l_linenumber as detail_id").distinct()
+    calls = r.t["lineitem"].filter("l_quantity > 45").selectExpr("l_orderkey * 10 + l_linenumber as detail_id")
     notes = r.t["conversations"].selectExpr("conv_id as order_id", "text as note", "turn as note_id")
     state = r.locations().filter("type = 'C'").selectExpr("location_id as client_id", "state as city")
     addresses = r.patients().join(state, "client_id").selectExpr("address_id", "concat('street ', address_id) as street", "city", "city as state", "city as zip")
     products = r.equipment().selectExpr("product_id", "equipment_name as name")
     reasons = r.lookup().filter("group = 'ORC'").select("code", "name")
-    return sc.service_call_orders(r.orders(), details, details.select("detail_id"), notes, r.patients(), r.locations(), products, addresses, reasons,
+    return sc.service_call_orders(r.orders(), details, calls, notes, r.patients(), r.locations(), products, addresses, reasons,
                                   "1997-01-01", "1999-12-31").drop("state", "zip")
 
 
@@ -389,6 +419,19 @@ def _(spark, path):
     return out.select("order_id", "client_name", "site_name", "patient", "region", "status_group", "type_name", "place", "street", "missed", "variance", "driver")
 
 
+@query("service_level_history", f"""{LEVEL} select order_id, site_name, status, {stamp('scheduled')} as scheduled, missed, variance from lvl
+where status in ('R','S','T','U','Q','D','P','QU') and scheduled >= '1997-01-01' and scheduled < '1997-07-01'
+and (status = 'D' or not (scheduled >= '1997-02-01' and scheduled < '1997-03-01'))""")
+def _(spark, path):
+    """Half a year of history whose February is replaced by a later run that finds delivered orders only."""
+    folder = shared_dir(spark)
+    cols = ["order_id", "site_name", "status", "scheduled", "missed", "variance"]
+    level = _level(spark, path, date_mode=0, start=F.lit("1997-01-01"), end=F.lit("1997-06-30")).select(*cols)
+    sc.replace_history(level, folder, "1997-01-01", "1997-06-30")
+    again = _level(spark, path, date_mode=0, start=F.lit("1997-02-01"), end=F.lit("1997-02-28"), statuses="D").select(*cols)
+    return sc.replace_history(again, folder, "1997-02-01", "1997-02-28")
+
+
 @query("service_level_urgent", f"""{LEVEL} select site_name, count(*) as orders, sum(missed)::bigint as missed from lvl
 where status = 'R' and scheduled is not null and priority and stamp >= '1996-01-01' and stamp <= '1998-12-31' group by 1""")
 def _(spark, path):

@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulbook.sources.tables import STATES, config_table, load_tables, state_regions
 
-# Role mapping: event types as log actions.
+# Role mapping: event types as log actions; every third signup is a receipt, every fifth view a departure.
 ACTIONS = {"signup": "NOd", "click": "Sch", "view": "LVB", "purchase": "Cmp", "error": "Rcd"}
+OTHER_ACTIONS = {"signup": (3, "Rec"), "view": (5, "EnR")}
+ACTION_CASE = ("case " + " ".join(f"when event_type = '{k}' and event_id % {n} = 0 then '{v}'" for k, (n, v) in OTHER_ACTIONS.items()) + " "
+               + " ".join(f"when event_type = '{k}' then '{v}'" for k, v in ACTIONS.items()) + " end")
 # Role mapping: the day of a conversation.
 NOTE_DAY = "timestampadd(DAY, conv_id, timestamp_ntz'1996-01-01 00:00:00')"
+# Role mapping: names of the order statuses that occur.
+STATUS_NAMES = {"D": "Delivered", "P": "Picked up", "R": "Received"}
 # Role mapping: sub-item brands and the brands they go out with.
 ROLE_PAIRS = {1: [6, 7], 2: [8], 3: [9, 10], 4: [11], 5: [12, 13]}
 
@@ -140,8 +145,7 @@ class Roles:
         return a.unionByName(b)
 
     def history(self) -> DataFrame:
-        kind = " ".join(f"when '{k}' then '{v}'" for k, v in ACTIONS.items())
-        return self.t["events"].selectExpr("event_id as history_id", "user_id as order_id", f"case event_type {kind} end as action",
+        return self.t["events"].selectExpr("event_id as history_id", "user_id as order_id", f"{ACTION_CASE} as action",
                                            "ts as at", "cast(floor(value) as bigint) as user_id")
 
     def logged_orders(self) -> DataFrame:
@@ -155,6 +159,9 @@ class Roles:
             "if(order_id % 2 = 0, 'D', 'P') as type", "cast(order_id % 5 + 1 as string) as reason", "order_id % 4 = 0 as priority",
             "order_id % 7 = 0 as add_on_stop")
 
+    def statuses(self) -> DataFrame:
+        return config_table(self.spark, list(STATUS_NAMES.items()), "status string, status_name string")
+
     def lookup(self) -> DataFrame:
         """Order reasons are the order priorities; note types are the chat roles."""
         orc = self.t["orders"].select("o_orderpriority").distinct().selectExpr(
@@ -232,6 +239,7 @@ ROLE_SQL = {
     "r_patients": """select c_custkey patient_id, c_nationkey client_id, 1000 + ascii(c_mktsegment) site_id, c_custkey address_id,
       substr(c_name, 1, 8) last_name, substr(c_name, 10, 9) first_name,
       case when c_acctbal < -900 then 'M' else 'P' end type from customer""",
+    "r_statuses": "select * from (values " + ", ".join(f"('{k}', '{v}')" for k, v in STATUS_NAMES.items()) + ") v(status, status_name)",
     "r_states": f"select * from (values {STATE_SQL}) v(region_id, state)",
     "r_locations": """select n_nationkey location_id, n_name name, 100 + n_regionkey company_id,
       case when n_regionkey <> 4 then n_regionkey end region_id,
@@ -252,9 +260,7 @@ ROLE_SQL = {
     "r_user_locations": """select patient_id user_id, company_id, client_id location_id, 'H' type
       from r_patients join r_locations on location_id = client_id where patient_id % 2 = 1
       union all select patient_id, 2, site_id, 'D' from r_patients where patient_id % 2 = 0 and site_id <> 1072""",
-    "r_history": """select event_id history_id, user_id order_id,
-      case event_type when 'signup' then 'NOd' when 'click' then 'Sch' when 'view' then 'LVB'
-        when 'purchase' then 'Cmp' when 'error' then 'Rcd' end as action,
+    "r_history": f"""select event_id history_id, user_id order_id, {ACTION_CASE} as action,
       ts as "at", cast(floor(value) as bigint) user_id from events""",
     "r_logged": """select user_id order_id, min(ts) stamp, min(case when event_type = 'click' then ts end) scheduled,
       max(ts) enroute, count(*) enroute_count, case when user_id % 3 <> 0 then min(ts) end received,

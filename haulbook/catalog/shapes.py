@@ -215,8 +215,8 @@ def _(spark, path):
 
 @query("previous_valid_order_split", VALID)
 def _(spark, path):
-    """The same with every patient treated as hot."""
-    return _valid(spark, path, hot_rows=3)
+    """The same with two ids to a block."""
+    return _valid(spark, path, block=2)
 
 
 TOTALS = "totals as (select site_id, region_id, item_id, sum(total) total from sales group by 1, 2, 3)"

@@ -86,6 +86,12 @@ def shift_periods(kind: str, start: Column, n: int) -> Column:
     return F.date_add(start, (1 if kind == "D" else 7) * n)
 
 
+def period_starts(kind: str, first, last) -> Column:
+    """Array with the first days of all periods from the one that holds ``first`` to the one that holds ``last``."""
+    step = {"Y": "1 year", "Q": "3 month", "M": "1 month", "B": "2 month", "D": "1 day"}.get(kind, "7 day")
+    return F.sequence(period_start(kind, first), period_start(kind, last), F.expr(f"interval {step}"))
+
+
 def report_window(kind: str, offset: int, today, summary: bool = False) -> Column:
     """Array of (start, end, title, label): one window, or 13 going back in time with ``summary``.
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulbook.functions.numbers import count_if, pct_of
 
-from .skew import ID_BLOCK
+from .lookups import spread_left_join
+from .scan import ID_BLOCK
 
 # Item categories counted per order.
 SERVICE_CATEGORY, SERVICE_NAME = 234, "Service Call"
@@ -82,11 +83,11 @@ def error_lines_per_order(delivered: DataFrame, picked_up: DataFrame, keys: list
 
 def concat_notes(df: DataFrame, key: str, text: str, order: str, sep: str = ", ",
                  block: int = ID_BLOCK, max_chars: int = 500_000_000) -> DataFrame:
-    """All notes of a key in one text, in the order of an integer id.
+    """The notes of a key as text, in the order of an integer id: one row per key and part, whatever the size.
 
-    Notes are joined per id block first, then the blocks. A key whose text would
-    pass ``max_chars`` comes out in numbered parts (part 0, 1, …) with nothing
-    lost; ordinary keys have part 0 only. The separator also stands between parts.
+    Notes are joined per id block first, then the blocks. A running length cuts a key into parts 0, 1, … that each start
+    at most ``max_chars`` further on, with nothing lost; ordinary keys have part 0 only. The separator also
+    stands between parts. Join ``first_part`` where a key must keep its one row.
     """
     blocks = (df.filter(F.col(text).isNotNull())
               .withColumn("_block", F.expr(f"{order} div {block}"))
@@ -101,6 +102,11 @@ def concat_notes(df: DataFrame, key: str, text: str, order: str, sep: str = ", "
                  F.sum("_n").alias("note_count")))
 
 
+def first_part(parts: DataFrame, key: str) -> DataFrame:
+    """One row per key: its first part and the number of its parts. The others stay in ``parts`` for an export."""
+    return parts.groupBy(key).agg(F.min_by("notes", "part").alias("notes"), F.count("*").alias("note_parts"))
+
+
 def item_list(lines: DataFrame, key: str = "order_id") -> DataFrame:
     """``{2x} Bed[Delivered], …`` by equipment name and status."""
     counted = lines.groupBy(key, "equipment_name", "status_name").agg(F.count("*").alias("_n"))
@@ -112,13 +118,10 @@ def item_list(lines: DataFrame, key: str = "order_id") -> DataFrame:
 
 
 def keep_first_of_group(df: DataFrame, keys: list[str], id_col: str, flag: str) -> DataFrame:
-    """1 on the lowest id of each group (and on rows without a group), 0 on the others."""
-    known = df
-    for k in keys:
-        known = known.filter(F.col(k).isNotNull())
-    firsts = (known.groupBy(*keys).agg(F.min(id_col).alias("_first"), F.count("*").alias("_n"))
+    """1 on the lowest id of each group (and on rows without a group), 0 on the others. Rows without a group are spread over the tasks."""
+    firsts = (df.select(*keys, id_col).dropna(subset=keys).groupBy(*keys).agg(F.min(id_col).alias("_first"), F.count("*").alias("_n"))
               .filter(F.col("_n") > 1).drop("_n"))
-    return (df.join(firsts, keys, "left")
+    return (spread_left_join(df, firsts, keys, id_col)
             .withColumn(flag, F.when(F.col("_first").isNull() | (F.col("_first") == F.col(id_col)), 1).otherwise(0))
             .drop("_first"))
 

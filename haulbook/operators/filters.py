@@ -14,6 +14,8 @@ from haulbook.functions.windows import shift_window
 # Order statuses searched when none are named.
 DEFAULT_STATUSES = ["R", "S", "T", "U", "Q", "D", "P", "QU"]
 AUTO_COMPLETED = 2
+# Fixed value: first day of a search for open orders without dates.
+OPEN_SINCE = "2009-09-01"
 
 
 def optional_filter(df: DataFrame, col: str, value) -> DataFrame:
@@ -53,7 +55,9 @@ def search_orders(orders: DataFrame, order_id=None, route=None, patient_id=None,
     priority, clients, drivers) is dropped by an order or patient search; a route search
     keeps only the dates, on the scheduled time. A search for scheduled, open or priority
     orders without a date mode goes by the scheduled time. Orders without a driver are
-    found only without a list of drivers.
+    found only without a list of drivers. ``today`` is the day that a search looks at which gives neither a date mode nor a
+    date: any of the three stamps between its first instant and itself. A search for ``!`` without dates means from
+    ``OPEN_SINCE`` to today. Without ``today`` such searches are over all days.
     """
     if order_id:
         return status_mode_filter(orders.filter(F.col("order_id") == order_id))
@@ -67,6 +71,10 @@ def search_orders(orders: DataFrame, order_id=None, route=None, patient_id=None,
     mode, codes = others.get("date_mode"), (others.get("statuses") or "").split(",")
     if mode is None and (others.get("priority") or "S" in codes or "!" in codes):
         mode = 0
+    today = others.get("today")
+    if today is not None and (mode is None or "!" in codes):
+        start = dates["start"] if dates["start"] is not None else OPEN_SINCE if "!" in codes else today
+        dates = {"start": start, "end": dates["end"] if dates["end"] is not None else today if "!" in codes else start}
     df = date_mode_filter(df, mode, **dates)
     df = list_filter(df, "driver_id", others.get("drivers"))
     df = list_filter(df, "client_id", others.get("clients"))

@@ -6,12 +6,9 @@ the log finds every milestone of an order at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulbook.functions.text import code_in, same_code
-from haulbook.sources.sinks import staged
-
-from .skew import HOT_ROWS, salted_join
 
 # Action codes in the log.
 NEW, RECEIVED, SCHEDULED, ENROUTE, VIEWED, COMPLETED, RECONCILED = "NOd", "Rec", "Sch", "EnR", "LVB", "Cmp", "Rcd"
@@ -39,41 +36,45 @@ def milestone_ids(history: DataFrame) -> DataFrame:
     return history.groupBy("order_id").agg(*milestone_columns())
 
 
-def view_milestones(history: DataFrame, hot_rows: int = HOT_ROWS, extra: list[Column] = ()) -> DataFrame:
+def up_to_last(history: DataFrame, cond: Column) -> DataFrame:
+    """The log rows of each order up to its last row that meets the condition: one exchange by order, no join."""
+    last = _last(cond).over(Window.partitionBy("order_id"))
+    return history.withColumn("_until", last).filter(F.col("history_id") <= F.col("_until")).drop("_until")
+
+
+def view_milestones(history: DataFrame, extra: list[Column] = ()) -> DataFrame:
     """Milestones plus the view counts and times that depend on them.
 
     views_before: views up to the scheduling; first_view*: first view from the
     receipt on; last_view*: last view up to the scheduling. ``extra`` aggregates join
-    the same pass over the log.
+    the same pass over the log. The log is exchanged by order once: the markers are worked out over each order's rows and put
+    beside them, and one aggregate on the same exchange finds everything else.
     """
-    marks = staged(history.groupBy("order_id").agg(*milestone_columns(), *extra))
-    views = (history.filter(same_code("action", VIEWED))
-             .select("order_id", "history_id", "at"))
-    joined = salted_join(views, marks.select("order_id", "received_id", "scheduled_id"), ["order_id"],
-                         hot_rows=hot_rows)
-    before = F.col("history_id") <= F.col("scheduled_id")
-    after = F.col("history_id") >= F.col("received_id")
-    seen = joined.groupBy("order_id").agg(
-        F.count(F.when(before, 1)).alias("views_before"),
-        F.min(F.when(after, F.col("history_id"))).alias("first_view_id"),
-        F.min_by("at", F.when(after, F.col("history_id"))).alias("first_view"),
-        F.max(F.when(before, F.col("history_id"))).alias("last_view_id"),
-        F.max_by("at", F.when(before, F.col("history_id"))).alias("last_view"),
+    whole = Window.partitionBy("order_id")
+    marked = (history.withColumn("_received", _last(code_in("action", [NEW, RECEIVED])).over(whole))
+              .withColumn("_scheduled", _last(same_code("action", SCHEDULED)).over(whole)))
+    viewed, at = same_code("action", VIEWED), F.col("history_id")
+    before, after = viewed & (at <= F.col("_scheduled")), viewed & (at >= F.col("_received"))
+    return marked.groupBy("order_id").agg(
+        *milestone_columns(), *extra,
+        F.nullif(F.count(F.when(before, 1)), F.lit(0)).alias("views_before"),
+        F.min(F.when(after, at)).alias("first_view_id"),
+        F.min_by("at", F.when(after, at)).alias("first_view"),
+        F.max(F.when(before, at)).alias("last_view_id"),
+        F.max_by("at", F.when(before, at)).alias("last_view"),
     )
-    return marks.join(seen, "order_id", "left").withColumn(
-        "views_before", F.when(F.col("views_before") > 0, F.col("views_before")))
 
 
-def views_before(history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return view_milestones(history, hot_rows).select("order_id", "scheduled_id", "views_before")
+def views_before(history: DataFrame) -> DataFrame:
+    return view_milestones(history).select("order_id", "scheduled_id", "views_before")
 
 
-def first_view_after(history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return view_milestones(history, hot_rows).select("order_id", "received_id", "first_view_id", "first_view")
+def first_view_after(history: DataFrame) -> DataFrame:
+    return view_milestones(history).select("order_id", "received_id", "first_view_id", "first_view")
 
 
-def last_view_before(history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return view_milestones(history, hot_rows).select("order_id", "scheduled_id", "last_view_id", "last_view")
+def last_view_before(history: DataFrame) -> DataFrame:
+    return view_milestones(history).select("order_id", "scheduled_id", "last_view_id", "last_view")
 
 
 def first_by(cond: Column, value: str) -> Column:

@@ -6,6 +6,9 @@ here forces a broadcast except of fixed constant tables.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -39,6 +42,13 @@ def anti_join(df: DataFrame, other: DataFrame, on: str | list[str]) -> DataFrame
     return df.join(other.select(*keys).dropna(), keys, "left_anti")
 
 
+def spread_left_join(df: DataFrame, other: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
+    """Left join in which the rows without a key, which have no partner, are dealt over the tasks by ``spread_by``."""
+    missing = reduce(or_, [F.col(k).isNull() for k in keys])
+    salt = F.when(missing, 1 + F.pmod(F.xxhash64(spread_by), F.lit(65_521))).otherwise(F.lit(0))
+    return df.withColumn("_spread", salt).join(other.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], "left").drop("_spread")
+
+
 def star_join(orders: DataFrame, patients: DataFrame, locations: DataFrame, companies: DataFrame) -> DataFrame:
     """Order to patient, site, client and both companies."""
     site = locations.select(F.col("location_id").alias("site_id"), F.col("name").alias("site_name"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulbook.functions.numbers import money_share
 
-from .skew import HOT_ROWS, ID_BLOCK, find_hot, look_back
+from .scan import ID_BLOCK, scan_before, time_levels
 
 
 def sequence_rows(df: DataFrame, keys: list[str], order: list, name: str = "seqno") -> DataFrame:
@@ -14,31 +14,21 @@ def sequence_rows(df: DataFrame, keys: list[str], order: list, name: str = "seqn
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def time_levels(ts: str, id_col: str) -> dict[str, Column]:
-    """Buckets that follow (ts, id): the hour, then the stamp and an id block."""
-    return {"_hour": F.date_trunc("hour", ts), "_at": F.col(ts), "_idb": F.expr(f"{id_col} div {ID_BLOCK}")}
-
-
 def previous_order(df: DataFrame, keys: list[str], ts: str, id_col: str, payload: list[str],
-                   out: str = "prev", hot_rows: int = HOT_ROWS) -> DataFrame:
+                   out: str = "prev", block: int = ID_BLOCK) -> DataFrame:
     """The order before each one in (time, id) order, as a struct of ``payload``."""
-    return previous_valid_order(df, keys, ts, id_col, F.lit(True), payload, out, hot_rows).drop("skipped")
+    return previous_valid_order(df, keys, ts, id_col, F.lit(True), payload, out, block).drop("skipped")
 
 
 def previous_valid_order(df: DataFrame, keys: list[str], ts: str, id_col: str, valid: Column,
-                         payload: list[str], out: str = "prev", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The last valid order before each one, and how many invalid ones lie between (``skipped``)."""
-    levels = time_levels(ts, id_col)
-    order = [ts, id_col]
-    hot = find_hot(df, keys, hot_rows)
-    base = df.withColumn("_bad", F.when(valid, 0).otherwise(1)).withColumn("_none", F.lit(None).cast("int"))
-    counted = look_back(base, keys, order, "_none", levels=levels, weight="_bad", hot=hot)
-    counted = (counted.withColumnRenamed("rows_before", "_bad_before").drop("found", "_none")
-               .withColumn("_v", F.when(valid, F.struct(*payload, F.col("_bad_before").alias("_bb")))))
-    found = look_back(counted, keys, order, "_v", levels=levels, hot=hot)
-    return (found.withColumn("skipped", F.col("_bad_before") - F.coalesce(F.col("found._bb"), F.lit(0)))
-            .withColumn(out, F.when(F.col("found").isNotNull(), F.struct(*[F.col(f"found.{p}").alias(p) for p in payload])))
-            .drop("_bad", "_bad_before", "_v", "found", "rows_before"))
+                         payload: list[str], out: str = "prev", block: int = ID_BLOCK) -> DataFrame:
+    """The last valid order before each one, and how many invalid ones lie between (``skipped``), in one scan.
+
+    Rows with a null key are one group. ``block`` is the number of ids a task takes of one stamp; results do not depend on it.
+    """
+    found = scan_before(df, keys, [ts, id_col], time_levels(ts, id_col, block), F.when(valid, F.struct(*payload)), F.when(valid, 0).otherwise(1))
+    return (found.withColumn("skipped", F.col("before") - F.coalesce("found_before", F.lit(0)))
+            .withColumnRenamed("found", out).drop("before", "found_before"))
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], n: int, by: str, tie: list[str], name: str = "rank") -> DataFrame:

@@ -40,17 +40,17 @@ def combine_types(df: DataFrame, type_col: str = "contract_type", scope: list[st
                   combos: dict[str, list[str]] = COMBINED_TYPES) -> DataFrame:
     """Add copies of the rows under each combined type whose member types are all present in the scope.
 
-    The frame is read twice: for the types present, and for the rows.
+    The types present are one bit each, or-ed over the rows of a scope: one number a scope says which combinations are
+    complete. The frame is read twice, for that number and for the rows, so give it sums where the copies will be summed.
     """
-    spark = df.sparkSession
-    members = F.broadcast(spark.createDataFrame(
-        [(m, c, len(ms)) for c, ms in combos.items() for m in ms], "_member string, _combo string, _need int"))
-    found = df.filter(F.col(type_col).isNotNull()).select(*scope, type_col).distinct()
-    complete = (found.join(members, F.col(type_col) == F.col("_member"))
-                .groupBy(*scope, "_combo", "_need").agg(F.count("*").alias("_n")).filter("_n = _need"))
-    copies = (complete.select(*scope, "_combo").join(members.select("_member", "_combo"), "_combo")
-              .withColumnRenamed("_member", type_col))
-    return df.unionByName(df.join(copies, [*scope, type_col]).withColumn(type_col, F.col("_combo")).select(*df.columns))
+    members = list(dict.fromkeys(m for ms in combos.values() for m in ms))
+    bit = F.create_map(*[x for i, m in enumerate(members) for x in (F.lit(m), F.lit(1 << i))])
+    present = df.groupBy(*scope).agg(F.bit_or(F.element_at(bit, F.col(type_col))).alias("_present"))
+    copies = F.explode(F.array(*[F.struct(F.lit(c).alias("_combo"), F.lit(m).alias("_member"), F.lit(sum(1 << members.index(x) for x in ms)).alias("_need"))
+                                 for c, ms in combos.items() for m in ms]))
+    complete = (present.select(*scope, "_present", copies.alias("_c")).select(*scope, "_present", "_c.*")
+                .filter(F.col("_present").bitwiseAND(F.col("_need")) == F.col("_need")).select(*scope, "_combo", F.col("_member").alias(type_col)))
+    return df.unionByName(df.join(complete, [*scope, type_col]).withColumn(type_col, F.col("_combo")).select(*df.columns))
 
 
 def type_label(c: str) -> Column:
@@ -99,49 +99,70 @@ def densify(rows: DataFrame, left: DataFrame, right: DataFrame, on: list[str], k
     return out
 
 
+def _constant(df: DataFrame, c: str, word: str) -> Column:
+    """What an upper row shows in a column of the leaf: a word in a text column, NULL in any other."""
+    kind = df.schema[c].dataType
+    return F.lit(word if kind.simpleString() == "string" else None).cast(kind)
+
+
+def _summed_rows(dealt: DataFrame, group: list[str], counts: list[str], shares: dict[str, Column], region: str | None = None,
+                 parent: Column | None = None) -> DataFrame:
+    """Rows that carry ``_own`` (their counts and shares) as they are, however often they occur; the others summed by group, on one
+    exchange. ``region`` is taken from ``_own`` too, or worked out by the aggregate ``parent``."""
+    extra = [] if region is None else [parent.alias("_region")]
+    sums = dealt.groupBy(*group, "_own").agg(*[F.expr(f"sum(coalesce({c}, 0)) as _s{c}") for c in counts], F.count("*").alias("_n"), *extra)
+    kept = F.col("_own").isNotNull()
+    place = [] if region is None else [F.when(kept, F.col(f"_own.{region}")).otherwise(F.col("_region")).alias(region)]
+    out = (sums.withColumn("_copy", F.explode(F.expr("sequence(1, if(_own is null, 1, cast(_n as int)))")))
+           .select(*group, "_own", *place, *[F.when(kept, F.col(f"_own.{c}")).otherwise(F.col(f"_s{c}")).alias(c) for c in counts]))
+    return out.select(*group, *([region] if region else []), *counts, *[F.when(kept, F.col(f"_own.{n}")).otherwise(s).alias(n) for n, s in shares.items()])
+
+
 def hierarchy_rollup(leaf: DataFrame, counts: list[str], keys: list[str], region: list[str],
                      shares: dict[str, Column]) -> DataFrame:
     """Leaf rows (level 40), one row per region (20) and one for the whole (10).
 
     Counts add up. Shares are recomputed at levels 20 and 10; the leaf keeps the
-    shares it came with. ``keys`` (client, month, …) stay apart at every level.
+    shares it came with. ``keys`` (client, month, …) stay apart at every level. Each row of the leaf is dealt to its
+    three levels at once, and one aggregate sums them all.
     """
-    sums = [F.expr(f"sum(coalesce({c}, 0)) as {c}") for c in counts]
     names = [c for c in leaf.columns if c not in (*counts, *keys, *region, *shares)]
-    regional = leaf.groupBy(*keys, *region).agg(*sums)
-    whole = regional.groupBy(*keys).agg(*sums)
-    for i, r in enumerate(region):
-        blank = F.lit(0) if i == 0 else F.lit("All")
-        whole = whole.withColumn(r, blank.cast(leaf.schema[r].dataType))
+    blank = {r: F.lit(0 if i == 0 else "All").cast(leaf.schema[r].dataType) for i, r in enumerate(region)}
+    own = F.struct(*counts, *shares)
 
-    def upper(df: DataFrame, level: int, word: str) -> DataFrame:
-        fill = [(F.lit(word) if leaf.schema[c].dataType.simpleString() == "string" else F.lit(None))
-                .cast(leaf.schema[c].dataType).alias(c) for c in names]
-        return df.select(F.lit(level).alias("level"), *keys, *region, *fill, *counts,
-                         *[s.alias(n) for n, s in shares.items()])
+    def level(n: int, word: str | None) -> Column:
+        return F.struct(F.lit(n).alias("level"), *[(blank[r] if n == 10 else F.col(r)).alias(r) for r in region],
+                        *[(F.col(c) if word is None else _constant(leaf, c, word)).alias(c) for c in names],
+                        (own if word is None else F.when(F.lit(False), own)).alias("_own"))
 
-    bottom = leaf.select(F.lit(40).alias("level"), *keys, *region, *names, *counts, *list(shares))
-    return bottom.unionByName(upper(regional, 20, "Many")).unionByName(upper(whole, 10, "All"))
+    dealt = leaf.select(*keys, *counts, F.explode(F.array(level(40, None), level(20, "Many"), level(10, "All"))).alias("_l"))
+    return _summed_rows(dealt.select(*keys, *counts, "_l.*"), ["level", *keys, *region, *names], counts, shares)
 
 
 def subregion_rollup(rolled: DataFrame, counts: list[str], keys: list[str], shares: dict[str, Column],
                      prefixes: list[str], region_id: str = "region_id", region_name: str = "region_name",
                      length: int = 9) -> DataFrame:
-    """Regions that start with one of the prefixes become level 30 under a new level-20 parent."""
+    """Regions that start with one of the prefixes become level 30 under a new level-20 parent.
+
+    A row of such a region is dealt to itself and to its parent, every other row to itself; one aggregate sums the parents.
+    """
     head = F.substring(region_name, 1, length)
-    sub = (F.col("level") == 20) & head.isin(prefixes)
-    lowered = rolled.withColumn("level", F.when(sub, 30).otherwise(F.col("level")))
-    parents = (rolled.filter(sub).groupBy(*keys, head.alias("_head"))
-               .agg((F.min(region_id) * -100000).alias(region_id), *[F.expr(f"sum({c}) as {c}") for c in counts])
-               .withColumn(region_name, F.col("_head")))
+    sub = F.coalesce((F.col("level") == 20) & head.isin(prefixes), F.lit(False))
     fill = [c for c in rolled.columns if c not in ("level", *keys, region_id, region_name, *counts, *shares)]
-    parents = parents.select(
-        F.lit(20).alias("level"), *keys, F.col(region_id).cast(rolled.schema[region_id].dataType).alias(region_id),
-        region_name,
-        *[(F.lit("Many") if rolled.schema[c].dataType.simpleString() == "string" else F.lit(None))
-          .cast(rolled.schema[c].dataType).alias(c) for c in fill],
-        *counts, *[s.alias(n) for n, s in shares.items()])
-    return lowered.unionByName(parents)
+    own = F.struct(*counts, *shares, region_id)
+
+    def row(parent: bool) -> Column:
+        number = F.lit(20) if parent else F.when(sub, 30).otherwise(F.col("level"))
+        return F.struct(number.cast("int").alias("level"), (head if parent else F.col(region_name)).alias(region_name),
+                        *[(_constant(rolled, c, "Many") if parent else F.col(c)).alias(c) for c in fill],
+                        (F.when(F.lit(False), own) if parent else own).alias("_own"))
+
+    group = ["level", *keys, region_name, *fill]
+    dealt = rolled.select(*keys, *counts, F.col(region_id).alias("_region"), F.explode(F.when(sub, F.array(row(False), row(True))).otherwise(F.array(row(False)))).alias("_r"))
+    dealt = dealt.select(*keys, *counts, "_region", "_r.*")
+    # A parent's number comes from the lowest number under it.
+    number = F.expr("min(_region) * -100000").cast(rolled.schema[region_id].dataType)
+    return _summed_rows(dealt, group, counts, shares, region_id, number).select(rolled.columns)
 
 
 # Survey questions in report order; yes/no questions first.

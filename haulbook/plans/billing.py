@@ -9,6 +9,7 @@ from haulbook.functions.numbers import MONEY
 from haulbook.functions.text import label_with_id
 from haulbook.functions.windows import OPEN_END
 from haulbook.operators.aggregates import net_nonzero_totals
+from haulbook.operators.intervals import range_join
 from haulbook.operators.ranking import share_of_group, top_n_per_group
 from haulbook.operators.reshape import (
     combine_types, densify, months_to_columns, pad_to_n, total_across_months, type_label,
@@ -22,19 +23,14 @@ NATIONAL = "National: All Regions"
 def budget_months(budgets: DataFrame, months: DataFrame) -> DataFrame:
     """Budgets repeated for each wanted month they cover.
 
-    ``months`` is the list of wanted months (yyyymm), with or without gaps; ranges are
-    opened with ``sequence``, clipped to the first and last of them.
+    ``months`` is the list of wanted months (yyyymm), with or without gaps. A range and a month meet in the one block
+    of months they share (``range_join``): the list is not read beforehand, and an open end costs no more than a closed one.
     """
-    lo, hi = months.agg(F.min("yyyymm"), F.max("yyyymm")).first()
-    if lo is None:
-        lo, hi = OPEN_END, 0
-    ends = f"coalesce(end_yyyymm, {OPEN_END})"
-    day = lambda m: f"make_date({m} div 100, {m} % 100, 1)"
-    covered = budgets.filter((F.col("begin_yyyymm") <= hi) & F.expr(f"{ends} >= {lo} and {ends} >= begin_yyyymm"))
-    spread = covered.withColumn("_m", F.explode(F.expr(
-        f"sequence({day(f'greatest(begin_yyyymm, {lo})')}, {day(f'least({ends}, {hi})')}, interval 1 month)")))
-    return (spread.withColumn("yyyymm", F.expr("year(_m) * 100 + month(_m)")).drop("_m")
-            .join(months.select("yyyymm").distinct(), "yyyymm", "left_semi")
+    number = lambda m: F.expr(f"({m}) div 100 * 12 + ({m}) % 100 - 1")
+    ranges = (budgets.filter(F.col("begin_yyyymm").isNotNull()).withColumn("_from", number("begin_yyyymm"))
+              .withColumn("_to", number(f"coalesce(end_yyyymm, {OPEN_END})")))
+    wanted = months.select("yyyymm").distinct().filter(F.col("yyyymm").isNotNull()).withColumn("_at", number("yyyymm"))
+    return (range_join(ranges, "_from", "_to", wanted, "_at").drop("_from", "_to", "_at")
             .withColumn("sub_unit", F.coalesce("sub_unit", F.lit(0))))
 
 
@@ -69,7 +65,7 @@ def contract_pairs(activity: DataFrame, budgets: DataFrame, contracts: DataFrame
         *key, "activity", "budget_id", "contract_id", "network_type", "owner", "contract_type")
 
 
-def billable_items(billed: DataFrame, equipment: DataFrame, pairs: DataFrame) -> DataFrame:
+def typed_items(billed: DataFrame, equipment: DataFrame, pairs: DataFrame) -> DataFrame:
     """Monthly net totals per client, site and item, with contract type and region of the pair.
 
     ``billed`` has yyyymm, client_id, site_id, equipment_id, total; ``pairs`` has
@@ -79,16 +75,25 @@ def billable_items(billed: DataFrame, equipment: DataFrame, pairs: DataFrame) ->
     net = net_nonzero_totals(billed.join(equipment.select("equipment_id", "item_id"), "equipment_id")
                              .withColumn("total", F.col("total").cast(MONEY)), [*key, "item_id"], "total")
     net = net.withColumn("total", F.col("total").cast(MONEY))
-    typed = net.join(pairs.select(*key, "contract_type", "region_id", "region_name"), key, "left")
-    return combine_types(staged(typed))
+    return net.join(pairs.select(*key, "contract_type", "region_id", "region_name"), key, "left")
+
+
+def billable_items(billed: DataFrame, equipment: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The typed items and their copies under the combined contract types."""
+    return combine_types(staged(typed_items(billed, equipment, pairs)))
 
 
 CELL = ["contract_type", "region_id", "region_name", "yyyymm", "item_id"]
 
 
-def monthly_cells(items: DataFrame) -> DataFrame:
-    """Totals per type, region, month and item: all that the top lists need, computed once."""
-    known = items.filter(F.col("contract_type").isNotNull() & F.col("region_id").isNotNull())
+def monthly_cells(typed: DataFrame) -> DataFrame:
+    """Totals per type, region, month and item, combined types included: all that the top lists need, computed once.
+
+    Items are summed to cells first and the few cells are combined, so no item row is copied. A type counts as present
+    through any of its items, those of no region included.
+    """
+    cells = staged(typed.filter(F.col("contract_type").isNotNull()).groupBy(*CELL).agg(F.sum("total").cast("decimal(28,4)").alias("total")))
+    known = combine_types(cells).filter(F.col("region_id").isNotNull())
     return staged(known.groupBy(*CELL).agg(F.sum("total").cast("decimal(28,4)").alias("total")))
 
 
@@ -109,15 +114,15 @@ def _wide(shares: DataFrame, keys: list[str], start, n_months: int) -> DataFrame
     return total_across_months(wide, n_months)
 
 
-def top_items(items: DataFrame, names: DataFrame, start, *, n: int = 5, n_months: int = 3,
+def top_items(typed: DataFrame, names: DataFrame, start, *, n: int = 5, n_months: int = 3,
               scope: str = "national") -> DataFrame:
-    """Top items with their monthly shares side by side.
+    """Top items with their monthly shares side by side, from the typed items.
 
     ``national``: the top list of each type; months are the sums of the regions that
     billed the item. ``by_region``: the national list in every region, 0 where a region
     billed none. ``regional``: each region's own list, padded to n rows.
     """
-    cells = monthly_cells(items)
+    cells = monthly_cells(typed)
     label = names.select("item_id", F.trim("name").alias("item_name"))
     months = [f"m{i + 1}_{x}" for i in range(n_months) for x in ("total", "share")]
     region_keys = CELL[:3]

@@ -7,12 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from haulbook.functions.dates import days_between, day_index, minutes_between, month_name, yyyymm
 from haulbook.functions.numbers import pct_of
 from haulbook.functions.text import person_name
-from haulbook.functions.windows import period_start, shift_periods, valid_in_month
+from haulbook.functions.windows import period_start, period_starts, shift_periods, valid_in_month
 from haulbook.operators.aggregates import elapsed_buckets, item_list, keep_first_of_group
+from haulbook.operators.intervals import prefix_ranks, running_at
 from haulbook.operators.lookups import override_flags
-from haulbook.operators.ranking import previous_valid_order, time_levels
+from haulbook.operators.ranking import previous_valid_order
 from haulbook.operators.reshape import union_distinct
-from haulbook.operators.skew import HOT_ROWS, find_hot, look_back
+from haulbook.operators.scan import ID_BLOCK, scan_before
 from haulbook.sources.sinks import staged
 
 # Items and equipment that are counted apart, and the fee product.
@@ -23,20 +24,17 @@ OXYGEN_EQUIPMENT = 8734
 FEE_PRODUCT = 25400
 
 REDELIVERED = "[Re-Del]"
-FAR_DAY = 1_000_000
+#: Notes of orders that cannot count as a delivery; all other orders are valid predecessors.
+INVALID = ["PickupOnly", "NoDetails", "StandingO2", "Service"]
 
 
 def order_windows(df: DataFrame, ts: str, kind: str, lookback_days: int) -> DataFrame:
-    """Assign each order to the periods whose look-back span holds it: its own and perhaps the next.
+    """Put each order into every period whose look-back span holds it: from its own to the one ``lookback_days`` later.
 
-    Adds window_start. Longer look-backs than one period are refused.
+    Adds window_start. The look-back may be longer than a period: an order then lies in several later ones.
     """
-    shortest = {"Y": 365, "Q": 90, "M": 28, "W": 7, "I": 7, "D": 1, "B": 59}[kind]
-    if lookback_days > shortest:
-        raise ValueError("the look-back may not be longer than the period")
-    own = period_start(kind, F.col(ts))
-    later = period_start(kind, F.date_add(F.to_date(ts), lookback_days))
-    return df.withColumn("window_start", F.explode(F.array_distinct(F.array(own, later))))
+    last = F.date_add(F.to_date(ts), lookback_days)
+    return df.withColumn("window_start", F.explode(period_starts(kind, F.col(ts), last)))
 
 
 def raw_orders(orders: DataFrame, patients: DataFrame, budgets: DataFrame, *, kind: str = "M", days: int = 5,
@@ -73,24 +71,23 @@ def order_contents(order_keys: DataFrame, details: DataFrame, equipment_lines: D
                    client_equip: DataFrame | None, sub_items: DataFrame | None) -> DataFrame:
     """Per order with lines the number of rental, oxygen, disposable, service, paired, pickup and fee lines.
 
-    ``order_keys`` has order_id, client_id, site_id. The details are read once: a line
-    counts for the order it was delivered by and for the one that picked it up. Lines are
-    counted per order and product before any join, so an order with very many lines stays
-    small.
+    ``order_keys`` has order_id, client_id, site_id. Lines are counted per order and product before any join, so an
+    order with very many lines stays small. Pickup lines need no product: they are counted per order from one column,
+    and the two counts meet on the exchange they share, so no join has rows without a key.
     """
     keys = order_keys.select("order_id", "client_id", "site_id").dropDuplicates(["order_id"])
-    sides = details.select(F.expr("""explode(array(struct(order_id as order_id, product_id as product_id, 0 as back),
-        struct(reference_order_id as order_id, null as product_id, 1 as back))) as _s""")).select("_s.*")
-    counted = (sides.filter(F.col("order_id").isNotNull()).groupBy("order_id", "product_id", "back")
+    counted = (details.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()).groupBy("order_id", "product_id")
                .agg(F.count("*").alias("_n")))
-    lines = counted.join(keys, "order_id").join(equipment_lines, "product_id", "left").withColumn("own_item", F.col("item_id"))
-    if client_equip is not None:
-        lines = override_flags(lines, client_equip)
+    picked = details.filter(F.col("reference_order_id").isNotNull()).groupBy(F.col("reference_order_id").alias("order_id")).agg(F.count("*").alias("pickup_count"))
+    kinds = equipment_lines.withColumn("own_item", F.col("item_id"))
     if sub_items is not None:
         marks = sub_items.select(F.col("sub_item").alias("own_item"), F.lit(True).alias("_paired")).distinct()
-        lines = lines.join(marks, "own_item", "left")
+        kinds = kinds.join(marks, "own_item", "left")
     else:
-        lines = lines.withColumn("_paired", F.lit(False))
+        kinds = kinds.withColumn("_paired", F.lit(False))
+    lines = counted.join(keys, "order_id").join(kinds, "product_id")
+    if client_equip is not None:
+        lines = override_flags(lines, client_equip)
 
     def total(cond: str) -> str:
         return f"coalesce(sum(case when {cond} then _n end), 0)"
@@ -98,16 +95,16 @@ def order_contents(order_keys: DataFrame, details: DataFrame, equipment_lines: D
     listed = lambda items: ", ".join(map(str, items))
     odd = f"equipment_id = {OXYGEN_EQUIPMENT}"
     oxygen_items = f"disposable and item_id in ({listed(OXYGEN_ITEMS)})"
-    values = [
-        total(f"not oxygen and not disposable and not ({odd})"),
-        f"{total('oxygen')} + {total(oxygen_items)} + {total(odd)}",
-        total(f"disposable and item_id not in ({listed(NOT_DISPOSABLE_ITEMS)})"),
-        total(f"disposable and item_id = {SERVICE_ITEM}"),
-        total("_paired"),
-        total("back = 1"),
-        f"coalesce(max(case when product_id = {FEE_PRODUCT} then _n end), 0)",
-    ]
-    return lines.groupBy("order_id").agg(*[F.expr(f"{v} as {n}") for v, n in zip(values, COUNTS)])
+    values = {
+        "dme_count": total(f"not oxygen and not disposable and not ({odd})"),
+        "o2_count": f"{total('oxygen')} + {total(oxygen_items)} + {total(odd)}",
+        "disposable_count": total(f"disposable and item_id not in ({listed(NOT_DISPOSABLE_ITEMS)})"),
+        "service_count": total(f"disposable and item_id = {SERVICE_ITEM}"),
+        "paired_count": total("_paired"),
+        "fee_count": f"coalesce(max(case when product_id = {FEE_PRODUCT} then _n end), 0)",
+    }
+    delivered = lines.groupBy("order_id").agg(*[F.expr(f"{v} as {n}") for n, v in values.items()])
+    return delivered.join(picked, "order_id", "full").select("order_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in COUNTS])
 
 
 def exclusion_note() -> Column:
@@ -119,12 +116,12 @@ def exclusion_note() -> Column:
             .when((o2 > 0) & (dme == 0), "StandingO2").when(service > 0, "Service"))
 
 
-def _strict_predecessors(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+def _strict_predecessors(df: DataFrame, keys: list[str], block: int) -> DataFrame:
     return previous_valid_order(df, keys, "completed", "order_id", F.col("note").isNull(),
-                                ["order_id", "driver_id", "route_number", "completed"], "pre", hot_rows)
+                                ["order_id", "driver_id", "route_number", "completed"], "pre", block)
 
 
-def _lowest_id_predecessors(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+def _lowest_id_predecessors(df: DataFrame, keys: list[str]) -> DataFrame:
     """Orders completed at one instant point at the lowest other id among them.
 
     A search for a valid predecessor that reaches such a group takes its lowest id,
@@ -133,17 +130,14 @@ def _lowest_id_predecessors(df: DataFrame, keys: list[str], hot_rows: int) -> Da
     """
     at = [*keys, "completed"]
     payload = F.struct("order_id", "driver_id", "route_number", "completed", F.col("note").isNull().alias("ok"))
-    low = (df.withColumn("_rank", F.row_number().over(Window.partitionBy(*at).orderBy("order_id")))
-           .filter(F.col("_rank") <= 2))
-    lows = low.groupBy(*at).agg(F.max(F.when(F.col("_rank") == 1, payload)).alias("_g1"),
-                                F.max(F.when(F.col("_rank") == 2, payload)).alias("_g2"))
+    lows = df.groupBy(*at).agg(F.min(payload).alias("_g1"), F.min("order_id").alias("_low"))
+    second = (df.join(lows.select(*at, "_low"), at).filter(F.col("order_id") > F.col("_low")).groupBy(*at).agg(F.min(payload).alias("_g2")))
+    lows = lows.drop("_low").join(second, at, "left")
     g1, g2 = F.col("_g1"), F.col("_g2")
     pick = (F.when(g1["ok"], g1).when(g2["ok"], g2))
     stop = F.struct(pick.alias("pick"), F.lit(True).alias("stop"))
-    groups = lows.withColumn("_value", F.when(g2.isNotNull() | g1["ok"], stop)).withColumn("_gid", F.col("_g1.order_id"))
-    levels = {k: v for k, v in time_levels("completed", "_gid").items() if k == "_hour"}
-    groups = (look_back(groups, keys, ["completed"], "_value", levels=levels, hot=find_hot(df, keys, hot_rows))
-              .select(*at, "_g1", "_g2", F.col("found").alias("_earlier")))
+    groups = scan_before(lows, keys, ["completed"], [{"_hour": F.date_trunc("hour", "completed")}], F.when(g2.isNotNull() | g1["ok"], stop))
+    groups = groups.select(*at, "_g1", "_g2", F.col("found").alias("_earlier"))
     own = F.col("order_id")
     tied = g2.isNotNull()
     is1 = own == g1["order_id"]
@@ -159,7 +153,7 @@ def _lowest_id_predecessors(df: DataFrame, keys: list[str], hot_rows: int) -> Da
 def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budgets: DataFrame,
                equipment_lines: DataFrame, *, client_equip: DataFrame | None = None,
                sub_items: DataFrame | None = None, kind: str = "M", days: int = 5, first=None, last=None,
-               ties: str = "strict", hot_rows: int = HOT_ROWS) -> DataFrame:
+               ties: str = "strict", block: int = ID_BLOCK) -> DataFrame:
     """Label every order of each window with the one reason it is or is not a repeat delivery.
 
     The predecessor is the last valid order of the patient before it. ``ties`` says how
@@ -173,9 +167,9 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
     keys = ["window_start", "patient_id"]
     base = staged(raw.join(contents, "order_id", "left").na.fill(0, COUNTS).withColumn("note", exclusion_note()))
     if ties == "strict":
-        linked = _strict_predecessors(base, keys, hot_rows).withColumn("no_valid", F.lit(False))
+        linked = _strict_predecessors(base, keys, block).withColumn("no_valid", F.lit(False))
     elif ties == "lowest_id":
-        linked = _lowest_id_predecessors(base, keys, hot_rows)
+        linked = _lowest_id_predecessors(base, keys)
     else:
         raise ValueError("ties is 'strict' or 'lowest_id'")
     for c in ("order_id", "driver_id", "route_number", "completed"):
@@ -202,28 +196,48 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
             .withColumn("in_period", in_period).drop("_pre", "_keep", "no_valid"))
 
 
-def skipped_orders(labelled: DataFrame, width: int = 255, block: int = 4096, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The ids and notes an order skipped on the way to its predecessor, nearest first, each cut at ``width``.
+RUN = ["window_start", "patient_id", "run_after"]
+
+
+def skipped_runs(labelled: DataFrame) -> DataFrame:
+    """The skipped orders as runs: one row per invalid order with its run and its place in it, from 1.
 
-    An id with its comma takes 3 characters or more, so a frame of width / 3 + 1 rows
-    holds all that can show; rows are numbered per patient and framed in blocks that
-    overlap by one frame, so no task sees a whole patient.
+    A run is all invalid orders of a window's patient between two valid ones; ``run_after`` names it by the valid order before
+    it, null at the patient's start. An order with ``skipped`` = k passed over the places k … 1 of its run. The labels
+    hold all of this already (needs ``ties="strict"``), so nothing is sorted or shuffled, and no run is cut.
     """
-    frame = width // 3 + 1
-    keys = ["window_start", "patient_id"]
-    num = look_back(labelled.withColumn("_none", F.lit(None).cast("int")), keys, ["completed", "order_id"], "_none",
-                    levels=time_levels("completed", "order_id"), hot=find_hot(labelled, keys, hot_rows)).drop("found", "_none")
-    home = F.expr(f"rows_before div {block}")
-    spill = F.when(F.col("rows_before") % block >= block - frame, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = (num.withColumn("_home", home).withColumn("_block", F.explode(spill))
-              .select(*keys, "_block", "_home", "rows_before", "order_id", "note", "skipped"))
-    w = Window.partitionBy(*keys, "_block").orderBy("rows_before").rowsBetween(-frame, -1)
-    seen = spread.withColumn("_prior", F.collect_list(F.struct("order_id", "note")).over(w))
-    near = F.slice(F.reverse("_prior"), 1, F.least(F.col("skipped"), F.lit(frame)).cast("int"))
-    join = lambda f: F.substring(F.array_join(F.transform(near, f), ", "), 1, width)
-    return (seen.filter((F.col("_block") == F.col("_home")) & (F.col("skipped") > 0))
-            .select(*keys, "order_id", "skipped", join(lambda x: x["order_id"].cast("string")).alias("skipped_ids"),
-                    join(lambda x: x["note"]).alias("skipped_notes")))
+    return labelled.filter(F.col("note").isin(INVALID)).select(
+        "window_start", "patient_id", F.col("pre_order_id").alias("run_after"), (F.col("skipped") + 1).alias("place"), "order_id", "note")
+
+
+def skipped_orders(labelled: DataFrame, width: int | None = None, block: int = 4096) -> DataFrame:
+    """The ids and notes each order skipped on the way to its predecessor, nearest first, as text.
+
+    Whole lists by default: their total length grows with the square of a run's, as the wish for such text does;
+    ``skipped_runs`` says the same in one row per order. ``width`` cuts each text, and then an order reads only the
+    nearest orders that can show: an id with its comma takes 3 characters or more, so width / 3 + 1 rows, in blocks of
+    ``block`` places that overlap by one such frame.
+    """
+    runs = skipped_runs(labelled).select(*RUN, F.col("place").alias("_at"), F.struct("order_id", "note").alias("_skip"))
+    asks = labelled.filter(F.col("skipped") > 0).select(
+        "window_start", "patient_id", F.col("pre_order_id").alias("run_after"), F.col("skipped").alias("_at"), "order_id", "skipped")
+    # A question about places k … 1 stands just after place k.
+    both = runs.unionByName(asks, allowMissingColumns=True)
+    if width is None:
+        w = Window.partitionBy(*RUN).orderBy("_at", F.col("order_id").isNotNull(), "order_id").rowsBetween(Window.unboundedPreceding, -1)
+        seen = both.withColumn("_prior", F.collect_list("_skip").over(w))
+    else:
+        frame = width // 3 + 1
+        home = F.expr(f"_at div {block}")
+        spill = F.when((F.col("_at") % block >= block - frame) & F.col("_skip").isNotNull(), F.array(home, home + 1)).otherwise(F.array(home))
+        w = Window.partitionBy(*RUN, "_block").orderBy("_at", F.col("order_id").isNotNull(), "order_id").rowsBetween(Window.unboundedPreceding, -1)
+        near = Window.partitionBy(*RUN, "_block").orderBy("_at").rangeBetween(-frame, 0)
+        seen = both.withColumn("_block", F.explode(spill)).withColumn("_prior", F.collect_list("_skip").over(near))
+    nearest = F.reverse("_prior")
+    text = lambda f: F.array_join(F.transform(nearest, f), ", ") if width is None else F.substring(F.array_join(F.transform(nearest, f), ", "), 1, width)
+    return (seen.filter(F.col("order_id").isNotNull())
+            .select("window_start", "patient_id", "order_id", "skipped", text(lambda x: x["order_id"].cast("string")).alias("skipped_ids"),
+                    text(lambda x: x["note"]).alias("skipped_notes")))
 
 
 def redelivered_order_items(labelled: DataFrame, lines: DataFrame) -> DataFrame:
@@ -233,25 +247,13 @@ def redelivered_order_items(labelled: DataFrame, lines: DataFrame) -> DataFrame:
     return wanted.join(item_list(lines.join(wanted, "order_id", "left_semi")), "order_id", "left")
 
 
-def _counts_at(points: DataFrame, queries: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Sum of the points' weights at or before each query day, per key.
-
-    Points and queries are reduced to one row per key and day first, so a key never
-    has more rows than there are days.
-    """
-    p = points.groupBy(*keys, "day").agg(F.sum("weight").alias("_w")).withColumn("_kind", F.lit(0))
-    q = queries.select(*keys, "day").distinct().withColumn("_w", F.lit(0).cast("long")).withColumn("_kind", F.lit(1))
-    w = Window.partitionBy(*keys).orderBy("day", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    return (p.unionByName(q).withColumn(name, F.sum("_w").over(w))
-            .filter(F.col("_kind") == 1).select(*keys, "day", name))
-
-
-def _out_and_back(df: DataFrame, out_day: Column, back_day: Column, *cols) -> DataFrame:
-    """+n on the day a line starts to count and -n on the day it stops; lines that never count are dropped."""
-    both = df.withColumn("_from", out_day).withColumn("_to", back_day).filter(F.col("_from") < F.col("_to"))
+def _stock_events(df: DataFrame, start: Column, *cols) -> DataFrame:
+    """+n on the day a line starts to count (null: always) and -n on the day it stops; lines that never count are dropped."""
+    live = df.withColumn("_from", start).filter(F.coalesce(F.col("_from") < F.col("back"), F.lit(True)))
     step = F.explode(F.array(F.struct(F.col("_from").alias("day"), F.col("n").alias("weight")),
-                             F.struct(F.col("_to").alias("day"), (-F.col("n")).alias("weight"))))
-    return both.select(*cols, step.alias("_s")).select(*cols, "_s.day", "_s.weight").filter(F.col("day") < FAR_DAY)
+                             F.struct(F.col("back").alias("day"), (-F.col("n")).alias("weight"))))
+    ends = live.select(*cols, "back", step.alias("_s"))
+    return ends.filter((F.col("_s.weight") > 0) | F.col("back").isNotNull()).select(*cols, "_s.day", "_s.weight")
 
 
 def _first_midnight(ts: str) -> Column:
@@ -259,21 +261,6 @@ def _first_midnight(ts: str) -> Column:
     return day_index(ts) + F.expr(f"if(cast(to_date({ts}) as timestamp_ntz) = {ts}, 0, 1)")
 
 
-DAY_BITS = 17  # day numbers up to the year 2328
-
-
-def _day_cover(day: str) -> Column:
-    """The spans of power-of-two length, as (bits, number), that a day belongs to and that a prefix can use."""
-    return F.expr(f"filter(transform(sequence(0, {DAY_BITS}), b -> struct(b as bits, shiftright({day}, b) as number)), "
-                  "s -> s.number % 2 = 0)")
-
-
-def _prefix_cover(day: str) -> Column:
-    """The few spans that together are all days up to and including ``day``."""
-    return F.expr(f"transform(filter(sequence(0, {DAY_BITS}), b -> shiftright({day} + 1, b) % 2 = 1), "
-                  f"b -> struct(b as bits, shiftright({day} + 1, b) - 1 as number))")
-
-
 def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """Sub-items on redeliveries and whether their main item went out with them.
 
@@ -281,52 +268,51 @@ def paired_items(labelled: DataFrame, orders: DataFrame, item_lines: DataFrame,
     detail line and equipment. A main item counts on the same stop (patient, day, driver,
     route) when it went out by that day, and on earlier orders when it went out by the
     sub-item's day, in both cases unless it came back before that day. A pair is missed
-    when the stop lacks main items but earlier orders still have them.
+    when the stop lacks main items but earlier orders still have them. A sub-item without a check-out finds none.
 
-    Counts come from day-by-day running totals per patient and item; earlier orders
-    use spans of days of power-of-two length, so no line is ever matched to another. The
-    grouped sub and main lines are stored, since several totals read them.
+    Stock is swept: main lines become plus and minus events on days, and running sums per stop, and per patient and
+    item, answer all questions of a key at once. Earlier orders are those of stops up to the question's: events are
+    held in a tree over the days a patient's questions ask about, one copy with one such day, so no line is ever
+    matched to another. The grouped sub and main lines are stored, since several sums read them.
     """
     lines = item_lines.join(pairs.select(F.col("sub_item").alias("item_id")).distinct(), "item_id", "left_semi")
     chosen = labelled.filter((F.col("redelivery") == 1) & (F.col("paired_count") > 0)).select("order_id").distinct()
-    stop_of = (orders.join(chosen, "order_id", "left_semi").filter(F.col("completed").isNotNull())
-               .select("order_id", "patient_id", day_index("completed").alias("stop_day"), "driver_id", "route_number"))
-    subs = (lines.join(stop_of, "order_id")
-            .groupBy("order_id", "patient_id", "stop_day", "driver_id", "route_number",
-                     F.col("item_id").alias("sub_item"), day_index("check_out").alias("day"))
-            .agg(F.count("*").alias("lines")).filter(F.col("day").isNotNull()))
-    subs = staged(subs)
-
-    back_day = F.coalesce(day_index("coalesce(check_in, other_status)") + 1, F.lit(FAR_DAY))
+    placed = orders.filter(F.col("completed").isNotNull()).select(
+        "order_id", "patient_id", day_index("completed").alias("stop_day"), "driver_id", "route_number")
+    subs = staged(lines.join(placed.join(chosen, "order_id", "left_semi"), "order_id")
+                  .groupBy("order_id", "patient_id", "stop_day", "driver_id", "route_number",
+                           F.col("item_id").alias("sub_item"), day_index("check_out").alias("day"))
+                  .agg(F.count("*").alias("lines")))
+    asked = subs.filter(F.col("day").isNotNull())
+
+    wanted = subs.select("patient_id", "sub_item").distinct()
     mains = (item_lines.join(pairs.select("sub_item", F.col("main_item").alias("item_id")).distinct(), "item_id")
-             .filter(F.col("check_out").isNotNull()))
-    people = subs.select("patient_id").distinct()
-    placed = (orders.filter(F.col("completed").isNotNull()).join(people, "patient_id", "left_semi")
-              .select("order_id", "patient_id", day_index("completed").alias("stop_day"), "driver_id", "route_number"))
-    mains = (mains.groupBy("order_id", "sub_item", day_index("check_out").alias("out_day"),
-                           _first_midnight("check_out").alias("out_from"), back_day.alias("back"))
-             .agg(F.count("*").alias("n")).join(placed, "order_id"))
-    mains = staged(mains)
+             .filter(F.col("check_out").isNotNull())
+             .groupBy("order_id", "sub_item", day_index("check_out").alias("out_day"), _first_midnight("check_out").alias("out_from"),
+                      (day_index("coalesce(check_in, other_status)") + 1).alias("back")).agg(F.count("*").alias("n")))
+    mains = staged(mains.join(placed, "order_id").join(wanted, ["patient_id", "sub_item"], "left_semi")
+                   .groupBy("patient_id", "stop_day", "driver_id", "route_number", "sub_item", "out_day", "out_from", "back").agg(F.sum("n").alias("n")))
 
     stop = ["patient_id", "stop_day", "driver_id", "route_number", "sub_item"]
-    on_stop = mains.filter(F.col("driver_id").isNotNull() & F.col("route_number").isNotNull())
-    at_stop = _counts_at(
-        _out_and_back(on_stop.filter(F.col("out_day") <= F.col("stop_day")), F.lit(0), F.col("back"), *stop),
-        subs, stop, "stop_count")
-    stop_prior = _counts_at(_out_and_back(on_stop, F.col("out_from"), F.col("back"), *stop), subs, stop, "stop_prior")
-
-    span = ["patient_id", "sub_item", "bits", "number"]
-    spread = (mains.withColumn("_s", F.explode(_day_cover("stop_day")))
-              .select("patient_id", "sub_item", "_s.bits", "_s.number", "out_from", "back", "n"))
-    asked = (subs.select("patient_id", "sub_item", "stop_day", "day").distinct()
-             .withColumn("_s", F.explode(_prefix_cover("stop_day")))
-             .select("patient_id", "sub_item", "stop_day", "day", "_s.bits", "_s.number"))
-    part = _counts_at(_out_and_back(spread, F.col("out_from"), F.col("back"), *span), asked, span, "_part")
-    so_far = (asked.join(part, [*span, "day"]).groupBy("patient_id", "sub_item", "stop_day", "day")
-              .agg(F.sum("_part").alias("all_prior")))
-
-    out = (subs.join(at_stop, [*stop, "day"], "left").join(stop_prior, [*stop, "day"], "left")
-           .join(so_far, ["patient_id", "sub_item", "stop_day", "day"], "left")
+    known = F.col("driver_id").isNotNull() & F.col("route_number").isNotNull()
+    same = mains.filter(known)
+    by_day = _stock_events(same.filter(F.col("out_day") <= F.col("stop_day")), F.lit(None).cast("int"), *stop)
+    by_stamp = _stock_events(same, F.col("out_from"), *stop)
+    zero = F.lit(0).cast("long")
+    events = (by_day.withColumnRenamed("weight", "stop_count").withColumn("stop_prior", zero)
+              .unionByName(by_stamp.withColumnRenamed("weight", "stop_prior").withColumn("stop_count", zero)))
+    at_stop = running_at(events, asked.filter(known), stop, "day", ["stop_count", "stop_prior"])
+
+    pair = ["patient_id", "sub_item"]
+    point_nodes, asked_nodes = prefix_ranks(mains, asked, pair, "stop_day")
+    spread = mains.join(point_nodes, [*pair, "stop_day"]).withColumn("node", F.explode("nodes"))
+    reads = (asked.select(*pair, "stop_day", "day").distinct().join(asked_nodes, [*pair, "stop_day"]).withColumn("node", F.explode("nodes"))
+             .select(*pair, "stop_day", "day", "node"))
+    node = [*pair, "node"]
+    parts = running_at(_stock_events(spread, F.col("out_from"), *node).withColumnRenamed("weight", "part"), reads, node, "day", ["part"])
+    so_far = reads.join(parts, [*node, "day"]).groupBy(*pair, "stop_day", "day").agg(F.sum("part").alias("all_prior"))
+
+    out = (subs.join(at_stop, [*stop, "day"], "left").join(so_far, [*pair, "stop_day", "day"], "left")
            .na.fill(0, ["stop_count", "stop_prior", "all_prior"])
            .withColumn("prior_count", F.col("all_prior") - F.col("stop_prior")))
     sums = out.groupBy(*stop, "stop_count", "prior_count").agg(F.sum("lines").alias("_subs"))

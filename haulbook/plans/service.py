@@ -9,11 +9,12 @@ from haulbook.functions.numbers import yes_no
 from haulbook.functions.text import driver_label, person_name, strip_breaks, strip_quotes
 from haulbook.functions.windows import in_window
 from haulbook.operators.aggregates import (
-    CATEGORY_GROUPS, company_summary, concat_notes, flag_counts_per_key, latest_per_key, site_summary,
+    CATEGORY_GROUPS, company_summary, concat_notes, first_part, flag_counts_per_key, latest_per_key, site_summary,
 )
 from haulbook.operators.filters import optional_filter, search_orders, status_group
 from haulbook.operators.lookups import dedupe_lookup, join_code
 from haulbook.operators.ranking import dynamic_sort, padded_id
+from haulbook.sources.daytable import replace_days
 
 # Labels and limits of the service-level report.
 TYPE_NAMES = {"P": "PICKUP", "D": "DELIVERY", "E": "EXCHANGE"}
@@ -86,13 +87,18 @@ def summary_flags(details: DataFrame, groups: list[str] = list(CATEGORY_GROUPS))
 def service_call_orders(orders: DataFrame, details: DataFrame, service_details: DataFrame, notes: DataFrame,
                         patients: DataFrame, locations: DataFrame, products: DataFrame, addresses: DataFrame,
                         reasons: DataFrame, start, end, *, company: int | None = OWN_COMPANY,
-                        client_id: int | None = None, upper: str = "midnight") -> DataFrame:
-    """Orders placed in the window that have service-call lines, one row per such line, with joined notes and product."""
+                        client_id: int | None = None, upper: str = "midnight", max_chars: int = 500_000_000) -> DataFrame:
+    """Orders placed in the window that have service-call lines, one row per such line, with joined notes and product.
+
+    ``notes`` is the first part of the joined notes and ``note_parts`` their number: a row stays one row however long
+    they are. ``concat_notes`` gives the further parts.
+    """
     lines = details.join(service_details.select("detail_id"), "detail_id", "left_semi").select("order_id", "product_id", "detail_id")
     placed = (orders.filter(in_window("stamp", start, end, upper)).join(lines, "order_id", "left_semi")
               .select("order_id", "patient_id", "address_id", "reason",
                       F.to_date("stamp").alias("ordered_on"), F.to_date("completed").alias("delivered_on")))
-    joined = concat_notes(notes.join(placed.select("order_id"), "order_id", "left_semi"), "order_id", "note", "note_id")
+    joined = first_part(concat_notes(notes.join(placed.select("order_id"), "order_id", "left_semi"), "order_id", "note", "note_id",
+                                     max_chars=max_chars), "order_id")
     site = locations.select(F.col("location_id").alias("site_id"), F.col("company_id").alias("_firm"))
     site = optional_filter(site, "_firm", company)
     client = optional_filter(locations.select(F.col("location_id").alias("client_id"), F.col("name").alias("client_name")),
@@ -102,10 +108,10 @@ def service_call_orders(orders: DataFrame, details: DataFrame, service_details:
             .join(site, "site_id").join(client, "client_id").join(addresses, "address_id")
             .join(reasons.select(F.col("code").alias("reason"), F.col("name").alias("reason_name")), "reason")
             .join(products.select("product_id", F.col("name").alias("product_name")), "product_id")
-            .join(joined.select("order_id", "part", "notes"), "order_id", "left")
+            .join(joined, "order_id", "left")
             .select("client_name", "client_id", "order_id", person_name("last_name", "first_name").alias("patient"),
                     "street", "city", "state", "zip", "reason_name", "ordered_on", "delivered_on",
-                    "part", "notes", "product_name", "detail_id"))
+                    "notes", "note_parts", "product_name", "detail_id"))
 
 
 def lateness(df: DataFrame, due: str = "schedule_end", done: str = "completed") -> DataFrame:
@@ -142,6 +148,14 @@ def service_level(orders: DataFrame, patients: DataFrame, locations: DataFrame,
             .withColumn("type_name", label_of("type", TYPE_NAMES)))
 
 
+def replace_history(level: DataFrame, path: str, start, end) -> DataFrame:
+    """Keep the rows of a ``service_level`` result in a history by scheduled day: those of the window replace its days.
+
+    Orders of the result that are not scheduled in the window are left out, as the daily run is asked for one window.
+    """
+    return replace_days(level.filter(in_window("scheduled", start, end, "whole_day")), path, "scheduled", start, end)
+
+
 DETAIL_SORTS = ["order_id", "type", "status", "stamp", "scheduled", "completed", "patient", "city", "client_name",
                 "submitter", "driver", "route", "add_on_stop"]
 

@@ -14,7 +14,6 @@ from haulbook.operators.history import (
     min_created, view_milestones,
 )
 from haulbook.operators.lookups import join_code, star_join
-from haulbook.operators.skew import HOT_ROWS
 from haulbook.sources.sinks import staged
 
 # Minutes allowed to the first view and to scheduling.
@@ -44,22 +43,34 @@ def _orders_of(orders, patients, locations, companies, company) -> DataFrame:
     return star.filter(F.col("site_company") == company)
 
 
+def _named_status(orders: DataFrame, statuses: DataFrame | None) -> DataFrame:
+    """Orders of a listed status with its name."""
+    if statuses is None:
+        return orders
+    return orders.join(statuses.select(F.trim("status").alias("_code"), "status_name"), F.trim("status") == F.col("_code")).drop("_code")
+
+
+def _status_name(statuses: DataFrame | None) -> list[Column]:
+    return [] if statuses is None else [F.col("status_name")]
+
+
 def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, locations: DataFrame,
                    companies: DataFrame, users: DataFrame, lookup: DataFrame, start, end, *,
                    company: int = OWN_COMPANY, clock: str = "received", upper: str = "whole_day",
-                   unknown: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   unknown: bool = False, statuses: DataFrame | None = None) -> DataFrame:
     """Orders placed in the window with their view and scheduling times and whether both were in time.
 
     ``clock="received"`` counts from the received stamp. ``clock="stamp"`` counts views
     from the order stamp and scheduling from the received stamp or else the order
     stamp, and adds who completed it and the view variance. Never-viewed orders count
-    as met unless ``unknown``. Orders never scheduled drop out.
+    as met unless ``unknown``. Orders never scheduled drop out. ``statuses`` (status, status_name) adds the name of
+    the status and keeps orders of listed statuses only.
     """
     base = _orders_of(orders.filter(in_window("stamp", start, end, upper)), patients, locations, companies, company)
-    base = staged(base)
-    log = staged(history.join(base.select("order_id"), "order_id", "left_semi"))
+    base = staged(_named_status(base, statuses))
+    log = history.join(base.select("order_id"), "order_id", "left_semi")
     people = first_columns({"viewed": same_code("action", VIEWED), "completed_log": same_code("action", COMPLETED)})
-    marks = view_milestones(log, hot_rows, people).select(
+    marks = view_milestones(log, people).select(
         "order_id", "scheduled_by", "first_view", "views_before", "last_view", "viewed_by", "completed_log_by")
     received = "coalesce(received, stamp)"
     view_from, sched_from, span_from = {
@@ -73,7 +84,7 @@ def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, l
            .join(_user(users, "ordered_by", "full", "ordered_by_name"), "ordered_by")
            .join(_user(users, "viewed_by", "full", "viewed_by_name"), "viewed_by", "left"))
     cols = [
-        F.to_date("stamp").alias("placed"), F.col("order_id"), F.col("status"),
+        F.to_date("stamp").alias("placed"), F.col("order_id"), F.col("status"), *_status_name(statuses),
         status_group("status").alias("status_group"),
         F.when(F.col("priority"), "Yes").otherwise("No").alias("priority"),
         _site_label().alias("site"), _client_label().alias("client"), F.col("ordered_by_name"),
@@ -94,19 +105,20 @@ def order_workflow(orders: DataFrame, history: DataFrame, patients: DataFrame, l
 
 def time_to_dispatch(orders: DataFrame, history: DataFrame, patients: DataFrame, locations: DataFrame,
                      companies: DataFrame, users: DataFrame, day, *, annotations: DataFrame | None = None,
-                     inventory_orders: DataFrame | None = None, company: int = OWN_COMPANY) -> DataFrame:
+                     inventory_orders: DataFrame | None = None, company: int = OWN_COMPANY,
+                     statuses: DataFrame | None = None) -> DataFrame:
     """Minutes from scheduling to dispatch.
 
     With annotations: orders scheduled and due on the day whose first sync fell on
     it; band ``<15``, ``>30`` (30 and above) or ``NA``. Without: orders due up to the
     next midnight that were sent out, with the text span from scheduling to
-    departure and who completed them.
+    departure and who completed them. ``statuses`` as for ``order_workflow``.
     """
     synced_mode = annotations is not None
     due = in_window("schedule_end", day, day, "whole_day")
     if synced_mode:
         due = due & in_window("scheduled", day, day, "whole_day")
-    base = staged(_orders_of(orders.filter(due), patients, locations, companies, company))
+    base = staged(_named_status(_orders_of(orders.filter(due), patients, locations, companies, company), statuses))
     log = history.join(base.select("order_id"), "order_id", "left_semi")
     done = first_columns({"done": same_code("action", COMPLETED)})
     marks = log.groupBy("order_id").agg(*milestone_columns(), *done).select("order_id", "scheduled_by", "enroute_by", "done_by")
@@ -115,7 +127,7 @@ def time_to_dispatch(orders: DataFrame, history: DataFrame, patients: DataFrame,
            .join(users.select(F.col("user_id").alias("ordered_by")), "ordered_by", "left_semi")
            .join(_user(users, "enroute_by", "full", "dispatched_by"), "enroute_by", "left"))
     cols = [
-        F.to_date("schedule_end").alias("due"), F.col("order_id"), F.col("status"),
+        F.to_date("schedule_end").alias("due"), F.col("order_id"), F.col("status"), *_status_name(statuses),
         F.when(F.col("priority"), "Yes").otherwise("No").alias("priority"),
         _client_label().alias("client"), _site_label().alias("site"),
         F.coalesce("enroute_count", F.lit(0)).alias("times_enroute"), F.col("dispatched_by"),
@@ -143,7 +155,7 @@ def activity_by_order(history: DataFrame, level: str = "reconcile") -> DataFrame
             "assigned": same_code("action", ENROUTE)}
     if level == "reconcile":
         acts |= {"completed": same_code("action", COMPLETED), "reconciled": same_code("action", RECONCILED)}
-    return first_per_key(history, acts, "user_name" if "user_name" in history.columns else "user_id")
+    return first_per_key(history, acts)
 
 
 def workflow_activity(orders: DataFrame, history: DataFrame, patients: DataFrame, locations: DataFrame,
@@ -156,9 +168,10 @@ def workflow_activity(orders: DataFrame, history: DataFrame, patients: DataFrame
     """
     base = orders.filter(in_window("stamp", start, end, upper)).select(
         "order_id", "patient_id", "type", "stamp", F.col("scheduled").alias("due"))
-    log = (history.join(base.select("order_id"), "order_id", "left_semi")
-           .join(_user(users, "user_id", "user", "user_name"), "user_id", "left"))
-    acts = activity_by_order(log, level)
+    acts = activity_by_order(history.join(base.select("order_id"), "order_id", "left_semi"), level)
+    # Names are looked up for the few acting users of an order, not for every row of the log.
+    for c in [c for c in acts.columns if c.endswith("_by")]:
+        acts = acts.withColumnRenamed(c, "_who").join(_user(users, "_who", "user", c), "_who", "left").drop("_who")
     clients = (locations.filter(F.trim("type") == "C")
                .select(F.col("location_id").alias("client_id"), F.col("name").alias("company_name")))
     out = (base.join(patients.select("patient_id", "client_id", "last_name", "first_name"), "patient_id")

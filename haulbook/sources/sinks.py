@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import tempfile
 import uuid
 
@@ -30,12 +29,16 @@ def staged(df: DataFrame) -> DataFrame:
     For an aggregate that several branches of a plan need: it is computed once, its
     size is known to the planner, and a lost executor costs no recomputation.
     """
-    return df.sparkSession.read.parquet(write_report(df, shared_dir(df.sparkSession)))
+    return df.sparkSession.read.schema(df.schema).parquet(write_report(df, shared_dir(df.sparkSession)))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of the report schema in order and type."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Columns of the report schema in order and type. A missing column is an error, as is a type that cannot be stored in
+    the declared one; a value that does not fit fails the run. Further columns are left out."""
+    missing = [n for n in schema.names if n not in df.columns]
+    if missing:
+        raise ValueError(f"the report lacks {', '.join(missing)}")
+    return df.to(schema)
 
 
 def write_report(df: DataFrame, path: str, schema: T.StructType | None = None) -> str:
@@ -67,26 +70,15 @@ def replace_window(target: DataFrame, new: DataFrame, date_col: str, start, end,
     """The target without its rows dated in the window, plus the recomputed rows.
 
     Rows without a date stay. Give the new rows of the same window; a second run then
-    changes nothing. Write the result to a new version of the table.
+    changes nothing. Write the result to a new version of the table, or keep the table in day folders (``daytable``).
     """
     old = target.filter(~F.coalesce(in_window(date_col, start, end, upper), F.lit(False)))
     return old.unionByName(new.select(*target.columns))
 
 
-def replace_partitions(new: DataFrame, path: str, day_col: str, start: str | None = None, end: str | None = None) -> None:
-    """In place: overwrite the day folders present in the new rows.
+def replace_partitions(new: DataFrame, path: str, day_col: str) -> None:
+    """In place: overwrite the day folders present in the new rows; all other days stay.
 
-    With a window, given as ISO dates of its first and last day, folders of its days
-    that got no new row are removed; all other days stay.
+    For a window whose days may lose all their rows, and for readers at work meanwhile, use ``daytable``.
     """
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
-    if start is None or end is None:
-        return
-    spark, first, last = new.sparkSession, dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    wanted = F.col(day_col).cast("date").between(first, last)
-    filled = {str(r[0]) for r in new.filter(wanted).select(F.col(day_col).cast("date")).distinct().collect()}   # one row a day at most
-    for k in range((last - first).days + 1):
-        day = str(first + dt.timedelta(k))
-        if day not in filled:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day_col}={day}")
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,8 +1,13 @@
+import datetime as dt
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, tuples
 from haulbook.operators import filters as f, lookups as k
-from haulbook.operators.skew import salted_join
+from haulbook.operators.intervals import prefix_ranks, range_join, running_at
+from haulbook.operators.scan import scan_before, time_levels
 
 ORDERS = "order_id int, patient_id int, route_number int, last_name string, client_id int, status string, scheduled timestamp_ntz, stamp timestamp_ntz, completed timestamp_ntz, reconciled timestamp_ntz, completion_action int, priority boolean, driver_id int"
 T = at("2017-01-10")
@@ -78,10 +83,52 @@ def test_anti_join_ignores_null_keys(frame):
     assert tuples(k.anti_join(left, right, "id"), "id") == [(1,)]
 
 
-def test_salted_join_equals_plain_join(frame):
-    big = frame("key int, v int", [(1, i) for i in range(50)] + [(2, i) for i in range(3)] + [(3, 0)])
-    small = frame("key int, s string", [(1, "a"), (2, "b"), (9, "z")])
-    for how in ("inner", "left"):
-        want = tuples(big.join(small, "key", how), "key", "v", "s")
-        assert tuples(salted_join(big, small, ["key"], how, hot_rows=5), "key", "v", "s") == want
-        assert tuples(salted_join(big, small, ["key"], how), "key", "v", "s") == want
+@pytest.mark.parametrize("block", [1, 3, 65_536])
+def test_scan_agrees_with_a_loop(frame, block):
+    """Null keys and stamps, ties in time, hours with one and with many rows."""
+    rnd = random.Random(block)
+    stamps = [None, *[dt.datetime(2017, 3, d, h, m) for d in (1, 2) for h in (0, 5) for m in (0, 30)]]
+    rows = [(i, rnd.choice([None, 1, 2]), rnd.choice(stamps), rnd.choice([None, None, i]), rnd.randint(0, 3)) for i in range(200)]
+    df = frame("id int, k int, ts timestamp_ntz, v int, w int", rows)
+    got = {r.id: (r.before, r.found, r.found_before) for r in scan_before(df, ["k"], ["ts", "id"], time_levels("ts", "id", block), F.col("v"), F.col("w")).collect()}
+    want = {}
+    for k in (None, 1, 2):
+        before, last, at_last = 0, None, None
+        for i, _, _, v, w in sorted((r for r in rows if r[1] == k), key=lambda r: (r[2] is not None, r[2] or stamps[1], r[0])):
+            want[i] = (before, last, at_last)
+            if v is not None:
+                last, at_last = v, before
+            before += w
+    assert got == want
+
+
+def test_scan_starts_no_job(spark, frame):
+    df = frame("id int, k int, ts timestamp_ntz", [(1, 1, None)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("scan", "scan")
+    scan_before(df, ["k"], ["ts", "id"], time_levels("ts", "id"), F.col("id"))
+    assert tracker.getJobIdsForGroup("scan") == []
+
+
+def test_range_join(frame):
+    rnd = random.Random(2)
+    ranges = [(i, a, a + rnd.randint(-2, 70)) for i, a in enumerate(rnd.randint(0, 120) for _ in range(60))] + [(99, 0, 119_999), (98, None, 5), (97, 7, None)]
+    points = list(range(0, 140, 3)) + [119_999]
+    got = range_join(frame("id int, a int, b int", ranges), "a", "b", frame("p int", [(p,) for p in points]), "p")
+    want = sorted((i, p) for i, a, b in ranges if None not in (a, b) for p in points if a <= p <= b)
+    assert sorted((r.id, r.p) for r in got.collect()) == want
+
+
+def test_prefix_sums_over_two_orders(frame):
+    """Counts of points at or before a question in both orders, through the tree and one sweep."""
+    rnd = random.Random(4)
+    points = [(rnd.choice("ab"), rnd.randint(-9, 9), rnd.choice([None, *range(-9, 9)]), 1) for _ in range(150)]
+    asks = [(rnd.choice("abc"), rnd.randint(-12, 12), rnd.randint(-9, 9)) for _ in range(60)]
+    p, q = frame("k string, x int, y int, n long", points), frame("k string, x int, y int", asks).distinct()
+    inside, read = prefix_ranks(p, q, ["k"], "x")
+    assert max(len(r.nodes) for r in inside.collect()) <= 6
+    spread = p.join(inside, ["k", "x"]).withColumn("node", F.explode("nodes"))
+    reads = q.join(read, ["k", "x"]).withColumn("node", F.explode("nodes"))
+    parts = running_at(spread, reads, ["k", "node"], "y", ["n"])
+    got = {(r.k, r.x, r.y): r.n for r in reads.join(parts, ["k", "node", "y"]).groupBy("k", "x", "y").agg(F.sum("n").alias("n")).collect()}
+    assert got == {(k, x, y): sum(a == k and b <= x and (c is None or c <= y) for a, b, c, _ in points) for k, x, y in set(asks)}

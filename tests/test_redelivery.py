@@ -69,17 +69,22 @@ def test_skipped_predecessors_are_listed(frame):
     details = [(1, None, DME), (2, None, SERVICE), (3, None, SERVICE), (4, None, DME)]
     df = run(frame, orders, details)
     assert tuples(df.filter("order_id = 4"), "pre_order_id", "skipped", "note") == [(1, 2, "[Re-Del]")]
-    for opts in ({}, {"block": 90, "hot_rows": 1}):
+    for opts in ({}, {"width": 255}, {"width": 255, "block": 90}):
         assert tuples(rd.skipped_orders(df, **opts), "order_id", "skipped", "skipped_ids", "skipped_notes") == [
             (3, 1, "2", "Service"), (4, 2, "3, 2", "Service, Service")]
+    assert tuples(rd.skipped_runs(df), "run_after", "place", "order_id", "note") == [(1, 1, 2, "Service"), (1, 2, 3, "Service")]
 
 
-def test_long_skip_lists_in_small_blocks(frame):
+def test_long_skip_lists_are_whole_and_can_be_cut(frame):
     orders = [(i, 1, 1, 1, dt.datetime(2017, 3, 1) + dt.timedelta(hours=i)) for i in range(1, 301)]
     df = run(frame, orders, [(i, None, SERVICE) for i in range(1, 301)])
-    got = {r.order_id: r.skipped_ids for r in rd.skipped_orders(df, block=100).collect()}
-    for i in (2, 99, 100, 101, 187, 300):
-        assert got[i] == ", ".join(str(j) for j in range(i - 1, 0, -1))[:255]
+    whole = {r.order_id: r.skipped_ids for r in rd.skipped_orders(df).collect()}
+    cut = {r.order_id: r.skipped_ids for r in rd.skipped_orders(df, width=255, block=100).collect()}
+    assert len(whole) == len(cut) == 299
+    for i in range(2, 301):
+        want = ", ".join(str(j) for j in range(i - 1, 0, -1))
+        assert whole[i] == want and cut[i] == want[:255]
+    assert tuples(rd.skipped_runs(df), "run_after", "place", "order_id") == sorted([(None, i, i) for i in range(1, 301)], key=str)
 
 
 def test_lookback_reaches_the_month_before(frame):
@@ -89,8 +94,22 @@ def test_lookback_reaches_the_month_before(frame):
     assert tuples(df.filter("not in_period"), "order_id", "window_start") == [(1, dt.date(2017, 3, 1))]
     only = run(frame, orders, [(o, None, DME) for o in (1, 2, 3)], first="2017-03-01", last="2017-03-01")
     assert tuples(only, "order_id") == [(1,), (2,)]
-    with pytest.raises(ValueError):
-        rd.order_windows(only, "completed", "W", 8)
+
+
+@pytest.mark.parametrize("kind, days, want", [
+    ("D", 3, ["2017-02-27", "2017-02-28", "2017-03-01", "2017-03-02"]), ("W", 8, ["2017-02-26", "2017-03-05"]), ("I", 14, ["2017-02-27", "2017-03-06", "2017-03-13"]),
+    ("M", 40, ["2017-02-01", "2017-03-01", "2017-04-01"]), ("B", 3, ["2017-01-01", "2017-03-01"]), ("Q", 400, ["2017-01-01", "2017-04-01", "2017-07-01", "2017-10-01", "2018-01-01", "2018-04-01"]),
+    ("Y", 400, ["2017-01-01", "2018-01-01"]), ("M", 0, ["2017-02-01"])])
+def test_an_order_lies_in_every_period_its_lookback_reaches(frame, kind, days, want):
+    got = rd.order_windows(frame("id int, completed timestamp_ntz", [(1, at("2017-02-27 23:30:00"))]), "completed", kind, days)
+    assert [str(r.window_start) for r in got.orderBy("window_start").collect()] == want
+
+
+def test_daily_windows_look_back_over_five_days(frame):
+    orders = [(1, 1, 1, 1, at("2017-03-01 10:00:00")), (2, 1, 2, 1, at("2017-03-04 10:00:00")), (3, 1, 3, 1, at("2017-03-09 10:01:00"))]
+    df = run(frame, orders, [(o, None, DME) for o in (1, 2, 3)], kind="D", days=5)
+    assert notes(df, "2017-03-04") == {1: "NoPreOrd", 2: "[Re-Del]"} and notes(df, "2017-03-09") == {2: "NoPreOrd", 3: "GT>Days"}
+    assert df.count() == 18 and df.filter("in_period").count() == 3
 
 
 def simulate(orders, bad, days=5):
@@ -110,19 +129,19 @@ def simulate(orders, bad, days=5):
     return out
 
 
-@pytest.mark.parametrize("seed, hot", [(1, 10 ** 6), (2, 10 ** 6), (3, 1), (4, 2)])
-def test_predecessors_against_brute_force(frame, seed, hot):
+@pytest.mark.parametrize("seed, block", [(1, 10 ** 6), (2, 10 ** 6), (3, 1), (4, 2)])
+def test_predecessors_against_brute_force(frame, seed, block):
     rnd = random.Random(seed)
     orders = [(i, rnd.randint(1, 5), rnd.randint(1, 2), rnd.randint(1, 2), dt.datetime(2017, 3, rnd.randint(1, 6), rnd.choice([0, 0, 8]))) for i in range(1, 81)]
     bad = {o[0] for o in orders if rnd.random() < 0.5}
     details = [(o[0], None, SERVICE if o[0] in bad else DME) for o in orders]
-    low = {r.order_id: (r.pre_order_id, r.note) for r in run(frame, orders, details, ties="lowest_id", hot_rows=hot).collect()}
+    low = {r.order_id: (r.pre_order_id, r.note) for r in run(frame, orders, details, ties="lowest_id").collect()}
     for oid, want in simulate(orders, bad).items():
         pre, note = low[oid]
         assert pre == (None if want == "none" else want)
         if oid not in bad:
             assert (note == "NoValidPre") == (want == "none")
-    strict = {r.order_id: (r.pre_order_id, r.skipped) for r in run(frame, orders, details, hot_rows=hot).collect()}
+    strict = {r.order_id: (r.pre_order_id, r.skipped) for r in run(frame, orders, details, block=block).collect()}
     for o in orders:
         before = sorted((p for p in orders if p[1] == o[1] and (p[4], p[0]) < (o[4], o[0])), key=lambda p: (p[4], p[0]))
         good = [p for p in before if p[0] not in bad]
@@ -167,9 +186,10 @@ def test_pair_cases(frame, lines, missed):
     assert tuples(pairs_of(frame, orders, rows, [2]), "order_id", "missed") == [(2, missed)]
 
 
-def test_pairs_against_brute_force(frame):
-    rnd = random.Random(5)
-    day = lambda lo, hi: dt.datetime(2017, 3, rnd.randint(lo, hi), rnd.choice([0, 9]))
+@pytest.mark.parametrize("year, seed", [(2017, 5), (1965, 6), (1969, 7)])
+def test_pairs_against_brute_force(frame, year, seed):
+    rnd = random.Random(seed)
+    day = lambda lo, hi: dt.datetime(year, 12, 20) + dt.timedelta(days=rnd.randint(lo, hi), hours=rnd.choice([0, 9]))
     orders = [(i, rnd.randint(1, 3), rnd.choice([1, 2, None]), 1, day(1, 20)) for i in range(1, 60)]
     pairs = [(9, 195), (10, 195), (50, 250)]
     lines = []
@@ -177,16 +197,19 @@ def test_pairs_against_brute_force(frame):
         out = day(1, 20)
         back = out + dt.timedelta(days=rnd.randint(-2, 6)) if rnd.random() < 0.5 else None
         kind = rnd.random() < 0.5
-        lines.append((rnd.randint(1, 59), rnd.choice([9, 10, 50, 195, 250]), out, back if kind else None, None if kind else back))
+        lines.append((rnd.randint(1, 59), rnd.choice([9, 10, 50, 195, 250]), out if rnd.random() < 0.95 else None, back if kind else None, None if kind else back))
     chosen = list(range(1, 60, 2))
     by_id = {o[0]: o for o in orders}
     far = dt.datetime(2999, 12, 31, 12)
     want = {}
     for o, item, out, _, _ in [l for l in lines if l[0] in chosen and l[1] in (195, 250)]:
+        if out is None:
+            want[(o, item, None)] = (0, 0)
+            continue
         me, t = by_id[o], dt.datetime.combine(out.date(), dt.time())
         stop = prior = 0
         for mo, mi, mout, mb1, mb2 in lines:
-            if (mi, item) not in pairs or by_id[mo][1] != me[1]:
+            if (mi, item) not in pairs or by_id[mo][1] != me[1] or mout is None:
                 continue
             other, back = by_id[mo], mb1 or mb2 or far
             same = other[4].date() == me[4].date() and None not in (me[2], other[2]) and other[2:4] == me[2:4]
@@ -196,7 +219,7 @@ def test_pairs_against_brute_force(frame):
                 prior += mout <= t and back >= t
         want[(o, item, (out.date() - dt.date(1970, 1, 1)).days)] = (stop, prior)
     got = {(r.order_id, r.sub_item, r.out_day): (r.stop_count, r.prior_count) for r in pairs_of(frame, orders, lines, chosen, pairs).collect()}
-    assert got == want
+    assert got == want and any(k[2] is None for k in want) and max(v[1] for v in want.values()) > 3
 
 
 def test_summary_drops_unknown_states_and_fits_percentages(frame):

@@ -1,10 +1,12 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import at, tuples
 from haulbook.sources import sinks, tables
+from haulbook.sources.daytable import DayTable
 
 
 def test_replace_window_twice_equals_once(frame):
@@ -25,6 +27,57 @@ def test_replace_partitions_keeps_other_days(frame, spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(out).collect()) == [1, 5]
 
 
+ROW = "id int, d timestamp_ntz, v string"
+
+
+def day_rows(frame, *rows):
+    return frame(ROW, [(i, d and at(d), v) for i, d, v in rows])
+
+
+def test_day_table_replaces_a_window_and_drops_emptied_days(frame, spark, tmp_path):
+    table = DayTable(spark, str(tmp_path / "t"), "d")
+    assert table.days() == []
+    table.replace(day_rows(frame, (1, "2017-02-28 23:00:00", "a"), (2, "2017-03-01 01:00:00", "a"), (3, "2017-03-02", "a"), (4, "2017-03-03", "a"), (5, None, "a")))
+    table.replace(day_rows(frame, (6, "2017-03-02 09:00:00", "b"), (7, "2017-03-02", "b")), "2017-03-01", "2017-03-02")
+    assert tuples(table.read(), "id", "v") == [(1, "a"), (4, "a"), (5, "a"), (6, "b"), (7, "b")]
+    assert table.days() == ["2017-02-28", "2017-03-02", "2017-03-03", "none"] and table.version() == 2
+    assert tuples(table.read(1), "id") == [(i,) for i in range(1, 6)]
+    assert table.remove_unlisted() == 1 and tuples(table.read(), "id") == [(1,), (4,), (5,), (6,), (7,)]
+    table.replace(day_rows(frame), "2017-01-01", "2017-12-31")
+    assert tuples(table.read(), "id") == [(5,)] and table.read().schema.simpleString() == "struct<id:int,d:timestamp_ntz,v:string>"
+    table.replace(day_rows(frame))
+    assert table.read().count() == 0
+
+
+def test_day_table_refuses_and_stays_readable(frame, spark, tmp_path, monkeypatch):
+    table = DayTable(spark, str(tmp_path / "t"), "d")
+    table.replace(day_rows(frame, (1, "2017-03-01", "a")))
+    new = day_rows(frame, (2, "2017-03-01", "b"))
+    for bad, window in ((day_rows(frame, (2, "2017-03-05", "b")), ("2017-03-01", "2017-03-02")), (day_rows(frame, (2, None, "b")), ("2017-03-01", "2017-03-02"))):
+        with pytest.raises(ValueError):
+            table.replace(bad, *window)
+    with pytest.raises(Exception):
+        table.replace(new.drop("v").withColumn("w", F.lit(1)), "2017-03-01", "2017-03-01")
+    # A run that breaks off before its manifest, and a second writer that is late.
+    with monkeypatch.context() as m:
+        m.setattr(DayTable, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            table.replace(new, "2017-03-01", "2017-03-01")
+    assert tuples(table.read(), "id") == [(1,)]
+    table.replace(new, "2017-03-01", "2017-03-01")
+    with pytest.raises(Exception):
+        table._commit(2, {"schema": {}, "days": {}})
+    assert tuples(table.read(), "id") == [(2,)]
+
+
+def test_day_table_evaluates_new_rows_once(frame, spark, tmp_path):
+    """Replacing a table by rows read from itself is safe."""
+    table = DayTable(spark, str(tmp_path / "t"), "d")
+    table.replace(day_rows(frame, (1, "2017-03-01", "a"), (2, "2017-03-02", "a")))
+    table.replace(table.read().withColumn("v", F.concat("v", F.lit("!"))), "2017-03-01", "2017-03-02")
+    assert tuples(table.read(), "id", "v") == [(1, "a!"), (2, "a!")]
+
+
 def test_write_report_conforms(frame, spark, tmp_path):
     schema = T.StructType.fromDDL("n decimal(9,2), s string")
     path = sinks.write_report(frame("s string, n int, extra int", [("a", 1, 2)]), str(tmp_path / "r"), schema)
