@@ -30,19 +30,21 @@ def _months(r):
 
 
 def _pairs(r):
-    return b.contract_pairs(_activity(r), r.budgets(), r.contracts(), r.locations(), _months(r))
+    return b.contract_pairs(_activity(r), r.budgets().unionByName(r.sub_budgets()), r.contracts(), r.locations(), _months(r))
 
 
 PAIR_SQL = f"""{with_roles('r_budgets', 'r_contracts', 'r_locations', 'r_orders', 'r_patients', 'r_billed')},
 months as (select distinct year(o_orderdate) * 100 + month(o_orderdate) yyyymm from orders),
 act as (select distinct year(stamp) * 100 + month(stamp) yyyymm, client_id, cast(patient_id % 2 as int) sub_unit, site_id from r_orders join r_patients using (patient_id)),
-bud as (select yyyymm, client_id, 0 sub_unit, site_id, budget_id, contract_id from r_budgets join months on begin_yyyymm <= yyyymm and yyyymm <= end_yyyymm),
+both_units as (select client_id, site_id, begin_yyyymm, end_yyyymm, 0 sub_unit, budget_id, contract_id from r_budgets
+  union all select client_id, site_id, begin_yyyymm, end_yyyymm, 1, budget_id + 5000000, (client_id + 1) % 25 from r_budgets where client_id % 5 = 0),
+bud as (select yyyymm, client_id, sub_unit, site_id, budget_id, contract_id from both_units join months on begin_yyyymm <= yyyymm and yyyymm <= end_yyyymm),
 pair as (select *, 1 activity from act union all select yyyymm, client_id, sub_unit, site_id, 0 from bud
   where (yyyymm, client_id, sub_unit, site_id) not in (select (yyyymm, client_id, sub_unit, site_id) from act)),
 con as (select p.yyyymm, p.client_id, p.sub_unit, p.site_id, case when o.budget_id is null and m.budget_id is not null then -1 else activity end activity,
   coalesce(o.budget_id, m.budget_id) budget_id, coalesce(o.contract_id, m.contract_id) contract_id from pair p
   left join bud o on (o.yyyymm, o.client_id, o.sub_unit, o.site_id) = (p.yyyymm, p.client_id, p.sub_unit, p.site_id)
-  left join bud m on (m.yyyymm, m.client_id, m.site_id) = (p.yyyymm, p.client_id, p.site_id)),
+  left join bud m on m.sub_unit = 0 and (m.yyyymm, m.client_id, m.site_id) = (p.yyyymm, p.client_id, p.site_id)),
 contract as (select c.yyyymm, c.client_id, c.sub_unit, c.site_id, activity, budget_id, c.contract_id, case when budget_id is not null then 'N' end network_type, coalesce(k.owner_company, 2) as owner,
   case when l.company_id = 2 then 'B&M' when coalesce(k.owner_company, 2) = 2 then 'NET' else 'SWC' end contract_type
   from con c left join r_contracts k using (contract_id) left join r_locations l on l.location_id = c.site_id)"""

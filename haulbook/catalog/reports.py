@@ -188,7 +188,7 @@ def _(spark, path):
 PAIRED = STRICT + """,
 chosen as (select distinct order_id from lab where note = '[Re-Del]' and paired > 0),
 placed as (select order_id, patient_id, completed::date stop_day, driver_id, route_number from r_orders),
-il as (select d.order_id, e.item_id, d.check_out, coalesce(d.check_in, timestamp '2999-12-31 12:00:00') back from r_details d join r_equipment e using (product_id) where d.order_id is not null),
+il as (select d.order_id, e.item_id, d.check_out, coalesce(d.check_in, d.other_status, timestamp '2999-12-31 12:00:00') back from r_details d join r_equipment e using (product_id) where d.order_id is not null),
 subs as (select order_id, patient_id, stop_day, driver_id, route_number, item_id sub_item, check_out::date sday, count(*) lines
   from il join chosen using (order_id) join placed using (order_id) where item_id in (select sub_item from r_pairs) group by all),
 mains as (select il.order_id, p.sub_item, check_out, back, patient_id, stop_day, driver_id, route_number from il join r_pairs p on p.main_item = il.item_id join placed using (order_id)),
@@ -392,20 +392,27 @@ def _(spark, path):
 # ---- service level
 
 LEVEL = with_roles("r_shipped", "r_patients", "r_locations", "r_users") + f""",
-lvl as (select o.*, p.client_id, p.site_id, p.last_name || ', ' || p.first_name || ' ' as patient, s.name site_name, k.name client_name, u.last_name ul, u.first_name uf,
+lvl as (select o.*, p.client_id, p.site_id, p.last_name || ', ' || p.first_name || ' ' || coalesce(p.middle, '') as patient, p.disabled, p.torpid, p.dup, s.name site_name, k.name client_name, u.last_name ul, u.first_name uf,
   date_diff('minute', schedule_end, completed) variance, case when date_diff('minute', schedule_end, completed) > 30 and priority then 1 else 0 end missed,
   case p.site_id when 1065 then 'America/New_York' when 1066 then 'America/Denver' end as zone, case p.site_id when 1065 then 'ET' when 1066 then 'MT' end zone_abbr
   from r_shipped o join r_patients p using (patient_id) join r_locations s on s.location_id = p.site_id and s.type = 'S' and s.company_id = 2
   join r_locations k on k.location_id = p.client_id and k.type = 'C' left join r_users u on u.user_id = o.driver_id)"""
 
 
+# Role mapping: further address columns from the patient's number, in words that both engines read.
+ADDRESS = {"street2": "case when patient_id % 2 = 0 then concat('Unit ', patient_id % 100) end", "state": "concat('S', patient_id % 50)",
+           "zip": "concat('', 10000 + patient_id)", "latitude": "cast(patient_id as double) / 10", "longitude": "cast(patient_id as double) / 20",
+           "room": "concat('R', patient_id % 9)", "bed": "concat('B', patient_id % 3)", "place_name": "concat('Home ', patient_id % 7)"}
+
+
 def _level(spark, path, **search):
     r = Roles(spark, path)
     zones = r.locations().filter("type = 'S'").selectExpr(
         "location_id as site_id", "case location_id when 1065 then 'America/New_York' when 1066 then 'America/Denver' end as zone",
         "case location_id when 1065 then 'ET' when 1066 then 'MT' end as zone_abbr")
     regions = r.locations().filter("type = 'S'").selectExpr("name as site", "concat('Area ', left(name, 1)) as region")
-    addresses = r.patients().selectExpr("address_id", "concat('O', chr(39), last_name) as street", "first_name as city", "if(patient_id % 2 = 0, 'RES', 'AL') as place")
+    addresses = r.patients().selectExpr("address_id", "concat('O', chr(39), last_name) as street", "first_name as city", "if(patient_id % 2 = 0, 'RES', 'AL') as place",
+                                        *[f"{x} as {n}" for n, x in ADDRESS.items()])
     return sc.service_level(r.shipped_orders(), r.patients(), r.locations(), regions, zones, r.users(), addresses, **search)
 
 
@@ -445,8 +452,12 @@ pad as (select conv_id, count(*) n, timestamp '1996-01-01' + to_days(cast(conv_i
 select order_id, client_name, {stamp("coalesce(timezone(zone, timezone('UTC', stamp)), stamp)")} as stamp, strftime(coalesce(timezone(zone, timezone('UTC', scheduled)), scheduled), '%m/%d/%Y') as scheduled_on,
 {stamp("coalesce(timezone(zone, timezone('UTC', completed)), completed)")} as completed, case lvl.type when 'P' then 'PU' else 'DEL' end as type, pad.n as note_count, sq as sequence_number, coalesce(spec.n, 0) as specialty_count,
 case when lu > coalesce(last_viewed, timestamp '1900-01-01') + interval 1 second then 1 else 0 end as new_note, reason, rn.name as reason_name, zone_abbr, missed, variance, su."full" as submitter,
-case when add_on_stop = false then 'No' else 'Yes' end as add_on_stop, last_viewed_by, vu.last_name as viewer_last
-from lvl left join spec on spec.l_orderkey = order_id left join stop on stop.l_orderkey = order_id left join pad on conv_id = order_id
+case when add_on_stop = false then 'No' else 'Yes' end as add_on_stop, last_viewed_by, vu.last_name as viewer_last,
+{', '.join(f"{x} as {n}" for n, x in ADDRESS.items())}, '555-' || patient_id as phone1, case when patient_id % 3 <> 0 then '556-' || patient_id end as phone2,
+'C' || patient_id as contact, case patient_id % 4 when 2 then 'X' when 3 then null else '' end as infectious, lvl.driver_id, du."user" as driver_user,
+'m' || du.user_id as driver_phone, 'o' || du.user_id as driver_office_phone, case when order_id % 3 = 0 then order_id * 2 end as answer_id, completion_action, route_id,
+cast(service_call as int) as service_call, case when torpid is not null then 1 else 0 end as is_torpid, case when disabled is not null then 1 else 0 end as is_disabled, dup as duplicate
+from lvl left join r_users du on du.user_id = lvl.driver_id left join spec on spec.l_orderkey = order_id left join stop on stop.l_orderkey = order_id left join pad on conv_id = order_id
 left join (select distinct left(o_orderpriority, 1) code, o_orderpriority as name from orders) rn on rn.code = reason left join r_users su on su.user_id = ordered_by
 left join r_users vu on vu."user" = last_viewed_by
 where status in ('R','S','T','U','Q','D','P','QU') and coalesce(timezone(zone, timezone('UTC', scheduled)), scheduled) between timestamp '1997-01-01' and timestamp '1997-12-31'""")
@@ -458,6 +469,9 @@ def _(spark, path):
     stops = r.t["lineitem"].selectExpr("l_orderkey as order_id", "l_linenumber as sequence_number")
     brand = r.t["part"].selectExpr("p_partkey as product_id", "case p_brand when 'Brand#24' then 243 when 'Brand#25' then 244 else 0 end as item_id")
     special = r.details().filter("order_id is not null").select("order_id", "product_id").join(brand, "product_id")
-    out = sc.service_level_detail(level, pads, stops, special, r.lookup(), r.users(), date_mode=0, start="1997-01-01", end="1997-12-31", sort="client_name")
-    return out.select("order_id", "client_name", "stamp", "scheduled_on", "completed", "type", "note_count", "sequence_number", "specialty_count", "new_note", "reason",
+    out = sc.service_level_detail(level, pads, stops, special, r.lookup(), r.users(), date_mode=0, start="1997-01-01", end="1997-12-31", sort="client_name",
+                                  answers=r.orders().filter("order_id % 3 = 0").selectExpr("order_id", "order_id * 2 as answer_id"))
+    return out.withColumn("service_call", F.col("service_call").cast("int")).select(*ADDRESS, "phone1", "phone2", "contact", "infectious", "driver_id", "driver_user",
+                      "driver_phone", "driver_office_phone", "answer_id", "completion_action", "route_id", "service_call", "is_torpid", "is_disabled", "duplicate",
+                      "order_id", "client_name", "stamp", "scheduled_on", "completed", "type", "note_count", "sequence_number", "specialty_count", "new_note", "reason",
                       "reason_name", "zone_abbr", "missed", "variance", "submitter", "add_on_stop", "last_viewed_by", "viewer_last")

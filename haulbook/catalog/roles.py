@@ -59,14 +59,14 @@ class Roles:
                 .selectExpr("* except (l_orderkey, done)", "done as completed", "stamp as schedule_end",
                             "if(reason <> '5', stamp, null) as scheduled", "if(status = 'D', done, null) as reconciled",
                             "route_number as completion_action", "concat('u', driver_id) as last_viewed_by",
-                            "route_number = 3 as add_on_stop"))
+                            "route_number = 3 as add_on_stop", "order_id % 100 as route_id", "order_id % 6 = 0 as service_call"))
 
     def details(self) -> DataFrame:
         return self.t["lineitem"].selectExpr(
             "if(l_returnflag <> 'R', l_orderkey, null) as order_id", "if(l_returnflag = 'R', l_orderkey, null) as reference_order_id",
             "l_partkey as product_id", "l_linestatus as status", "l_shipdate as check_out",
             "if(l_returnflag = 'A', l_shipdate + make_dt_interval(cast(l_quantity as int)), null) as check_in",
-            "cast(null as timestamp_ntz) as other_status",
+            "if(l_returnflag = 'N' and l_linenumber = 2, l_shipdate + make_dt_interval(20), null) as other_status",
             "if(l_discount > 0, cast(l_discount as string), null) as serial_number", "if(l_tax > 0, cast(l_tax as string), null) as o2_lot")
 
     def equipment(self) -> DataFrame:
@@ -78,8 +78,8 @@ class Roles:
             "p_type as item_name")
 
     def client_equip(self) -> DataFrame:
-        return self.t["part"].filter("p_size = 50").selectExpr(
-            "cast(p_partkey % 25 as int) as client_id", "1072 as site_id", "p_partkey as equipment_id", "cast(null as int) as item_id",
+        return self.t["part"].filter("p_size > 30").selectExpr(
+            "cast(p_partkey % 25 as int) as client_id", "case p_partkey % 3 when 0 then 1065 when 1 then 1066 else 1072 end as site_id", "p_partkey as equipment_id", "cast(null as int) as item_id",
             "cast(null as boolean) as oxygen", "true as disposable")
 
     def pairs(self) -> DataFrame:
@@ -91,9 +91,11 @@ class Roles:
     def patients(self) -> DataFrame:
         return self.t["customer"].selectExpr(
             "c_custkey as patient_id", "c_nationkey as client_id", "1000 + ascii(c_mktsegment) as site_id", "c_custkey as address_id",
-            "substr(c_name, 1, 8) as last_name", "substr(c_name, 10, 9) as first_name", "cast(null as string) as middle",
-            "if(c_acctbal < -900, 'M', 'P') as type", "cast(null as timestamp_ntz) as disabled", "cast(null as timestamp_ntz) as torpid",
-            "0 as dup")
+            "substr(c_name, 1, 8) as last_name", "substr(c_name, 10, 9) as first_name", "if(c_custkey % 4 = 0, 'Q', null) as middle",
+            "if(c_acctbal < -900, 'M', 'P') as type", "if(c_custkey % 11 = 0, timestamp_ntz'1997-06-01 12:00:00', null) as disabled",
+            "if(c_custkey % 13 = 0, timestamp_ntz'1997-03-01 00:00:00', null) as torpid", "cast(c_custkey % 2 as int) as dup",
+            "concat('555-', c_custkey) as phone1", "if(c_custkey % 3 = 0, null, concat('556-', c_custkey)) as phone2", "concat('C', c_custkey) as contact",
+            "case c_custkey % 4 when 0 then '?' when 1 then '0' when 2 then ' X' end as infectious")
 
     def locations(self) -> DataFrame:
         """Nations as clients, with the states in order and an unknown one for the last; segments as sites."""
@@ -125,13 +127,18 @@ class Roles:
                 .selectExpr("client_id", "site_id", "year(lo) * 100 + month(lo) as begin_yyyymm", "year(hi) * 100 + month(hi) as end_yyyymm",
                             "0 as sub_unit", "client_id * 10000 + site_id as budget_id", "client_id as contract_id", "'N' as network_type"))
 
+    def sub_budgets(self) -> DataFrame:
+        """Every fifth client has a budget of its own, under the next client's contract, for sub-unit 1."""
+        return self.budgets().filter("client_id % 5 = 0").selectExpr(
+            "client_id", "site_id", "begin_yyyymm", "end_yyyymm", "1 as sub_unit", "budget_id + 5000000 as budget_id", "(client_id + 1) % 25 as contract_id", "network_type")
+
     def contracts(self) -> DataFrame:
         return self.t["nation"].selectExpr("n_nationkey as contract_id", "if(n_regionkey < 2, 2, 3) as owner_company")
 
     def users(self) -> DataFrame:
         """Customers as users; those of the BUILDING segment are of a phone type."""
         return self.t["customer"].selectExpr(
-            "c_custkey as user_id", "concat('u', c_custkey) as user", "c_name as full", "substr(c_name, 1, 8) as first",
+            "c_custkey as user_id", "concat('u', c_custkey) as user", "concat('m', c_custkey) as phone_cell", "concat('o', c_custkey) as phone_office", "c_name as full", "substr(c_name, 1, 8) as first",
             "substr(c_name, 10, 9) as last", "'X' as middle", "if(c_mktsegment = 'BUILDING', 'D', 'C') as type")
 
     def user_locations(self) -> DataFrame:
@@ -222,23 +229,26 @@ ROLE_SQL = {
       o_orderdate stamp, o_orderdate scheduled, o_orderdate completed from orders""",
     "r_shipped": """select o.* exclude (completed, scheduled), o.stamp schedule_end, l.completed, l.last_viewed,
       case when o.reason <> '5' then o.stamp end scheduled, case when o.status = 'D' then l.completed end reconciled,
-      o.route_number completion_action, 'u' || o.driver_id last_viewed_by, o.route_number = 3 add_on_stop
+      o.route_number completion_action, 'u' || o.driver_id last_viewed_by, o.route_number = 3 add_on_stop,
+      order_id % 100 route_id, order_id % 6 = 0 service_call
       from r_orders o left join (select l_orderkey, max(l_shipdate) completed, min(l_shipdate) last_viewed
         from lineitem group by 1) l on l_orderkey = order_id""",
     "r_details": """select case when l_returnflag <> 'R' then l_orderkey end order_id,
       case when l_returnflag = 'R' then l_orderkey end reference_order_id, l_partkey product_id, l_linestatus status,
       l_shipdate check_out, case when l_returnflag = 'A' then l_shipdate + to_days(cast(l_quantity as int)) end check_in,
+      case when l_returnflag = 'N' and l_linenumber = 2 then l_shipdate + to_days(20) end other_status,
       l_discount > 0 has_serial, l_tax > 0 has_lot from lineitem""",
     "r_equipment": """select p_partkey product_id, p_partkey equipment_id,
       case when p_type = 'SMALL' and p_size <= 10 then 227 when p_type = 'SMALL' and p_size <= 20 then 147
         else cast(substr(p_brand, 7) as int) end item_id,
       p_type = 'ECONOMY' oxygen, p_type = 'SMALL' disposable, p_name equipment_name, p_size category, p_type item_name from part""",
-    "r_client_equip": """select cast(p_partkey % 25 as int) client_id, 1072 site_id, p_partkey equipment_id, true disposable
-      from part where p_size = 50""",
+    "r_client_equip": """select cast(p_partkey % 25 as int) client_id, case p_partkey % 3 when 0 then 1065 when 1 then 1066 else 1072 end site_id,
+      p_partkey equipment_id, true disposable from part where p_size > 30""",
     "r_pairs": f"select * from (values {PAIR_SQL}) v(main_item, sub_item)",
     "r_patients": """select c_custkey patient_id, c_nationkey client_id, 1000 + ascii(c_mktsegment) site_id, c_custkey address_id,
-      substr(c_name, 1, 8) last_name, substr(c_name, 10, 9) first_name,
-      case when c_acctbal < -900 then 'M' else 'P' end type from customer""",
+      substr(c_name, 1, 8) last_name, substr(c_name, 10, 9) first_name, case when c_custkey % 4 = 0 then 'Q' end middle,
+      case when c_custkey % 11 = 0 then timestamp '1997-06-01 12:00:00' end disabled, case when c_custkey % 13 = 0 then timestamp '1997-03-01' end torpid,
+      cast(c_custkey % 2 as int) dup, case when c_acctbal < -900 then 'M' else 'P' end type from customer""",
     "r_statuses": "select * from (values " + ", ".join(f"('{k}', '{v}')" for k, v in STATUS_NAMES.items()) + ") v(status, status_name)",
     "r_states": f"select * from (values {STATE_SQL}) v(region_id, state)",
     "r_locations": """select n_nationkey location_id, n_name name, 100 + n_regionkey company_id,

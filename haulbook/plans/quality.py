@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from haulbook.functions.numbers import count_if, pct_of
 from haulbook.functions.text import code_in_string
 from haulbook.functions.windows import in_window
-from haulbook.operators.aggregates import error_lines_per_order
 
 # Checks recorded per order, and the security role of drivers.
 CHECKS = ["ir_correct", "wo_match", "instruct", "dme", "signature", "notes", "replied"]
@@ -51,12 +50,15 @@ def driver_accuracy(orders: DataFrame, details: DataFrame, patients: DataFrame,
             .join(patients.select("patient_id", "client_id", "site_id"), "patient_id").join(site, "site_id")
             .select("order_id", F.to_date("completed").alias("completed_on"), "driver_id", "client_id", "site_id", "site_name"))
 
-    def lines(key: str) -> DataFrame:
-        own = details.select(F.col(key).alias("order_id"), "status", "serial_number", "o2_lot", "product_id")
-        return kit_errors(own.join(base, "order_id").join(kit_list, ["product_id", "client_id", "site_id"]))
-
+    # A line counts for the order that delivered it and for the one that picked it up: both sides come from one pass.
+    sides = F.explode(F.array(F.struct(F.col("order_id").alias("_order"), F.lit("delivery").alias("_side")),
+                              F.struct(F.col("reference_order_id").alias("_order"), F.lit("pickup").alias("_side"))))
+    lines = (details.select(sides.alias("_s"), "status", "serial_number", "o2_lot", "product_id")
+             .select(F.col("_s._order").alias("order_id"), F.col("_s._side").alias("side"), "status", "serial_number", "o2_lot", "product_id")
+             .filter(F.col("order_id").isNotNull()).join(base, "order_id").join(kit_list, ["product_id", "client_id", "site_id"]))
     keys = ["order_id", "completed_on", "site_id", "site_name", "driver_id"]
-    errors = error_lines_per_order(lines("order_id"), lines("reference_order_id"), keys)
+    errors = kit_errors(lines).groupBy(*keys).agg(*[F.sum(F.when(F.col("side") == p, F.col(f"{n}_missing")).otherwise(0)).alias(f"{n}_{p}")
+                                                    for p in ("delivery", "pickup") for n in ("serial", "oxygen")])
     stats = order_stats.withColumn("has_stats", F.lit(True))
     names = users.select(F.col("user_id").alias("driver_id"), F.concat("first", F.lit(" "), "last").alias("driver_name"))
     out = errors.join(stats, "order_id", "left").join(names, "driver_id")

@@ -30,6 +30,18 @@ SPECIALTY_ITEMS = [243, 244]
 OWN_COMPANY = 2
 
 
+# Columns of the dashboard that not every installation fills, by the table they come from; a table without one shows NULL.
+PATIENT_COLUMNS = {"phone1": "string", "phone2": "string", "contact": "string", "infectious": "string"}
+ADDRESS_COLUMNS = {"street2": "string", "state": "string", "zip": "string", "latitude": "double", "longitude": "double", "room": "string",
+                   "bed": "string", "place_name": "string"}
+USER_COLUMNS = {"user": "string", "phone_cell": "string", "phone_office": "string"}
+ORDER_COLUMNS = {"completion_action": "int", "route_id": "bigint", "service_call": "boolean"}
+
+
+def columns_or_null(df: DataFrame, wanted: dict[str, str]) -> list[Column]:
+    return [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in wanted.items()]
+
+
 def label_of(c, labels: dict[str, str]) -> Column:
     pairs = [x for k, v in labels.items() for x in (F.lit(k), F.lit(v))]
     return F.element_at(F.create_map(*pairs), F.trim(as_col(c)))
@@ -136,12 +148,15 @@ def service_level(orders: DataFrame, patients: DataFrame, locations: DataFrame,
               .select(F.col("location_id").alias("client_id"), F.col("name").alias("client_name")))
     full = F.concat("last_name", F.lit(", "), "first_name", F.lit(" "), F.coalesce("middle", F.lit("")))
     people = patients.select("patient_id", "client_id", "site_id", "last_name", full.alias("patient"),
-                             "disabled", "torpid", "dup")
+                             "disabled", "torpid", "dup", *columns_or_null(patients, PATIENT_COLUMNS))
     found = search_orders(orders.drop("client_id", "site_id").join(people, "patient_id"), **search)
     region = regions_by_site.groupBy(F.col("site").alias("site_name")).agg(F.min("region").alias("region"))
-    driver = users.select(F.col("user_id").alias("driver_id"), driver_label("first", "last").alias("driver"))
+    driver = users.select(F.col("user_id").alias("driver_id"), driver_label("first", "last").alias("driver"),
+                          *[c.alias(f"driver_{n}") for c, n in zip(columns_or_null(users, USER_COLUMNS), ("user", "phone", "office_phone"))])
     place = addresses.select("address_id", strip_quotes("street").alias("street"), "city",
-                             label_of("place", PLACE_NAMES).alias("place"))
+                             label_of("place", PLACE_NAMES).alias("place"), *columns_or_null(addresses, ADDRESS_COLUMNS))
+    missing = [c for c in ORDER_COLUMNS if c not in found.columns]
+    found = found.withColumns({c: F.lit(None).cast(ORDER_COLUMNS[c]) for c in missing}) if missing else found
     out = (found.join(site, "site_id").join(client, "client_id").join(region, "site_name", "left")
            .join(driver, "driver_id", "left").join(place, "address_id", "left").join(zones, "site_id", "left"))
     return (lateness(out).withColumn("status_group", status_group("status"))
@@ -162,11 +177,12 @@ DETAIL_SORTS = ["order_id", "type", "status", "stamp", "scheduled", "completed",
 
 def service_level_detail(level: DataFrame, notepads: DataFrame, route_stops: DataFrame, item_lines: DataFrame,
                          lookup: DataFrame, users: DataFrame, *, date_mode: int | None = 0, start=None, end=None,
-                         sort: str | None = None) -> DataFrame:
+                         sort: str | None = None, answers: DataFrame | None = None) -> DataFrame:
     """The wide dashboard rows of a ``service_level`` result, with local times, note and patient flags, in the asked order.
 
     The exact window is applied to local times, after the coarse search. A site without
-    a zone shows its stamps unshifted.
+    a zone shows its stamps unshifted. ``answers`` (order_id, answer_id) adds the number of an order's survey answer, its
+    lowest where it has several.
     """
     shown = level
     if start is not None and date_mode in (0, None):
@@ -185,15 +201,22 @@ def service_level_detail(level: DataFrame, notepads: DataFrame, route_stops: Dat
     pad = notepads.select("order_id", "note_count", "last_update")
     out = (shown.join(stops, "order_id", "left").join(specialty, "order_id", "left").join(pad, "order_id", "left")
            .join(viewer, "last_viewed_by", "left").join(submitter, "ordered_by", "left"))
+    if answers is None:
+        out = out.withColumn("answer_id", F.lit(None).cast("long"))
+    else:
+        out = out.join(answers.groupBy("order_id").agg(F.min("answer_id").cast("long").alias("answer_id")), "order_id", "left")
     out = join_code(out, lookup, "ORC", "reason", "reason_name", default="O")
+    infectious = F.when(F.col("infectious").isin("?", "0"), "").otherwise(F.ltrim("infectious"))
     seen = F.timestamp_add("SECOND", F.lit(1), F.coalesce("last_viewed", F.lit("1900-01-01").cast("timestamp_ntz")))
     here = lambda c: local_time(c, "zone", keep=True)
     flag = lambda cond: F.when(cond, 1).otherwise(0)
     out = out.select(
         "client_name", "order_id", "status", "status_group", label_of("type", TYPE_CODES).alias("type"),
         here("stamp").alias("stamp"), us_date(here("scheduled")).alias("scheduled_on"),
-        here("completed").alias("completed"), here("disabled").alias("disabled"), "patient", "street", "city", "place",
-        "submitter", "patient_id", "driver", "note_count", "client_id", "site_id", "route_number",
+        here("completed").alias("completed"), here("disabled").alias("disabled"), "patient", "street", "street2", "city", "state", "zip",
+        "phone1", "phone2", "contact", "place", "submitter", "patient_id", "driver", "driver_id", "driver_user", "driver_phone",
+        "driver_office_phone", "answer_id", infectious.alias("infectious"), "latitude", "longitude", "room", "bed", "place_name",
+        "completion_action", "route_id", "service_call", "note_count", "client_id", "site_id", "route_number",
         F.when(F.col("add_on_stop") == F.lit(False), "No").otherwise("Yes").alias("add_on_stop"), "last_viewed_by",
         here("last_viewed").alias("last_viewed"), F.coalesce("dup", F.lit(0)).alias("duplicate"),
         F.coalesce(F.trim("reason"), F.lit("O")).alias("reason"), "reason_name",
