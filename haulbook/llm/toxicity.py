@@ -10,10 +10,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from haulbook.llm.common import crc_of, text_or_empty
+from haulbook.llm.common import crc_of, discard, stored, text_or_empty
 
 BUCKETS = 1 << 18        # hashed terms
-LABELLED = 12_000        # bound on the labelled rows that the model is fitted on
+LABELLED = 12_000        # bound on the labelled ids, and then on the rows, that the model is fitted on
 FACTORS = 4
 EPOCHS = 30
 EVIDENCE = 15.0          # least chi-square of a term with the label for it to enter the model
@@ -73,26 +73,18 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.raw(places, starts), -30, 30)))
 
 
-def fit(docs: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
-    """Log loss by Adam on small batches. Without both labels the score is the smoothed share of label 1."""
+def fit(places: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
+    """Log loss by Adam on small batches. ``places`` lists the terms that each text holds, as places in ``terms``.
+    Without both labels the score is the smoothed share of label 1."""
     n, positive = len(labels), float(labels.sum())
     prior = (positive + 1) / (n + 2)
     bias = float(np.log(prior / (1 - prior)))
     if positive in (0, n):
         return Machine(np.zeros(0, np.int64), bias, np.zeros(0), np.zeros((0, factors)))
-    flat = np.concatenate(docs)
-    owner = np.repeat(np.arange(n), [len(d) for d in docs])
-    seen = np.bincount(flat, minlength=BUCKETS).astype(float)
-    with_label = np.bincount(flat, labels[owner], BUCKETS)
-    expected = seen * positive / n
-    spread = expected * (1 - positive / n) * (1 - seen / n)
-    chi = np.where(spread > 0, (with_label - expected) ** 2 / np.maximum(spread, 1e-9), 0)
-    terms = np.flatnonzero((chi >= EVIDENCE) & (np.minimum(seen, n - seen) >= 5))
     rng = np.random.default_rng(seed)
     model = Machine(terms, bias, np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), factors)))
-    inside = model.place[flat] >= 0
-    places, owner = model.place[flat[inside]], owner[inside]
-    starts = np.searchsorted(owner, np.arange(n + 1))
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in places])]).astype(np.int64)
+    flat = np.concatenate(places).astype(np.int64)
     state = [np.zeros(len(terms)), np.zeros(len(terms)), np.zeros_like(model.factors), np.zeros_like(model.factors), 0.0, 0.0]
     step, size = 0, 256
     for epoch in range(epochs):
@@ -101,7 +93,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epoc
         for rows in (order[i:i + size] for i in range(0, n, size)):
             counts = starts[rows + 1] - starts[rows]
             cut = np.concatenate([[0], np.cumsum(counts)])
-            own = places[np.repeat(starts[rows] - cut[:-1], counts) + np.arange(cut[-1])]
+            own = flat[np.repeat(starts[rows] - cut[:-1], counts) + np.arange(cut[-1])]
             who = np.repeat(np.arange(len(rows)), counts)
             error = (1 / (1 + np.exp(-np.clip(model.raw(own, cut), -30, 30))) - labels[rows]) / len(rows)
             grads = [np.bincount(own, error[who], len(terms)) + 1e-4 * model.weights, np.empty_like(model.factors)]
@@ -120,12 +112,12 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epoc
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Machine:
-    """A machine from at most ``most`` labelled documents, those with the smallest id hashes.
+def labelled_terms(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFrame:
+    """doc_id, toxic and terms of at most ``most`` labelled rows that are not held out, those with the smallest id hashes.
 
     Rows whose crc32 of the id mod 3 is 1 are held out. Rows without id or label are left
     out; an id labelled more than once is toxic if any label says so. The labelled ids
-    are broadcast: the bound on their number bounds their size.
+    are broadcast: the bound on their number bounds their size. Documents may repeat an id, so the rows are bounded again.
     """
     wanted = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (crc_of() % 3 != 1))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -136,11 +128,51 @@ def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Machine:
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"], "terms": [text_terms(t, known) for t in frame["text"]]})
 
-    rows = (docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(wanted), "doc_id")
-            .mapInPandas(terms, "doc_id long, toxic int, terms array<int>").toPandas())
-    # A fixed order, so that reruns fit the same machine.
-    rows = rows.assign(_n=[len(t) for t in rows["terms"]]).sort_values(["doc_id", "toxic", "_n"], kind="stable")
-    return fit([np.asarray(t, dtype=np.int32) for t in rows["terms"]], rows["toxic"].to_numpy(dtype=float))
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(wanted), "doc_id").mapInPandas(terms, "doc_id long, toxic int, terms array<int>")
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("terms")).limit(most)
+
+
+def telling_terms(rows: DataFrame) -> np.ndarray:
+    """The buckets whose presence goes with the label beyond chance (chi-square), counted by Spark; there are ``BUCKETS`` at most."""
+    n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < positive < n:
+        return np.zeros(0, dtype=np.int64)
+    counts = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("seen"), F.sum("toxic").alias("with_label"))
+    expected = F.col("seen") * F.lit(positive / n)
+    spread = expected * F.lit(1 - positive / n) * (1 - F.col("seen") / F.lit(float(n)))
+    chi = F.when(spread > 0, F.pow(F.col("with_label") - expected, F.lit(2.0)) / spread)
+    chosen = counts.filter((chi >= EVIDENCE) & (F.least(F.col("seen"), F.lit(n) - F.col("seen")) >= 5)).select("term").collect()
+    return np.array(sorted(r.term for r in chosen), dtype=np.int64)
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Machine:
+    """A machine from at most ``most`` labelled rows. Only the chosen terms of each row reach the one task that fits it,
+    and only the chosen terms' numbers reach the driver."""
+    rows = stored(labelled_terms(docs, labels, most))
+    terms = telling_terms(rows)
+
+    def own_places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = np.full(BUCKETS, -1, dtype=np.int32)
+        place[terms] = np.arange(len(terms))
+        for frame in frames:
+            held = [place[np.asarray(t, dtype=np.int64)] for t in frame["terms"]]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"], "places": [p[p >= 0] for p in held]})
+
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        # A fixed order, so that reruns fit the same machine.
+        rows = rows.assign(_at=[tuple(p) for p in rows["places"]]).sort_values(["doc_id", "toxic", "_at"], kind="stable")
+        model = fit([np.asarray(p, dtype=np.int32) for p in rows["places"]], rows["toxic"].to_numpy(dtype=float), terms)
+        return pd.DataFrame({"term": np.append(model.terms, -1), "weight": np.append(model.weights, model.bias),
+                             "factors": [*model.factors, np.zeros(model.factors.shape[1])]})
+
+    found = (rows.mapInPandas(own_places, "doc_id long, toxic int, places array<int>").withColumn("_all", F.lit(0))
+             .groupBy("_all").applyInPandas(lambda f: fitted(f), "term long, weight double, factors array<double>").orderBy("term").collect())
+    discard(rows)
+    if not found:
+        return fit([], np.zeros(0), terms)
+    bias, own = found[0].weight, found[1:]
+    return Machine(np.array([r.term for r in own], dtype=np.int64), bias, np.array([r.weight for r in own]),
+                   np.array([r.factors for r in own]).reshape(len(own), -1))
 
 
 def toxic_score(docs: DataFrame, model: Machine, text_col: str = "text") -> Column:
