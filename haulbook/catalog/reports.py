@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from haulbook.operators.aggregates import concat_notes
 from haulbook.plans import client_orders as co, quality as q, redelivery as rd, service as sc
+from haulbook.plans.schemas import store_report
 from haulbook.sources.sinks import shared_dir, staged
 
-from .registry import day, pct, query, stamp
+from .registry import ORACLES, QUERIES, day, pct, query, stamp
 from .roles import Roles, with_roles
 
 # ---- client orders: completed = last shipment, due and scheduled = order date
@@ -475,3 +476,17 @@ def _(spark, path):
                       "driver_phone", "driver_office_phone", "answer_id", "completion_action", "route_id", "service_call", "is_torpid", "is_disabled", "duplicate",
                       "order_id", "client_name", "stamp", "scheduled_on", "completed", "type", "note_count", "sequence_number", "specialty_count", "new_note", "reason",
                       "reason_name", "zone_abbr", "missed", "variance", "submitter", "add_on_stop", "last_viewed_by", "viewer_last")
+
+
+# ---- reports stored under their declared schemas
+
+@query("stored_reports", f"""select 'orders_by_patient' as report, patient as name, order_count as value from ({ORACLES['orders_by_patient']})
+union all select 'inventory_past_due', site_name, past_due from ({ORACLES['inventory_past_due']})
+union all select 'pickup_summary', 'all', total_pickups from ({ORACLES['pickup_summary']})""")
+def _(spark, path):
+    shown = {"orders_by_patient": ("patient", "order_count"), "inventory_past_due": ("site_name", "past_due"), "pickup_summary": ("'all'", "total_pickups")}
+    parts = []
+    for name, (label, value) in shown.items():
+        stored = spark.read.parquet(store_report(QUERIES[name](spark, path), name, shared_dir(spark)))
+        parts.append(stored.selectExpr(f"'{name}' as report", f"{label} as name", f"{value} as value"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

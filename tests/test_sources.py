@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import at, tuples
+from haulbook.plans.schemas import REPORTS, report_schema, store_report
 from haulbook.sources import sinks, tables
 from haulbook.sources.daytable import DayTable
 
@@ -85,6 +86,20 @@ def test_write_report_conforms(frame, spark, tmp_path):
     assert back.schema.simpleString() == schema.simpleString() and back.count() == 1
 
 
+def test_every_report_has_a_schema_that_is_enforced(frame, spark, tmp_path):
+    assert len(REPORTS) >= 25 and all(len(report_schema(n).fields) == len(set(report_schema(n).names)) > 0 for n in REPORTS)
+    rows = frame("order_count bigint, patient string, extra int", [(3, "A", 1), (None, None, 2)])
+    back = spark.read.parquet(store_report(rows, "orders_by_patient", str(tmp_path / "r")))
+    assert back.columns == ["patient", "order_count"] and tuples(back, "patient", "order_count") == sorted([("A", 3), (None, None)], key=str)
+    with pytest.raises(ValueError, match="order_count"):
+        store_report(rows.drop("order_count"), "orders_by_patient", str(tmp_path / "x"))
+    with pytest.raises(Exception):
+        store_report(rows.withColumn("order_count", F.lit("many")), "orders_by_patient", str(tmp_path / "y"))
+    with pytest.raises(Exception):   # a value beyond its column
+        store_report(frame("site_id bigint, site_name string, past_due bigint, tracked bigint, items bigint, pct_past_due double, pct_tracked double",
+                           [(1, "s", 1, 1, 1, 1e9, 1.0)]), "inventory_past_due", str(tmp_path / "z"))
+
+
 def test_exports(frame, spark, tmp_path):
     df = frame("site string, v string", [("a", " x "), ("a", "y"), ("b", "z")])
     path = sinks.export_delimited(df, str(tmp_path / "e"))
