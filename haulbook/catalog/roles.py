@@ -217,7 +217,7 @@ class Roles:
         return self.t["part"].selectExpr("cast(substr(p_brand, 7) as int) as item_id", "p_brand as name").distinct()
 
 
-STATE_SQL = ", ".join(f"({-i}, '{s}')" for i, s in enumerate(STATES, 1))
+STATE_SQL = ", ".join(f"({i}, '{s}')" for i, s in STATES.items())
 PAIR_SQL = ", ".join(f"({m}, {s})" for s, ms in ROLE_PAIRS.items() for m in ms)
 
 ROLE_SQL = {

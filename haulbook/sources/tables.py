@@ -20,10 +20,14 @@ def config_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-# States in the order of their negative region ids, -1 first.
-STATES = ["DE", "NJ", "PA", "GA", "CT", "MA", "MD", "SC", "NH", "VA", "NY", "NC", "RI", "VT", "KY", "TN", "OH",
-          "LA", "IN", "MS", "IL", "AL", "ME", "MO", "AR", "MI", "FL", "TX", "IA", "WI", "CA", "MN", "OR", "KS",
-          "WV", "NV", "NE", "CO", "ND", "SD", "MT", "WA", "ID", "WY", "UT", "OK", "NM", "AZ", "AK", "HI", "DC"]
+# States by the negative id of their region.
+STATES = {
+    -1: "DE", -2: "NJ", -3: "PA", -4: "GA", -5: "CT", -6: "MA", -7: "MD", -8: "SC", -9: "NH", -10: "VA", -11: "NY",
+    -12: "NC", -13: "RI", -14: "VT", -15: "KY", -16: "TN", -17: "OH", -18: "LA", -19: "IN", -20: "MS", -21: "IL",
+    -22: "AL", -23: "ME", -24: "MO", -25: "AR", -26: "MI", -27: "FL", -28: "TX", -29: "IA", -30: "WI", -31: "CA",
+    -32: "MN", -33: "OR", -34: "KS", -35: "WV", -36: "NV", -37: "NE", -38: "CO", -39: "ND", -40: "SD", -41: "MT",
+    -42: "WA", -43: "ID", -44: "WY", -45: "UT", -46: "OK", -47: "NM", -48: "AZ", -49: "AK", -50: "HI", -51: "DC",
+}
 
 # Sub-items and the main items they go out with.
 BEDS = [9, 25, 795, 838]
@@ -54,7 +58,7 @@ ITEM_PAIRS = {
 
 
 def state_regions(spark: SparkSession) -> DataFrame:
-    return config_table(spark, [(-i, s) for i, s in enumerate(STATES, 1)], "region_id int, state string")
+    return config_table(spark, list(STATES.items()), "region_id int, state string")
 
 
 def item_pairs(spark: SparkSession, pairs: dict[int, list[int]] = ITEM_PAIRS) -> DataFrame:
