@@ -214,10 +214,10 @@ def reconcile_log(orders: DataFrame, history: DataFrame, patients: DataFrame, bu
                                F.col("company_id").alias("_company"))
               .join(companies.select(F.col("id").alias("_company"), F.col("name").alias("company_name")), "_company"))
     done = history.filter(same_code("action", RECONCILED)).select("order_id", "user_id", F.col("at").alias("reconciled_at"))
-    out = (done.join(base, "order_id")
-           .join(patients.select("patient_id", "client_id", "site_id"), "patient_id")
-           .join(budgets.select("client_id", "site_id"), ["client_id", "site_id"], "left_semi")
-           .join(site, "site_id").join(client, "client_id")
+    # Patients of budgeted pairs and sites of the wanted providers are settled before the log is read.
+    people = (patients.select("patient_id", "client_id", "site_id")
+              .join(budgets.select("client_id", "site_id").distinct(), ["client_id", "site_id"]).join(site, "site_id"))
+    out = (done.join(base.join(people, "patient_id"), "order_id").join(client, "client_id")
            .join(users.select("user_id", "user", "full"), "user_id"))
     out = join_code(out, lookup, "ORC", "reason", "reason_name")
     kind = F.when(F.trim("type") == "D", "Delivery").when(F.trim("type") == "P", "Pick Up").otherwise("Unknown")
