@@ -14,7 +14,8 @@ CLASSES = 32             # word classes found by exchange
 END, NEW = CLASSES, CLASSES + 1     # the class of ends and that of unseen words
 HEAD = 2048              # most frequent words, whose classes are exchanged in full
 SWEEPS = 6
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 2_000_000
+RAW = 64                 # occurrences of a word in a chunk above which its contexts are summed before they leave it
 SMOOTH = 0.1
 END_HASH = np.uint64(0)  # stands for the end among word hashes
 
@@ -25,6 +26,11 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents as chunks of word codes: the words of a chunk by hash, their training counts, and the codes in order."""
     def pack(rows: list, words: list[list[bytes]]) -> pd.DataFrame:
         codes, kinds = word_codes([w for doc in words for w in doc])
+        # Frequent words get small codes, whose upper bytes are zero and compress.
+        order = np.argsort(-np.bincount(codes, minlength=len(kinds)), kind="stable")
+        rank = np.empty(len(kinds), dtype=np.int32)
+        rank[order] = np.arange(len(kinds), dtype=np.int32)
+        codes, kinds = rank[codes], kinds[order]
         lengths = np.array([len(doc) for doc in words], dtype=np.int64)
         held = np.array([r[1] for r in rows], dtype=bool)
         ends = np.cumsum(lengths)
@@ -34,7 +40,7 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = np.concatenate([[END_HASH], np.where(hashes == END_HASH, END_HASH + np.uint64(1), hashes)]).astype(np.uint64)
         counts = np.bincount(tokens[trained], minlength=len(hashes)).astype(np.int64)
         ids, no_id = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=bool)
-        return pd.DataFrame([(hashes.tobytes(), counts.tobytes(), tokens.tobytes(), (lengths + 1).tobytes(), held.tobytes(),
+        return pd.DataFrame([(hashes.tobytes(), counts.tobytes(), _planes(tokens, len(hashes)), (lengths + 1).tobytes(), held.tobytes(),
                               ids.tobytes(), no_id.tobytes())], columns=[c.split()[0] for c in CHUNK.split(", ")])
 
     rows, words, size = [], [], 0
@@ -51,6 +57,19 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pack(rows, words)
 
 
+def _planes(tokens: np.ndarray, kinds: int) -> bytes:
+    """Codes as planes of their bytes, lowest first, as many as the largest code needs."""
+    many = max(1, -(-int(kinds - 1).bit_length() // 8))
+    return np.ascontiguousarray(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T[:many]).tobytes()
+
+
+def _tokens(planes: bytes, many: int) -> np.ndarray:
+    out = np.zeros(many, dtype=np.int32)
+    for k, plane in enumerate(np.frombuffer(planes, dtype=np.uint8).reshape(-1, many)):
+        out |= plane.astype(np.int32) << (8 * k)
+    return out
+
+
 def _ints(data: bytes, kind=np.int64) -> np.ndarray:
     return np.frombuffer(data, dtype=kind)
 
@@ -116,9 +135,8 @@ def _class_contexts(chunks: DataFrame, head: np.ndarray, of: np.ndarray, classes
     """The class of every word outside the head: the one whose neighbours are likeliest to be the word's.
 
     A chunk gives, for each of its words, the classes of the words before and after it in
-    training documents, as one code an occurrence. They are brought together by word and
-    added up as they stream past, so a word holds two counts a class however often it
-    occurs.
+    training documents: as one code an occurrence for a rare word, as counts by code for others, so a frequent word is at
+    most two counts a class from each chunk. They are brought together by word and added up as they stream past.
     """
     order = np.argsort(head)
     spark = chunks.sparkSession
@@ -131,7 +149,7 @@ def _class_contexts(chunks: DataFrame, head: np.ndarray, of: np.ndarray, classes
     def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                kinds, tokens, trained = _trained(row)
+                kinds, (tokens, trained) = _ints(row.kinds, np.uint64), _trained(row)
                 cls = _known(kinds, *shared.value, classes)
                 at = np.flatnonzero(trained & (cls[tokens] == classes + 1))
                 if not len(at):
@@ -144,7 +162,12 @@ def _class_contexts(chunks: DataFrame, head: np.ndarray, of: np.ndarray, classes
                 codes = np.stack([left[order], right[order]], axis=1).astype(np.uint8)
                 cuts = np.flatnonzero(np.diff(words, prepend=-1))
                 ends = np.append(cuts[1:], len(words))
-                yield pd.DataFrame({"word": kinds[words[cuts]].view(np.int64), "codes": [codes[a:b].tobytes() for a, b in zip(cuts, ends)]})
+                few = ends - cuts <= RAW
+                yield pd.DataFrame({"word": kinds[words[cuts[few]]].view(np.int64), "codes": [codes[a:b].tobytes() for a, b in zip(cuts[few], ends[few])],
+                                    "counts": b""})
+                sums = [np.unique(codes[a:b], return_counts=True) for a, b in zip(cuts[~few], ends[~few])]
+                yield pd.DataFrame({"word": kinds[words[cuts[~few]]].view(np.int64), "codes": [c.tobytes() for c, _ in sums],
+                                    "counts": [n.astype(np.int32).tobytes() for _, n in sums]})
 
     def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wide = 2 * (classes + 2)
@@ -157,7 +180,10 @@ def _class_contexts(chunks: DataFrame, head: np.ndarray, of: np.ndarray, classes
             place = np.repeat(np.arange(len(cuts)), np.diff(np.append(cuts, len(words))))
             lengths = frame["codes"].str.len().to_numpy()
             flat = np.frombuffer(b"".join(frame["codes"]), dtype=np.uint8)
-            counts = np.bincount(np.repeat(place, lengths) * wide + flat, minlength=len(cuts) * wide).reshape(-1, wide)
+            times = np.ones(len(flat))
+            summed = frame["counts"].str.len().to_numpy() > 0
+            times[np.repeat(summed, lengths)] = np.frombuffer(b"".join(frame["counts"]), dtype=np.int32)
+            counts = np.bincount(np.repeat(place, lengths) * wide + flat, times, len(cuts) * wide).astype(np.int64).reshape(-1, wide)
             names = words[cuts]
             if held_word is not None:
                 if names[0] == held_word:
@@ -171,14 +197,14 @@ def _class_contexts(chunks: DataFrame, head: np.ndarray, of: np.ndarray, classes
         if held_word is not None:
             yield pd.DataFrame({"word": [held_word], "class": np.array([np.argmax(weights.value @ held)], dtype=np.int32)})
 
-    return (chunks.mapInPandas(contexts, "word long, codes binary").repartition("word").sortWithinPartitions("word")
+    return (chunks.mapInPandas(contexts, "word long, codes binary, counts binary").repartition("word").sortWithinPartitions("word")
             .mapInPandas(choose, "word long, class int"))
 
 
-def _trained(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, codes in order, and which codes belong to training documents."""
+def _trained(row) -> tuple[np.ndarray, np.ndarray]:
+    """Codes in order, and which of them belong to training documents."""
     lengths, held = _ints(row.lengths), _ints(row.held, bool)
-    return _ints(row.kinds, np.uint64), _ints(row.tokens, np.int32), np.repeat(~held, lengths)
+    return _tokens(row.tokens, int(lengths.sum())), np.repeat(~held, lengths)
 
 
 def _known(kinds: np.ndarray, head: np.ndarray, of: np.ndarray, classes: int) -> np.ndarray:
@@ -199,7 +225,7 @@ def _transitions(shared, classes: int):
         total = np.zeros((classes + 2) ** 2, dtype=np.int64)
         for frame in frames:
             for row in frame.itertuples():
-                kinds, tokens, trained = _trained(row)
+                kinds, (tokens, trained) = _ints(row.kinds, np.uint64), _trained(row)
                 a, b = _pairs(tokens, trained, _known(kinds, *shared.value, classes), classes)
                 total += np.bincount(a * (classes + 2) + b, minlength=len(total))
         yield _cells(total)
@@ -226,14 +252,14 @@ SUMS = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score
         "steps binary, step_counts binary")
 
 
-def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, head_words: int = HEAD, sweeps: int = SWEEPS) -> DataFrame:
     """Per document: ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``perplexity``.
 
     Words are the word rule's, A-Z in lower case; an end follows each document. All
     documents whose crc32 of the id mod 10 is not 0 are learned from, whole.
 
-    Words are counted over the corpus. The ``HEAD`` most frequent ones are put into
-    classes by exchange on their neighbour counts; every other word then takes the class
+    Words are counted over the corpus. The ``head_words`` most frequent ones are put into
+    classes by exchange on their neighbour counts, in ``sweeps`` sweeps at most; every other word then takes the class
     that fits its own neighbours best, so all words have a class. The probability of a
     word is that of its class after the class before, times the word's within its class.
     What training leaves to unseen words after a class is the share of words seen once
@@ -259,7 +285,7 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     places = chunks.select("chunk", "kinds", "counts").mapInPandas(kinds_of, "chunk long, place int, word long, n long")
     vocabulary = stored(places.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")))
-    head_rows = vocabulary.filter(F.col("word") != 0).orderBy(F.col("n").desc(), "word").limit(HEAD).collect()
+    head_rows = vocabulary.filter(F.col("word") != 0).orderBy(F.col("n").desc(), "word").limit(head_words).collect()
     head = np.array([0] + [r.word for r in head_rows], dtype=np.int64).view(np.uint64)
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     train_tokens, kinds = totals.n or 0, totals.v
@@ -271,7 +297,7 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def head_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                hashes, tokens, trained = _trained(row)
+                hashes, (tokens, trained) = _ints(row.kinds, np.uint64), _trained(row)
                 sorted_head, place = shared.value
                 at = np.minimum(np.searchsorted(sorted_head, hashes), words - 1)
                 a, b = _pairs(tokens, trained, np.where(sorted_head[at] == hashes, place[at], words), 0)
@@ -281,9 +307,9 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def clustered(pairs: pd.DataFrame) -> pd.DataFrame:
         pairs = pairs.sort_values("pair")
         split = pd.DataFrame({"a": pairs["pair"] // (words + 1), "b": pairs["pair"] % (words + 1), "n": pairs["n"]})
-        return pd.DataFrame({"place": np.arange(words), "class": exchange(split, words, CLASSES)[:words]})
+        return pd.DataFrame({"place": np.arange(words), "class": exchange(split, words, CLASSES, sweeps)[:words]})
 
-    # One task gets at most (HEAD + 2) ** 2 counts, however large the corpus is.
+    # One task gets at most (head_words + 2) ** 2 counts, however large the corpus is.
     found = (chunks.select("kinds", "tokens", "lengths", "held").mapInPandas(head_pairs, "pair long, n long")
              .groupBy("pair").agg(F.sum("n").alias("n")).withColumn("_all", F.lit(0))
              .groupBy("_all").applyInPandas(clustered, "place int, class int").collect())
@@ -311,7 +337,7 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             sizes = np.array([by_class.get(c, (0, 0)) for c in range(wide)], dtype=float)
             emit = np.where(n > 0, np.log10((n + SMOOTH) / np.maximum(sizes[cls, 0] + SMOOTH * sizes[cls, 1], SMOOTH)), 0.0)
             base = np.log10((n + SMOOTH) / (train_tokens + SMOOTH * (kinds + 1)))
-            hashes, tokens, trained = _trained(row)
+            tokens, trained = _trained(row)
             lengths, starts = _ints(row.lengths), np.cumsum(_ints(row.lengths)) - _ints(row.lengths)
             last = np.concatenate([[END], cls[tokens][:-1]])
             codes = last * wide + cls[tokens]
@@ -332,7 +358,7 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             out += [frame, table]
         return pd.concat(out) if out else pd.DataFrame(columns=[c.split()[0] for c in SUMS.split(", ")])
 
-    sums = stored(chunks.select("chunk", "kinds", "tokens", "lengths", "held", "ids", "no_id").groupBy("chunk").cogroup(slices.groupBy("chunk"))
+    sums = stored(chunks.select("chunk", "tokens", "lengths", "held", "ids", "no_id").groupBy("chunk").cogroup(slices.groupBy("chunk"))
                   .applyInPandas(document_sums, SUMS))
 
     def chunk_tables(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
