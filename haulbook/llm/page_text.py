@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -22,18 +23,35 @@ _inline = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "da
            "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
            "tt", "u", "var", "wbr"}
 _main = {"article", "main"}
-_parts = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|navigation"
-                    r"|menu|breadcrumbs?|sidebar|side|aside|header|masthead|footer|foot|notice|notices|cookies?|consent|gdpr|popup|modal"
-                    r"|overlay|newsletter|subscribe|subscription|signup|login|comments?|commentlist|disqus|respond|replies|related"
-                    r"|recommended|share|sharing|social|widget|tags|pager|pagination|copyright|legal|toolbar|skip|search)(?:$|[\s_-])")
+_parts = frozenset((
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
+    "sidebar side aside header masthead footer foot notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe "
+    "subscription signup login comment comments commentlist disqus respond replies related recommended share sharing social widget tags pager "
+    "pagination copyright legal toolbar skip search").split())
+# Words that may stand beside a part's name without changing what it names.
+_beside = frozenset((
+    "main top bottom left right upper lower primary secondary first second site page global inner outer wrapper wrap container box block area section "
+    "list item items bar links link row col column content group panel slot unit text title area thread form reader readers user users post posts "
+    "article articles news story stories bottom fixed sticky mobile desktop small large big new old the of to and in for with our your us").split())
 _roles = re.compile(r"""\brole\s*=\s*["']?(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu)\b""", re.I)
 _names = re.compile(r"""\b(?:class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _hidden = re.compile(r"""\shidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_token = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|[^<]+|<", re.S)
+_tag = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_attrs = re.compile(r"""(?:[^>"']+|"[^"]*"|'[^']*')*""")
+_closing_line = re.compile(r"(?:©|\(c\)\s|copyright\b)", re.I)
 _space = re.compile(r"\s+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def part_name(token: str) -> bool:
+    """Whether a class or id names a part beside the article: all its words do, or may stand beside one that does.
+
+    "right-sidebar" and "comment-list" are such names; "page-side-effects" is not, for "effects" says what the part is about.
+    """
+    words = [w for w in re.split(r"[^a-z]+", _camel.sub("-", token).lower()) if w]
+    return any(w in _parts for w in words) and all(w in _parts or w in _beside or len(w) == 1 for w in words)
+
+
 def apart(tag: str, attrs: str) -> bool:
     """Whether an element is a menu, advert, notice or another part beside the article."""
     if tag in _outside:
@@ -42,7 +60,91 @@ def apart(tag: str, attrs: str) -> bool:
         return False
     if _roles.search(attrs) or _hidden.search(attrs):
         return True
-    return any(_parts.search(_camel.sub("-", a or b or c).lower()) for a, b, c in _names.findall(attrs))
+    return any(part_name(token) for a, b, c in _names.findall(attrs) for token in (a or b or c).split())
+
+
+def markup(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", text, "") and ("open" or "close", name, attributes) in page order, in one forward scan.
+
+    Comments, declarations and the insides of raw elements are skipped. A tag runs to the first ">" outside quotes, or
+    to the first one at all where a quote is never closed; after the last ">" everything is text. No part is read
+    twice, so the time grows with the length whatever the page holds.
+    """
+    at, size = 0, len(page)
+    last = page.rfind(">")
+    while at < size:
+        cut = page.find("<", at)
+        if cut < 0 or cut > last:
+            # No tag can end any more: the rest is text, but for a comment that is never closed.
+            yield "text", page[at:cut] if cut >= 0 and page.startswith("<!--", cut) else page[at:], ""
+            return
+        if cut > at:
+            yield "text", page[at:cut], ""
+        if page.startswith("<!--", cut):
+            end = page.find("-->", cut + 4)
+            if end < 0:
+                return
+            at = end + 3
+            continue
+        if page[cut + 1:cut + 2] in ("!", "?"):
+            at = page.find(">", cut) + 1
+            continue
+        m = _tag.match(page, cut)
+        if not m:
+            yield "text", "<", ""
+            at = cut + 1
+            continue
+        end = _attrs.match(page, m.end()).end()
+        if page[end:end + 1] != ">":
+            end = page.find(">", m.end())
+        name, attrs, at = m[2].lower(), page[m.end():end], end + 1
+        if not m[1] and name in _raw and not attrs.endswith("/"):
+            stop = _raw_ends(name).search(page, at)
+            at = stop.end() if stop else size
+            continue
+        if name not in _raw:
+            yield "close" if m[1] else "open", name, attrs
+
+
+@cache
+def _raw_ends(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}\s*>", re.I)
+
+
+class _Open:
+    """Open elements, and where each name and each boundary lies among them, so that an end tag finds its element at once."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool]] = []
+        self.where: dict[str, list[int]] = {}
+        self.mains: list[int] = []
+        self.bounds: list[int] = []
+
+    def push(self, name: str, off: bool) -> None:
+        at = len(self.stack)
+        self.stack.append((name, off))
+        self.where.setdefault(name, []).append(at)
+        if name in _main:
+            self.mains.append(at)
+        if name in _main or off:
+            self.bounds.append(at)
+
+    def pop(self) -> tuple[str, bool]:
+        name, off = self.stack.pop()
+        at = len(self.stack)
+        self.where[name].pop()
+        for places in (self.mains, self.bounds):
+            if places and places[-1] == at:
+                places.pop()
+        return name, off
+
+    def found(self, name: str) -> int | None:
+        """Place of the element that an end tag closes. It closes nothing beyond the article or the part that it stands in."""
+        places = self.where.get(name)
+        if not places:
+            return None
+        fence = [] if name in {"body", "html"} else self.mains if name in _main else self.bounds
+        return places[-1] if not fence or places[-1] >= fence[-1] else None
 
 
 def page_lines(page: str) -> list[tuple[str, bool]]:
@@ -53,8 +155,8 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
     """
     lines: list[tuple[str, bool]] = []
     words: list[str] = []
-    stack: list[tuple[str, bool]] = []
-    off, inner, linked, free, end = 0, 0, 0, 0, 0
+    held = _Open()
+    off, inner, linked, free, links = 0, 0, 0, 0, 0
 
     def close_line() -> None:
         nonlocal linked, free
@@ -70,8 +172,8 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
 
     def leave(depth: int) -> None:
         nonlocal off, inner
-        while len(stack) > depth:
-            name, was_off = stack.pop()
+        while len(held.stack) > depth:
+            name, was_off = held.pop()
             if was_off:
                 off -= 1
                 if not off:
@@ -80,43 +182,27 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
                 inner -= 1
                 gap()
 
-    links = 0
-    while end < len(page):
-        m = _token.match(page, end)
-        end = m.end()
-        tag = m[2]
-        if tag is None:
-            part = m[0]
-            if not off and (part[0] != "<" or part == "<"):
-                words.append(part)
-                if part.strip():
+    for kind, tag, attrs in markup(page):
+        if kind == "text":
+            if not off:
+                words.append(tag)
+                if tag.strip():
                     linked, free = linked + (links > 0), free + (links == 0)
             continue
-        tag = tag.lower()
         if tag == "a":
-            links = 0 if m[1] else 1
-        if m[1]:
-            if tag not in _inline and not off:
-                close_line()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    leave(depth)
-                    break
-                if stack[depth][0] in _main and tag not in {"body", "html"} or stack[depth][1] and tag not in _main | {"body", "html"}:
-                    break
-            continue
-        if tag in _raw:
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, end)
-            if not (m[3] or "").endswith("/"):
-                end = stop.end() if stop else len(page)
-            continue
+            links = 0 if kind == "close" else 1
         if tag not in _inline and not off:
             close_line()
-        if tag in _void or (m[3] or "").endswith("/"):
+        if kind == "close":
+            depth = held.found(tag)
+            if depth is not None:
+                leave(depth)
+            continue
+        if tag in _void or attrs.endswith("/"):
             continue
-        if tag in {"p", "li"} and stack and stack[-1][0] == tag and not stack[-1][1]:
-            stack.pop()
-        is_off = apart(tag, m[3] or "")
+        if tag in {"p", "li"} and held.stack and held.stack[-1] == (tag, False):
+            held.pop()
+        is_off = apart(tag, attrs)
         if is_off:
             if not off:
                 gap()
@@ -125,7 +211,7 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             gap()
             inner += 1
         if is_off or tag not in {"b", "i", "p", "a", "span", "br"}:
-            stack.append((tag, is_off))
+            held.push(tag, is_off)
     leave(0)
     close_line()
     return lines
@@ -137,7 +223,8 @@ def main_text(page: str) -> str:
     A window's sum is the text length of its lines, links standing alone not counted. A
     stretch of lines runs from a surge, where sums rise from nothing, to a dive, where a
     whole window is empty again. Stretches that somewhere hold at least ``SURGE``
-    characters a window are the main text; if none does, the fullest one is.
+    characters a window are the main text; if none does, the fullest one is. Lines at either end of a stretch that are
+    all link, as of a menu, or a copyright line at its end, lie before the surge or after the dive.
     """
     lines = page_lines(page)
     sizes = [0 if linked else len(text) for text, linked in lines]
@@ -151,8 +238,15 @@ def main_text(page: str) -> str:
             stretches.append((max(sums[start:i]), start, i))
             start = None
     best = max((s for s, _, _ in stretches), default=0)
-    keep = [(a, b) for s, a, b in stretches if s >= min(SURGE, best) and s]
-    return " ".join(text for a, b in keep for text, _ in lines[a:b] if text)
+    kept = []
+    for s, first, end in stretches:
+        if s and s >= min(SURGE, best):
+            while not sizes[first]:
+                first += 1
+            while not sizes[end - 1] or end - first > 1 and _closing_line.match(lines[end - 1][0]):
+                end -= 1
+            kept += [text for text, _ in lines[first:end] if text]
+    return " ".join(kept)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
