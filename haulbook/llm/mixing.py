@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from haulbook.llm.common import stored, word_count
+from haulbook.llm.common import discard, stored, word_count
+from haulbook.operators.scan import ID_BLOCK, scan_before
 
 SEED = "mix-1"
 MOST_COPIES = 3
@@ -53,16 +54,24 @@ def _running(df: DataFrame, bins: str) -> DataFrame:
             .select("source", F.col(bins).alias("_cut"), (F.col("_wanted") - F.col("_before")).alias("_left")))
 
 
-def mixing_plan(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
-    """Per source: size, target, whole copies of every document, and the last rank that gets one more copy.
+ORDER = ["_rank", "doc_id", "_size", "_row"]
+
+
+def numbered(docs: DataFrame, *others: Column) -> DataFrame:
+    """Stored rows with their size in words and a number of their own, which tells apart rows that share an id."""
+    return stored(docs.select("doc_id", "source", word_count().alias("_size"), *others).withColumn("_row", F.monotonically_increasing_id()))
+
+
+def mixing_plan(base: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
+    """Per source of ``numbered`` rows: size, target, whole copies of every document, and the last place that gets one more copy.
 
     Each document is worth target / source size copies. The whole part is certain; the
     rest is its inclusion probability. Pareto ranks order the documents of a source, and
     documents are taken in that order up to the one that brings the words nearest to the
     target. Sums per bin of ranks find that place: twice 4096 bins, then the rows of one
-    bin, so no task orders a whole source. Documents that share an id share a draw.
+    bin, scanned in blocks. Rows that share an id share a draw and follow each other by size and row number: the
+    cut may fall between them, and no task holds all of them.
     """
-    base = stored(docs.select("doc_id", "source", word_count().alias("_size")))
     targets = source_targets(base.groupBy("source").agg(F.sum("_size").alias("source_size")), most_copies)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = stored(targets.withColumn("whole", F.least(F.floor(ratio), F.lit(most_copies)).cast("long"))
@@ -70,7 +79,7 @@ def mixing_plan(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
                   .withColumn("_share", F.greatest(ratio - F.col("whole"), F.lit(0.0))))
     ranked = (base.filter("_size > 0").join(plan.filter("_share > 0").withColumnRenamed("source", "_source"),
                                             F.col("source").eqNullSafe(F.col("_source")))
-              .select("source", "doc_id", "_size", "_wanted", pareto_rank().alias("_rank"))
+              .select("source", "doc_id", "_size", "_row", "_wanted", pareto_rank().alias("_rank"))
               .withColumn("_coarse", F.floor(F.col("_rank") * BINS).cast("long"))
               .withColumn("_fine", F.floor(F.col("_rank") * (BINS * BINS)).cast("long")))
 
@@ -82,28 +91,26 @@ def mixing_plan(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
     coarse = stored(_running(ranked, "_coarse"))
     middle = stored(_running(inside(ranked, coarse, "_coarse"), "_fine"))
     last = inside(inside(ranked, coarse, "_coarse"), middle, "_fine")
-    earlier = Window.partitionBy("source").orderBy("_rank", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (last.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-            .filter(F.col("_before") + F.col("_size") / 2.0 <= F.col("_wanted"))
-            .groupBy("source").agg(F.max(F.struct("_rank", "doc_id")).alias("_end")))
-    cuts = (middle.select("source", (F.col("_cut") / float(BINS * BINS)).alias("_edge"))
-            .join(ends.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
-            .select(F.col("source").alias("_source"), F.coalesce(F.col("_end._rank"), F.col("_edge")).alias("_last_rank"),
-                    F.col("_end.doc_id").alias("_last_id")))
-    return stored(plan.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left")
-                  .select("source", "source_size", "target", "whole", "_share", "_last_rank", "_last_id"))
-
-
-def with_copies(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The documents with their source's ``source_size`` and ``target`` and the number of ``copies`` the mix takes."""
+    blocks = [{"_by_rank": F.col("_rank")}, {"_by_id": F.col("doc_id"), "_by_size": F.col("_size"), "_by_row": F.expr(f"_row div {ID_BLOCK}")}]
+    ends = (scan_before(last, ["source"], ORDER, blocks, F.lit(None).cast("int"), F.col("_size"))
+            .filter(F.col("before") + F.col("_size") / 2.0 <= F.col("_wanted"))
+            .groupBy("source").agg(F.max(F.struct(*ORDER)).alias("_end")))
+    # Where no row of the bin fits, the cut is the bin's own edge.
+    edge = F.struct((F.col("_cut") / float(BINS * BINS)).alias("_rank"), *[F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ORDER[1:]])
+    cuts = (middle.join(ends.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
+            .select(F.col("source").alias("_owner"), F.coalesce(F.col("_end"), edge).alias("_last")))
+    out = stored(plan.join(cuts, F.col("source").eqNullSafe(F.col("_owner")), "left").select("source", "source_size", "target", "whole", "_share", "_last"))
+    discard(plan, coarse, middle)
+    return out
+
+
+def with_copies(base: DataFrame, plan: DataFrame) -> DataFrame:
+    """The ``numbered`` rows with their source's ``source_size`` and ``target`` and the number of ``copies`` the mix takes."""
     keys = plan.withColumnRenamed("source", "_source")
-    rank = F.when(F.col("_share") > 0, pareto_rank())
-    low = F.lit(-(1 << 63)).cast("long")
-    extra = (rank < F.col("_last_rank")) | ((rank == F.col("_last_rank")) & F.col("_last_id").isNotNull()
-                                            & (F.coalesce("doc_id", low) <= F.col("_last_id")))
-    return (docs.join(keys, docs["source"].eqNullSafe(keys["_source"]), "left")
-            .withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long"))
-            .drop("_source", "whole", "_share", "_last_rank", "_last_id"))
+    placed = base.join(keys, base["source"].eqNullSafe(keys["_source"]), "left").withColumn("_rank", F.when(F.col("_share") > 0, pareto_rank()))
+    extra = F.col("_last._rank").isNotNull() & F.col("_rank").isNotNull() & (F.struct(*ORDER) <= F.col("_last"))
+    return (placed.withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long"))
+            .drop("_source", "whole", "_share", "_last", "_rank"))
 
 
 def mix_report(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
@@ -111,18 +118,17 @@ def mix_report(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
 
     Null text has size 0; a null source is a source of its own, the last. A document of
     size 0 takes nothing. An empty table gives no rows. Rerunning gives the same rows:
-    the draw of a document is a hash of its id.
+    the draw of a document is a hash of its id; rows that share an id, or have none, are still taken one by one.
     """
-    sized = docs.select("doc_id", "source", word_count().alias("size"))
-    return with_copies(sized, mixing_plan(docs.select("doc_id", "source", "text"), most_copies)).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    base = numbered(docs)
+    return with_copies(base, mixing_plan(base, most_copies)).select(
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("copies")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, with the columns it came with."""
-    plan = mixing_plan(docs.select("doc_id", "source", "text"), most_copies)
     names = {f"c{i}": n for i, n in enumerate(docs.columns)}
-    packed = docs.select("doc_id", "source", F.struct(*[docs[n].alias(c) for c, n in names.items()]).alias("_row"))
-    copies = (with_copies(packed, plan).filter("copies > 0")
-              .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")))
-    return copies.select(*[F.col(f"_row.{c}").alias(n) for c, n in names.items()])
+    base = numbered(docs, F.struct(*[docs[n].alias(c) for c, n in names.items()]).alias("_content"))
+    copies = (with_copies(base, mixing_plan(base.drop("_content"), most_copies)).filter("copies > 0")
+              .select("_content", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")))
+    return copies.select(*[F.col(f"_content.{c}").alias(n) for c, n in names.items()])
