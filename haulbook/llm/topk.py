@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 BLOCK = 8192        # candidates whose lists one task sorts
 CHUNK = 2048        # queries that meet a block at once
 SLICE = 256         # queries whose bounds are held at once
+LONG = (1 << 63) - 1
 
 
 def nearest(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
@@ -21,10 +22,18 @@ def nearest(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: n
     lists, an entry not read yet lies between the list's last value read and its far
     end, which bounds every score from both sides; no entry is looked up out of turn. A
     query stops when so few candidates can still reach its k-th lower bound that their
-    full scores are resolved, or when the lists have ended. Components are whole
-    numbers, so sums in double precision are exact.
+    full scores are resolved, or when the lists have ended. Components are whole numbers. Bounds are
+    sums in double precision, widened by what rounding can do to them; final scores are
+    sums of whole numbers, exact at any size, and are ranked before they are cut to the range of a long.
     """
     n = len(ids)
+    exact_rows, exact_queries = rows, queries
+    rows, queries = rows.astype(np.float64), queries.astype(np.float64)
+    reach = float(np.abs(rows).max(initial=0))
+    slack = np.abs(queries).sum(axis=1) * reach * 2.0 ** -50 * (rows.shape[1] + 1)
+    wide = int(np.abs(exact_rows).max(initial=0)) * int(np.abs(exact_queries).max(initial=0)) * max(rows.shape[1], 1) >= 1 << 63
+    if wide:
+        exact_rows, exact_queries = exact_rows.astype(object), exact_queries.astype(object)
     ordered = np.sort(rows, axis=0)
     low, high = ordered[0], ordered[-1]
     plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
@@ -39,8 +48,8 @@ def nearest(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: n
         later = []
         for cut in range(0, len(open_queries), SLICE):
             at = open_queries[cut:cut + SLICE]
-            lower = plus[at] @ least.T + minus[at] @ most.T
-            upper = plus[at] @ above.T + minus[at] @ below.T
+            lower = plus[at] @ least.T + minus[at] @ most.T - slack[at][:, None]
+            upper = plus[at] @ above.T + minus[at] @ below.T + slack[at][:, None]
             own = query_ids[at][:, None] == ids[None, :]
             lower[own] = upper[own] = -np.inf
             kth = np.partition(lower, max(n - k, 0), axis=1)[:, max(n - k, 0)] if n > k else np.full(len(at), -np.inf)
@@ -50,15 +59,15 @@ def nearest(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: n
                     later.append(at[row])
                     continue
                 left = np.flatnonzero(able[row])
-                score = rows[left] @ queries[at[row]]
-                best = np.lexsort((ids[left], -score))[:k]
-                out.extend((int(query_ids[at[row]]), int(ids[left[b]]), int(score[b])) for b in best)
+                score = [int(x) for x in exact_rows[left] @ exact_queries[at[row]]]
+                best = sorted(range(len(left)), key=lambda b: (-score[b], ids[left[b]]))[:k]
+                out.extend((int(query_ids[at[row]]), int(ids[left[b]]), min(max(score[b], -LONG - 1), LONG)) for b in best)
         open_queries, depth = np.array(later, dtype=np.int64), depth * 2
     return out
 
 
 def _matrix(cells: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(cells), width))
+    out = np.zeros((len(cells), width), dtype=np.int64)
     for i, cell in enumerate(cells):
         out[i, :len(cell)] = cell
     return out
@@ -71,7 +80,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     ``every``; candidates are all rows but the query's own. Vectors that are null or hold
     null or non-finite components, and rows without an id, take no part; rows that
     repeat an id count once, with the smallest vector. A shorter vector ends in zeros.
-    An empty table gives no rows, a lone vector no partners.
+    An empty table gives no rows, a lone vector no partners. A score beyond a long is shown as the
+    largest or smallest one.
 
     Candidates are dealt into blocks by id hash and queries into chunks, and each pair of
     them is one group of bounded size: all its sorted lists fit a task. The best of the
