@@ -86,3 +86,29 @@ def test_near_classes_without_ids_or_rows(frame):
     got = sorted((str(r.doc_id), r.class_id, r.class_size) for r in near_dedup.near_classes(frame(DOCS, rows)).collect())
     assert got == [("4", 4, 3), ("4", 4, 3), ("5", 5, 1), ("None", 4, 3)]
     assert near_dedup.near_classes(frame(DOCS, [])).count() == 0
+
+
+def test_a_class_is_not_lost_to_another_that_shares_its_id(frame):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    left = near_dedup.without_near_copies(frame(DOCS, [(1, a, 0, "x"), (0, b, 0, "y"), (1, b, 0, "z"), (None, a, 0, "n")]))
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(0, b), (1, a)]
+
+
+def test_each_class_keeps_one_row_and_each_text_one_bag(frame, monkeypatch):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, text, 0, None)] * 30 + [(None, text + " end", 0, None)] * 30 + [(5, "other words", 0, None)] * 3
+    seen = []
+    verified = near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, sets: seen.append(sets.count()) or verified(pairs, sets))
+    got = near_dedup.near_classes(frame(DOCS, rows)).collect()
+    assert sorted((str(r.class_id), r.class_size, r.kept) for r in got) == sorted([("None", 60, k == 0) for k in range(60)] + [("5", 3, k == 0) for k in range(3)])
+    assert set(seen) == {2}
+
+
+def test_recall_on_a_table(spark):
+    """Classes against all pairs at 0.8 or more, by brute force over the given documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()}
+    want = brute_classes(rows)
+    assert got == want and len(set(want.values())) < len(want)

@@ -45,6 +45,25 @@ def test_top_k_by_brute_force(frame):
     assert topk.top_k(frame(schema, rows[:1])).count() == 0
 
 
+def test_scores_beyond_doubles_are_exact(frame):
+    whole = {0: [1_000_000_005, 3], 1: [1_000_000_005, 1], 2: [1_000_000_005, 0], 3: [1_000_000_004, 1_000_000_008], 4: [-1, -1], 5: [1_000_000_005, 2]}
+    rows = [(i, [x / 256 for x in v]) for i, v in whole.items()]
+    got = [(r.vec_id, r.score) for r in topk.top_k(frame("vec_id long, embedding array<double>", rows)).orderBy("rank").collect()]
+    assert got == sorted(((i, sum(a * b for a, b in zip(whole[0], v))) for i, v in whole.items() if i), key=lambda x: (-x[1], x[0]))
+    far = topk.top_k(frame("vec_id long, embedding array<double>", [(0, [1e14]), (1, [1e14]), (2, [-1e14])])).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in far] == [(1, 2 ** 63 - 1), (2, -2 ** 63)]
+
+
+@pytest.mark.parametrize("one_id", [7, None])
+def test_mixing_cuts_between_rows_that_share_an_id(frame, one_id):
+    rows = [(one_id, "a", "w " * 10, "s") for _ in range(1000)] + [(5000 + i, "b", "w " * 10, "s") for i in range(3000)]
+    docs = frame(DOCS, rows)
+    got = mixing.mix_report(docs).collect()
+    mine = [r for r in got if r.source_size == 10_000]
+    assert len(mine) == 1000 and abs(sum(r.taken for r in mine) - mine[0].target) <= 10 and max(r.taken for r in mine) <= 30
+    assert mixing.mixed_documents(docs).filter("source = 'a'").count() == sum(r.taken for r in mine) // 10
+
+
 def test_mixing_meets_targets_and_bounds(frame):
     rng = random.Random(9)
     rows = [(i, rng.choice(["a", "b", "b", "b", "c", None]), " ".join(["w"] * rng.randint(0, 30)), "s") for i in range(3000)]

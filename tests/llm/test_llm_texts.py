@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -149,6 +150,45 @@ def test_page_text(frame):
     assert page_text.extract_pages(frame("page_id long, url string, html string", [])).count() == 0
 
 
+STORY = "The story goes on and on for a good while. " * 5
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div><a href=x>Home</a> <a href=y>News</a></div><p>{STORY}</p><div>Copyright 2020 by us, all rights</div>", STORY),   # plain menu and footer
+    (f"<body><div class='page-side-effects'><p>{STORY}</p></div><p>teaser</p>", STORY + "teaser"),                             # a name that only holds a part's word
+    (f"<div class='right-sidebar'><p>Beside it all</p></div><article><p>{STORY}</p></article>", STORY),
+    (f"<article><p>{STORY}</p><article><p>Inner piece of it.</p></article><p>End of it.</p></article>", STORY + "Inner piece of it. End of it."),
+    (f"<article><p>{STORY}</p><div id=comment-list><p>I was first to read this, and say so at length.</p></div></article>", STORY),
+    (f"<p>{STORY}<!-- <p>gone --> and more</p><p>a < b and b > a</p>", STORY + "and more a < b and b > a"),
+    (f"<title>T</title><p title='a > b'>{STORY}</p><script>if (a < b) x()</script><script/><p>Last words.</p>", STORY + "Last words."),
+    ("<p>one<p>two<li>three<br>four", "one two three four"),
+])
+def test_page_parts(page, want):
+    assert page_text.main_text(page) == " ".join(want.split())
+
+
+@pytest.mark.parametrize("junk", ["<a '", "<a ", "<div>" * 9 + "</p>", "<title>", "<script/>", '<a "x>', "<", "<!--", "<!", "<p><article>", "</div>", "&amp"])
+def test_junk_pages_take_linear_time(junk):
+    start = time.monotonic()
+    page_text.main_text(junk * (1_000_000 // len(junk)))
+    assert time.monotonic() - start < 10
+
+
+def test_toxicity_on_held_out_documents(spark):
+    path = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    got = toxicity.toxicity(spark.read.parquet(f"{path}/documents.parquet"), labels).join(labels, "doc_id").filter("held_out and toxic is not null").collect()
+    bad, good = [r.score for r in got if r.toxic], [r.score for r in got if not r.toxic]
+    above = sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(bad) * len(good))
+    assert above > 0.85 and sum(s >= 0.7 for s in good) <= 0.02 * len(good) and sum(s >= 0.7 for s in bad) >= 0.5 * len(bad)
+
+
+def test_toxicity_rows_are_bounded_when_ids_repeat(frame, monkeypatch):
+    rows = [(1, f"good words {i}", "z") for i in range(300)] + [(2, f"vile words {i}", "z") for i in range(300)] + [(3, "x", "z")]
+    kept = toxicity.labelled_terms(frame(DOCS, rows), frame("doc_id long, toxic int", [(1, 0), (2, 1), (3, 0)]), most=50)
+    assert kept.count() == 50
+
+
 def test_archive_records_round_trip(spark, frame, tmp_path):
     rows = [(1, "http://x/1", "<title>T &amp; U</title><p>Hello</p><a href='/y'>y</a>", "z"), (2, None, None, None), (2, None, None, None)]
     pages = frame("page_id long, url string, html string, headers string", rows)
