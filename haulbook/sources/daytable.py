@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from haulbook.sources.sinks import conform
 
 NO_DAY = "none"            # folder name of the rows without a date
-PARTS_PER_DAY = 8          # files of a day, so that no task writes a whole day
 
 
 class DayTable:
@@ -76,8 +75,8 @@ class DayTable:
         """Write day folders under a new id; which days got rows is read from the folder names."""
         folder = f"_set={uuid.uuid4().hex}"
         day = F.coalesce(F.date_format(F.to_date(self.day_col), "yyyy-MM-dd"), F.lit(NO_DAY))
-        part = F.pmod(F.xxhash64(*new.columns), F.lit(PARTS_PER_DAY))
-        (new.withColumn("_day", day).repartition(F.col("_day"), part).write.partitionBy("_day").parquet(f"{self.root}/data/{folder}"))
+        # Days are brought together, and a day with very many rows is split by its size.
+        new.withColumn("_day", day).hint("rebalance", "_day").write.partitionBy("_day").parquet(f"{self.root}/data/{folder}")
         return {n.partition("=")[2]: f"{folder}/{n}" for n in self._names("data", folder) if n.startswith("_day=")}
 
     def replace(self, new: DataFrame, first=None, last=None) -> int:

@@ -10,14 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from haulbook.functions.windows import in_window
 
 
-FILES_PER_KEY = 8
-
-
 def shared_dir(spark: SparkSession) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names. A temporary folder serves a local session alone."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="haulbook-")
     return f"{root.rstrip('/')}/haulbook-{uuid.uuid4().hex}"
@@ -59,9 +56,8 @@ def export_delimited(df: DataFrame, path: str, sep: str = "\t") -> str:
 
 
 def export_by_key(df: DataFrame, path: str, key: str, sep: str = "\t", rows_per_file: int = 5_000_000) -> str:
-    """One folder per key with about ``FILES_PER_KEY`` files, more for a key with very many rows."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_KEY))
-    (_trimmed(df.repartition(F.col(key), spread)).write.mode("overwrite").option("sep", sep).option("header", True)
+    """One folder per key. Rows are brought together by key; a key with very many rows is split over as many tasks as its size asks for."""
+    (_trimmed(df).hint("rebalance", key).write.mode("overwrite").option("sep", sep).option("header", True)
      .option("maxRecordsPerFile", rows_per_file).partitionBy(key).csv(path))
     return path
 

@@ -15,9 +15,13 @@ def load_tables(spark: SparkSession, path: str, names: list[str] = TABLES) -> di
     return {n: spark.read.parquet(f"{path}/{n}.parquet") for n in names}
 
 
+CONFIG_ROWS = 10_000     # constant tables up to so many rows are marked for broadcast
+
+
 def config_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small constant lookup, marked for broadcast: its size is what the code lists."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A constant lookup, marked for broadcast while it is small; a longer list is left to Spark's own size check."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= CONFIG_ROWS else table
 
 
 # States by the negative id of their region.
