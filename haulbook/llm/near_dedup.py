@@ -14,7 +14,9 @@ from haulbook.llm.common import ascii_words, batched, discard, mixed, shingle_ha
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 30, 6      # at J = 0.8 the chance that no band meets is (1 - 0.8 ** 6) ** 30 = 1e-4
-HUB_BANDS = 8            # bands whose buckets link members to one hub in the first round
+FIRST_BANDS = 2          # bands whose buckets try each member with one hub before any class is known
+FILTER_BITS = 1 << 24    # bits of the filter that spares texts without a possible partner a shuffle
+MAP_WORDS = 16           # 64-bit words of a node's map, in which each of its shingles sets one bit
 AGREE = 140              # least equal bits of two 180-bit sketches; at J = 0.8 fewer come by a chance of 1e-7
 
 
@@ -92,7 +94,7 @@ def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         least = signatures(owner, shingles, counts, len(part))
         sizes = np.bincount(owner, counts, len(part)).astype(np.int64)
         sketch = sketches(least)
-        yield pd.DataFrame({"_id": part["_id"], "_key": keys, "_size": sizes, "_s0": sketch[:, 0], "_s1": sketch[:, 1], "_s2": sketch[:, 2],
+        yield pd.DataFrame({"_row": part["_row"], "_id": part["_id"], "_key": keys, "_size": sizes, "_s0": sketch[:, 0], "_s1": sketch[:, 1], "_s2": sketch[:, 2],
                             "_bands": list(band_keys(least))})
 
 
@@ -104,7 +106,35 @@ def _bagged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             items = mixed(np.repeat(shingles, counts) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 7).view(np.int64)
         cuts = np.cumsum(np.bincount(owner, counts, len(part)).astype(np.int64))[:-1]
-        yield pd.DataFrame({"_key": keys, "_bag": np.split(items, cuts)})
+        place = items.view(np.uint64) % np.uint64(64 * MAP_WORDS)
+        maps = np.zeros(len(part) * MAP_WORDS, dtype=np.uint64)
+        at = np.repeat(owner, counts) * MAP_WORDS + (place >> np.uint64(6)).astype(np.int64)
+        np.bitwise_or.at(maps, at, np.uint64(1) << (place & np.uint64(63)))
+        yield pd.DataFrame({"_node": part["_row"], "_bag": np.split(items, cuts), "_map": list(maps.view(np.int64).reshape(-1, MAP_WORDS))})
+
+
+def rows_like(wanted: DataFrame, name: str) -> Column:
+    """Whether a row number may be among the wanted ones: a bit filter of fixed size, right for all of them."""
+    bit = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
+    words = (wanted.select(bit.alias("b")).groupBy(F.expr("b div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits")))
+
+    def block(rows: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(1024, dtype=np.int64)
+        held[rows["word"].to_numpy() % 1024] = rows["bits"]
+        return pd.DataFrame({"block": [rows["word"].iloc[0] // 1024], "bits": [held.tobytes()]})
+
+    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    blocks = words.withColumn("_b", F.expr("word div 1024")).groupBy("_b").applyInPandas(lambda f: block(f), "block long, bits binary")
+    for r in blocks.collect():     # FILTER_BITS / 8 bytes at most
+        table[r.block * 1024:(r.block + 1) * 1024] = np.frombuffer(r.bits, dtype=np.int64)
+    shared = wanted.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def among(bits: pd.Series) -> pd.Series:
+        b = bits.to_numpy()
+        return pd.Series((shared.value[b // 64] >> (b % 64)) & 1 == 1)
+
+    return among(bit)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -118,22 +148,26 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pd.Series(out, dtype=bool)
 
     one, two = sets.select(F.col("_node").alias("a"), F.col("_bag").alias("_x")), sets.select(F.col("_node").alias("b"), F.col("_bag").alias("_y"))
-    return (pairs.distinct().join(one, "a").join(two, "b").filter(alike("_x", "_y"))
+    return (pairs.join(two, "b").join(one, "a").filter(alike("_x", "_y"))
             .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
 
 
-def may_link(left: str, right: str) -> Column:
-    """Whether sizes and sketches of two members allow an overlap of ``SIMILAR``. Inside a join, so that other pairs never leave it."""
-    def c(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
+def may_link(a: Column, b: Column) -> Column:
+    """Whether two nodes' numbers allow an overlap of ``SIMILAR``.
 
-    equal = F.lit(192) - sum(F.bit_count(c(left, s).bitwiseXOR(c(right, s))) for s in ("_s0", "_s1", "_s2"))
-    sizes = F.least(c(left, "_size"), c(right, "_size")) >= SIMILAR * F.greatest(c(left, "_size"), c(right, "_size"))
-    return sizes & (equal >= AGREE + 12)
+    Sizes bound it, and the shingles that other nodes hold as well; a bit that only one of the maps has stands for a
+    shingle, at least, that only its node has. These bounds are exact. Sketches rule out most of what maps of long texts leave.
+    """
+    apart = lambda x, y: sum(F.bit_count(x["_map"][k].bitwiseAND(F.bitwise_not(y["_map"][k]))) for k in range(MAP_WORDS))
+    fits = lambda both: both >= SIMILAR * (a["_size"] + b["_size"] - both) - 1e-9
+    equal = F.lit(192) - sum(F.bit_count(a[s].bitwiseXOR(b[s])) for s in ("_s0", "_s1", "_s2"))
+    return ((F.least(a["_size"], b["_size"]) >= SIMILAR * F.greatest(a["_size"], b["_size"])) & (equal >= AGREE + 12)
+            & fits(F.least(a["_shared"], b["_shared"])) & fits(F.least(a["_size"] - apart(a, b), b["_size"] - apart(b, a))))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``_node`` and ``_class``, the smallest node that links lead to, by contraction of stored ``edges``, which are removed.
+def components(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``_node`` and ``_class``, the smallest node that links lead to, by contraction of stored ``edges``, which are removed,
+    and the stored tables that this reads.
 
     Each round every node joins its smallest neighbour and the edges move to what their
     ends have become, until none is left. Rounds shrink the graph at least by half.
@@ -148,92 +182,142 @@ def components(edges: DataFrame) -> DataFrame:
         discard(edges)
         edges = left
         steps.append(step)
-    if not steps:
-        return edges.select(F.col("a").alias("_node"), F.col("b").alias("_class"))
+    discard(edges)
     moves = steps[0].select(F.col("a").alias("_node"), F.col("_to").alias("_class"))
     for step in steps[1:]:
         moves = moves.join(step, moves["_class"] == step["a"], "left").select("_node", F.coalesce("_to", "_class").alias("_class"))
-    return moves
+    return moves, steps
+
+
+def _classes(source: DataFrame) -> DataFrame:
+    """``_row``, ``_id``, ``_class`` (a row number of the class) per row of a stored ``source`` of ``_row``, ``_id`` and ``text``."""
+    marked = stored(source.mapInPandas(_signed, "_row long, _id long, _key binary, _size long, _s0 long, _s1 long, _s2 long, _bands array<long>"))
+    # The first row of a text stands for it; its number is the node.
+    kinds = stored(marked.groupBy("_key").agg(F.min("_row").alias("_node")))
+    nodes = (marked.filter("_size > 0").join(kinds.select(F.col("_node").alias("_row")), "_row", "left_semi")
+             .select(F.col("_row").alias("_node"), "_size", "_s0", "_s1", "_s2", "_bands"))
+    rows = nodes.select("_node", F.posexplode("_bands").alias("_band", "_bucket"))
+    full = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("_bucket")
+    near = stored(rows.join(full, "_bucket"))                       # ids alone: a node is in up to BANDS buckets
+    wanted = stored(near.select("_node").distinct())
+    first = wanted.select(F.col("_node").alias("_row"))
+    # Most texts have no possible partner: a filter of fixed size keeps nearly all of them out of the shuffle.
+    texts = source.select("_row", "text").filter(rows_like(first, "_row")).join(first, "_row", "left_semi")
+    sets = stored(texts.mapInPandas(_bagged, "_node long, _bag array<long>, _map array<long>"))
+    # Shingles that no other node holds bound a node's overlap with any partner. Those bounded below SIMILAR have none.
+    alone = (sets.select("_node", F.explode("_bag").alias("_item")).groupBy("_item").agg(F.count("*").alias("_n"), F.min("_node").alias("_node"))
+             .filter("_n = 1").groupBy("_node").agg(F.count("*").alias("_alone")))
+    attrs = (nodes.drop("_bands").join(sets.select("_node", "_map"), "_node").join(alone, "_node", "left")
+             .withColumn("_shared", F.col("_size") - F.coalesce("_alone", F.lit(0))).filter(F.col("_shared") >= SIMILAR * F.col("_size") - 1e-9))
+    # The same order in every bucket: nodes with the fewest shingles of their own come first, as hubs for the others.
+    one = F.struct((1 - F.col("_shared") / F.col("_size")).alias("_own"), F.xxhash64("_node").alias("_h"), "_node", "_size", "_shared", "_s0", "_s1", "_s2", "_map")
+    attrs = stored(attrs.select("_node", one.alias("_one")))
+    members = stored(near.join(attrs, "_node"))
+    tried: list[DataFrame] = []
+
+    def fresh(pairs: DataFrame) -> DataFrame:
+        """Pairs ``a``, ``b`` of nodes in classes ``ca``, ``cb``, each once, without those that were tried before."""
+        once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "ca", "cb").dropDuplicates(["a", "b"])
+        for before in tried:
+            once = once.join(before.select("a", "b"), ["a", "b"], "left_anti")
+        tried.append(stored(once))
+        return tried[-1]
+
+    def merged(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+        """The classes of all nodes after these links, and whether there were any."""
+        links = stored(links)
+        if links.isEmpty():
+            discard(links)
+            return classes, False
+        parts, steps = components(links)
+        step = parts.select(F.col("_node").alias("_class"), F.col("_class").alias("_new"))
+        out = stored(classes.join(step, "_class", "left").select("_node", F.coalesce("_new", "_class").alias("_class")))
+        discard(classes, *steps)
+        return out, True
+
+    def stars(rows: DataFrame) -> DataFrame:
+        """Of rows (bucket, class, its first member ``_one``): the pair of each class with the hub of its bucket's largest class."""
+        tops = rows.groupBy("_bucket").agg(F.max(F.struct("_n", (-F.col("_one._own")).alias("_c"), F.col("_one._node").alias("_i"), F.col("_class").alias("_top"),
+                                                          F.col("_one").alias("_hub"))).alias("_t"))
+        hub = tops.select("_bucket", "_t._top", "_t._hub")
+        return (rows.join(hub, "_bucket").filter((F.col("_class") != F.col("_top")) & may_link(F.col("_one"), F.col("_hub")))
+                .select(F.col("_hub._node").alias("a"), F.col("_one._node").alias("b"), F.col("_top").alias("ca"), F.col("_class").alias("cb")))
+
+    # Each node starts as a class of its own. In the first bands every member is tried with one hub.
+    classes = stored(attrs.select("_node", F.col("_node").alias("_class")))
+    alike = members.filter(F.col("_band") < FIRST_BANDS).select("_bucket", F.col("_node").alias("_class"), "_one", F.lit(1).alias("_n"))
+    classes, _ = merged(classes, verified(fresh(stars(alike)), sets))
+    # Then one member of each class of a bucket with one of its largest class, until that links nothing more.
+    more = True
+    while more:
+        held = members.join(classes, "_node").groupBy("_bucket", "_class").agg(F.count("*").alias("_n"), F.min("_one").alias("_one"))
+        classes, more = merged(classes, verified(fresh(stars(held)), sets))
+    # What is left: members outside their bucket's largest class, with all members of its other classes, each pair once.
+    now = members.join(classes, "_node").select("_bucket", "_class", "_one")
+    sizes = now.groupBy("_bucket", "_class").agg(F.count("*").alias("_n"))
+    tops = (sizes.groupBy("_bucket").agg(F.max(F.struct("_n", "_class")).alias("_t"), F.count("*").alias("_many")).filter("_many > 1")
+            .select("_bucket", F.col("_t._class").alias("_top")))
+    now = stored(now.join(tops, "_bucket").withColumn("_main", F.col("_class") == F.col("_top")).drop("_top"))
+    x, y = now.filter("not _main").alias("x"), now.alias("y")
+    across = (F.col("x._class") != F.col("y._class")) & (F.col("y._main") | (F.col("x._class") < F.col("y._class")))
+    pairs = (x.join(y, (F.col("x._bucket") == F.col("y._bucket")) & across & may_link(F.col("x._one"), F.col("y._one")))
+             .select(F.col("x._one._node").alias("a"), F.col("y._one._node").alias("b"), F.col("x._class").alias("ca"), F.col("y._class").alias("cb")))
+    classes, _ = merged(classes, verified(fresh(pairs), sets))
+    labelled = stored(marked.select("_row", "_id", "_key").join(kinds, "_key").join(classes, "_node", "left")
+                      .select("_row", "_id", F.coalesce("_class", "_node").alias("_class")))
+    discard(marked, kinds, near, members, wanted, attrs, sets, now, classes, *tried)
+    return labelled
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+    """Rows with a number that stays the same whenever they are read: stored once."""
+    return stored(docs.select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("text"), *others)
+                  .withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _verdicts(labelled: DataFrame) -> DataFrame:
+    """``_row``, ``_id``, ``class_id``, ``class_size`` and ``kept``, true on one row of each class: the first of the smallest id."""
+    first = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    sums = stored(labelled.groupBy("_class").agg(F.min(first).alias("_first"), F.count("*").alias("class_size")))
+    return labelled.join(sums, "_class").select("_row", "_id", F.col("_first.id").alias("class_id"), "class_size", (F.col("_row") == F.col("_first.row")).alias("kept"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, ``class_id`` (the class's smallest id), ``class_size`` and ``kept`` (id is the class id).
+    """Per document: id, ``class_id`` (the class's smallest id), ``class_size`` and ``kept`` (one row of each class, of the class id).
 
     Two texts are linked when the bags of their five-word shingles overlap to 0.8 or
     more (weighted Jaccard; words of the word rule, A-Z in lower case; a shorter text is
     one shingle). Classes are what links connect. Texts with the same words stand as one
     from the start, so copies are never compared. Texts without words form one class.
 
-    Signatures in bands find candidates. In some bands every member of a bucket is first
-    tried with one hub; then one member of each class of a bucket with those of its other
-    classes; last, all pairs of a bucket's members that are still in different classes. Pairs inside a class need no trial, so nothing that would change a class is
-    left out, and a group of near copies costs about one trial a member. Sizes and
-    sketches rule out pairs in the join itself; every other pair is verified on the bags.
+    Signatures in bands find candidates. In the first bands every member of a bucket is
+    tried with one hub; then, in rounds over all bands, one member of each class of a bucket
+    with one of its largest class, until a round links nothing; last, the members that are
+    still outside their bucket's largest class with those of its other classes. Pairs inside a class need no trial,
+    so nothing that would change a class is left out, and a group of near copies costs about one trial a
+    member and round. A node's shingles that no other node holds bound its overlap with any partner; nodes bounded
+    below 0.8 are settled at once, and nodes with the fewest such shingles are the hubs. Sizes, shared shingles and sketches
+    rule out pairs inside the joins; every other pair is verified on the bags.
+
+    The levels of a signature are independent processes at powers of two; no coarse process is split into finer ones.
 
     Null text counts as empty. Rows that share an id follow their texts; rows without an
     id count in their class but give it no id unless all lack one. An empty table gives
     no rows, further columns are ignored.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("text"))
-    low = F.lit(-(1 << 63)).cast("long")
-    marked = stored(source.select(F.coalesce("_id", low).alias("_id"), "text")
-                    .mapInPandas(_signed, "_id long, _key binary, _size long, _s0 long, _s1 long, _s2 long, _bands array<long>")
-                    .withColumn("_row", F.monotonically_increasing_id()))
-    # The first row of a text stands for it; its number is the node.
-    kinds = stored(marked.groupBy("_key").agg(F.min("_row").alias("_node")))
-    nodes = (marked.filter("_size > 0").join(kinds.select(F.col("_node").alias("_row")), "_row")
-             .select(F.col("_row").alias("_node"), "_id", "_size", "_s0", "_s1", "_s2", "_bands"))
-    rows = nodes.select("_node", F.posexplode("_bands").alias("_band", "_bucket"))
-    full = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("_bucket")
-    near = stored(rows.join(full, "_bucket"))
-    members = stored(near.join(nodes.drop("_bands"), "_node").withColumn("_class", F.col("_node")))
-    sets = stored(source.select(F.coalesce("_id", low).alias("_id"), "text").join(members.select("_id").distinct(), "_id", "left_semi")
-                  .mapInPandas(_bagged, "_key binary, _bag array<long>").join(kinds, "_key").select("_node", "_bag"))
-    attrs = F.struct("_node", "_class", "_size", "_s0", "_s1", "_s2")
-
-    def pairs(left: DataFrame, right: DataFrame, wanted: Column) -> DataFrame:
-        return (left.alias("a").join(right.alias("b"), (F.col("a._bucket") == F.col("b._bucket")) & wanted & may_link("a", "b"))
-                .select(F.col("a._node").alias("a"), F.col("b._node").alias("b"), F.col("a._class").alias("ca"), F.col("b._class").alias("cb")))
-
-    def one_each(by: list[str], salt: int, of: DataFrame) -> DataFrame:
-        pick = F.min_by(attrs, F.xxhash64("_node", "_bucket", F.lit(salt))).alias("_pick")
-        return of.groupBy(*by).agg(pick).select("_bucket", "_pick.*")
-
-    def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
-        """The classes of all nodes after these links."""
-        links = stored(links)
-        if links.isEmpty():
-            return classes
-        step = components(links).select(F.col("_node").alias("_class"), F.col("_class").alias("_new"))
-        return stored(classes.join(step, "_class", "left").select("_node", F.coalesce("_new", "_class").alias("_class")))
-
-    def unsettled(classes: DataFrame) -> DataFrame:
-        """Members of the buckets that still hold several classes, and whether theirs is the bucket's largest."""
-        now = members.drop("_class").join(classes, "_node")
-        sizes = now.groupBy("_bucket", "_class").agg(F.count("*").alias("_n"))
-        tops = (sizes.groupBy("_bucket").agg(F.max_by("_class", F.struct("_n", "_class")).alias("_top"), F.count("*").alias("_classes"))
-                .filter("_classes > 1").select("_bucket", "_top"))
-        return stored(now.join(tops, "_bucket").withColumn("_main", F.col("_class") == F.col("_top")).drop("_top"))
-
-    moves = members.select("_node", "_class").distinct()
-    few = members.filter(F.col("_band") < HUB_BANDS)
-    moves = merged(moves, verified(pairs(one_each(["_bucket"], 0, few), few, F.col("a._node") != F.col("b._node")), sets))
-    reps = stored(one_each(["_bucket", "_class"], 1, unsettled(moves)))
-    moves = merged(moves, verified(pairs(reps, reps, F.col("a._class") < F.col("b._class")), sets))
-    # Members of a bucket's largest class are never held against each other, so a large class costs as many trials as it has outsiders.
-    active = unsettled(moves)
-    across = (F.col("a._class") != F.col("b._class")) & (F.col("b._main") | (F.col("a._class") < F.col("b._class")))
-    moves = merged(moves, verified(pairs(active.filter("not _main"), active, across), sets))
-    labelled = (marked.select("_id", "_key").join(kinds, "_key").join(moves, "_node", "left")
-                .select("_id", F.coalesce("_class", "_node").alias("_class")))
-    known = F.when(F.col("_id") != low, F.col("_id"))
-    labelled = stored(labelled)
-    sums = stored(labelled.groupBy("_class").agg(F.min(known).alias("class_id"), F.count("*").alias("class_size")))
-    return (labelled.join(sums, "_class")
-            .select(known.alias(id_col), "class_id", "class_size", known.eqNullSafe(F.col("class_id")).alias("kept")))
+    source = _source(docs, id_col, text_col)
+    labelled = _classes(source)
+    discard(source)
+    return _verdicts(labelled).select(F.col("_id").alias(id_col), "class_id", "class_size", "kept")
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class with the columns it came with; a row without an id stays only in a class without ids."""
-    gone = near_classes(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """One row of each class, with the columns it came with: the first of the class's smallest id; rows without an id come last.
+
+    Rows are told apart by number, not by id, so a class is never lost to another that shares its id.
+    """
+    names = {f"c{i}": n for i, n in enumerate(docs.columns)}
+    plain = docs.select(*[docs[n].alias(c) for c, n in names.items()], docs[id_col].alias("_doc"), docs[text_col].alias("_text"))
+    numbered = _source(plain, "_doc", "_text", *names)
+    gone = _verdicts(_classes(numbered.select("_row", "_id", "text"))).filter("not kept").select("_row")
+    return numbered.join(gone, "_row", "left_anti").select(*[F.col(c).alias(n) for c, n in names.items()])
