@@ -172,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Machine:
         return fit([], np.zeros(0), terms)
     bias, own = found[0].weight, found[1:]
     return Machine(np.array([r.term for r in own], dtype=np.int64), bias, np.array([r.weight for r in own]),
-                   np.array([r.factors for r in own]).reshape(len(own), -1))
+                   np.array([r.factors for r in own]).reshape(len(own), len(found[0].factors)))
 
 
 def toxic_score(docs: DataFrame, model: Machine, text_col: str = "text") -> Column:

@@ -183,6 +183,12 @@ def test_toxicity_on_held_out_documents(spark):
     assert above > 0.85 and sum(s >= 0.7 for s in good) <= 0.02 * len(good) and sum(s >= 0.7 for s in bad) >= 0.5 * len(bad)
 
 
+def test_toxicity_without_a_telling_term(frame):
+    rows = [(i, f"word{i} text", "z") for i in range(40)]
+    got = toxicity.toxicity(frame(DOCS, rows), frame("doc_id long, toxic int", [(i, i % 2) for i in range(40)])).collect()
+    assert len(got) == 40 and len({r.score for r in got}) == 1 and 0 < got[0].score < 1
+
+
 def test_toxicity_rows_are_bounded_when_ids_repeat(frame, monkeypatch):
     rows = [(1, f"good words {i}", "z") for i in range(300)] + [(2, f"vile words {i}", "z") for i in range(300)] + [(3, "x", "z")]
     kept = toxicity.labelled_terms(frame(DOCS, rows), frame("doc_id long, toxic int", [(1, 0), (2, 1), (3, 0)]), most=50)
