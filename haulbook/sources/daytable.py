@@ -65,11 +65,19 @@ class DayTable:
         """The table of the current manifest, or of an older one whose folders are still there."""
         manifest = self._manifest(version or self.version())
         schema = T.StructType.fromJson(manifest["schema"])
-        folders = [f"{self.root}/data/{f}" for f in manifest["days"].values()]
-        if not folders:
+        live: dict[str, set[str]] = {}
+        for day, folder in manifest["days"].items():
+            live.setdefault(folder.split("/")[0], set()).add(day)
+        if not live:
             return self.spark.createDataFrame([], schema)
         full = T.StructType([*schema.fields, T.StructField("_set", T.StringType()), T.StructField("_day", T.StringType())])
-        return self.spark.read.schema(full).option("basePath", f"{self.root}/data").parquet(*folders).select(*schema.names)
+        rows = self.spark.read.schema(full).option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/data/{s}" for s in live])
+        # Folders of days that a later set replaced are pruned by their names, before any file is opened.
+        for name, days in live.items():
+            gone = sorted({n.partition("=")[2] for n in self._names("data", name) if n.startswith("_day=")} - days)
+            if gone:
+                rows = rows.filter((F.col("_set") != name.partition("=")[2]) | ~F.col("_day").isin(gone))
+        return rows.select(*schema.names)
 
     def _write(self, new: DataFrame) -> dict[str, str]:
         """Write day folders under a new id; which days got rows is read from the folder names."""
