@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulbook.llm.common import discard, stored, word_count
@@ -54,12 +55,20 @@ def _running(df: DataFrame, bins: str) -> DataFrame:
             .select("source", F.col(bins).alias("_cut"), (F.col("_wanted") - F.col("_before")).alias("_left")))
 
 
-ORDER = ["_rank", "doc_id", "_size", "_row"]
+ORDER = ["_rank", "doc_id", "_size", "_file", "_row"]
 
 
 def numbered(docs: DataFrame, *others: Column) -> DataFrame:
-    """Stored rows with their size in words and a number of their own, which tells apart rows that share an id."""
-    return stored(docs.select("doc_id", "source", word_count().alias("_size"), *others).withColumn("_row", F.monotonically_increasing_id()))
+    """Rows with their size in words and a place of their own, which tells apart rows that share an id.
+
+    Rows read from files are told apart by file and row, which stay the same whenever they are read again. Rows that come from
+    elsewhere are stored with a number.
+    """
+    wanted = ["doc_id", "source", word_count().alias("_size"), *others]
+    try:
+        return docs.select(*wanted, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return stored(docs.select(*wanted, F.lit("").alias("_file")).withColumn("_row", F.monotonically_increasing_id()))
 
 
 def mixing_plan(base: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
@@ -79,7 +88,7 @@ def mixing_plan(base: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
                   .withColumn("_share", F.greatest(ratio - F.col("whole"), F.lit(0.0))))
     ranked = (base.filter("_size > 0").join(plan.filter("_share > 0").withColumnRenamed("source", "_source"),
                                             F.col("source").eqNullSafe(F.col("_source")))
-              .select("source", "doc_id", "_size", "_row", "_wanted", pareto_rank().alias("_rank"))
+              .select("source", "doc_id", "_size", "_file", "_row", "_wanted", pareto_rank().alias("_rank"))
               .withColumn("_coarse", F.floor(F.col("_rank") * BINS).cast("long"))
               .withColumn("_fine", F.floor(F.col("_rank") * (BINS * BINS)).cast("long")))
 
@@ -91,7 +100,7 @@ def mixing_plan(base: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
     coarse = stored(_running(ranked, "_coarse"))
     middle = stored(_running(inside(ranked, coarse, "_coarse"), "_fine"))
     last = inside(inside(ranked, coarse, "_coarse"), middle, "_fine")
-    blocks = [{"_by_rank": F.col("_rank")}, {"_by_id": F.col("doc_id"), "_by_size": F.col("_size"), "_by_row": F.expr(f"_row div {ID_BLOCK}")}]
+    blocks = [{"_by_rank": F.col("_rank")}, {"_by_id": F.col("doc_id"), "_by_size": F.col("_size"), "_by_file": F.col("_file"), "_by_row": F.expr(f"_row div {ID_BLOCK}")}]
     ends = (scan_before(last, ["source"], ORDER, blocks, F.lit(None).cast("int"), F.col("_size"))
             .filter(F.col("before") + F.col("_size") / 2.0 <= F.col("_wanted"))
             .groupBy("source").agg(F.max(F.struct(*ORDER)).alias("_end")))
@@ -120,7 +129,7 @@ def mix_report(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
     size 0 takes nothing. An empty table gives no rows. Rerunning gives the same rows:
     the draw of a document is a hash of its id; rows that share an id, or have none, are still taken one by one.
     """
-    base = numbered(docs)
+    base = stored(numbered(docs))
     return with_copies(base, mixing_plan(base, most_copies)).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("copies")).alias("taken"))
 
@@ -128,7 +137,7 @@ def mix_report(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
 def mixed_documents(docs: DataFrame, most_copies: int = MOST_COPIES) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, with the columns it came with."""
     names = {f"c{i}": n for i, n in enumerate(docs.columns)}
-    base = numbered(docs, F.struct(*[docs[n].alias(c) for c, n in names.items()]).alias("_content"))
-    copies = (with_copies(base, mixing_plan(base.drop("_content"), most_copies)).filter("copies > 0")
+    rows = numbered(docs, F.struct(*[docs[n].alias(c) for c, n in names.items()]).alias("_content"))
+    copies = (with_copies(rows, mixing_plan(stored(rows.drop("_content")), most_copies)).filter("copies > 0")
               .select("_content", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")))
     return copies.select(*[F.col(f"_content.{c}").alias(n) for c, n in names.items()])
