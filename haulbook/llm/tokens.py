@@ -169,11 +169,11 @@ class TextCoder:
     runs = re.compile(r" ?(?:\S|[\x1c-\x1f])+|(?:(?![\x1c-\x1f])\s)+(?!\S|[\x1c-\x1f])|(?:(?![\x1c-\x1f])\s)+")
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.coder = PrefixCoder(ranks)
-        self.pieces = regex.compile(pattern)
-        self.known_piece = _Known(lambda p: ",".join(map(str, self.coder.encode(p.encode()))))
-        self.known_run = _Known(lambda r: ",".join(map(self.known_piece.__getitem__, self.pieces.findall(r))))
-        self.known_ids = _Known(lambda ids: b"".join(self.coder.bytes_of[int(i)] for i in ids.split(",")))
+        # The tables refer to what they are made from, never back to this object: without cycles, a task's tables go with the task.
+        coder, pieces = PrefixCoder(ranks), regex.compile(pattern)
+        known_piece = _Known(lambda p: ",".join(map(str, coder.encode(p.encode()))))
+        self.known_run = _Known(lambda r: ",".join(map(known_piece.__getitem__, pieces.findall(r))))
+        self.known_ids = _Known(lambda ids: b"".join(coder.bytes_of[int(i)] for i in ids.split(",")))
 
     def encode(self, text: str) -> list[str]:
         """Ids of the text, comma-joined per run."""

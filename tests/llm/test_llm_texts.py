@@ -1,10 +1,12 @@
 """Token ids, language model, toxicity, licenses, page text and archive records."""
 
 import base64
+import gc
 import hashlib
 import math
 import random
 import time
+import weakref
 import zlib
 from collections import Counter
 
@@ -25,6 +27,18 @@ def random_text(rng):
     return "".join(rng.choices(alphabet, k=rng.randint(0, 80)))
 
 
+def test_the_tables_of_a_task_go_with_it():
+    coder = tokens.TextCoder({bytes([b]): b for b in range(256)}, public_tokenizers.PATTERN)
+    assert coder.decode(coder.encode("two words")) == b"two words"
+    left = weakref.ref(coder)
+    gc.disable()
+    try:
+        del coder
+        assert left() is None
+    finally:
+        gc.enable()
+
+
 def test_bpe_agrees_with_the_library(frame):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
