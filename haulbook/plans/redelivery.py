@@ -11,9 +11,8 @@ from haulbook.functions.windows import period_start, period_starts, shift_period
 from haulbook.operators.aggregates import elapsed_buckets, item_list, keep_first_of_group
 from haulbook.operators.intervals import prefix_ranks, running_at
 from haulbook.operators.lookups import override_flags
-from haulbook.operators.ranking import previous_valid_order
 from haulbook.operators.reshape import union_distinct
-from haulbook.operators.scan import ID_BLOCK, scan_before
+from haulbook.operators.scan import ID_BLOCK, scan_before, time_levels
 from haulbook.sources.sinks import staged
 
 # Items and equipment that are counted apart, and the fee product.
@@ -37,12 +36,32 @@ def order_windows(df: DataFrame, ts: str, kind: str, lookback_days: int) -> Data
     return df.withColumn("window_start", F.explode(period_starts(kind, F.col(ts), last)))
 
 
-def raw_orders(orders: DataFrame, patients: DataFrame, budgets: DataFrame, *, kind: str = "M", days: int = 5,
-               first=None, last=None) -> DataFrame:
-    """Completed orders of patients on client-site pairs that are valid in the window's month.
+def _windows(kind: str, days: int, first, last) -> Column:
+    """Array of the wanted windows whose look-back span holds the order."""
+    starts = period_starts(kind, F.col("completed"), F.date_add(F.to_date("completed"), days))
+    if first is not None:
+        starts = F.filter(starts, lambda w: w >= F.lit(first).cast("date"))
+    if last is not None:
+        starts = F.filter(starts, lambda w: w <= F.lit(last).cast("date"))
+    return starts
 
-    ``first`` and ``last`` bound the wanted window starts. A pair counts only through
-    a budget that is not for a sub-unit; patients of type M are left out.
+
+def budget_months(budgets: DataFrame) -> DataFrame:
+    """The months in which each client-site pair is valid: those of its budgets that are not for a sub-unit."""
+    return (budgets.filter(F.coalesce("sub_unit", F.lit(0)) == 0)
+            .select(F.col("client_id").alias("_c"), F.col("site_id").alias("_s"), "begin_yyyymm", "end_yyyymm"))
+
+
+def with_valid_pair(df: DataFrame, pairs: DataFrame, valid: Column) -> DataFrame:
+    return df.join(pairs, (F.col("client_id") == F.col("_c")) & (F.col("site_id") == F.col("_s")) & valid, "left_semi")
+
+
+def placed_orders(orders: DataFrame, patients: DataFrame, pairs: DataFrame, *, kind: str = "M", days: int = 5,
+                  first=None, last=None) -> DataFrame:
+    """Completed orders of patients on client-site pairs that are valid in the month of one of the order's windows, once each.
+
+    ``first`` and ``last`` bound the wanted window starts. Patients of type M are left out. ``several`` marks patients who
+    are listed under more than one pair: their orders need not be valid in the same windows.
     """
     base = orders.filter(F.col("completed").isNotNull())
     if first is not None:
@@ -51,17 +70,32 @@ def raw_orders(orders: DataFrame, patients: DataFrame, budgets: DataFrame, *, ki
         base = base.filter(F.col("completed") < shift_periods(kind, F.lit(last).cast("date"), 1).cast("timestamp_ntz"))
     base = base.select("order_id", "patient_id", F.coalesce("driver_id", F.lit(0)).alias("driver_id"),
                        F.coalesce("route_number", F.lit(0)).alias("route_number"), "completed", "reason")
-    base = order_windows(base, "completed", kind, days)
+    own, place = Window.partitionBy("patient_id"), F.struct("client_id", "site_id")
+    people = (patients.filter(F.trim("type") != "M").select("patient_id", "client_id", "site_id")
+              .withColumn("several", F.min(place).over(own) != F.max(place).over(own)))
+    return with_valid_pair(base.join(people, "patient_id"), pairs,
+                           F.exists(_windows(kind, days, first, last), lambda w: valid_in_month(yyyymm(w))))
+
+
+def in_windows(placed: DataFrame, pairs: DataFrame, *, kind: str = "M", days: int = 5, first=None, last=None) -> DataFrame:
+    """One row per order and window in whose month its pair is valid."""
+    out = order_windows(placed, "completed", kind, days)
     if first is not None:
-        base = base.filter(F.col("window_start") >= F.lit(first).cast("date"))
+        out = out.filter(F.col("window_start") >= F.lit(first).cast("date"))
     if last is not None:
-        base = base.filter(F.col("window_start") <= F.lit(last).cast("date"))
-    people = patients.filter(F.trim("type") != "M").select("patient_id", "client_id", "site_id")
-    pairs = (budgets.filter(F.coalesce("sub_unit", F.lit(0)) == 0)
-             .select(F.col("client_id").alias("_c"), F.col("site_id").alias("_s"), "begin_yyyymm", "end_yyyymm"))
-    return base.join(people, "patient_id").join(
-        pairs, (F.col("client_id") == F.col("_c")) & (F.col("site_id") == F.col("_s"))
-        & valid_in_month(yyyymm("window_start")), "left_semi")
+        out = out.filter(F.col("window_start") <= F.lit(last).cast("date"))
+    return with_valid_pair(out, pairs, valid_in_month(yyyymm("window_start")))
+
+
+def raw_orders(orders: DataFrame, patients: DataFrame, budgets: DataFrame, *, kind: str = "M", days: int = 5,
+               first=None, last=None) -> DataFrame:
+    """Completed orders of patients on client-site pairs that are valid in the window's month.
+
+    ``first`` and ``last`` bound the wanted window starts. A pair counts only through
+    a budget that is not for a sub-unit; patients of type M are left out.
+    """
+    pairs, span = budget_months(budgets), {"kind": kind, "days": days, "first": first, "last": last}
+    return in_windows(placed_orders(orders, patients, pairs, **span), pairs, **span).drop("several")
 
 
 COUNTS = ["dme_count", "o2_count", "disposable_count", "service_count", "paired_count", "pickup_count", "fee_count"]
@@ -116,9 +150,37 @@ def exclusion_note() -> Column:
             .when((o2 > 0) & (dme == 0), "StandingO2").when(service > 0, "Service"))
 
 
-def _strict_predecessors(df: DataFrame, keys: list[str], block: int) -> DataFrame:
-    return previous_valid_order(df, keys, "completed", "order_id", F.col("note").isNull(),
-                                ["order_id", "driver_id", "route_number", "completed"], "pre", block)
+def _strict_predecessors(placed: DataFrame, pairs: DataFrame, span: dict, block: int) -> DataFrame:
+    """Predecessors by time, then id, within each window, found before the orders are dealt to their windows.
+
+    All orders of a patient with one client-site pair are valid in the same windows, and the last window of an order never falls
+    along (completed, order_id). So an order's predecessor in a window is its last valid order of all if that one reaches the
+    window, else there is none. One scan over the orders, one row each, finds it. The invalid orders passed over are counted from
+    sums per last window: the few that end within the order's own windows are kept beside it. Orders of patients with
+    ``several`` pairs are dealt to their windows first, and each window is scanned by itself.
+    """
+    starts, keys, reach = _windows(**span), ["_own", "patient_id"], F.date_add(F.to_date("completed"), span["days"])
+    alone = F.array(F.lit(None).cast("date"))
+    rows = with_valid_pair(placed.withColumn("_own", F.explode(F.when(F.col("several"), starts).otherwise(alone))), pairs,
+                           F.col("_own").isNull() | valid_in_month(yyyymm("_own")))
+    found = scan_before(rows, keys, ["completed", "order_id"], time_levels("completed", "order_id", block),
+                        F.when(F.col("note").isNull(), F.struct("order_id", "driver_id", "route_number", "completed")),
+                        F.when(F.col("note").isNull(), 0).otherwise(1)).withColumn("_last", period_start(span["kind"], reach))
+    ends = (rows.withColumn("_last", period_start(span["kind"], reach)).groupBy(*keys, "_last")
+            .agg(F.sum(F.when(F.col("note").isNull(), 0).otherwise(1)).alias("_n")))
+    w = Window.partitionBy(*keys).orderBy("_last")
+    ends = ends.select(F.col("_own").alias("_o"), F.col("patient_id").alias("_p"), F.col("_last").alias("_l"),
+                       F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_upto"),
+                       F.collect_list(F.when(F.col("_n") > 0, F.struct(F.col("_last").alias("at"), F.col("_n").alias("n"))))
+                       .over(w.rowsBetween(-span["days"], Window.currentRow)).alias("_ends"))
+    counted = found.join(ends, F.col("_own").eqNullSafe(F.col("_o")) & (F.col("patient_id") == F.col("_p")) & (F.col("_last") == F.col("_l")), "left")
+    dealt = counted.withColumn("window_start", F.explode(F.when(F.col("_own").isNull(), starts).otherwise(F.array("_own"))))
+    dealt = with_valid_pair(dealt, pairs, valid_in_month(yyyymm("window_start")))
+    reached = period_start(span["kind"], F.date_add(F.to_date("found.completed"), span["days"])) >= F.col("window_start")
+    within = F.aggregate("_ends", F.lit(0).cast("long"), lambda n, e: n + F.when(e["at"] >= F.col("window_start"), e["n"]).otherwise(0))
+    skipped = F.when(reached, F.col("before") - F.col("found_before")).otherwise(within - (F.col("_upto") - F.col("before")))
+    return (dealt.withColumn("pre", F.when(reached, F.col("found"))).withColumn("skipped", skipped)
+            .drop("_own", "_o", "_p", "_l", "_last", "_upto", "_ends", "before", "found", "found_before"))
 
 
 def _lowest_id_predecessors(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -162,16 +224,17 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
     a predecessor, of which all but the lowest id become ``2xPost``. One row per window and
     order, the look-back days before the window included (``in_period`` tells).
     """
-    raw = staged(raw_orders(orders, patients, budgets, kind=kind, days=days, first=first, last=last))
-    contents = order_contents(raw, details, equipment_lines, client_equip, sub_items)
-    keys = ["window_start", "patient_id"]
-    base = staged(raw.join(contents, "order_id", "left").na.fill(0, COUNTS).withColumn("note", exclusion_note()))
+    if ties not in ("strict", "lowest_id"):
+        raise ValueError("ties is 'strict' or 'lowest_id'")
+    span = {"kind": kind, "days": days, "first": first, "last": last}
+    pairs = staged(budget_months(budgets))
+    placed = staged(placed_orders(orders, patients, pairs, **span))
+    contents = order_contents(placed, details, equipment_lines, client_equip, sub_items)
+    base = staged(placed.join(contents, "order_id", "left").na.fill(0, COUNTS).withColumn("note", exclusion_note()))
     if ties == "strict":
-        linked = _strict_predecessors(base, keys, block).withColumn("no_valid", F.lit(False))
-    elif ties == "lowest_id":
-        linked = _lowest_id_predecessors(base, keys)
+        linked = _strict_predecessors(base, pairs, span, block).withColumn("no_valid", F.lit(False))
     else:
-        raise ValueError("ties is 'strict' or 'lowest_id'")
+        linked = _lowest_id_predecessors(staged(in_windows(base, pairs, **span)), ["window_start", "patient_id"])
     for c in ("order_id", "driver_id", "route_number", "completed"):
         linked = linked.withColumn(f"pre_{c}", F.col(f"pre.{c}"))
     minutes = minutes_between("coalesce(pre_completed, completed)", "completed")
@@ -193,7 +256,7 @@ def redelivery(orders: DataFrame, details: DataFrame, patients: DataFrame, budge
     in_period = period_start(kind, F.col("completed")) == F.col("window_start")
     return (linked.withColumn("note", note)
             .withColumn("redelivery", F.when(F.col("note") == REDELIVERED, 1).otherwise(0))
-            .withColumn("in_period", in_period).drop("_pre", "_keep", "no_valid"))
+            .withColumn("in_period", in_period).drop("_pre", "_keep", "no_valid", "several"))
 
 
 RUN = ["window_start", "patient_id", "run_after"]

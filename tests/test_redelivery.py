@@ -112,6 +112,38 @@ def test_daily_windows_look_back_over_five_days(frame):
     assert df.count() == 18 and df.filter("in_period").count() == 3
 
 
+def test_predecessors_are_found_before_orders_are_dealt_to_windows(frame):
+    df = run(frame, [(1, 1, 1, 1, at("2017-03-01 10:00:00"))], [(1, None, DME)], kind="D", days=5)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "Window [" in plan
+    assert plan.index("Generate explode") < plan.index("Window [")
+
+
+@pytest.mark.parametrize("kind, days, first, last", [("D", 5, None, None), ("D", 0, None, None), ("W", 9, None, None), ("M", 5, None, None),
+                                                     ("M", 70, "2017-02-01", "2017-04-01"), ("D", 40, "2017-02-20", "2017-03-10")])
+def test_predecessors_within_each_window_agree_with_brute_force(frame, kind, days, first, last):
+    """Budgets with gaps, patients listed under several pairs or twice under one, and long runs of invalid orders."""
+    rng, m = random.Random(6), model(frame)
+    patients = frame("patient_id int, client_id int, site_id int, type string",
+                     [(1, 10, 20, "P"), (2, 10, 21, "P"), (3, 10, 20, "P"), (3, 10, 21, "P"), (4, 10, 22, "P"), (4, 10, 99, "P")])
+    budgets = frame("client_id int, site_id int, sub_unit int, begin_yyyymm int, end_yyyymm int",
+                    [(10, 20, None, 201601, None), (10, 21, 0, 201701, 201702), (10, 21, 0, 201704, 201704), (10, 22, 0, 201703, 201703)])
+    orders = [(i, rng.randint(1, 4), 1, i, dt.datetime(2017, 1, 20) + dt.timedelta(hours=rng.randint(0, 2000)), "A") for i in range(1, 161)]
+    orders = frame(ORDERS, orders)
+    details = frame(DETAILS, [(i, None, SERVICE if rng.random() < 0.6 else DME) for i in range(1, 161)])
+    opts = dict(kind=kind, days=days, first=first, last=last)
+    got = rd.redelivery(orders, details, patients, budgets, m["equipment_lines"], block=2, **opts).collect()
+    bad = {r.order_id for r in details.collect() if r.product_id == SERVICE}
+    raw = rd.raw_orders(orders, patients, budgets, **opts).select("window_start", "patient_id", "site_id", "completed", "order_id").collect()
+    want = []
+    for w, p in {(r.window_start, r.patient_id) for r in raw}:
+        pre, skipped = None, 0
+        for r in sorted((r for r in raw if (r.window_start, r.patient_id) == (w, p)), key=lambda r: (r.completed, r.order_id)):
+            want.append((str(w), r.order_id, pre, skipped))
+            pre, skipped = (pre, skipped + 1) if r.order_id in bad else (r.order_id, 0)
+    assert want and sorted(((str(r.window_start), r.order_id, r.pre_order_id, r.skipped) for r in got), key=str) == sorted(want, key=str)
+
+
 def simulate(orders, bad, days=5):
     """Predecessor by chasing pointers; ties point at the lowest other id, cycles end without result."""
     by_id = {o[0]: o for o in orders}
