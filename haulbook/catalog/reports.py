@@ -379,7 +379,9 @@ join (select distinct left(o_orderpriority, 1) code, o_orderpriority as name fro
 left join n using (order_id) where s.company_id = 2 and stamp >= '1997-01-01' and stamp <= '1999-12-31'""")
 def _(spark, path):
     r = Roles(spark, path)
-    details = r.t["lineitem"].selectExpr("l_orderkey as order_id", "l_partkey as product_id", "l_orderkey * 10 + l_linenumber as detail_id").distinct()
+    # Dealt by detail once, which serves the distinct and the join with the calls.
+    details = (r.t["lineitem"].selectExpr("l_orderkey as order_id", "l_partkey as product_id", "l_orderkey * 10 + l_linenumber as detail_id")
+               .repartition("detail_id").distinct())
     calls = r.t["lineitem"].filter("l_quantity > 45").selectExpr("l_orderkey * 10 + l_linenumber as detail_id")
     notes = r.t["conversations"].selectExpr("conv_id as order_id", "text as note", "turn as note_id")
     state = r.locations().filter("type = 'C'").selectExpr("location_id as client_id", "state as city")

@@ -15,6 +15,7 @@ from haulbook.operators.filters import optional_filter, search_orders, status_gr
 from haulbook.operators.lookups import dedupe_lookup, join_code
 from haulbook.operators.ranking import dynamic_sort, padded_id
 from haulbook.sources.daytable import replace_days
+from haulbook.sources.sinks import staged
 
 # Labels and limits of the service-level report.
 TYPE_NAMES = {"P": "PICKUP", "D": "DELIVERY", "E": "EXCHANGE"}
@@ -105,7 +106,7 @@ def service_call_orders(orders: DataFrame, details: DataFrame, service_details:
     ``notes`` is the first part of the joined notes and ``note_parts`` their number: a row stays one row however long
     they are. ``concat_notes`` gives the further parts.
     """
-    lines = details.join(service_details.select("detail_id"), "detail_id", "left_semi").select("order_id", "product_id", "detail_id")
+    lines = staged(details.join(service_details.select("detail_id"), "detail_id", "left_semi").select("order_id", "product_id", "detail_id"))
     placed = (orders.filter(in_window("stamp", start, end, upper)).join(lines, "order_id", "left_semi")
               .select("order_id", "patient_id", "address_id", "reason",
                       F.to_date("stamp").alias("ordered_on"), F.to_date("completed").alias("delivered_on")))

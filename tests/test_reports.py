@@ -189,3 +189,17 @@ def test_order_channel(frame):
                            frame("user_id int, company_id int, location_id int, type string", [(1, 2, 20, "D"), (4, 100, 10, "H")]), "2017-03-01", "2017-03-31", house_name="house")
     assert tuples(out, "order_id", "phone", "system", "phone_network", "phone_own", "region_id", "region") == [
         (1, 1, 0, 0, 1, -2, "NJ Region"), (2, 1, 0, 1, 0, -2, "NJ Region"), (3, 0, 1, 0, 0, -2, "NJ Region"), (4, 1, 0, 1, 0, -2, "NJ Region")]
+
+
+def test_lines_of_service_calls_are_found_once(spark, frame, tmp_path):
+    stamp = dt.datetime(1997, 3, 1)
+    frame("detail_id long, order_id long, product_id long", [(1, 1, 7), (2, 1, 8), (2, 1, 8), (3, 2, 7), (4, 2, 8)]).write.parquet(f"{tmp_path}/details")
+    out = sc.service_call_orders(
+        frame("order_id long, patient_id int, address_id int, reason string, stamp timestamp_ntz, completed timestamp_ntz", [(o, 5, 6, "A", stamp, stamp) for o in (1, 2)]),
+        spark.read.parquet(f"{tmp_path}/details"), frame("detail_id long", [(2,), (3,)]), frame("order_id long, note string, note_id int", [(1, "b", 2), (1, "a", 1)]),
+        frame("patient_id int, client_id int, site_id int, last_name string, first_name string", [(5, 10, 20, "L", "F")]),
+        frame("location_id int, company_id int, name string", [(10, 3, "C"), (20, 2, "S")]), frame("product_id long, name string", [(7, "p7"), (8, "p8")]),
+        frame("address_id int, street string, city string, state string, zip string", [(6, "s", "c", "st", "z")]), frame("code string, name string", [("A", "reason")]),
+        "1997-01-01", "1997-12-31")
+    assert tuples(out, "order_id", "detail_id", "product_name", "notes") == [(1, 2, "p8", "a, b"), (1, 2, "p8", "a, b"), (2, 3, "p7", None)]
+    assert not [f for f in out.inputFiles() if f"{tmp_path}/details" in f]
