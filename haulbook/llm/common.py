@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Fixed value of the word rule: everything but a space and the ASCII controls tab to carriage return.
@@ -99,6 +102,20 @@ def shingle_hashes(words: np.ndarray, lengths: np.ndarray, width: int = 5) -> tu
     return out, owner[start]
 
 
+def giving_back(run: Callable) -> Callable:
+    """A task's function after which its Python worker returns free memory to the system: Spark keeps workers for later tasks,
+    and what several operators once needed would stay with each of them."""
+    @functools.wraps(run)
+    def whole(frames):
+        yield from run(frames)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # only glibc has it
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def batched(frames: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[pd.DataFrame]:
     """Slices of the frames whose texts hold about ``most`` characters together; one text is never cut."""
     for frame in frames:

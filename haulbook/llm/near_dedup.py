@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from haulbook.llm.common import ascii_words, batched, discard, mixed, shingle_hashes, stored, text_or_empty, word_codes, word_hashes
+from haulbook.llm.common import ascii_words, batched, discard, giving_back, mixed, shingle_hashes, stored, text_or_empty, word_codes, word_hashes
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -88,6 +88,7 @@ def sketches(least: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.int64)
 
 
+@giving_back
 def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in batched(frames, "text", 3_000_000):
         owner, shingles, counts, keys = bags(part["text"].tolist())
@@ -98,6 +99,7 @@ def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "_bands": list(band_keys(least))})
 
 
+@giving_back
 def _bagged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Bags as sets: the n-th copy of a shingle is an element of its own, so set overlap is multiset overlap."""
     for part in batched(frames, "text", 3_000_000):
@@ -201,9 +203,11 @@ def _classes(source: DataFrame) -> DataFrame:
     near = stored(rows.join(full, "_bucket"))                       # ids alone: a node is in up to BANDS buckets
     wanted = stored(near.select("_node").distinct())
     first = wanted.select(F.col("_node").alias("_row"))
-    # Most texts have no possible partner: a filter of fixed size keeps nearly all of them out of the shuffle.
-    texts = source.select("_row", "text").filter(rows_like(first, "_row")).join(first, "_row", "left_semi")
-    sets = stored(texts.mapInPandas(_bagged, "_node long, _bag array<long>, _map array<long>"))
+    # Most texts have no possible partner: a filter of fixed size keeps nearly all of them out of the shuffle. What it keeps is
+    # stored, so that no task needs two Python workers at once, the filter's and that of the bags.
+    likely = stored(source.select("_row", "text").filter(rows_like(first, "_row")))
+    sets = stored(likely.join(first, "_row", "left_semi").mapInPandas(_bagged, "_node long, _bag array<long>, _map array<long>"))
+    discard(likely)
     # Shingles that no other node holds bound a node's overlap with any partner. Those bounded below SIMILAR have none.
     alone = (sets.select("_node", F.explode("_bag").alias("_item")).groupBy("_item").agg(F.count("*").alias("_n"), F.min("_node").alias("_node"))
              .filter("_n = 1").groupBy("_node").agg(F.count("*").alias("_alone")))

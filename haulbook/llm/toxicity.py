@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from haulbook.llm.common import crc_of, discard, stored, text_or_empty
+from haulbook.llm.common import crc_of, discard, giving_back, stored, text_or_empty
 
 BUCKETS = 1 << 18        # hashed terms
 LABELLED = 12_000        # bound on the labelled ids, and then on the rows, that the model is fitted on
@@ -18,6 +19,7 @@ FACTORS = 4
 EPOCHS = 30
 EVIDENCE = 15.0          # least chi-square of a term with the label for it to enter the model
 REJECT = 0.7
+HELD, LONG = 200_000, 64   # words whose buckets a task holds, and the longest of them
 
 _word = re.compile(r"[^\W_]+")
 
@@ -29,19 +31,20 @@ def term_ids(word: str) -> tuple[int, ...]:
 
 
 class _Terms(dict):
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
-            self.clear()
-        out = self[word] = term_ids(word)
+    """Packed buckets of words, emptied when full. Long words are never held."""
+
+    def __missing__(self, word: str) -> bytes:
+        out = array("i", term_ids(word)).tobytes()
+        if len(word) <= LONG:
+            if len(self) >= HELD:
+                self.clear()
+            self[word] = out
         return out
 
 
-def text_terms(text: str, known: dict[str, tuple[int, ...]]) -> np.ndarray:
+def text_terms(text: str, known: dict[str, bytes]) -> np.ndarray:
     """The distinct buckets of a text, in order."""
-    found: set[int] = set()
-    for word in set(_word.findall(text.lower())):
-        found.update(known[word])
-    return np.array(sorted(found), dtype=np.int32)
+    return np.unique(np.frombuffer(b"".join(map(known.__getitem__, set(_word.findall(text.lower())))), dtype=np.int32))
 
 
 class Machine:
@@ -123,6 +126,7 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, most: int = LABELLED) ->
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
+    @giving_back
     def terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Terms()
         for frame in frames:
@@ -180,6 +184,7 @@ def toxic_score(docs: DataFrame, model: Machine, text_col: str = "text") -> Colu
     shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.bias, model.weights, model.factors))
 
     @F.pandas_udf("double")
+    @giving_back
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known, machine = _Terms(), Machine(*shared.value)
         for part in texts:

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import time
+import tracemalloc
 import weakref
 import zlib
 from collections import Counter
@@ -16,7 +17,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from haulbook.llm import language_model, licenses, page_text, tokens, toxicity, warc
+from haulbook.llm import common, language_model, licenses, page_text, tokens, toxicity, warc
 
 DOCS = "doc_id long, text string, _id string"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -39,6 +40,34 @@ def test_the_tables_of_a_task_go_with_it():
         gc.enable()
 
 
+def test_buckets_of_words_are_packed():
+    words, known = [f"word{i}of" for i in range(20_000)], toxicity._Terms()
+    tracemalloc.start()
+    for w in words:
+        known[w]
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert used < 250 * len(words)
+    assert toxicity.text_terms("", known).tolist() == []
+    assert toxicity.text_terms("Word7of word8of word7of", known).tolist() == sorted({*toxicity.term_ids("word7of"), *toxicity.term_ids("word8of")})
+
+
+def test_a_task_gives_free_memory_back():
+    def held():
+        return sum(int(line.split()[1]) for line in open("/proc/self/smaps_rollup") if line.startswith("Pss_Anon:"))
+
+    def run(frames):
+        held_blocks = [bytes(100_000) for _ in range(1000)]
+        pins.extend(bytes(1000) for _ in range(10))
+        yield from frames
+        del held_blocks
+
+    pins = []
+    before = held()
+    assert list(common.giving_back(run)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 50_000
+
+
 def test_bpe_agrees_with_the_library(frame):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
