@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -13,9 +14,11 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from haulbook.llm.common import batched, text_or_empty
+from haulbook.llm.common import batched, giving_back, text_or_empty
 
-KEPT = 400_000   # entries a task's tables of known pieces may hold before they are emptied
+KEPT = 200_000    # runs that a task holds before the older ones go
+PAIRS = 400_000   # tested pairs of tokens that a task holds
+LONG = 64         # characters of the longest runs and pieces that are held
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,11 +42,14 @@ class PrefixCoder:
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
+        self.length = {r: len(t) for t, r in ranks.items()}
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
         self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
+        self.edges: tuple[dict, dict] = {}, {}
         self.ends = ahocorasick.Automaton()
         for t, r in ranks.items():
-            if self.stands(r):
+            if self.stands(r) and len(t) > 1:
                 self.ends.add_word(t.decode("latin-1"), (r, len(t)))
         self.ends.make_automaton()
 
@@ -61,12 +67,16 @@ class PrefixCoder:
         self.halves[token] = (rank(parts[0]), rank(parts[1])) if len(parts) == 2 else None
         return True
 
-    def edge(self, token: int, side: int) -> list[int]:
-        """The tokens that stood at one edge of the token, from its byte there to the token itself."""
-        out = [token]
-        while self.halves[out[-1]]:
-            out.append(self.halves[out[-1]][side])
-        return out[::-1]
+    def edge(self, token: int, side: int) -> tuple[list[int], list[bytes]]:
+        """The tokens that stood at one edge of the token, from its byte there to the token itself, and their bytes."""
+        found = self.edges[side].get(token)
+        if found is None:
+            out = [token]
+            while self.halves[out[-1]]:
+                out.append(self.halves[out[-1]][side])
+            out.reverse()
+            found = self.edges[side][token] = out, [self.bytes_of[t] for t in out]
+        return found
 
     def follows(self, before: int, token: int) -> bool:
         """Whether the two stay apart: no merge across them comes before the merges that build them.
@@ -76,12 +86,12 @@ class PrefixCoder:
         key = before << 32 | token
         found = self.pairs.get(key)
         if found is None:
-            left, right, i, j, never = self.edge(before, 1), self.edge(token, 0), 0, 0, 1 << 60
-            found = True
+            (left, left_bytes), (right, right_bytes), i, j, never = self.edge(before, 1), self.edge(token, 0), 0, 0, 1 << 60
+            rank, found = self.ranks.get, True
             while found:
                 left_ends = left[i + 1] if i + 1 < len(left) else never
                 right_ends = right[j + 1] if j + 1 < len(right) else never
-                across = self.ranks.get(self.bytes_of[left[i]] + self.bytes_of[right[j]], never)
+                across = rank(left_bytes[i] + right_bytes[j], never)
                 if across < left_ends and across <= right_ends and across != never:
                     found = False
                 elif left_ends == right_ends == never:
@@ -90,28 +100,32 @@ class PrefixCoder:
                     i += 1
                 else:
                     j += 1
-            if len(self.pairs) >= KEPT:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             self.pairs[key] = found
         return found
 
     def extend(self, data: bytes, last: list[int], upto: int) -> None:
-        """Add the entries up to byte ``upto``. The automaton names the tokens that end at each byte, longest first."""
-        pair = self.pairs.get
-        base = max(0, len(last) + 1 - self.longest)
-        for end, (token, length) in self.ends.iter(data[base:upto].decode("latin-1")):
+        """Add the entries up to byte ``upto``. The automaton names the longer tokens that end at each byte, longest first.
+
+        Since just one token may be the last, the byte's own token is where none of the longer may.
+        """
+        pair, done = self.pairs.get, len(last)
+        base, settled = max(0, done + 1 - self.longest), done - 1
+        own = list(map(self.single.__getitem__, data[done:upto]))
+        if None in own:
+            raise ValueError("the ranks do not cover every byte")
+        last += own
+        for end, (token, length) in self.ends.iter(data[base:upto].decode("latin-1")) if len(self.ends) else ():
             end += base
-            if end == len(last):
+            if end > settled:
                 start = end + 1 - length
-                if not start:
-                    last.append(token)
-                elif start > 0:
+                if start:
                     before = last[start - 1]
                     apart = pair(before << 32 | token)
-                    if apart or apart is None and self.follows(before, token):
-                        last.append(token)
-        if len(last) != upto:
-            raise ValueError("the ranks do not cover every byte")
+                    if not apart and (apart is not None or not self.follows(before, token)):
+                        continue
+                last[end], settled = token, end
 
     def table(self, data: bytes, known: list[int] | None = None) -> list[int]:
         """Last token of each prefix of ``data``; ``known`` is the table of a text that ``data`` continues."""
@@ -139,48 +153,59 @@ class PrefixCoder:
 
     def tokens(self, last: list[int]) -> list[int]:
         """The encoding that a table stands for."""
-        out, end = [], len(last)
+        out, end, length = [], len(last), self.length
         while end:
-            out.append(last[end - 1])
-            end -= len(self.bytes_of[last[end - 1]])
+            token = last[end - 1]
+            out.append(token)
+            end -= length[token]
         return out[::-1]
 
     def encode(self, data: bytes) -> list[int]:
-        return self.tokens(self.table(data))
+        last: list[int] = []
+        self.extend(data, last, len(data))
+        return self.tokens(last)
 
 
-class _Known(dict):
-    """Results by piece, emptied when full."""
+class KnownRuns(dict):
+    """Packed ids of runs and of their pieces; a piece is cut like a run of itself, so one table holds both.
 
-    def __init__(self, make):
-        self.make = make
+    When full, those not asked for since it was last full are let go; long ones are never held.
+    """
 
-    def __missing__(self, key):
-        if len(self) >= KEPT:
-            self.clear()
-        out = self[key] = self.make(key)
+    def __init__(self, coder: PrefixCoder, pattern: str):
+        self.coder, self.cut, self.older = coder, regex.compile(pattern).findall, {}
+
+    def __missing__(self, run: str) -> bytes:
+        out = self.older.get(run)
+        if out is None:
+            pieces = self.cut(run)
+            out = array("i", self.coder.encode(run.encode())).tobytes() if pieces == [run] else b"".join(map(self.__getitem__, pieces))
+        if len(run) <= LONG:
+            if len(self) >= KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[run] = out
         return out
 
 
 class TextCoder:
-    """Encodes texts piece by piece. Words with the space before them repeat, so each is encoded once a task."""
+    """Encodes texts piece by piece. Words with the space before them repeat, so frequent ones are encoded once a task."""
 
     # A run of non-space with the space before it can be cut into pieces by itself; \x1c-\x1f are no spaces in the piece pattern.
     runs = re.compile(r" ?(?:\S|[\x1c-\x1f])+|(?:(?![\x1c-\x1f])\s)+(?!\S|[\x1c-\x1f])|(?:(?![\x1c-\x1f])\s)+")
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         # The tables refer to what they are made from, never back to this object: without cycles, a task's tables go with the task.
-        coder, pieces = PrefixCoder(ranks), regex.compile(pattern)
-        known_piece = _Known(lambda p: ",".join(map(str, coder.encode(p.encode()))))
-        self.known_run = _Known(lambda r: ",".join(map(known_piece.__getitem__, pieces.findall(r))))
-        self.known_ids = _Known(lambda ids: b"".join(coder.bytes_of[int(i)] for i in ids.split(",")))
+        coder = PrefixCoder(ranks)
+        self.known = KnownRuns(coder, pattern)
+        self.id_bytes = coder.bytes_of.__getitem__
 
-    def encode(self, text: str) -> list[str]:
-        """Ids of the text, comma-joined per run."""
-        return list(map(self.known_run.__getitem__, self.runs.findall(text)))
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of the text."""
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.runs.findall(text))), dtype=np.int32)
 
-    def decode(self, ids: list[str]) -> bytes:
-        return b"".join(map(self.known_ids.__getitem__, ids))
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.id_bytes, ids))
 
 
 def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -194,18 +219,20 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
 
+    @giving_back
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = TextCoder(shared.value, pattern)
+        decimal = {i: b"%d" % i for i in shared.value.values()}.__getitem__
         for part in batched(frames, "text", 4_000_000):
             counts, digests, decoded, all_ids = [], [], [], []
             for text in part["text"]:
-                ids = coder.encode(text)
-                joined = ",".join(ids)
-                counts.append(joined.count(",") + 1 if ids else 0)
-                digests.append(hashlib.sha256(joined.encode()).hexdigest())
+                found = coder.encode(text)
+                ids = found.tolist()
+                counts.append(len(ids))
+                digests.append(hashlib.sha256(b",".join(map(decimal, ids))).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(ids)).hexdigest())
                 if with_ids:
-                    all_ids.append(np.array(joined.split(","), dtype=np.int32) if ids else np.zeros(0, np.int32))
+                    all_ids.append(found)
             out = {"_id": part["_id"], "n_tokens": counts, "ids_sha256": digests, "decoded_sha256": decoded}
             yield pd.DataFrame(out | ({"ids": all_ids} if with_ids else {}))
 

@@ -40,6 +40,24 @@ def test_the_tables_of_a_task_go_with_it():
         gc.enable()
 
 
+def test_a_coder_holds_frequent_runs_only(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT", 20)
+    coder = tokens.TextCoder(tokens.read_ranks(RANKS), public_tokenizers.PATTERN)
+    made = []
+    inner = coder.known.coder.encode
+    monkeypatch.setattr(coder.known.coder, "encode", lambda data: made.append(data) or inner(data))
+    for i in range(200):
+        text = f"often w{'xyz'[i % 3] * (i // 3 % 40)}q" + "long" * 40
+        assert coder.decode(coder.encode(text).tolist()) == text.encode()
+    assert made.count(b"often") == 1 and len(coder.known) + len(coder.known.older) <= 40
+    assert max(map(len, coder.known)) <= tokens.LONG
+
+
+def test_prefix_table_without_tokens_of_its_bytes():
+    with pytest.raises(ValueError, match="cover every byte"):
+        tokens.PrefixCoder({b"a": 0, b"b": 1, b"ab": 2}).encode(b"abc")
+
+
 def test_buckets_of_words_are_packed():
     words, known = [f"word{i}of" for i in range(20_000)], toxicity._Terms()
     tracemalloc.start()
