@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from haulbook.llm.common import batched, giving_back, text_or_empty
 
-KEPT = 200_000    # runs that a task holds before the older ones go
+KEPT = 400_000    # runs that a task holds before the older ones go
 PAIRS = 400_000   # tested pairs of tokens that a task holds
 LONG = 64         # characters of the longest runs and pieces that are held
 
